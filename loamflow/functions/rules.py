@@ -113,11 +113,12 @@ def check_rules(rules: list[Rule], df: DataFrame, references: dict[str, DataFram
                 problems.append(f"{rule.name}: ref_columns do not fit {rule.arguments['ref_table']!r}")
         elif rule.function in ROW_RULES:
             try:
-                outcome = df.select(compile_row_rule(rule)).schema[0].dataType.typeName()
+                df.select(compile_row_rule(rule))
+                if rule.function == "sql_expression":
+                    outcome = df.select(F.expr(rule.arguments["expression"])).schema[0].dataType.typeName()
+                    if outcome != "boolean":
+                        problems.append(f"{rule.name}: expression is {outcome}, not boolean")
             except Exception as exc:  # analysis errors carry no common public base class
                 problems.append(f"{rule.name}: {str(exc).splitlines()[0]}")
-            else:
-                if outcome != "boolean":
-                    problems.append(f"{rule.name}: condition is {outcome}, not boolean")
     if problems:
         raise ValueError("invalid quality rules: " + "; ".join(problems))

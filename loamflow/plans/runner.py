@@ -7,7 +7,7 @@ import logging
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -21,7 +21,7 @@ from loamflow.operators.incremental import incremental_filter, next_mark
 from loamflow.operators.transforms import resolve_sql, sql_transform
 from loamflow.session import configure
 from loamflow.sources import specs as spec_source
-from loamflow.sources.snapshots import Warehouse
+from loamflow.sources.snapshots import Snapshot, Warehouse
 from loamflow.sources.tables import Tables, reachable, source_profile
 
 logger = logging.getLogger(__name__)
@@ -86,7 +86,11 @@ class BulkTransformEngine:
 
     ``documents`` holds rule and policy documents by the path the specs name; paths that are
     not in it are read from ``config_base_path``. ``bindings`` names source tables that are
-    not in the session catalog (a frame, or the path of a parquet table).
+    not in the session catalog (a frame, or the path of a parquet table). ``layouts`` gives
+    keyed targets an integer SQL expression over their key columns, such as
+    ``o_orderkey div 1000000`` or ``pmod(xxhash64(k), 256)``: the table is stored in one part per
+    value, and a merge reads and rewrites the parts it touches instead of the whole table.
+    ``parallel`` specs run at a time.
     """
 
     def __init__(
@@ -98,6 +102,7 @@ class BulkTransformEngine:
         bindings: dict[str, DataFrame | str] | None = None,
         documents: dict[str, dict] | None = None,
         system: SystemTables = SystemTables(),
+        layouts: dict[str, str] | None = None,
         parallel: int = 1,
     ):
         self.spark = configure(spark)
@@ -107,6 +112,7 @@ class BulkTransformEngine:
         self.csv_path = os.path.join(config_base_path, csv_path) if config_base_path else csv_path
         self.documents = dict(documents or {})
         self.system = system
+        self.layouts = dict(layouts or {})
         self.parallel = parallel
         self._source_counts: dict[str, int] = {}
 
@@ -119,7 +125,7 @@ class BulkTransformEngine:
         return raw.get(root, raw)
 
     def _config(self) -> DataFrame | None:
-        return self.warehouse.read(self.system.config) if self.warehouse.exists(self.system.config) else None
+        return self.warehouse.find(self.system.config)
 
     def load_transforms(self, filter_ids: list[str] | None = None) -> list[dict[str, Any]]:
         """Normalised specs as dicts: from the config table if published, else from the CSV file.
@@ -284,7 +290,8 @@ class BulkTransformEngine:
 
     def _load(self, spec: dict[str, Any], run_id: str, result: BulkTransformResult, given: DataFrame | None) -> None:
         target, mark_column = spec["target_name"], spec["watermark_column"]
-        if self.warehouse.is_published(target, run_id):
+        live = self.warehouse.current(target)
+        if live is not None and run_id in live.runs:
             result.message = "already published by this run"
             return
         source = given
@@ -293,7 +300,7 @@ class BulkTransformEngine:
             counted = self._source_counts.get(spec["id"], -1)
             result.source_count = counted if counted >= 0 else source.count()
             if mark_column and spec["load_type"] == "incremental":
-                source = incremental_filter(source, mark_column, self.last_mark(spec))
+                source = incremental_filter(source, mark_column, self.last_mark(spec, live))
         inputs = self.tables.inputs() if source is None else {"source": source}
         transformed = sql_transform(self.spark, resolve_sql(spec, self.config_base_path), inputs)
 
@@ -342,7 +349,7 @@ class BulkTransformEngine:
             pct = self._record_quality(run_id, total, failed, threshold, dq_results)
             if failed:
                 full = StructType([f for f in rows.schema if f.name != _OK])
-                self.warehouse.publish(quarantine, run_id, rejected_path, full, failed, "append")
+                self.warehouse.publish(quarantine, run_id, (rejected_path,), full, failed, "append")
             if pct > threshold:
                 raise quality.DQPipelineException(
                     f"{pct:.2f}% of the rows failed the rules (threshold {threshold}%), see {quarantine}"
@@ -350,30 +357,52 @@ class BulkTransformEngine:
         if total - failed == 0:
             result.message = "no rows after the transform" if not total else "all rows failed the rules"
             return
-        result.rows_loaded = total - failed
         if mark is not None and isinstance(transformed.schema[mark_column].dataType, _TIME_TYPES):
             # The control table can only show marks that are times; the manifest keeps any mark.
             result.mark = mark
-        self._publish(spec, run_id, accepted_path, transformed.schema, result.rows_loaded, mark)
+        self._publish(spec, run_id, live, accepted_path, transformed.schema, total - failed, mark)
+        result.rows_loaded = total - failed
 
-    def _publish(self, spec: dict[str, Any], run_id: str, path: str, schema: StructType, rows: int,
-                 mark: str | None) -> None:
-        target, strategy, keys = spec["target_name"], spec["load_strategy"], spec["pk"]
+    def _publish(self, spec: dict[str, Any], run_id: str, live: Snapshot | None, path: str, schema: StructType,
+                 rows: int, mark: str | None) -> None:
+        target, strategy = spec["target_name"], spec["load_strategy"]
+        layout, dirs = None, (path,)
         if strategy in schemas.KEYED_STRATEGIES:
-            live = self.warehouse.current(target)
-            if live is not None or strategy == "scd2":
-                stored = None if live is None else self.warehouse.read_snapshot(live)
+            layout = self.layouts.get(target)
+            if live is not None or layout or strategy == "scd2":
                 staged = self.spark.read.schema(schema).parquet(path)
-                if strategy == "merge":
-                    merged = writes.merge_upsert(stored, staged, keys)
-                else:
-                    merged = writes.scd2_history(stored, staged, keys, F.lit(utc_now()))
-                seen = Observation(f"merge-{uuid.uuid4().hex}")
-                counted = merged.observe(seen, F.count(F.lit(1)).alias("rows"))
-                path = self.warehouse.stage(counted, self.warehouse.data_path(target, run_id, "merged"))
-                schema, rows = merged.schema, seen.get["rows"]
+                dirs, schema, rows = self._merge(spec, run_id, staged, live, layout)
         mode = "append" if strategy == "append" else "overwrite"
-        self.warehouse.publish(target, run_id, path, schema, rows, mode, mark)
+        self.warehouse.publish(target, run_id, dirs, schema, rows, mode, mark, layout)
+
+    def _merge(self, spec: dict[str, Any], run_id: str, source: DataFrame, live: Snapshot | None,
+               layout: str | None) -> tuple[tuple[str, ...], StructType, int]:
+        """Directories, schema and row count of the table after a keyed load.
+
+        With a layout, only the parts the source touches are read and rewritten.
+        """
+        keys, kept, kept_rows, stored = spec["pk"], (), 0, None
+        if layout:
+            source.select(*keys).select(F.expr(layout))  # fails unless it depends on the keys alone
+        if live is not None and layout and live.layout == layout:
+            touched, kept = live.split(self.warehouse.part_names(source, layout))
+            part = replace(live, dirs=touched)
+            stored = self.warehouse.read_snapshot(part)
+            kept_rows = live.rows - (stored.count() if touched else 0)
+        elif live is not None:
+            stored = self.warehouse.read_snapshot(live)
+        if spec["load_strategy"] == "merge":
+            merged = writes.merge_upsert(stored, source, keys)
+        else:
+            merged = writes.scd2_history(stored, source, keys, F.lit(utc_now()))
+        path = self.warehouse.data_path(spec["target_name"], run_id, "merged")
+        if layout:
+            # An observation below the rebalance could count a repeated stage twice: read the footers instead.
+            dirs = self.warehouse.stage_parts(merged, path, layout)
+            return kept + dirs, merged.schema, kept_rows + self.spark.read.schema(merged.schema).parquet(*dirs).count()
+        seen = Observation(f"merge-{uuid.uuid4().hex}")
+        counted = merged.observe(seen, F.count(F.lit(1)).alias("rows"))
+        return (self.warehouse.stage(counted, path),), merged.schema, seen.get["rows"]
 
     def _record_quality(self, run_id: str, total: int, failed: int, threshold: float, table: str) -> float:
         counts = self.spark.createDataFrame([(run_id, total, failed)], "run_id STRING, total_rows LONG, fail_rows LONG")
@@ -384,9 +413,9 @@ class BulkTransformEngine:
         self.warehouse.save(table, summary, run_id, "append")
         return summary.first()["fail_pct"]
 
-    def last_mark(self, spec: dict[str, Any]) -> Any | None:
+    def last_mark(self, spec: dict[str, Any], live: Snapshot | None = None) -> str | None:
         """The mark published with the target, else the one in the control table (or its seed)."""
-        live = self.warehouse.current(spec["target_name"])
+        live = live or self.warehouse.current(spec["target_name"])
         if live is not None and live.mark is not None:
             return live.mark
         row = self._control().filter(F.col("id") == spec["id"]).select(F.col("last_load_time").cast("string")).first()
@@ -405,18 +434,18 @@ class BulkTransformEngine:
     # State
 
     def _control(self) -> DataFrame:
-        if self.warehouse.exists(self.system.control):
-            return self.warehouse.read(self.system.control)
-        return self.spark.createDataFrame([], schemas.CONTROL_SCHEMA)
+        stored = self.warehouse.find(self.system.control)
+        return self.spark.createDataFrame([], schemas.CONTROL_SCHEMA) if stored is None else stored
 
     def _bootstrap(self, transforms: list[dict[str, Any]], run_id: str) -> None:
-        known = {row["id"] for row in self._control().select("id").collect()}
+        control = self._control()
+        known = {row["id"] for row in control.select("id").collect()}
         if all(t["id"] in known for t in transforms):
             return
         seeds = self.spark.createDataFrame(
             [(t["id"], t["last_load_time"]) for t in transforms], "id STRING, last_load_time STRING"
         )
-        seeded = state.control_bootstrap(self._control(), seeds, F.lit(utc_now()).cast("timestamp"))
+        seeded = state.control_bootstrap(control, seeds, F.lit(utc_now()).cast("timestamp"))
         self.warehouse.save(self.system.control, seeded, f"{run_id}-bootstrap-{uuid.uuid4().hex[:8]}")
 
     def _record(self, results: list[BulkTransformResult], run_id: str, stage: str) -> None:
@@ -428,8 +457,9 @@ class BulkTransformEngine:
         ran = frame.filter(F.col("status") != state.SKIPPED)
         if any(r.status != state.SKIPPED for r in results):
             control = state.control_update(self._control(), ran)
-            marks = ran.select("id", F.col("mark").try_cast("timestamp").alias("last_load_time"))
-            control = state.mark_update(control, marks)
+            if any(r.mark is not None for r in results):
+                marks = ran.select("id", F.col("mark").try_cast("timestamp").alias("last_load_time"))
+                control = state.mark_update(control, marks)
             self.warehouse.save(self.system.control, control, f"{run_id}-{stage}-state")
 
     def _results_frame(self, results: list[BulkTransformResult]) -> DataFrame:

@@ -12,18 +12,20 @@ import json
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loamflow.operators.writes import compact, merged_schema
 
 MANIFEST_SCHEMA = (
-    "version LONG, run_id STRING, dirs ARRAY<STRING>, schema_json STRING, rows LONG, mark STRING, runs ARRAY<STRING>"
+    "version LONG, run_id STRING, dirs ARRAY<STRING>, schema_json STRING, rows LONG, mark STRING, runs ARRAY<STRING>, layout STRING"
 )
 
 
 MANIFEST_SLOTS = 8
+PART = "__part"
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the name Spark gives a NULL partition
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,13 @@ class Snapshot:
     mark: str | None
     # Runs that are part of this snapshot, so that a repeated append is recognised.
     runs: tuple[str, ...]
+    # SQL expression that assigns each row to a part; every directory then holds one part.
+    layout: str | None = None
+
+    def split(self, parts: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """Directories of the given parts, and all others."""
+        inside = tuple(d for d in self.dirs if d.rsplit(f"/{PART}=", 1)[-1] in parts)
+        return inside, tuple(d for d in self.dirs if d not in set(inside))
 
 
 class Warehouse:
@@ -62,16 +71,20 @@ class Warehouse:
             return None
         schema = StructType.fromJson(json.loads(row["schema_json"]))
         return Snapshot(row["version"], row["run_id"], tuple(row["dirs"]), schema, row["rows"], row["mark"],
-                        tuple(row["runs"]))
+                        tuple(row["runs"]), row["layout"])
 
     def exists(self, name: str) -> bool:
         return self.current(name) is not None
 
-    def read(self, name: str) -> DataFrame:
+    def find(self, name: str) -> DataFrame | None:
         snapshot = self.current(name)
-        if snapshot is None:
+        return None if snapshot is None else self.read_snapshot(snapshot)
+
+    def read(self, name: str) -> DataFrame:
+        found = self.find(name)
+        if found is None:
             raise LookupError(f"table {name!r} has not been published")
-        return self.read_snapshot(snapshot)
+        return found
 
     def read_snapshot(self, snapshot: Snapshot) -> DataFrame:
         if not snapshot.dirs:
@@ -85,40 +98,51 @@ class Warehouse:
         return path
 
     def _commit(self, name: str, snapshot: Snapshot) -> Snapshot:
-        row = (snapshot.version, snapshot.run_id, list(snapshot.dirs), snapshot.schema.json(), snapshot.rows,
-               snapshot.mark, list(snapshot.runs))
+        manifest = {
+            "version": snapshot.version, "run_id": snapshot.run_id, "dirs": snapshot.dirs,
+            "schema_json": snapshot.schema.json(), "rows": snapshot.rows, "mark": snapshot.mark,
+            "runs": snapshot.runs, "layout": snapshot.layout,
+        }
         path = f"{self.table_path(name)}/manifest/slot={snapshot.version % MANIFEST_SLOTS}"
-        self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+        row = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(manifest)).alias("value"))
+        row.write.mode("overwrite").text(path)
         return snapshot
 
-    def publish(self, name: str, run_id: str, path: str, schema: StructType, rows: int, mode: str = "overwrite",
-                mark: str | None = None) -> Snapshot:
-        """Make a staged directory the table (``overwrite``) or part of it (``append``).
+    def part_names(self, df: DataFrame, layout: str) -> set[str]:
+        """The parts a frame's rows belong to; as many as the layout has parts at most."""
+        parts = df.select(_part(layout)).distinct().collect()
+        return {NULL_PART if row[0] is None else str(row[0]) for row in parts}
+
+    def stage_parts(self, df: DataFrame, path: str, layout: str) -> tuple[str, ...]:
+        """Write one directory per part. The rebalance splits a part that is too large for a task."""
+        self.stage(df.withColumn(PART, _part(layout)).hint("rebalance", PART), path, partition_by=PART)
+        written = self.spark.read.schema(StructType([*df.schema, StructField(PART, LongType())])).parquet(path)
+        return tuple(f"{path}/{PART}={p}" for p in sorted(self.part_names(written, PART)))
+
+    def publish(self, name: str, run_id: str, dirs: tuple[str, ...], schema: StructType, rows: int,
+                mode: str = "overwrite", mark: str | None = None, layout: str | None = None) -> Snapshot:
+        """Make staged directories the table (``overwrite``) or part of it (``append``).
 
         Publishing the same run twice changes nothing.
         """
         live = self.current(name)
         if live is None:
-            return self._commit(name, Snapshot(1, run_id, (path,), schema, rows, mark, (run_id,)))
+            return self._commit(name, Snapshot(1, run_id, dirs, schema, rows, mark, (run_id,), layout))
         if run_id in live.runs:
             return live
-        mark = mark if mark is not None else live.mark
+        version, mark = live.version + 1, mark if mark is not None else live.mark
         if mode == "append":
             return self._commit(name, Snapshot(
-                live.version + 1, run_id, live.dirs + (path,), merged_schema(live.schema, schema),
-                live.rows + rows, mark, live.runs + (run_id,),
+                version, run_id, live.dirs + dirs, merged_schema(live.schema, schema), live.rows + rows, mark,
+                live.runs + (run_id,),
             ))
-        return self._commit(name, Snapshot(live.version + 1, run_id, (path,), schema, rows, mark, (run_id,)))
-
-    def is_published(self, name: str, run_id: str) -> bool:
-        live = self.current(name)
-        return live is not None and run_id in live.runs
+        return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, mark, (run_id,), layout))
 
     def save(self, name: str, df: DataFrame, run_id: str, mode: str = "overwrite") -> Snapshot:
         """Stage and publish a frame in one go; for the small system tables."""
-        path = self.stage(df, self.data_path(name, run_id))
-        rows = self.spark.read.schema(df.schema).parquet(path).count()
-        return self.publish(name, run_id, path, df.schema, rows, mode)
+        seen = Observation()
+        path = self.stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), self.data_path(name, run_id))
+        return self.publish(name, run_id, (path,), df.schema, seen.get["rows"], mode)
 
     def size_in_bytes(self, dirs: tuple[str, ...]) -> int:
         """File sizes as the listing reports them; file contents are not read."""
@@ -134,8 +158,16 @@ class Warehouse:
         tag = f"{run_id}-compact"
         if tag in live.runs or not live.dirs:
             return live
-        partitions = max(1, -(-self.size_in_bytes(live.dirs) // file_bytes))
-        path = self.stage(compact(self.read_snapshot(live), partitions, cluster_by), self.data_path(name, tag))
+        path, rows = self.data_path(name, tag), self.read_snapshot(live)
+        if live.layout:
+            dirs = self.stage_parts(rows, path, live.layout)
+        else:
+            partitions = max(1, -(-self.size_in_bytes(live.dirs) // file_bytes))
+            dirs = (self.stage(compact(rows, partitions, cluster_by), path),)
         return self._commit(name, replace(
-            live, version=live.version + 1, run_id=tag, dirs=(path,), runs=live.runs + (tag,)
+            live, version=live.version + 1, run_id=tag, dirs=dirs, runs=live.runs + (tag,)
         ))
+
+
+def _part(layout: str) -> Column:
+    return F.expr(layout).cast("long")

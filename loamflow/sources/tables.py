@@ -31,9 +31,8 @@ class Tables:
             return self.spark.read.parquet(bound)
         if bound is not None:
             return bound
-        if self.warehouse is not None and self.warehouse.exists(name):
-            return self.warehouse.read(name)
-        return self.spark.table(name)
+        published = self.warehouse.find(name) if self.warehouse is not None else None
+        return self.spark.table(name) if published is None else published
 
     def inputs(self) -> dict[str, DataFrame]:
         """Bound tables by the last part of their name, for SQL that has no single source."""

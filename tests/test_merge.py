@@ -1,0 +1,168 @@
+from itertools import product
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import bag
+from loamflow.operators.writes import append, compact, merge_upsert, overwrite, scd2_history, update_matched
+
+SCHEMA = "k INT, j STRING, v STRING, n LONG"
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def brute_force(target, source, width=2):
+    """Row by row, with NULL keys matching nothing."""
+    def match(a, b):
+        return None not in a[:width] and a[:width] == b[:width]
+
+    result = []
+    for t in target:
+        hits = [s for s in source if match(t, s)]
+        assert len(hits) <= 1
+        result.append(hits[0] if hits else t)
+    result += [s for s in source if not any(match(t, s) for t in target)]
+    return sorted(result, key=repr)
+
+
+TARGET = [
+    (1, "a", "old", 1), (2, "a", "old", 2), (2, "a", "twice", 3), (None, "a", "null key", 4), (3, None, "null key", 5),
+    (4, "x", "untouched", 6),
+]
+SOURCE = [
+    (1, "a", None, 10), (2, "a", "new", 20), (None, "a", "other null", 30), (3, None, "other null", 40),
+    (9, "z", "insert", 50), (9, "z", "insert again", 60),
+]
+
+
+def test_merge_equals_brute_force(spark):
+    merged = merge_upsert(frame(spark, TARGET), frame(spark, SOURCE), ["k", "j"])
+    assert merged.columns == ["k", "j", "v", "n"]
+    assert bag(merged) == brute_force(TARGET, SOURCE)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_merge_with_and_without_broadcast(spark, conf, threshold):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    merged = merge_upsert(frame(spark, TARGET), frame(spark, SOURCE), ["k", "j"])
+    assert bag(merged) == brute_force(TARGET, SOURCE)
+
+
+def test_all_small_key_combinations(spark):
+    """Every target/source pair over the keys {NULL, 1, 2}, one or two rows each."""
+    keys = [None, 1, 2]
+    for t, s in product(product(keys, repeat=2), keys):
+        target = [(k, None, f"t{i}", i) for i, k in enumerate(t)]
+        source = [(s, None, "s", 9)]
+        got = bag(merge_upsert(frame(spark, target), frame(spark, source), ["k"]))
+        assert got == brute_force(target, source, width=1), (t, s)
+
+
+@pytest.mark.parametrize("action", ["collect", "count"])
+def test_two_source_rows_for_one_target_row(spark, action):
+    source = frame(spark, [(1, "a", "x", 1), (1, "a", "y", 2)])
+    merged = merge_upsert(frame(spark, TARGET), source, ["k", "j"])
+    with pytest.raises(PySparkException, match="several source rows"):
+        getattr(merged, action)()
+
+
+def test_merge_twice_is_merge_once(spark):
+    source = frame(spark, [(1, "a", None, 10), (7, "b", "new", 11)])
+    once = merge_upsert(frame(spark, TARGET), source, ["k", "j"])
+    assert bag(merge_upsert(once, source, ["k", "j"])) == bag(once)
+
+
+def test_only_key_columns_means_insert_only(spark):
+    target = frame(spark, [(1, "a"), (2, "b")], "k INT, j STRING")
+    source = frame(spark, [(1, "a"), (3, "c")], "k INT, j STRING")
+    assert bag(merge_upsert(target, source, ["k", "j"])) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_source_types_are_cast_to_the_target(spark):
+    target = frame(spark, [(1, 5)], "k INT, n LONG")
+    source = frame(spark, [(1, 7), (2, 8)], "k LONG, n INT")
+    merged = merge_upsert(target, source, ["k"])
+    assert merged.schema == target.schema and bag(merged) == [(1, 7), (2, 8)]
+
+
+def test_signed_zero_keys_match(spark):
+    target = frame(spark, [(0.0, 1)], "k DOUBLE, n LONG")
+    source = frame(spark, [(-0.0, 2)], "k DOUBLE, n LONG")
+    assert [r["n"] for r in merge_upsert(target, source, ["k"]).collect()] == [2]
+
+
+def test_merge_rejects_bad_input_before_any_job(spark):
+    target = frame(spark, TARGET)
+    with pytest.raises(ValueError, match="key column"):
+        merge_upsert(target, target, [])
+    with pytest.raises(ValueError, match="key column"):
+        merge_upsert(None, target, [])
+    with pytest.raises(ValueError, match="not in the merge"):
+        merge_upsert(target, target, ["nope"])
+    with pytest.raises(ValueError, match="lacks"):
+        merge_upsert(target, target.drop("n"), ["k"])
+    with pytest.raises(ValueError, match="does not add"):
+        merge_upsert(target, target.withColumn("extra", F.lit(1)), ["k"])
+
+
+def test_first_merge_inserts_everything(spark):
+    source = frame(spark, SOURCE)
+    assert bag(merge_upsert(None, source, ["k"])) == bag(source)
+    empty = spark.createDataFrame([], SCHEMA)
+    assert bag(merge_upsert(empty, source, ["k"])) == bag(source)
+
+
+def test_update_only(spark):
+    updates = frame(spark, [(1, 100), (9, 900)], "k INT, n LONG")
+    got = bag(update_matched(frame(spark, TARGET), updates, ["k"]))
+    assert got == sorted([(k, j, v, 100 if k == 1 else n) for k, j, v, n in TARGET], key=repr)
+
+
+def test_append_and_overwrite(spark):
+    target = frame(spark, [(1, "a")], "k INT, v STRING")
+    wider = frame(spark, [(2, 3.0)], "k INT, w DOUBLE")
+    both = append(target, wider)
+    assert both.columns == ["k", "v", "w"]
+    assert bag(both) == [(1, "a", None), (2, None, 3.0)]
+    assert overwrite(target, wider).schema == wider.schema
+    with pytest.raises(ValueError, match="type of 'k'"):
+        append(target, frame(spark, [("x",)], "k STRING"))
+
+
+def test_scd2_versions(spark):
+    first = frame(spark, [(1, "a"), (2, "b"), (3, "c")], "k INT, v STRING")
+    history = scd2_history(None, first, ["k"], F.lit("2024-01-01"))
+    second = frame(spark, [(1, "a"), (2, None), (4, "d")], "k INT, v STRING")
+    history = scd2_history(history, second, ["k"], F.lit("2024-02-01"))
+    third = frame(spark, [(2, "b2")], "k INT, v STRING")
+    history = scd2_history(history, third, ["k"], F.lit("2024-03-01"))
+    short = history.select(
+        "k", "v", F.date_format("valid_from", "MM").alias("a"), F.date_format("valid_to", "MM").alias("b"), "is_current"
+    )
+    assert bag(short) == sorted(
+        [
+            (1, "a", "01", None, True), (2, "b", "01", "02", False), (2, None, "02", "03", False),
+            (2, "b2", "03", None, True), (3, "c", "01", None, True), (4, "d", "02", None, True),
+        ],
+        key=repr,
+    )
+    again = scd2_history(history, third, ["k"], F.lit("2024-04-01"))
+    assert bag(again) == bag(history)
+
+
+def test_scd2_rejects_ambiguous_source(spark):
+    history = scd2_history(None, frame(spark, [(1, "a")], "k INT, v STRING"), ["k"], F.lit("2024-01-01"))
+    source = frame(spark, [(1, "b"), (1, "c")], "k INT, v STRING")
+    with pytest.raises(PySparkException, match="several source rows"):
+        scd2_history(history, source, ["k"], F.lit("2024-02-01")).count()
+
+
+def test_compact_keeps_rows(spark):
+    df = spark.range(1000, numPartitions=16)
+    packed = compact(df, 3)
+    assert packed.rdd.getNumPartitions() == 3 and packed.count() == 1000
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert bag(compact(df, 4, ["id"])) == bag(df)

@@ -1,0 +1,23 @@
+"""Every registered query against DuckDB on the same tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import connect, difference
+from loamflow.plans.queries import ORACLES, QUERIES
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    with connect(sf_dir) as connection:
+        yield connection
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query_matches_oracle(spark, sf_dir, con, name):
+    assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == ""
+
+
+def test_contract(spark):
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.entry(spark).columns[0] == "customer_id"

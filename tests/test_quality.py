@@ -1,0 +1,136 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import bag
+from loamflow import DQEngine, DQPipelineException, Warehouse
+from loamflow.operators.quality import RuleSet, dq_summary, summarize
+
+SCHEMA = "k INT, v STRING, n DOUBLE"
+
+
+def rule(function, name=None, criticality="error", **arguments):
+    return {"name": name or function, "criticality": criticality, "check": {"function": function, "arguments": arguments}}
+
+
+def violating(spark, rows, *rules, schema=SCHEMA, references=None):
+    rejected = RuleSet(spark.createDataFrame(rows, schema), rules, references).rejected()
+    return sorted((r[0] for r in rejected.collect()), key=repr)
+
+
+ROWS = [(1, "a", 1.0), (2, None, -1.0), (3, " ", None), (4, "zz", 9.0)]
+
+
+@pytest.mark.parametrize(
+    "checked, bad",
+    [
+        (rule("is_not_null", column="v"), [2]),
+        (rule("is_not_empty", column="v"), [3]),
+        (rule("is_not_null_and_not_empty", column="v"), [2, 3]),
+        (rule("is_not_less_than", column="n", value=0), [2]),
+        (rule("is_not_greater_than", column="n", value=5), [4]),
+        (rule("is_in_list", column="v", allowed=["a", " "]), [4]),
+        (rule("is_in_range", column="n", min=0, max=5), [2, 4]),
+        (rule("regex_match", column="v", regex="^[a-z]$"), [3, 4]),
+        (rule("sql_expression", expression="k < 3 OR n > 5"), []),
+        (rule("sql_expression", expression="length(v) = 1"), [4]),
+    ],
+)
+def test_row_rules(spark, checked, bad):
+    assert violating(spark, ROWS, checked) == bad
+
+
+def test_key_rules(spark):
+    rows = [(1, "a", 0.0), (1, "b", 0.0), (2, "c", 0.0), (None, "d", 0.0), (None, "e", 0.0)]
+    assert violating(spark, rows, rule("is_unique", columns=["k"])) == [1, 1]
+    reference = spark.createDataFrame([(1,), (1,), (None,)], "id INT")
+    dangling = rule("foreign_key", columns=["k"], ref_table="ref", ref_columns=["id"])
+    assert violating(spark, rows, dangling, references={"ref": reference}) == [2]
+
+
+def test_findings_name_every_violated_rule(spark):
+    rules = [
+        {**rule("is_not_null", "v_set", column="v"), "user_metadata": {"check_category": "completeness"}},
+        rule("is_not_less_than", "n_positive", column="n", value=0),
+        rule("is_not_greater_than", "small", "warn", column="k", value=1),
+    ]
+    (row,) = RuleSet(spark.createDataFrame(ROWS, SCHEMA), rules).rejected().filter("k = 2").collect()
+    assert [e["name"] for e in row["_errors"]] == ["v_set", "n_positive"]
+    assert row["_errors"][0]["user_metadata"] == {"check_category": "completeness"}
+    assert [w["name"] for w in row["_warnings"]] == ["small"]
+
+
+def test_warn_rows_stay_valid(spark):
+    rules = RuleSet(spark.createDataFrame(ROWS, SCHEMA), [rule("is_not_less_than", criticality="warn", column="n", value=0)])
+    assert rules.valid().count() == 4 and rules.rejected().count() == 0
+    assert [r["k"] for r in rules.warned().collect()] == [2]
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        rule("no_such_function", column="k"),
+        rule("is_not_null", column="nope"),
+        rule("is_not_null"),
+        rule("is_not_less_than", column="n"),
+        rule("is_not_null", criticality="fatal", column="k"),
+        rule("sql_expression", expression="nope + 1 > 0"),
+        rule("sql_expression", expression="v"),
+        rule("foreign_key", columns=["k"], ref_table="missing", ref_columns=["k"]),
+    ],
+)
+def test_invalid_rules_raise_before_reading(spark, bad):
+    never = spark.createDataFrame(ROWS, SCHEMA).filter(F.raise_error(F.lit("read")).cast("boolean"))
+    with pytest.raises(ValueError, match="invalid quality rules"):
+        RuleSet(never, [bad])
+
+
+@pytest.mark.parametrize(
+    "total, fail, pct, status",
+    [(0, 0, 0.0, "PASS"), (100, 0, 0.0, "PASS"), (100, 5, 5.0, "WARN"), (1000, 51, 5.1, "FAIL"), (3, 1, 33.3333, "FAIL")],
+)
+def test_summary_status(spark, total, fail, pct, status):
+    row = summarize(spark.createDataFrame([(total, fail)], "total_rows LONG, fail_rows LONG")).first()
+    assert (row["pass_rows"], row["fail_pct"], row["status"]) == (total - fail, pct, status)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 3) | st.none(), st.sampled_from(["a", "", None]), st.just(0.0)), max_size=8))
+def test_valid_plus_quarantine_is_input(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    rules = RuleSet(df, [rule("is_not_null_and_not_empty", column="v"), rule("is_unique", columns=["k"])])
+    split = rules.valid().unionByName(rules.rejected().select(*df.columns))
+    assert bag(split) == bag(df)
+    summary = dq_summary(df, rules.rules).first()
+    assert (summary["pass_rows"], summary["fail_rows"]) == (rules.valid().count(), rules.rejected().count())
+
+
+def test_engine_returns_valid_quarantine_summary(spark, tmp_path):
+    df = spark.range(100).select(F.nullif(F.col("id"), F.lit(7)).cast("int").alias("k"))
+    warehouse = Warehouse(spark, str(tmp_path))
+    config = {"checks": [rule("is_not_null", column="k")], "quarantine_table": "q.rows", "dq_results_table": "q.results"}
+    valid, quarantine, summary = DQEngine(spark, config, warehouse, source_table="ids").run(df, "r1")
+    assert valid.count() == 99 and quarantine.count() == 1
+    assert (summary["total_rows"], summary["fail_rows"], summary["status"]) == (100, 1, "WARN")
+    stored = warehouse.read("q.rows").first()
+    assert (stored["_dq_run_id"], stored["_dq_source_table"]) == ("r1", "ids")
+    assert warehouse.read("q.results").first()["fail_pct"] == 1.0
+
+
+def test_engine_halts_above_the_threshold_after_writing(spark, tmp_path):
+    df = spark.createDataFrame([(i if i > 5 else None, "a", 0.0) for i in range(100)], SCHEMA)
+    warehouse = Warehouse(spark, str(tmp_path))
+    config = {"checks": [rule("is_not_null", column="k")], "quarantine_table": "q.rows", "dq_results_table": "q.results"}
+    with pytest.raises(DQPipelineException):
+        DQEngine(spark, config, warehouse).run(df, "r1")
+    assert warehouse.read("q.rows").count() == 6
+    assert warehouse.read("q.results").first()["status"] == "FAIL"
+
+
+def test_engine_without_rules_passes_everything(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    warehouse = Warehouse(spark, str(tmp_path))
+    valid, quarantine, summary = DQEngine(spark, {}, warehouse).run(df)
+    assert bag(valid) == bag(df) and quarantine.count() == 0 and summary["status"] == "PASS"
+    assert not warehouse.exists("quality.dq_results")
