@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import logging
 import os
 import uuid
@@ -21,6 +20,7 @@ from loamflow.operators.incremental import incremental_filter, next_mark
 from loamflow.operators.transforms import resolve_sql, sql_transform
 from loamflow.session import configure
 from loamflow.sources import specs as spec_source
+from loamflow.sources.documents import read_document
 from loamflow.sources.snapshots import Snapshot, Warehouse
 from loamflow.sources.tables import Tables, reachable, source_profile
 
@@ -68,19 +68,6 @@ class SystemTables:
     policy_audit: str = "logging.policy_audit"
 
 
-def read_document(path: str) -> dict[str, Any]:
-    """A rule or policy document: JSON, or YAML where a YAML reader is installed."""
-    with open(path, encoding="utf-8") as handle:
-        text = handle.read()
-    if path.endswith(".json"):
-        return json.loads(text)
-    try:
-        import yaml
-    except ImportError as exc:
-        raise RuntimeError(f"{path}: reading YAML needs a YAML package; JSON works without") from exc
-    return yaml.safe_load(text) or {}
-
-
 class BulkTransformEngine:
     """Runs load specs: read above the mark, transform, check, publish, record.
 
@@ -267,6 +254,10 @@ class BulkTransformEngine:
         self.mark_processed(results, run_id)
         return results
 
+    def run_summary(self, results: list[BulkTransformResult]) -> DataFrame:
+        """Tables and rows per status."""
+        return state.run_summary(self._results_frame(results))
+
     # One spec
 
     def run_spec(self, spec: dict[str, Any], run_id: str, source: DataFrame | None = None) -> BulkTransformResult:
@@ -453,7 +444,11 @@ class BulkTransformEngine:
         if not results:
             return
         frame = self._results_frame(results)
-        self.warehouse.save(self.system.migration_log, state.migration_log(frame), f"{run_id}-{stage}-log", "append")
+        try:
+            log = state.migration_log(frame)
+            self.warehouse.save(self.system.migration_log, log, f"{run_id}-{stage}-log", "append")
+        except Exception as exc:  # a run does not fail for its log
+            logger.warning("migration log not written: %s", exc)
         ran = frame.filter(F.col("status") != state.SKIPPED)
         if any(r.status != state.SKIPPED for r in results):
             control = state.control_update(self._control(), ran)

@@ -9,20 +9,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loamflow.operators import state
 from loamflow.plans.runner import BulkTransformEngine
-from loamflow.session import shared_folder
 
 
 def incremental_stream(engine: BulkTransformEngine, spec: dict[str, Any], source: DataFrame,
                        checkpoint: str | None = None) -> StreamingQuery:
     """Load everything the stream has not delivered yet, batch by batch, then stop.
 
-    A batch that is repeated after a failure carries the same run id and is published once.
+    A batch that is repeated after a failure carries the same run id and is published once. The
+    id names the query as well, which a new checkpoint changes: then everything counts as new.
     """
-    root = shared_folder(engine.spark, f"{engine.warehouse.root}/_checkpoints")
-    location = checkpoint or f"{root}/stream/{spec['id']}"
+    location = checkpoint or f"{engine.warehouse.root}/_checkpoints/{spec['id']}"
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        result = engine.run_spec(spec, f"{spec['id']}-batch-{batch_id}", source=batch)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        result = engine.run_spec(spec, f"{spec['id']}-{query_id}-batch-{batch_id}", source=batch)
         if result.status == state.FAILED:
             raise result.error
 

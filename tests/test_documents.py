@@ -1,0 +1,60 @@
+import json
+
+import pytest
+
+from loamflow import ConfigLoader
+from loamflow.sources.documents import PipelineConfig
+
+PIPELINE = {
+    "pipeline_name": "p", "source_table": "raw.s.t", "target_table": "t", "catalog": "lake", "load_strategy": "append",
+    "config_paths": {"transformation": "t.json", "data_quality": "q.json", "data_governance": "g.json"},
+}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps({"transformation": {"snake_case_columns": True}}))
+    (tmp_path / "q.json").write_text(json.dumps({"data_quality": {"checks": [], "failure_threshold_pct": 2}}))
+    (tmp_path / "g.json").write_text(json.dumps({"governance": {"audit": {"enabled": True}}}))
+
+    def write(**changes):
+        (tmp_path / "p.json").write_text(json.dumps({"pipeline": {**PIPELINE, **changes}}))
+        return ConfigLoader(str(tmp_path) + "/")
+
+    return write
+
+
+def test_defaults():
+    assert PipelineConfig() == PipelineConfig({}, {}, {}, {})
+
+
+def test_load(folder, caplog):
+    config = folder().load("p.json")
+    assert config.pipeline["pipeline_name"] == "p" and config.transform == {"snake_case_columns": True}
+    assert config.dq["failure_threshold_pct"] == 2 and config.governance == {"audit": {"enabled": True}}
+    assert "no checks" in caplog.text
+
+
+def test_missing_file_and_keys(folder, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        folder().load("nope.json")
+    with pytest.raises(KeyError, match="data_quality"):
+        folder(config_paths={"transformation": "t.json"}).load("p.json")
+    (tmp_path / "p.json").write_text("{}")
+    with pytest.raises(KeyError, match="pipeline_name"):
+        ConfigLoader(str(tmp_path)).load("p.json")
+
+
+def test_strategy_and_merge_keys(folder):
+    with pytest.raises(ValueError, match="replace"):
+        folder(load_strategy="replace").load("p.json")
+    with pytest.raises(ValueError, match="merge_keys"):
+        folder(load_strategy="merge").load("p.json")
+    assert folder(load_strategy="merge", merge={"merge_keys": ["id"]}).load("p.json").pipeline["merge"]
+
+
+def test_yaml(tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "x.yml").write_text("pipeline:\n  pipeline_name: p\n")
+    with pytest.raises(KeyError, match="source_table"):
+        ConfigLoader(str(tmp_path)).load("x.yml")

@@ -236,6 +236,26 @@ def test_layout_must_follow_from_the_keys(spark, tmp_path):
     assert statuses(eng.transform_all()) == {"m": ("FAILED", 0)}
 
 
+def test_known_empty_results_and_catalog_sources(spark, tmp_path):
+    rows(spark, (1, "a", 1)).write.mode("overwrite").saveAsTable("default.catalog_source")
+    try:
+        catalog = {"source_catalog": "spark_catalog", "source_schema": "default", "source_table": "catalog_source"}
+        specs = [spec("c", **catalog), spec("e", query="SELECT * FROM source WHERE false", **catalog),
+                 quality_spec("f", query="SELECT * FROM source WHERE 1 = 0", **catalog),
+                 spec("g", load_strategy="scd2", load_type="full_refresh", query="SELECT k, v FROM source LIMIT 0", **catalog)]
+        eng = engine(spark, tmp_path, specs, rows(spark, (1, "a", 1)))
+        eng.validate_all()
+        assert statuses(eng.transform_all()) == {
+            "c": ("SUCCESS", 1), "e": ("SUCCESS", 0), "f": ("SKIPPED", 0), "g": ("SUCCESS", 0)
+        }
+        results = eng.run_dq_all()
+        assert statuses(results) == {"f": ("SUCCESS", 0)}
+        assert not eng.warehouse.exists("lake.trusted.e") and not eng.warehouse.exists("quality.results")
+        assert bag(eng.run_summary(results)) == [("SUCCESS", 1, 0)]
+    finally:
+        spark.sql("DROP TABLE default.catalog_source")
+
+
 def test_numeric_marks(spark, tmp_path):
     eng = engine(spark, tmp_path, [spec("a", load_strategy="append", watermark_column="k")], rows(spark, (1, "a", 1), (2, "b", 1)))
     eng.transform_all()

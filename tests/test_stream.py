@@ -26,6 +26,18 @@ def test_stream_equals_batch(spark, tmp_path):
     assert bag(eng.warehouse.read("lake.trusted.a").select("k", "v")) == [(1, "a"), (2, "b"), (2, "b2"), (3, "c")]
 
 
+def test_new_checkpoint_loads_again(spark, tmp_path):
+    path = write_csv(tmp_path / "specs.csv", [spec("a", load_strategy="append")])
+    eng = BulkTransformEngine(spark, str(tmp_path / "lake"), csv_path=path)
+    folder = tmp_path / "in"
+    rows(spark, (1, "a", 1)).write.parquet(str(folder))
+    (wanted,) = eng.load_transforms()
+    for checkpoint in ("one", "one", "two"):
+        stream = spark.readStream.schema("k INT, v STRING, ts TIMESTAMP_NTZ").parquet(str(folder))
+        incremental_stream(eng, wanted, stream, str(tmp_path / checkpoint)).awaitTermination()
+    assert eng.warehouse.read("lake.trusted.a").count() == 2
+
+
 def test_repeated_batch_is_published_once(spark, tmp_path):
     path = write_csv(tmp_path / "specs.csv", [spec("a", load_strategy="append")])
     eng = BulkTransformEngine(spark, str(tmp_path / "lake"), csv_path=path)
