@@ -64,7 +64,7 @@ def row_filter(df: DataFrame, code_column: str, mapping: DataFrame | None, calle
     if admin_group in groups:
         return df
     if mapping is None or not groups:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     allowed = (
         mapping.filter(F.col("user_group").isin(groups))
         .select(F.explode(F.col("allowed_branch_codes").cast("array<string>")).alias("__code"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -30,10 +30,20 @@ def _has_key(columns: list[str]) -> Column:
     return all_of([F.col(c).isNotNull() for c in columns])
 
 
-def _flag_duplicates(df: DataFrame, columns: list[str], flag: str) -> DataFrame:
-    """Counts are combined per key before they are looked up, so no group is gathered anywhere."""
-    repeated = key_counts(df, columns, "__rows").filter("__rows > 1").drop("__rows").withColumn(flag, F.lit(True))
-    return lookup_join(df, repeated, columns, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+Settle = Callable[[DataFrame], DataFrame]
+
+
+def _flag_duplicates(df: DataFrame, columns: list[str], flag: str, settle: Settle | None) -> DataFrame:
+    """Counts are combined per key before they are looked up, so no group is gathered anywhere.
+
+    ``settle`` may write the repeated keys out and read them back: Spark then knows how few they
+    are before it plans the lookup, and does not shuffle ``df`` to find them.
+    """
+    repeated = key_counts(df, columns, "__rows").filter("__rows > 1").drop("__rows")
+    if settle is not None:
+        repeated = settle(repeated)
+    joined = lookup_join(df, repeated.withColumn(flag, F.lit(True)), columns, "left")
+    return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def _flag_dangling(df: DataFrame, columns: list[str], reference: DataFrame, flag: str) -> DataFrame:
@@ -49,7 +59,8 @@ class RuleSet:
     one helper boolean each, dropped again from every result.
     """
 
-    def __init__(self, df: DataFrame, rules: Iterable[Any], references: dict[str, DataFrame] | None = None):
+    def __init__(self, df: DataFrame, rules: Iterable[Any], references: dict[str, DataFrame] | None = None,
+                 settle: Settle | None = None):
         self.rules = parse_rules(rules)
         references = references or {}
         check_rules(self.rules, df, references)
@@ -58,7 +69,7 @@ class RuleSet:
         for i, rule in enumerate(self.rules):
             flag = f"__rule_{i}"
             if rule.function == "is_unique":
-                df = _flag_duplicates(df, rule.columns, flag)
+                df = _flag_duplicates(df, rule.columns, flag, settle)
                 self.violations.append((rule, F.col(flag)))
             elif rule.function == "foreign_key":
                 reference = references[rule.arguments["ref_table"]].select(*rule.arguments["ref_columns"])

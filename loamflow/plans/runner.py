@@ -308,7 +308,12 @@ class BulkTransformEngine:
             for r in quality.parse_rules(rules)
             if r.function == "foreign_key" and r.arguments.get("ref_table")
         }
-        checked = quality.RuleSet(transformed, rules, references)
+
+        def settle(keys: DataFrame) -> DataFrame:
+            path = self.warehouse.data_path(target, f"{run_id}-{uuid.uuid4().hex[:8]}", "keys")
+            return self.spark.read.schema(keys.schema).parquet(self.warehouse.stage(keys, path))
+
+        checked = quality.RuleSet(transformed, rules, references, settle)
         marks = [next_mark(mark_column).cast("string").alias("mark")] if mark_column in transformed.columns else []
         run_ts = F.lit(utc_now()).cast("timestamp")
 
@@ -335,22 +340,28 @@ class BulkTransformEngine:
         total, failed = counts["total_rows"], counts["fail_rows"]
         mark = counts.get("mark")
 
+        if mark is not None and isinstance(transformed.schema[mark_column].dataType, _TIME_TYPES):
+            # The control table can only show marks that are times; the manifest keeps any mark.
+            result.mark = mark
         if rules and total:
             result.dq_fail, result.dq_pass = failed, total - failed
             pct = self._record_quality(run_id, total, failed, threshold, dq_results)
+            full = StructType([f for f in rows.schema if f.name != _OK])
             if failed:
-                full = StructType([f for f in rows.schema if f.name != _OK])
                 self.warehouse.publish(quarantine, run_id, (rejected_path,), full, failed, "append")
+            if counts["warn_rows"]:
+                flagged = self.spark.read.schema(full).parquet(staged).filter(F.size(quality.WARNINGS) > 0)
+                self.warehouse.save(f"{dq_results}_warnings", flagged.select(full.names), run_id, "append")
             if pct > threshold:
+                result.mark = None
                 raise quality.DQPipelineException(
                     f"{pct:.2f}% of the rows failed the rules (threshold {threshold}%), see {quarantine}"
                 )
         if total - failed == 0:
             result.message = "no rows after the transform" if not total else "all rows failed the rules"
+            if live is not None and mark is not None:
+                self.warehouse.set_mark(target, run_id, mark)
             return
-        if mark is not None and isinstance(transformed.schema[mark_column].dataType, _TIME_TYPES):
-            # The control table can only show marks that are times; the manifest keeps any mark.
-            result.mark = mark
         self._publish(spec, run_id, live, accepted_path, transformed.schema, total - failed, mark)
         result.rows_loaded = total - failed
 

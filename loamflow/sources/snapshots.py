@@ -138,6 +138,13 @@ class Warehouse:
             ))
         return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, mark, (run_id,), layout))
 
+    def set_mark(self, name: str, run_id: str, mark: str) -> Snapshot:
+        """A new mark for unchanged data: the run read rows, but none of them was good enough."""
+        live = self.current(name)
+        return self._commit(name, replace(
+            live, version=live.version + 1, run_id=run_id, mark=mark, runs=live.runs + (run_id,)
+        ))
+
     def save(self, name: str, df: DataFrame, run_id: str, mode: str = "overwrite") -> Snapshot:
         """Stage and publish a frame in one go; for the small system tables."""
         seen = Observation()

@@ -125,6 +125,9 @@ def test_quality_split_publishes_both_parts(spark, tmp_path):
     table, rejects = eng.warehouse.read("lake.trusted.q"), eng.warehouse.read("quality.rejects")
     assert table.columns == ["k", "v", "ts"] and table.count() == 95
     assert sorted(r["k"] for r in rejects.collect()) == [0, 1, 2, 3, 4]
+    flagged = eng.warehouse.read("quality.results_warnings")
+    assert sorted(r["k"] for r in flagged.collect()) == list(range(91, 100))
+    assert flagged.first()["_warnings"][0]["name"] == "k_small"
     row = rejects.first()
     assert (row["_dq_run_id"], row["_dq_source_table"], row["_errors"][0]["name"]) == ("r1", "raw.s.t", "v_set")
     summary = eng.warehouse.read("quality.results")
@@ -152,6 +155,29 @@ def test_all_rows_rejected_below_a_wide_threshold(spark, tmp_path):
     (result,) = eng.run_dq_all(run_id="r1")
     assert (result.status, result.rows_loaded) == ("SUCCESS", 0)
     assert not eng.warehouse.exists("lake.trusted.q") and eng.warehouse.read("quality.rejects").count() == 1
+    # The mark covers all rows read, so the rejected ones are not read again.
+    assert eng.last_mark(eng.load_transforms()[0]) == "2024-01-02 00:00:00"
+    for day, value, mark in ((2, "good", "2024-01-03"), (3, None, "2024-01-04")):
+        eng.tables.bind("raw.s.t", rows(spark, (1, value, day), (2, None, 1)))
+        eng.run_dq_all(run_id=f"day{day}")
+        assert eng.last_mark(eng.load_transforms()[0]) == f"{mark} 00:00:00"
+    assert kv(eng.warehouse.read("lake.trusted.q")) == [(1, "good")]
+    assert eng.warehouse.read("quality.rejects").count() == 2
+
+
+def test_key_rules_in_a_run(spark, tmp_path):
+    checks = [
+        {"name": "one_per_key", "check": {"function": "is_unique", "arguments": {"columns": ["k"]}}},
+        {"name": "known", "check": {"function": "foreign_key", "arguments": {
+            "columns": ["v"], "ref_table": "ref.values", "ref_columns": ["v"]}}},
+    ]
+    rules = {"data_quality": {**RULES["data_quality"], "failure_threshold_pct": 100, "checks": checks}}
+    eng = engine(spark, tmp_path, [quality_spec("q")], rows(spark, (1, "a", 1), (1, "b", 1), (2, "a", 1), (3, "x", 1)),
+                 documents={"rules.json": rules})
+    eng.tables.bind("ref.values", spark.createDataFrame([("a",), ("b",)], "v STRING"))
+    assert statuses(eng.run_dq_all()) == {"q": ("SUCCESS", 1)}
+    rejected = eng.warehouse.read("quality.rejects")
+    assert bag(rejected.select("k", F.col("_errors")[0]["name"])) == [(1, "one_per_key"), (1, "one_per_key"), (3, "known")]
 
 
 def test_failures_do_not_stop_the_run(spark, tmp_path):
