@@ -79,7 +79,7 @@ def runnable_specs(specs: DataFrame, ids: list[str] | None = None) -> DataFrame:
 def load_specs(spark: SparkSession, csv_path: str, config: DataFrame | None = None,
                ids: list[str] | None = None) -> DataFrame:
     """From the config table when there is one, else from the CSV file."""
-    if config is None and "://" not in csv_path and not os.path.exists(csv_path):
+    if config is None and ":" not in csv_path and not os.path.exists(csv_path):
         raise FileNotFoundError(f"spec file not found: {csv_path}")
     raw = read_spec_csv(spark, csv_path) if config is None else config
     return filter_ids(spec_normalize(raw), ids)

@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("loamflow-tests", "8", "6g")
+    session = local_session("loamflow-tests", "8", "6g", **{"spark.sql.shuffle.partitions": "4"})
     if not session.conf.get("spark.checkpoint.dir", None):
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session

@@ -52,13 +52,14 @@ def test_merge_with_and_without_broadcast(spark, conf, threshold):
 
 
 def test_all_small_key_combinations(spark):
-    """Every target/source pair over the keys {NULL, 1, 2}, one or two rows each."""
+    """Every target/source pair over the keys {NULL, 1, 2}, all cases in one merge."""
     keys = [None, 1, 2]
-    for t, s in product(product(keys, repeat=2), keys):
-        target = [(k, None, f"t{i}", i) for i, k in enumerate(t)]
-        source = [(s, None, "s", 9)]
-        got = bag(merge_upsert(frame(spark, target), frame(spark, source), ["k"]))
-        assert got == brute_force(target, source, width=1), (t, s)
+    target, source = [], []
+    for case, (t1, t2, s) in enumerate(product(keys, repeat=3)):
+        target += [(t1, str(case), "t1", 1), (t2, str(case), "t2", 2)]
+        source.append((s, str(case), "s", 9))
+    got = bag(merge_upsert(frame(spark, target), frame(spark, source), ["k", "j"]))
+    assert got == brute_force(target, source)
 
 
 @pytest.mark.parametrize("action", ["collect", "count"])

@@ -95,7 +95,7 @@ def test_summary_status(spark, total, fail, pct, status):
     assert (row["pass_rows"], row["fail_pct"], row["status"]) == (total - fail, pct, status)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(st.integers(0, 3) | st.none(), st.sampled_from(["a", "", None]), st.just(0.0)), max_size=8))
 def test_valid_plus_quarantine_is_input(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)

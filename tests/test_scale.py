@@ -130,6 +130,11 @@ def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, sf_dir, name):
         assert operator not in plan
 
 
+def test_ranking_cuts_groups_before_the_shuffle(spark, sf_dir):
+    plan = physical(QUERIES["passthrough_rank"](spark, sf_dir))
+    assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+
+
 def test_a_row_keeps_its_place_when_one_partition_is_hot(spark, skewed, tmp_path):
     """Parts of a keyed table are rebalanced, so a hot part is written by more than one task."""
     from loamflow import Warehouse
