@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import os
+import re
 import uuid
 from collections import Counter
 
@@ -28,12 +29,23 @@ def resolve_sql(spec: dict, base_path: str = "") -> str:
     return (spec.get("query") or "").strip() or DEFAULT_SQL
 
 
+def mentions(sql: str, name: str) -> bool:
+    """Whether the text names a table, in any case and with or without backticks."""
+    return _mention(name).search(sql) is not None
+
+
+def _mention(name: str) -> re.Pattern:
+    parts = r"`?\s*\.\s*`?".join(re.escape(part) for part in name.split("."))
+    return re.compile(rf"(?<![\w.`])`?{parts}`?(?![\w`])", re.IGNORECASE)
+
+
 def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run any Spark SQL over named inputs.
 
     Every input is visible under its name inside ``sql`` only: it is bound as a common table
     expression over a view with a unique name, so runs in parallel never see each other's
-    ``source`` and nothing is left behind in the session.
+    ``source`` and nothing is left behind in the session. A qualified name cannot be bound that
+    way; where the text mentions one, the view's name takes its place.
     """
     body = sql.strip().rstrip(";").rstrip()
     inputs = inputs or {}
@@ -44,9 +56,12 @@ def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] |
     views = {name: f"__in_{uuid.uuid4().hex}" for name in inputs}
     for name, view in views.items():
         inputs[name].createOrReplaceTempView(view)
-    bindings = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items())
+        if "." in name:
+            body = _mention(name).sub(view, body)
+    bindings = [f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items() if "." not in name]
+    heading = f"WITH {', '.join(bindings)} " if bindings else ""
     try:
-        return session.sql(f"WITH {bindings} SELECT * FROM (\n{body}\n)")
+        return session.sql(f"{heading}SELECT * FROM (\n{body}\n)")
     finally:
         for view in views.values():
             session.catalog.dropTempView(view)

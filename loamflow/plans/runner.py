@@ -102,6 +102,7 @@ class BulkTransformEngine:
         self.layouts = dict(layouts or {})
         self.parallel = parallel
         self._source_counts: dict[str, int] = {}
+        self._known_tables: set[str] = set()
 
     # Specs and documents
 
@@ -120,7 +121,9 @@ class BulkTransformEngine:
         Specs are the one thing the driver holds: it has to start a Spark job for each.
         """
         frame = spec_source.load_specs(self.spark, self.csv_path, self._config(), filter_ids)
-        return [row.asDict() for row in spec_source.route_specs(frame).orderBy("id").collect()]
+        transforms = [row.asDict() for row in spec_source.route_specs(frame).orderBy("id").collect()]
+        self._known_tables |= {t["target_name"] for t in transforms}
+        return transforms
 
     # Stages
 
@@ -292,8 +295,9 @@ class BulkTransformEngine:
             result.source_count = counted if counted >= 0 else source.count()
             if mark_column and spec["load_type"] == "incremental":
                 source = incremental_filter(source, mark_column, self.last_mark(spec, live))
-        inputs = self.tables.inputs() if source is None else {"source": source}
-        transformed = sql_transform(self.spark, resolve_sql(spec, self.config_base_path), inputs)
+        sql = resolve_sql(spec, self.config_base_path)
+        inputs = self.tables.inputs(sql, self._known_tables) if source is None else {"source": source}
+        transformed = sql_transform(self.spark, sql, inputs)
 
         rules, threshold, quarantine, dq_results = [], quality.DEFAULT_THRESHOLD_PCT, "", ""
         if spec["route"] == "quality":

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import logging
+from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamflow.operators.transforms import mentions
 from loamflow.sources.snapshots import Warehouse
 
-logger = logging.getLogger(__name__)
-
-
 class Tables:
     """Resolves ``catalog.schema.table``: bindings first, then snapshots, then ``spark.table``."""
 
@@ -34,9 +32,26 @@ class Tables:
         published = self.warehouse.find(name) if self.warehouse is not None else None
         return self.spark.table(name) if published is None else published
 
-    def inputs(self) -> dict[str, DataFrame]:
-        """Bound tables by the last part of their name, for SQL that has no single source."""
-        return {name.split(".")[-1]: self.read(name) for name in self.bindings}
+    def inputs(self, sql: str, known: Iterable[str] = ()) -> dict[str, DataFrame]:
+        """Tables that SQL without a single source mentions, as far as they are ours.
+
+        Bound tables go by their full name or, if only one ends in it, by its last part; ``known``
+        names (targets of other specs) by their full name. The rest is left to the catalog.
+        """
+        short = Counter(name.split(".")[-1] for name in self.bindings)
+        found: dict[str, DataFrame] = {}
+        for name in self.bindings:
+            last = name.split(".")[-1]
+            if mentions(sql, name):
+                found[name] = self.read(name)
+            elif short[last] == 1 and mentions(sql, last):
+                found[last] = self.read(name)
+        for name in known:
+            if name not in found and self.warehouse is not None and mentions(sql, name):
+                published = self.warehouse.find(name)
+                if published is not None:
+                    found[name] = published
+        return found
 
 
 def source_profile(spark: SparkSession, sources: dict[str, DataFrame | None]) -> DataFrame:

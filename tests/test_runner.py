@@ -165,6 +165,22 @@ def test_all_rows_rejected_below_a_wide_threshold(spark, tmp_path):
     assert eng.warehouse.read("quality.rejects").count() == 2
 
 
+def test_sql_only_specs_name_tables_directly(spark, tmp_path):
+    blank = {"source_catalog": "", "source_schema": "", "source_table": "", "load_strategy": "overwrite",
+             "load_type": "full_refresh", "watermark_column": ""}
+    specs = [
+        spec("a_base"),
+        spec("b_full", query="SELECT c.k, t.v FROM raw.s.t c LEFT JOIN lake.trusted.a_base t ON t.k = c.k", **blank),
+        spec("c_short", query="SELECT k, v FROM t WHERE k = 1", **blank),
+        spec("d_catalog", query="SELECT id AS k, 'x' AS v FROM range(2)", **blank),
+    ]
+    eng = engine(spark, tmp_path, specs, rows(spark, (1, "a", 1), (2, "b", 2)))
+    assert statuses(eng.transform_all()) == {
+        "a_base": ("SUCCESS", 2), "b_full": ("SUCCESS", 2), "c_short": ("SUCCESS", 1), "d_catalog": ("SUCCESS", 2)
+    }
+    assert kv(eng.warehouse.read("lake.trusted.b_full")) == [(1, "a"), (2, "b")]
+
+
 def test_key_rules_in_a_run(spark, tmp_path):
     checks = [
         {"name": "one_per_key", "check": {"function": "is_unique", "arguments": {"columns": ["k"]}}},

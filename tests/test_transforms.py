@@ -4,7 +4,7 @@ import pytest
 
 from conftest import bag
 from loamflow import apply_drop_columns, apply_rename_columns, apply_snake_case, sql_transform
-from loamflow.operators.transforms import resolve_sql
+from loamflow.operators.transforms import mentions, resolve_sql
 
 
 def test_snake_case_renames_all(spark):
@@ -63,3 +63,14 @@ def test_sql_without_source_uses_the_session(spark):
     spark.range(3).createOrReplaceTempView("plain_view")
     assert sql_transform(spark, "SELECT * FROM plain_view").count() == 3
     spark.catalog.dropTempView("plain_view")
+
+
+def test_qualified_names_in_the_text(spark):
+    inputs = {"raw.s.a": spark.range(3), "raw.s.ab": spark.range(5), "b": spark.range(7)}
+    sql = """
+    SELECT (SELECT count(*) FROM raw.s.a) AS x, (SELECT count(*) FROM `raw`.`s`.`AB`) AS y,
+           (SELECT count(*) FROM RAW.S.ab) AS z, (SELECT count(*) FROM b) AS w
+    """
+    assert bag(sql_transform(spark, sql, inputs)) == [(3, 5, 5, 7)]
+    assert mentions("FROM raw.s.a)", "raw.s.a") and not mentions("FROM raw.s.ab", "raw.s.a")
+    assert not mentions("FROM x.raw.s.a", "raw.s.a") and not mentions("FROM banner", "ann")
