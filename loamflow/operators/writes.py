@@ -178,8 +178,11 @@ def compact(df: DataFrame, partitions: int, cluster_by: Sequence[str] = ()) -> D
     """Same rows in fewer, larger files.
 
     Without ``cluster_by`` neighbouring input splits are simply packed together: no shuffle.
-    With it the rows are range-partitioned, so that filters on those columns skip files.
+    With it the rows are range-partitioned, so that filters on those columns skip files; the row
+    position breaks ties, so that one frequent value spreads over several files.
     """
     if cluster_by:
-        return df.repartitionByRange(partitions, *cluster_by).sortWithinPartitions(*cluster_by)
+        tie = F.monotonically_increasing_id().alias("__tie")
+        ranged = df.select("*", tie).repartitionByRange(partitions, *cluster_by, "__tie")
+        return ranged.sortWithinPartitions(*cluster_by).drop("__tie")
     return df.coalesce(partitions)

@@ -933,8 +933,8 @@ def passthrough_topk(spark, sf_dir):
 def passthrough_semi_anti(spark, sf_dir):
     sql = """
     SELECT d.doc_id, d.lang, d.source FROM documents d
-    WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)
-      AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)
+    WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) g WHERE g.doc_id = d.doc_id)
+      AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) t WHERE t.doc_id = d.doc_id)
     """
     return run_sql(spark, sf_dir, sql, "documents", "labels")
 

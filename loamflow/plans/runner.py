@@ -411,7 +411,10 @@ class BulkTransformEngine:
         return (self.warehouse.stage(counted, path),), merged.schema, seen.get["rows"]
 
     def _record_quality(self, run_id: str, total: int, failed: int, threshold: float, table: str) -> float:
-        counts = self.spark.createDataFrame([(run_id, total, failed)], "run_id STRING, total_rows LONG, fail_rows LONG")
+        counts = self.spark.sql(
+            "SELECT :run AS run_id, CAST(:total AS LONG) AS total_rows, CAST(:failed AS LONG) AS fail_rows",
+            args={"run": run_id, "total": total, "failed": failed},
+        )
         summary = quality.summarize(counts, threshold).select(
             "run_id", "total_rows", "pass_rows", "fail_rows", "fail_pct", "status",
             F.lit(utc_now()).cast("timestamp").alias("created_at"),

@@ -104,8 +104,9 @@ class Warehouse:
             "runs": snapshot.runs, "layout": snapshot.layout,
         }
         path = f"{self.table_path(name)}/manifest/slot={snapshot.version % MANIFEST_SLOTS}"
-        row = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(manifest)).alias("value"))
-        row.write.mode("overwrite").text(path)
+        self.spark.sql("SELECT :manifest AS value", args={"manifest": json.dumps(manifest)}).write.mode(
+            "overwrite"
+        ).text(path)
         return snapshot
 
     def part_names(self, df: DataFrame, layout: str) -> set[str]:

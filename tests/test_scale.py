@@ -130,6 +130,15 @@ def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, sf_dir, name):
         assert operator not in plan
 
 
+def test_clustered_compaction_spreads_a_hot_value(skewed):
+    big, _ = skewed
+    sizes = [
+        r["n"] for r in
+        writes.compact(big, 6, ["k"]).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    ]
+    assert sum(sizes) == ROWS and max(sizes) < ROWS / 3
+
+
 def test_ranking_cuts_groups_before_the_shuffle(spark, sf_dir):
     plan = physical(QUERIES["passthrough_rank"](spark, sf_dir))
     assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
