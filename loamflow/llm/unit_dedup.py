@@ -1,12 +1,12 @@
-"""Substring deduplication by hashing lines and the sentences in them.
+"""Substring deduplication by hashing lines and the clauses in them.
 
-Texts are cut into units at line ends, behind sentence signs and, as passages may be pasted into the
-middle of a sentence, before capitalised words inside a sentence with few of them. Units are
-normalised (lower case, single blanks) and hashed to 128 bits; the digests are grouped over the whole
+Lines are normalised (lower case, single blanks) and hashed to 128 bits. As passages may be pasted into
+the middle of a line, its clauses are hashed as well: a line is cut behind punctuation and before
+capitalised words inside a clause with few of them. The digests are grouped over the whole
 corpus, and the occurrence ranked first (by ``doc_id``, then text, then place) is kept. A later
 occurrence is removed if it lies in a run of adjacent later occurrences with at least ``min_words``
-words together, so chance repeats of short lines stay. Units under ``unit_words`` words mean
-little alone: they are hashed together with the unit before and with the one behind, count for
+words together, so chance repeats of short lines stay. Clauses under ``unit_words`` words mean
+little alone: they are hashed together with the clause before and with the one behind, count for
 nothing, and go only with a run they border on.
 
 Only digests travel, with offsets in the original text; a digest that fills a third of the corpus is
@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from loamflow.llm.base import settle, ship, text_key, whole_columns
 
-_SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?\n]\s*)+|[^.!?\n]+")
-_CAPITAL = re.compile(r"(?<=[a-zß-öø-ÿ,;:] )(?=[A-ZÀ-ÖØ-Þ])")
-#: A sentence with more capitalised words inside is not cut there.
+_LINE = re.compile(r"[^\n]*\n+|[^\n]+")
+_CLAUSE = re.compile(r"[^.!?,;:]*[.!?,;:]+\s*|[^.!?,;:]+")
+_CAPITAL = re.compile(r"(?<=[a-zß-öø-ÿ] )(?=[A-ZÀ-ÖØ-Þ])")
+#: A clause with more capitalised words inside is not cut there.
 FEW_CAPITALS = 3
 _UNITS = pa.schema([
-    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("unit", pa.int64()), ("start", pa.int64()),
-    ("length", pa.int64()), ("words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("unit", pa.int64()), ("last_unit", pa.int64()),
+    ("start", pa.int64()), ("length", pa.int64()), ("words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
 ])
 _SPANS = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()),
@@ -45,9 +46,9 @@ _SPANS = pa.schema([
 SPANS = "doc_id long, text_key long, removed array<struct<start: long, length: long, kept_doc_id: long>>"
 
 
-def units(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of each unit; together they cover the text, blanks behind a unit included."""
-    for match in _SENTENCE.finditer(text):
+def clauses(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Start and end of each clause of a line; together they cover it, blanks behind a clause included."""
+    for match in _CLAUSE.finditer(text, start, end):
         start, end = match.span()
         cuts = [m.start() for m in _CAPITAL.finditer(text, start, end)]
         if 0 < len(cuts) <= FEW_CAPITALS:
@@ -58,31 +59,38 @@ def units(text: str) -> Iterator[tuple[int, int]]:
 
 
 def unit_rows(text: str, unit_words: int) -> Iterator[tuple]:
-    """unit, start, length, words (0 for a short unit) and the two halves of the digest."""
+    """First and last clause, start, length, words (0 for a short clause) and the two halves of the digest."""
     from xxhash import xxh3_128_intdigest
 
     def digest(key: str) -> tuple[int, int]:
         value = xxh3_128_intdigest(key.encode())
         return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
 
-    before, short = "", None  # the unit before; a short unit that waits for the one behind
-    for unit, (start, end) in enumerate(units(text)):
-        words = text[start:end].lower().split()
-        key = " ".join(words)
-        if short is not None:
-            yield *short[:4], *digest(f"{short[4]}\n>{key}")
-            short = None
-        if len(words) >= unit_words:
-            yield unit, start, end - start, len(words), *digest(key)
-        elif words:
-            short = (unit, start, end - start, 0, key)
-            if before:
-                yield *short[:4], *digest(f"{before}\n<{key}")
-        before = key
+    unit, before, short = -1, "", None  # the clause before; a short clause that waits for the one behind
+    for line in _LINE.finditer(text):
+        at, end_of_line = line.span()
+        first, in_line = unit + 1, 0
+        for start, end in clauses(text, at, end_of_line):
+            unit += 1
+            words = text[start:end].lower().split()
+            in_line += len(words)
+            key = " ".join(words)
+            if short is not None:
+                yield *short[:5], *digest(f"{short[5]}\n>{key}")
+                short = None
+            if len(words) >= unit_words:
+                yield unit, unit, start, end - start, len(words), *digest(key)
+            elif words:
+                short = (unit, unit, start, end - start, 0, key)
+                if before:
+                    yield *short[:5], *digest(f"{before}\n<{key}")
+            before = key
+        if unit > first and in_line >= unit_words:
+            yield first, unit, at, end_of_line - at, in_line, *digest(" ".join(text[at:end_of_line].lower().split()))
 
 
 def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
-    """Spans to remove from the repeated units of one document, in ascending order of ``unit``."""
+    """Spans to remove from the repeated units of one document."""
     spans: list[dict] = []
     run: list[dict] = []
 
@@ -96,17 +104,18 @@ def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
                     spans.append({k: r[k] for k in ("start", "length", "kept_doc_id")})
         run.clear()
 
-    for row in rows:
-        if run and row["unit"] == run[-1]["unit"]:
-            continue  # a short unit that repeats with both its neighbours
-        if run and row["unit"] != run[-1]["unit"] + 1:
+    for row in sorted(rows, key=lambda r: (r["unit"], -r["last_unit"])):
+        reached = run[-1]["last_unit"] if run else None
+        if run and row["unit"] <= reached:
+            continue  # in a line that repeats, or a short clause that repeats with both its neighbours
+        if run and row["unit"] != reached + 1:
             close()
         run.append(row)
     close()
     return spans
 
 
-def repeated_spans(docs: DataFrame, min_words: int = 20, unit_words: int = 4) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) -> DataFrame:
     """doc_id, text_key and the spans to remove (with the document that keeps them), where there are any."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,18 +144,18 @@ def repeated_spans(docs: DataFrame, min_words: int = 20, unit_words: int = 4) ->
     own = whole_columns(docs, "doc_id", "text").select("doc_id", text_key().alias("text_key"), "text")
     fields = ", ".join(f"{f.name} long" for f in _UNITS)
     hashed = settle(own.mapInArrow(cut, fields), "units")
-    place = F.struct("doc_id", "text_key", "start")
+    place = F.struct("doc_id", "text_key", "start", "length")
     firsts = hashed.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     firsts = firsts.filter(F.col("first") < F.col("last")).select("d1", "d2", "first")
     later = hashed.join(firsts, ["d1", "d2"]).filter(place > F.col("first"))
-    unit = F.struct("unit", "start", "length", "words", F.col("first.doc_id").alias("kept_doc_id"))
-    gathered = later.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(unit)).alias("units"))
+    unit = F.struct("unit", "last_unit", "start", "length", "words", F.col("first.doc_id").alias("kept_doc_id"))
+    gathered = later.groupBy("doc_id", "text_key").agg(F.collect_set(unit).alias("units"))
     # A document without a run long enough needs no look at its order.
     enough = F.aggregate("units", F.lit(0).cast("long"), lambda a, u: a + u["words"]) >= min_words
     return gathered.filter(enough).mapInArrow(join_up, SPANS).filter(F.size("removed") > 0)
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 20, unit_words: int = 4) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = 25, unit_words: int = 4) -> DataFrame:
     """All documents, every column, with repeated spans cut out of ``text``; ``removed`` tells them (else null)."""
     known = {c.lower(): c for c in docs.columns}
     spans = repeated_spans(docs, min_words, unit_words)
