@@ -107,7 +107,7 @@ class TokenIds:
     signs go to the library's model word by word, all others through its whole chain.
     """
 
-    def __init__(self, path: str, limit: int = 250_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 450_000, longest: int = 48):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -145,6 +145,8 @@ class TokenIds:
         chunk = chunk.lower()
         if chunk.isalpha():
             return self._word(chunk)
+        if chunk[-1] in ".,!?" and chunk[:-1].isalpha():
+            return self._word(chunk[:-1]) + self._word(chunk[-1])
         return b"".join([self._word(w) for w in _PARTS.findall(chunk)])
 
     def _word(self, word: str) -> bytes:
