@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamflow.llm import chat, packing, quality_rules, sharding, token_store
+from loamflow.llm import chat, packing, quality_rules, sharding, simhash, token_store, toxicity, unit_dedup
 from loamflow.llm.base import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,36 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(modulus: int) -> Column:
+    """Remainder of the crc32 of the id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_unit_dedup")
+def op7_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with later occurrences of repeated passages cut out, and where they lay."""
+    return unit_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Trained without the held-out fold."""
+    return toxicity.fit(docs, labels.filter(fold(5) != 0))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"))
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged by quality rules with risk-controlled cutoffs."""
