@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamflow.llm import chat, packing, quality_rules, sharding, simhash, token_store, toxicity, unit_dedup
+from loamflow.llm import (
+    chat,
+    decontaminate,
+    langid,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    token_store,
+    toxicity,
+    unit_dedup,
+)
 from loamflow.llm.base import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +91,15 @@ def fold(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+@query("op5_language_spans")
+def op5_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt without the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(4) == 2, F.lit(False))
+    model = langid.fit(docs.filter(~held_out))
+    return langid.identify(docs, model, held_out.alias("held_out"))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of all documents."""
@@ -105,6 +125,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"))
 
 
+@query("op9_winnowing")
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in a window of a benchmark item."""
+    found = decontaminate.match(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged by quality rules with risk-controlled cutoffs."""
