@@ -173,8 +173,9 @@ def remove_repeats(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     return joined.select(*columns, F.col("_removed").alias("removed"))
 
 
-def drop_repeated(docs: DataFrame) -> DataFrame:
+def drop_repeated(docs: DataFrame, keep_removed: bool = False) -> DataFrame:
     """The documents without repeated spans; those of which nothing is left are dropped."""
     known = {c.lower(): c for c in docs.columns}
     gone = F.col("removed").isNotNull() & ~F.col(known["text"]).rlike(r"\S")
-    return remove_repeats(docs).filter(~gone).drop("removed")
+    left = remove_repeats(docs).filter(~gone)
+    return left if keep_removed else left.drop("removed")
