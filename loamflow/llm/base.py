@@ -80,6 +80,14 @@ def whole_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{known[n]}`").alias(n) for n in names])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it new to the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     """The text in pieces of about ``size`` characters, cut after blanks or line ends only."""
     start = 0

@@ -61,7 +61,7 @@ class Words:
 
 def words_of(model: Model, text: str | None) -> Words:
     parts, base = [], 0
-    for piece in pieces(text or ""):
+    for piece in pieces(text or "") if model.languages else ():
         letters, script, at = squeezed(code_points(piece))
         inside = letters > 0
         first = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import settle, ship, text_key, whole_columns
+from loamflow.llm.base import fresh, settle, ship, text_key, whole_columns
 
 _LINE = re.compile(r"[^\n]*\n+|[^\n]+")
 _CLAUSE = re.compile(r"[^.!?,;:]*[.!?,;:]+\s*|[^.!?,;:]+")
@@ -155,27 +155,30 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     return gathered.filter(enough).mapInArrow(join_up, SPANS).filter(F.size("removed") > 0)
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 25, unit_words: int = 4) -> DataFrame:
-    """All documents, every column, with repeated spans cut out of ``text``; ``removed`` tells them (else null)."""
+def remove_repeats(docs: DataFrame, min_words: int = 25, unit_words: int = 4, out: str = "removed") -> DataFrame:
+    """All documents, every column, with repeated spans cut out of ``text``; column ``out`` tells them (else null)."""
     known = {c.lower(): c for c in docs.columns}
-    spans = repeated_spans(docs, min_words, unit_words)
-    spans = spans.select(F.col("doc_id").alias("_of"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed"))
+    if out.lower() in known:
+        raise ValueError(f"the documents have a column {out} already: name another for the spans")
+    of, key, spans_at = fresh(docs, "of"), fresh(docs, "key"), F.col(out)
+    spans = repeated_spans(docs, min_words, unit_words).select(
+        F.col("doc_id").alias(of), F.col("text_key").alias(key), F.col("removed").alias(out)
+    )
     text = docs[known["text"]]
-    joined = docs.join(spans, docs[known["doc_id"]].eqNullSafe(F.col("_of")) & (F.xxhash64(text) == F.col("_key")), "left")
+    joined = docs.join(spans, docs[known["doc_id"]].eqNullSafe(F.col(of)) & (F.xxhash64(text) == F.col(key)), "left")
     end = lambda s: s["start"] + s["length"]
-    left = F.transform("_removed", lambda s, i: F.substr(
-        text, F.lit(1) + F.when(i == 0, 0).otherwise(end(F.get("_removed", i - 1))).cast("int"),
-        (s["start"] - F.when(i == 0, 0).otherwise(end(F.get("_removed", i - 1)))).cast("int"),
-    ))
-    tail = F.substr(text, F.lit(1) + end(F.element_at("_removed", -1)).cast("int"))
-    cleaned = F.when(F.col("_removed").isNull(), text).otherwise(F.concat(F.array_join(left, ""), tail))
-    columns = [cleaned.alias(c) if c == known["text"] else docs[c] for c in docs.columns if c != "removed"]
-    return joined.select(*columns, F.col("_removed").alias("removed"))
-
-
-def drop_repeated(docs: DataFrame, keep_removed: bool = False) -> DataFrame:
-    """The documents without repeated spans; those of which nothing is left are dropped."""
+    before = lambda i: F.when(i == 0, 0).otherwise(end(F.get(spans_at, i - 1))).cast("int")
+    left = F.transform(spans_at, lambda s, i: F.substr(text, before(i) + 1, s["start"].cast("int") - before(i)))
+    tail = F.substr(text, end(F.element_at(spans_at, -1)).cast("int") + 1)
+    cleaned = F.when(spans_at.isNull(), text).otherwise(F.concat(F.array_join(left, ""), tail))
+    columns = [cleaned.alias(c) if c == known["text"] else docs[c] for c in docs.columns]
+    return joined.select(*columns, spans_at)
+
+
+def drop_repeated(docs: DataFrame, out: str | None = None) -> DataFrame:
+    """The documents without repeated spans (told in ``out``, if named); those of which nothing is left are dropped."""
     known = {c.lower(): c for c in docs.columns}
-    gone = F.col("removed").isNotNull() & ~F.col(known["text"]).rlike(r"\S")
-    left = remove_repeats(docs).filter(~gone)
-    return left if keep_removed else left.drop("removed")
+    spans = out or fresh(docs, "removed")
+    gone = F.col(spans).isNotNull() & ~F.col(known["text"]).rlike(r"\S")
+    left = remove_repeats(docs, out=spans).filter(~gone)
+    return left if out else left.drop(spans)

@@ -1,0 +1,78 @@
+"""The corpus pipeline over the given tables: each stage held against brute force on its own input."""
+
+import pytest
+from test_similar import as_spans, cut, slow_components, slow_fingerprint, slow_match, slow_spans
+from test_tokens import check_pieces, plain  # noqa: F401
+
+import corpus_pipeline
+from loamflow.llm import toxicity
+from loamflow.llm.base import scratch, table
+from loamflow.llm.queries import toxicity_model
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    """Input and output rows of each stage."""
+    docs, out = table(spark, sf_dir, "documents"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = scratch(spark, f"test-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        after = spark.read.parquet(path)
+        out[name] = docs.collect(), after.collect()
+        assert name == "packing" or after.schema == docs.schema
+        docs = after
+    return out
+
+
+def test_toxicity_stage(spark, sf_dir, stages):
+    before, after = stages["toxicity"]
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    rejected = {r.doc_id for r in toxicity.score(docs, model).filter("predicted = 1").collect()}
+    assert sorted(after) == sorted(r for r in before if r.doc_id not in rejected)
+
+
+def test_near_dedup_stage(stages):
+    before, after = stages["near_dedup"]
+    docs = sorted(before)
+    roots = slow_components([slow_fingerprint(r.text) for r in docs])
+    assert sorted(after) == [docs[i] for i in sorted(set(roots))]
+
+
+def test_substring_stage(stages):
+    before, after = stages["substring_dedup"]
+    spans = slow_spans([(r.doc_id, r.text) for r in before])
+    expected = {r.doc_id: cut(r.text, as_spans(spans[r.doc_id, r.text])) for r in before}
+    assert {r.doc_id: r.text for r in after} == {k: v for k, v in expected.items() if v.strip()}
+    chars = {r.doc_id: (r.text, r.n_chars) for r in before}
+    assert all(r.n_chars == (chars[r.doc_id][1] if r.text == chars[r.doc_id][0] else len(r.text)) for r in after)
+
+
+def test_decontamination_stage(spark, sf_dir, stages):
+    before, after = stages["decontamination"]
+    items = [(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()]
+    hit = {d for d, _, n, _ in slow_match([(r.doc_id, r.text) for r in before], items) if n}
+    assert sorted(after) == sorted(r for r in before if r.doc_id not in hit)
+
+
+def test_packing_stage(stages, plain):  # noqa: F811
+    before, after = stages["packing"]
+    check_pieces(after, [(r.doc_id, r.text) for r in before], plain)
+
+
+def test_run_is_the_stages_in_a_row(spark, sf_dir, stages):
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    got = corpus_pipeline.run(spark, sf_dir).groupBy("doc_id").agg({"length": "sum"}).collect()
+    expected = {}
+    for r in stages["packing"][1]:
+        expected[r.doc_id] = expected.get(r.doc_id, 0) + r.length
+    assert {r.doc_id: r[1] for r in got} == expected and columns
+
+
+def test_stages_on_awkward_rows_and_nothing(spark, sf_dir, awkward):
+    for docs in (awkward, awkward.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, docs, sf_dir)
+            assert after.columns == docs.columns, name
+            after.count()
+        assert (corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() > 0) == (docs is awkward)
