@@ -1,7 +1,7 @@
 """Toxicity by a counterfactually regularised classifier over character n-grams.
 
-A logistic model over the presence of hashed character n-grams (3 to 6, within words, word edges
-included). It is trained on a bounded sample of labelled documents, at most ``sample_rows`` of each
+A logistic model over the frequencies of hashed character n-grams (3 to 6, within words, word edges
+included; damped by a logarithm). It is trained on a bounded sample of labelled documents, at most ``sample_rows`` of each
 class. Sentences of these that name a group of people are copied with the group swapped for
 others of its kind and for a neutral word, and the squared change of the score is penalised: naming
 a group then tells the model nothing, so neutral mentions are not taken for abuse. Document
@@ -49,14 +49,27 @@ _TERM = re.compile(r"\b(" + "|".join(sorted(_KIND, key=len, reverse=True)) + r")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
-def present(text: str | None) -> np.ndarray:
-    """The distinct n-gram bins of a whole text, ascending."""
-    found = [np.zeros(0, np.int64)]
+def gram_bins(text: str | None) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """For each piece of a whole text: its words and its n-gram bins, repeats included."""
     for piece in pieces(text or ""):
         letters, _, _ = squeezed(code_points(piece))
-        bins = [b for _, b in ngrams(letters, ORDERS, BITS)]
-        found.append(np.unique(np.concatenate(bins)) if bins else found[0])
-    return found[-1] if len(found) == 2 else np.unique(np.concatenate(found))
+        yield np.count_nonzero(letters == 0) - 1, [bins for _, bins in ngrams(letters, ORDERS, BITS)]
+
+
+def counted(text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
+    """Words, distinct n-gram bins (ascending) and their counts of a whole text."""
+    words, bins, counts = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for n, found in gram_bins(text):
+        words += n
+        own, times = np.unique(np.concatenate([bins[:0], *found]), return_counts=True)
+        bins, inverse = np.unique(np.concatenate((bins, own)), return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate((counts, times)), len(bins)).astype(np.int64)
+    return words, bins, counts
+
+
+def damped(counts: np.ndarray, words: int) -> np.ndarray:
+    """Value of an n-gram: the logarithm of its frequency, for short texts drawn towards 0."""
+    return np.log1p(200.0 * counts / (words + 50))
 
 
 def swaps(text: str | None) -> list[tuple[list[int], list[int]]]:
@@ -65,14 +78,14 @@ def swaps(text: str | None) -> list[tuple[list[int], list[int]]]:
     for sentence in _SENTENCE.findall(text or ""):
         if not _TERM.search(sentence):
             continue
-        own = present(sentence)
+        own = counted(sentence)[1]
         for shift in (1, 2, 0):
 
             def swap(m: re.Match, shift: int = shift) -> str:
                 kind = _KIND[m[0].lower()]
                 return kind[(kind.index(m[0].lower()) + shift) % len(kind)] if shift else NEUTRAL
 
-            other = present(_TERM.sub(swap, sentence))
+            other = counted(_TERM.sub(swap, sentence))[1]
             changes.append((np.setdiff1d(other, own).tolist(), np.setdiff1d(own, other).tolist()))
     return changes
 
@@ -86,30 +99,28 @@ class Model:
     bias: float
 
     def score(self, text: str | None) -> float:
-        seen = np.zeros(0, np.int32)
-        for piece in pieces(text or ""):
-            letters, _, _ = squeezed(code_points(piece))
-            for _, bins in ngrams(letters, ORDERS, BITS):
+        words, counts = 0, np.zeros(len(self.weights))
+        for n, found in gram_bins(text):
+            words += n
+            for bins in found:
                 columns = self.column[bins]
-                seen = np.concatenate((seen, columns[columns >= 0]))
-            if len(seen) > 1 << 16:
-                seen = np.unique(seen)
-        logit = self.bias + float(self.weights[np.unique(seen)].sum())
+                counts += np.bincount(columns[columns >= 0], minlength=len(counts))
+        logit = self.bias + float(damped(counts, words) @ self.weights)
         return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
 
 
 def _fit(labels: np.ndarray, rows: tuple, changes: tuple, n_columns: int, ridge: float, fairness: float,
          steps: int = 300) -> tuple[np.ndarray, float]:
     """Weights and bias: logistic loss + ridge * |w|^2 / 2 + fairness * sum of squared score changes / 2."""
-    row, column = rows
+    row, column, value = rows
     change, change_column, sign = changes
     n, n_changes = len(labels), int(change.max()) + 1 if len(change) else 0
     w, bias = np.zeros(n_columns), 0.0
     squares, bias_squares = np.full(n_columns, 1e-8), 1e-8
     for _ in range(steps):
-        logit = np.bincount(row, w[column], n) + bias
+        logit = np.bincount(row, value * w[column], n) + bias
         wrong = 1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels
-        slope = np.bincount(column, wrong[row], n_columns) + ridge * w
+        slope = np.bincount(column, value * wrong[row], n_columns) + ridge * w
         if n_changes:
             moved = np.bincount(change, sign * w[change_column], n_changes)
             slope += fairness * np.bincount(change_column, sign * moved[change], n_columns)
@@ -120,7 +131,7 @@ def _fit(labels: np.ndarray, rows: tuple, changes: tuple, n_columns: int, ridge:
     return w, bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, features: int = 8000, ridge: float = 1.0,
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: int = 4000, ridge: float = 1.0,
         fairness: float = 10.0, seed: int = 7) -> Model:
     """Train on at most ``sample_rows`` labelled documents of each class, chosen by a hash of the id."""
     spark = docs.sparkSession
@@ -136,23 +147,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, features: i
     drawn = [known.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample_rows) for c in (0, 1)]
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 2 * sample_rows pairs of numbers
 
+    numbers = pa.list_(pa.int32())
+    described = pa.schema([
+        ("toxic", pa.int32()), ("words", pa.int64()), ("bins", numbers), ("counts", numbers),
+        ("swaps", pa.list_(pa.struct([("gained", numbers), ("lost", numbers)]))),
+    ])
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for label, text in zip(batch.column(0), batch.column(1)):
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
+                words, bins, counts = counted(text)
                 changed = [{"gained": a, "lost": b} for a, b in swaps(text)]
-                yield pa.RecordBatch.from_pylist(
-                    [{"toxic": label.as_py(), "bins": present(text).tolist(), "swaps": changed}], described
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip((label, words, bins, counts, changed), described.types)],
+                    schema=described,
                 )
 
-    numbers = pa.list_(pa.int32())
-    described = pa.schema([
-        ("toxic", pa.int32()), ("bins", numbers), ("swaps", pa.list_(pa.struct([("gained", numbers), ("lost", numbers)]))),
-    ])
     texts = whole_columns(docs, "doc_id", "text").join(sample, "doc_id").select("toxic", "text")
-    told = settle(texts.mapInArrow(
-        describe, "toxic int, bins array<int>, swaps array<struct<gained: array<int>, lost: array<int>>>"
-    ), "toxicity-sample")
+    told = settle(texts.mapInArrow(describe, (
+        "toxic int, words long, bins array<int>, counts array<int>, swaps array<struct<gained: array<int>, lost: array<int>>>"
+    )), "toxicity-sample")
 
     # Document frequencies: at most 2**BITS rows, whatever the sample.
     seen = told.select("toxic", F.explode("bins").alias("bin")).groupBy("bin").agg(
@@ -170,31 +185,46 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, features: i
     column[chosen] = np.arange(len(chosen))
 
     shared = spark.sparkContext.broadcast(column)
+    picked = pa.schema([
+        ("toxic", pa.int32()), ("columns", numbers), ("values", pa.list_(pa.float32())), ("swaps", described.types[4]),
+    ])
 
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pick(values: list[int]) -> list[int]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def own(values: list[int]) -> np.ndarray:
             found = shared.value[np.array(values, np.int64)]
-            return found[found >= 0].tolist()
+            return found[found >= 0]
 
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([
-                {"toxic": r["toxic"], "bins": pick(r["bins"]),
-                 "swaps": [{k: pick(s[k]) for k in ("gained", "lost")} for s in r["swaps"]]}
-                for r in batch.to_pylist()
-            ], described)
-
-    narrowed = told.mapInArrow(narrow, told.schema).toArrow().to_pylist()
-    labels_of = np.array([r["toxic"] for r in narrowed], float)
-    rows = [(i, c) for i, r in enumerate(narrowed) for c in r["bins"]]
-    pairs = [s for r in narrowed for s in r["swaps"]]
+            for r in batch.to_pylist():
+                at = shared.value[np.array(r["bins"], np.int64)]
+                values = damped(np.array(r["counts"], np.int64)[at >= 0], r["words"])
+                changed = [{k: own(s[k]) for k in ("gained", "lost")} for s in r["swaps"]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip((r["toxic"], at[at >= 0], values, changed), picked.types)],
+                    schema=picked,
+                )
+
+    # At most 2 * sample_rows rows of at most ``features`` numbers.
+    table = told.mapInArrow(pick, (
+        "toxic int, columns array<int>, values array<float>, swaps array<struct<gained: array<int>, lost: array<int>>>"
+    )).toArrow().combine_chunks()
+    row = np.repeat(np.arange(len(table)), _flat(table["columns"])[0])
+    rows = row, _flat(table["columns"])[1], _flat(table["values"])[1].astype(float)
+    pairs = [s for swapped in table["swaps"].to_pylist() for s in swapped or []]
     changes = [(i, c, v) for i, s in enumerate(pairs) for k, v in (("gained", 1.0), ("lost", -1.0)) for c in s[k]]
     w, bias = _fit(
-        labels_of, tuple(np.array(rows, np.int64).reshape(-1, 2).T),
-        _changes(changes), len(chosen), ridge, fairness,
+        table["toxic"].to_numpy().astype(float), rows, _changes(changes), len(chosen), ridge, fairness
     )
     return Model(column, w, bias + prior - float(np.log(m1 / m0)))
 
 
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Length of each list of a column, and all their values."""
+    lengths = [len(v) for chunk in column.chunks for v in chunk]
+    values = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in column.chunks]
+    return np.array(lengths, np.int64), np.concatenate(values)
+
+
 def _changes(changes: list[tuple[int, int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     table = np.array(changes, float).reshape(-1, 3)
     return table[:, 0].astype(np.int64), table[:, 1].astype(np.int64), table[:, 2]
