@@ -3,10 +3,10 @@
 A fingerprint has 64 bits; bit i is set if it is set in over half of the XXH64 hashes (seed 42) of the
 text's word shingles. Two fingerprints link if they differ in at most two bits.
 
-Links are searched among distinct fingerprints. A fingerprint is cut into 16 segments of 4 bits and
-mapped to its 16 bit counts, a point of a small grid. The Manhattan distance of two points is a lower
+Links are searched among distinct fingerprints. A fingerprint is cut into 32 segments of 2 bits and
+mapped to its 32 bit counts, a point of a small grid. The Manhattan distance of two points is a lower
 bound of the Hamming distance, so linked fingerprints lie within distance 2 and some grid cell lies
-within distance 1 of both. Each point is put into all cells within distance 1 of it (33 at most); only
+within distance 1 of both. Each point is put into all cells within distance 1 of it (65 at most); only
 fingerprints that meet another one in a cell are candidates. These are verified exactly, without
 emitting pairs: two fingerprints differ in at most two bits just if some word differs in at most
 one bit from each, so each candidate names the 65 words around it and all that meet at a word are
@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import pieces, settle, ship, text_key, whole_columns
+from loamflow.llm.base import fresh, pieces, settle, ship, text_key, whole_columns
 
 SEED, SHINGLE = 42, 3
-SEGMENTS, SEGMENT_BITS = 16, 4
+SEGMENTS, SEGMENT_BITS = 32, 2
 _HALF = (1 << 32) - 1
 
 
@@ -78,23 +78,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def grid_cell(fp: Column) -> Column:
-    """The 16 bit counts of a fingerprint, one in each hexadecimal digit. In halves, for the sign's sake."""
+    """The 32 bit counts of a fingerprint, each in two bits. In halves, for the sign's sake."""
 
     def counts(half: Column) -> Column:
-        pairs = half.bitwiseAND(F.lit(0x55555555)) + F.shiftrightunsigned(half, 1).bitwiseAND(F.lit(0x55555555))
-        return pairs.bitwiseAND(F.lit(0x33333333)) + F.shiftrightunsigned(pairs, 2).bitwiseAND(F.lit(0x33333333))
+        odd = F.lit(0x55555555)
+        return half.bitwiseAND(odd) + F.shiftrightunsigned(half, 1).bitwiseAND(odd)
 
     high, low = F.shiftrightunsigned(fp, 32), fp.bitwiseAND(F.lit(_HALF))
-    return F.shiftleft(counts(high), 32) + counts(low)
+    return F.shiftleft(counts(high), 32).bitwiseOR(counts(low))
 
 
 def cells_around(cell: Column) -> Column:
-    """The cells within Manhattan distance 1."""
+    """The cells within Manhattan distance 1: a count of 0 can rise, 2 can fall, 1 can do both."""
     around = [cell]
-    for i in range(SEGMENTS):
-        step = F.lit(1 << (SEGMENT_BITS * i)).cast("long")
-        digit = F.shiftrightunsigned(cell, SEGMENT_BITS * i).bitwiseAND(F.lit(15))
-        around += [F.when(digit < SEGMENT_BITS, cell + step), F.when(digit > 0, cell - step)]
+    for at in range(0, SEGMENTS * SEGMENT_BITS, SEGMENT_BITS):
+        count = F.shiftrightunsigned(cell, at).bitwiseAND(F.lit(3))
+        between_0_and_1 = cell.bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), at))
+        between_1_and_2 = cell.bitwiseXOR(F.shiftleft(F.lit(3).cast("long"), at))
+        around += [F.when(count < 2, between_0_and_1), F.when(count > 0, between_1_and_2)]
     return F.array_compact(F.array(*around))
 
 
@@ -106,7 +107,9 @@ def words_around(fp: Column) -> Column:
 def _meeting(spread: DataFrame, key: str) -> DataFrame:
     """fp and the smallest ``fp`` it meets at a key, for keys that hold several."""
     groups = spread.groupBy(key).agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
-    return spread.join(groups.filter(F.col("least") < F.col("most")), key).select("fp", "least")
+    # Spark does not see that the spread side is many times its input: it must not be broadcast.
+    shared = groups.filter(F.col("least") < F.col("most")).hint("merge")
+    return spread.join(shared, key).select("fp", "least")
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -138,7 +141,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def rooted(prints: DataFrame) -> DataFrame:
     """fp and root of every distinct fingerprint."""
-    distinct = settle(prints.select(F.col("fingerprint").alias("fp")).distinct(), "distinct-fingerprints")
+    # In as many files as there are shuffle partitions: each row is about to become many.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select(F.col("fingerprint").alias("fp")).distinct().repartition(parts, "fp")
+    distinct = settle(distinct, "distinct-fingerprints")
     roots = components(links(distinct))
     return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
@@ -167,11 +173,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     kept = members.groupBy("root").agg(by_rank.alias("kept"))
     named = members.join(kept, "root").select("fp", "kept")
     gone = prints.join(named, prints.fingerprint == named.fp).filter(~F.struct("doc_id", "text_key").eqNullSafe(F.col("kept")))
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    of, key = fresh(docs, "gone_id"), fresh(docs, "gone_key")
+    gone = gone.select(F.col("doc_id").alias(of), F.col("text_key").alias(key)).distinct()
     known = {c.lower(): c for c in docs.columns}
-    ids, key = docs[known["doc_id"]], F.xxhash64(docs[known["text"]])
-    left = docs.join(gone, ids.eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key")), "left_anti")
-    repeated = prints.groupBy("doc_id", "text_key").count().filter("count > 1").limit(1)
-    if repeated.isEmpty():
+    same = docs[known["doc_id"]].eqNullSafe(F.col(of)) & (F.xxhash64(docs[known["text"]]) == F.col(key))
+    left = docs.join(gone, same, "left_anti")
+    if prints.groupBy("doc_id", "text_key").count().filter("count > 1").limit(1).isEmpty():
         return left
-    return left.withColumn("_text_key", F.xxhash64(known["text"])).dropDuplicates([known["doc_id"], "_text_key"]).drop("_text_key")
+    return left.withColumn(key, F.xxhash64(known["text"])).dropDuplicates([known["doc_id"], key]).drop(key)
