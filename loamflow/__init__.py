@@ -8,7 +8,6 @@ from loamflow.operators.quality import DQPipelineException
 from loamflow.operators.transforms import apply_drop_columns, apply_rename_columns, apply_snake_case, sql_transform
 from loamflow.plans.engines import DQEngine, GovernanceEngine, PipelineLogger
 from loamflow.plans.runner import BulkTransformEngine, BulkTransformResult, SystemTables
-from loamflow.sources.documents import ConfigLoader, PipelineConfig
 from loamflow.sources.snapshots import Warehouse
 from loamflow.sources.tables import Tables
 from loamflow.streaming.incremental import incremental_stream
@@ -16,11 +15,9 @@ from loamflow.streaming.incremental import incremental_stream
 __all__ = [
     "BulkTransformEngine",
     "BulkTransformResult",
-    "ConfigLoader",
     "DQEngine",
     "DQPipelineException",
     "GovernanceEngine",
-    "PipelineConfig",
     "PipelineLogger",
     "SystemTables",
     "Tables",

@@ -14,6 +14,11 @@ def mark_literal(mark: Any, dtype: DataType) -> Column:
     return F.lit(mark).cast(dtype)
 
 
+def type_of(df: DataFrame, column: str) -> DataType:
+    """Type of a column, its name resolved the way Spark does (letter case included)."""
+    return df.select(F.col(column)).schema[0].dataType
+
+
 def incremental_filter(df: DataFrame, mark_column: str, last: Any | None, overlap: str | None = None) -> DataFrame:
     """Rows strictly above ``last``; all rows when there is no mark yet.
 
@@ -23,7 +28,7 @@ def incremental_filter(df: DataFrame, mark_column: str, last: Any | None, overla
     """
     if last is None:
         return df
-    bound = mark_literal(last, df.schema[mark_column].dataType)
+    bound = mark_literal(last, type_of(df, mark_column))
     if overlap:
         bound = bound - F.expr(f"INTERVAL {overlap}")
     return df.filter(F.col(mark_column) > bound)
@@ -36,7 +41,7 @@ def next_mark(mark_column: str) -> Column:
 
 def watermark_advance(df: DataFrame, mark_column: str, last: Any | None = None) -> DataFrame:
     """One row: the mark before, after, and how many rows lie between."""
-    dtype = df.schema[mark_column].dataType
+    dtype = type_of(df, mark_column)
     before = F.lit(None).cast(dtype) if last is None else mark_literal(last, dtype)
     return (
         incremental_filter(df, mark_column, last)

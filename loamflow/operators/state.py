@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from loamflow.operators.joins import lookup_join
 from loamflow.operators.writes import unmatched, update_matched
 
-MESSAGE_LIMIT = 2000
 RUN_BY = "loamflow"
 
 BOOTSTRAPPED, SUCCESS, FAILED, SKIPPED, UNKNOWN = "BOOTSTRAPPED", "SUCCESS", "FAILED", "SKIPPED", "UNKNOWN"
@@ -22,10 +21,6 @@ def _seconds(start: str, end: str) -> Column:
     return (F.unix_seconds(F.col(end).cast("timestamp")) - F.unix_seconds(F.col(start).cast("timestamp"))).cast("long")
 
 
-def _short(message: Column) -> Column:
-    return F.substring(message, 1, MESSAGE_LIMIT)
-
-
 def control_bootstrap(control: DataFrame, specs: DataFrame, run_ts: Column) -> DataFrame:
     """Control rows plus a BOOTSTRAPPED row for every spec that has none.
 
@@ -51,7 +46,7 @@ def control_update(control: DataFrame, results: DataFrame) -> DataFrame:
         F.col("finished_at").cast("timestamp").alias("last_run_ts"),
         "rows_loaded",
         "source_count",
-        _short(_text("message")).alias("error_message"),
+        _text("message").alias("error_message"),
     )
     return update_matched(control, outcome, ["id"])
 
@@ -76,7 +71,7 @@ def migration_log(results: DataFrame) -> DataFrame:
         "rows_loaded",
         "status",
         "stage",
-        _short(_text("message")).alias("message"),
+        _text("message").alias("message"),
         _seconds("started_at", "finished_at").alias("duration_seconds"),
     )
 
@@ -112,7 +107,7 @@ def audit_records(specs: DataFrame, control: DataFrame, run_id: str, started_at:
         count("dq_fail").alias("dq_fail_count"),
         "load_strategy",
         F.coalesce("last_run_status", F.lit(UNKNOWN)).alias("status"),
-        _short(_text("error_message")).alias("error_message"),
+        _text("error_message").alias("error_message"),
         seconds.cast("long").alias("duration_seconds"),
     )
 
@@ -141,7 +136,7 @@ def policy_audit(events: DataFrame, run_ts: Column) -> DataFrame:
         count("dq_fail_count"),
         text("load_strategy", "unknown"),
         text("status", "unknown"),
-        _short(text("error_message", "")).alias("error_message"),
+        text("error_message", ""),
         count("duration_seconds"),
     )
 

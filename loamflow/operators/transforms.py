@@ -30,13 +30,19 @@ def resolve_sql(spec: dict, base_path: str = "") -> str:
 
 
 def mentions(sql: str, name: str) -> bool:
-    """Whether the text names a table, in any case and with or without backticks."""
-    return _mention(name).search(sql) is not None
+    """Whether the text names a table, in any case and with or without backticks; quoted text and comments do not count."""
+    return any(m["name"] for m in _mention(name).finditer(sql))
+
+
+# Parts of a query in which no table is named: string literals (raw ones have no escapes) and comments.
+_QUOTED = (
+    r"(?<!\w)[rR]'[^']*'|(?<!\w)[rR]\"[^\"]*\"|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/"
+)
 
 
 def _mention(name: str) -> re.Pattern:
     parts = r"`?\s*\.\s*`?".join(re.escape(part) for part in name.split("."))
-    return re.compile(rf"(?<![\w.`])`?{parts}`?(?![\w`])", re.IGNORECASE)
+    return re.compile(rf"{_QUOTED}|(?P<name>(?<![\w.`])`?{parts}`?(?![\w`]))", re.IGNORECASE | re.DOTALL)
 
 
 def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -45,7 +51,7 @@ def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] |
     Every input is visible under its name inside ``sql`` only: it is bound as a common table
     expression over a view with a unique name, so runs in parallel never see each other's
     ``source`` and nothing is left behind in the session. A qualified name cannot be bound that
-    way; where the text mentions one, the view's name takes its place.
+    way; where the text mentions one outside of quoted text and comments, the view's name takes its place.
     """
     body = sql.strip().rstrip(";").rstrip()
     inputs = inputs or {}
@@ -57,7 +63,7 @@ def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] |
     for name, view in views.items():
         inputs[name].createOrReplaceTempView(view)
         if "." in name:
-            body = _mention(name).sub(view, body)
+            body = _mention(name).sub(lambda m, view=view: view if m["name"] else m[0], body)
     bindings = [f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items() if "." not in name]
     heading = f"WITH {', '.join(bindings)} " if bindings else ""
     try:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loamflow.operators.joins import any_of, lookup_join
+from loamflow.operators.joins import all_of, any_of, lookup_join
 
 _NEW, _COUNT = "__new", "__matches"
 
@@ -38,19 +38,27 @@ def append(target: DataFrame | None, incoming: DataFrame) -> DataFrame:
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
-def _require_keys(keys: Sequence[str], target: DataFrame, source: DataFrame) -> None:
+def key_names(keys: Sequence[str], df: DataFrame, side: str) -> list[str]:
+    """The key columns as ``df`` spells them; names match in any letter case."""
     if not keys:
         raise ValueError("merge requires at least one key column")
-    for side, df in (("target", target), ("source", source)):
-        missing = [k for k in keys if k not in df.columns]
-        if missing:
-            raise ValueError(f"key columns {missing} are not in the merge {side}")
+    known = {c.lower(): c for c in df.columns}
+    missing = [k for k in keys if k.lower() not in known]
+    if missing:
+        raise ValueError(f"key columns {missing} are not in the merge {side}")
+    return [known[k.lower()] for k in keys]
+
+
+def _require_keys(keys: Sequence[str], target: DataFrame, source: DataFrame) -> list[str]:
+    key_names(keys, source, "source")
+    return key_names(keys, target, "target")
 
 
 def _conform(source: DataFrame, target: DataFrame) -> DataFrame:
-    """``source`` with the target's types, restricted to the columns both have."""
+    """``source`` with the target's names and types, restricted to the columns both have."""
+    known = {c.lower() for c in source.columns}
     return source.select(*[
-        F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema if f.name in source.columns
+        F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema if f.name.lower() in known
     ])
 
 
@@ -69,6 +77,24 @@ def _single_match(keys: Sequence[str]) -> Column:
     return F.when(ambiguous, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 
+def _look_up(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Target rows with the ``columns`` of their source row as a struct, NULL where there is none.
+
+    Whether the source repeats a key is found out first, by a count over its key columns alone. If not,
+    which is the rule, it is joined as it is: two shuffles, both straight into the join, so that adaptive
+    execution can split a hot target key. If so, it is combined to one row per key on the way, and
+    a repeated key that a target row has is an error. The source is read twice and must not change in between.
+    """
+    known = all_of([F.col(k).isNotNull() for k in keys])
+    repeated = source.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT)).filter(F.col(_COUNT) > 1)
+    if not repeated.isEmpty():
+        joined = lookup_join(target, _per_key(source, keys, columns), list(keys), "left")
+        return joined.filter(_single_match(keys)).drop(_COUNT)
+    names = [f"__right_{i}" for i in range(len(keys))]
+    right = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.struct(*columns).alias(_NEW))
+    return target.join(right, all_of([target[k] == right[n] for k, n in zip(keys, names)]), "left").drop(*names)
+
+
 def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows, with every non-key column of ``source`` taken over where the keys match.
 
@@ -76,16 +102,16 @@ def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     target; target columns the source lacks stay as they are. More than one source row for an
     existing target row is an error.
     """
-    _require_keys(keys, target, source)
-    unknown = [c for c in source.columns if c not in target.columns]
+    keys = _require_keys(keys, target, source)
+    known = {c.lower() for c in target.columns}
+    unknown = [c for c in source.columns if c.lower() not in known]
     if unknown:
         raise ValueError(f"merge does not add columns to the target: {unknown}")
+    source = _conform(source, target)
     values = [c for c in source.columns if c not in keys]
     if not values:
         return target
-    source = _conform(source, target)
-    joined = lookup_join(target, _per_key(source, keys, values), list(keys), "left")
-    return joined.filter(_single_match(keys)).select(*[
+    return _look_up(target, source, keys, values).select(*[
         F.when(F.col(_NEW).isNotNull(), F.col(_NEW)[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
         for c in target.columns
     ])
@@ -94,26 +120,23 @@ def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows without a target row of the same key, duplicates and NULL keys included.
 
-    Only the key columns of the target are read, and only those the source could match are
-    kept, so the anti join never carries more keys than the source has.
+    Of the target only the key columns are read, combined to one row per key before they are shuffled.
     """
-    source_keys = source.select(*keys).distinct()
-    taken = lookup_join(target.select(*keys), source_keys, list(keys), "left_semi").distinct()
-    return lookup_join(source, taken, list(keys), "left_anti")
+    return lookup_join(source, target.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update rows whose keys match, insert the others, keep rows only the target has.
 
-    When the source is small, both lookups broadcast it and the target is never shuffled; when
-    it is large, adaptive execution splits hot keys of either side (see ``lookup_join``).
+    Hot keys of either side are split by adaptive execution (see ``lookup_join``).
     """
     if target is None:
         if not keys:
             raise ValueError("merge requires at least one key column")
         return source
-    _require_keys(keys, target, source)
-    missing = [c for c in target.columns if c not in source.columns]
+    keys = _require_keys(keys, target, source)
+    given = {c.lower() for c in source.columns}
+    missing = [c for c in target.columns if c.lower() not in given]
     if missing:
         raise ValueError(f"merge source lacks target columns: {missing}")
     updated = update_matched(target, source, keys)
@@ -144,14 +167,14 @@ def scd2_history(history: DataFrame | None, source: DataFrame, keys: Sequence[st
         raise ValueError("scd2 requires at least one key column")
     if history is None:
         return start_history(source, as_of)
-    _require_keys(keys, history, source)
+    keys = _require_keys(keys, history, source)
     data = [c for c in history.columns if c not in HISTORY_COLUMNS]
-    if sorted(data) != sorted(source.columns):
+    if sorted(c.lower() for c in data) != sorted(c.lower() for c in source.columns):
         raise ValueError("scd2 source and history must have the same data columns")
     values = [c for c in data if c not in keys] or list(keys)
     source = _conform(source, history)
     opened = history.filter("is_current")
-    looked_up = lookup_join(opened, _per_key(source, keys, values), list(keys), "left").filter(_single_match(keys))
+    looked_up = _look_up(opened, source, keys, values)
     differs = F.col(_NEW).isNotNull() & any_of([~F.col(c).eqNullSafe(F.col(_NEW)[c]) for c in values])
     start = as_of.cast("timestamp_ntz")
     before = F.struct(

@@ -17,6 +17,7 @@ from loamflow.plans.runner import BulkTransformEngine
 from loamflow.schemas import CONTROL_SCHEMA
 from loamflow.session import shared_folder
 from loamflow.sources import specs
+from loamflow.sources.snapshots import Warehouse
 from loamflow.sources.tables import source_profile
 from loamflow.streaming.incremental import incremental_stream
 
@@ -493,14 +494,20 @@ def scd2_history(spark, sf_dir):
     return writes.scd2_history(closed.unionByName(opened), source, ["o_orderkey"], F.lit(RUN_TS))
 
 
+def file_count(spark: SparkSession, sf_dir: str, name: str, file_bytes: int = 512 << 20) -> int:
+    """How many files of ``file_bytes`` a table fills."""
+    size = Warehouse(spark, sf_dir).size_in_bytes((f"{sf_dir}/{name}.parquet",))
+    return max(1, -(-size // file_bytes))
+
+
 @query("compact_rows_preserved", "select * from lineitem")
 def compact_rows_preserved(spark, sf_dir):
-    return writes.compact(table(spark, sf_dir, "lineitem"), 4)
+    return writes.compact(table(spark, sf_dir, "lineitem"), file_count(spark, sf_dir, "lineitem"))
 
 
 @query("compact_clustered", "select * from events")
 def compact_clustered(spark, sf_dir):
-    return writes.compact(table(spark, sf_dir, "events"), 4, ["ts"])
+    return writes.compact(table(spark, sf_dir, "events"), file_count(spark, sf_dir, "events"), ["ts"])
 
 
 # Specs. The raw rows are derived from orders: one spec per order, untrimmed and partly blank.

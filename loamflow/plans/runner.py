@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import os
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -16,7 +18,7 @@ from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampT
 
 from loamflow import schemas
 from loamflow.operators import policies, quality, state, writes
-from loamflow.operators.incremental import incremental_filter, next_mark
+from loamflow.operators.incremental import incremental_filter, next_mark, type_of
 from loamflow.operators.transforms import resolve_sql, sql_transform
 from loamflow.session import configure
 from loamflow.sources import specs as spec_source
@@ -30,6 +32,17 @@ _OK = "_dq_ok"
 _TIME_TYPES = (TimestampType, TimestampNTZType, DateType)
 
 
+def _has(df: DataFrame, column: str) -> bool:
+    """Whether a top-level column goes by that name, in any letter case."""
+    return column.lower() in {c.lower() for c in df.columns}
+
+
+def load_id(run_id: str, spec_id: str) -> str:
+    """Name of one spec's load in one run; it also names a folder."""
+    safe = re.sub(r"[^\w.-]", "_", spec_id)
+    return f"{run_id}.{safe}-{hashlib.md5(spec_id.encode()).hexdigest()[:8]}"
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -66,6 +79,7 @@ class SystemTables:
     migration_log: str = "logging.migration_log"
     audit: str = "logging.pipeline_run_log"
     policy_audit: str = "logging.policy_audit"
+    policy_tags: str = "logging.policy_tags"
 
 
 class BulkTransformEngine:
@@ -173,14 +187,25 @@ class BulkTransformEngine:
 
         results: list[BulkTransformResult] = []
         failure: Exception | None = None
+
+        def run_lane(lane: list[dict[str, Any]]) -> list[BulkTransformResult]:
+            done = []
+            for spec in lane:
+                result = run(spec)
+                if result is not None:
+                    done.append(result)
+                    if result.error is not None and stop_on_error:
+                        break
+            return done
+
+        lanes = self._lanes(transforms)
         with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
-            # In waves, so that stop_on_error never starts a spec after a failure is known.
+            # In waves, so that stop_on_error never starts a lane after a failure is known.
             width = max(1, self.parallel)
-            for start in range(0, len(transforms), width):
-                for result in pool.map(run, transforms[start:start + width]):
-                    if result is not None:
-                        results.append(result)
-                        failure = failure or result.error
+            for start in range(0, len(lanes), width):
+                for done in pool.map(run_lane, lanes[start:start + width]):
+                    results += done
+                    failure = failure or next((r.error for r in done if r.error is not None), None)
                 if failure is not None and stop_on_error:
                     break
         self._record(results, run_id, stage)
@@ -188,19 +213,53 @@ class BulkTransformEngine:
             raise failure
         return results
 
+    def _lanes(self, transforms: list[dict[str, Any]]) -> list[list[dict[str, Any]]]:
+        """Specs that share an output come one after the other, in the order given; all others may run side by side."""
+        lanes: list[tuple[set[str], list[dict[str, Any]]]] = []
+        for spec in transforms:
+            outputs = {spec["target_name"]}
+            if spec["route"] == "quality":
+                try:
+                    outputs |= set(self._quality_tables(spec, self.document(spec["dq_config_path"], "data_quality")))
+                except Exception:  # its own run will report it
+                    logger.debug("[%s] rule document not readable yet", spec["id"])
+            shared = [lane for lane in lanes if lane[0] & outputs]
+            lanes = [lane for lane in lanes if not lane[0] & outputs]
+            lanes.append((outputs.union(*[o for o, _ in shared]), [s for _, own in shared for s in own] + [spec]))
+        return [own for _, own in lanes]
+
+    @staticmethod
+    def _quality_tables(spec: dict[str, Any], document: dict[str, Any]) -> tuple[str, str]:
+        target = spec["target_name"]
+        return (
+            document.get("quarantine_table") or f"{target}_quarantine",
+            document.get("dq_results_table") or f"{target}_dq_results",
+        )
+
     def run_governance_all(self, filter_ids: list[str] | None = None, run_id: str | None = None) -> DataFrame | None:
         """Tag inventory of all governed tables; masks and row filters act in ``read_governed``."""
         run_id = run_id or str(uuid.uuid4())
         inventory: DataFrame | None = None
         governed = []
         for t in self.load_transforms(filter_ids):
-            if t["run_governance"] and t["governance_config_path"]:
-                policy = self.document(t["governance_config_path"], "governance")
-                tags = policies.tag_inventory(policies.policy_entries(self.spark, t["target_name"], policy))
-                inventory = tags if inventory is None else inventory.unionByName(tags)
-                governed.append((run_id, t["description"] or t["id"], t["target_name"], state.SUCCESS, ""))
-            elif t["run_governance"]:
-                governed.append((run_id, t["description"] or t["id"], t["target_name"], state.SKIPPED, "no policy path"))
+            if not t["run_governance"]:
+                continue
+            status, message = state.SKIPPED, "no policy path"
+            if t["governance_config_path"]:
+                # One table's bad policy is that table's failure.
+                try:
+                    policy = self.document(t["governance_config_path"], "governance")
+                    entries = policies.policy_entries(self.spark, t["target_name"], policy)
+                    tags = policies.tag_inventory(entries)
+                    tags.collect()  # a policy has a few dozen tags; they are checked before they count as applied
+                    inventory = tags if inventory is None else inventory.unionByName(tags)
+                    status, message = state.SUCCESS, ""
+                except Exception as exc:
+                    logger.warning("[%s] policy not applied: %s", t["id"], exc)
+                    status, message = state.FAILED, str(exc)
+            governed.append((run_id, t["description"] or t["id"], t["target_name"], status, message))
+        if inventory is not None:
+            self.warehouse.save(self.system.policy_tags, inventory, f"{run_id}-tags")
         if governed:
             events = self.spark.createDataFrame(
                 governed, "run_id STRING, pipeline_name STRING, table_name STRING, status STRING, error_message STRING"
@@ -210,12 +269,16 @@ class BulkTransformEngine:
         return inventory
 
     def run_optimize_all(self, filter_ids: list[str] | None = None, run_id: str | None = None) -> int:
+        """Compacts every target that asks for it, once; how many it did. A failure is logged and is that table's alone."""
         run_id = run_id or str(uuid.uuid4())
         done = 0
-        for t in self.load_transforms(filter_ids):
-            if t["run_optimize"] and self.warehouse.exists(t["target_name"]):
-                self.warehouse.compact(t["target_name"], run_id)
-                done += 1
+        for name in sorted({t["target_name"] for t in self.load_transforms(filter_ids) if t["run_optimize"]}):
+            try:
+                if self.warehouse.exists(name):
+                    self.warehouse.compact(name, run_id)
+                    done += 1
+            except Exception as exc:
+                logger.warning("%s not compacted: %s", name, exc)
         return done
 
     def run_audit_all(self, filter_ids: list[str] | None = None, run_id: str | None = None,
@@ -277,7 +340,7 @@ class BulkTransformEngine:
             result.status = state.SUCCESS
         except Exception as exc:
             logger.warning("[%s] failed: %s", spec["id"], exc)
-            result.status, result.message = state.FAILED, str(exc)[: state.MESSAGE_LIMIT]
+            result.status, result.message = state.FAILED, str(exc)
             result.error = exc
         result.finished_at = utc_now()
         return result
@@ -285,13 +348,14 @@ class BulkTransformEngine:
     def _load(self, spec: dict[str, Any], run_id: str, result: BulkTransformResult, given: DataFrame | None) -> None:
         target, mark_column = spec["target_name"], spec["watermark_column"]
         live = self.warehouse.current(target)
-        if live is not None and run_id in live.runs:
+        load = load_id(run_id, spec["id"])
+        if live is not None and load in live.runs:
             result.message = "already published by this run"
             return
         source = given
         if source is None and spec["source_name"]:
             source = self.tables.read(spec["source_name"])
-            counted = self._source_counts.get(spec["id"], -1)
+            counted = self._source_counts.pop(spec["id"], -1)  # it holds for the run it was counted in
             result.source_count = counted if counted >= 0 else source.count()
             if mark_column and spec["load_type"] == "incremental":
                 source = incremental_filter(source, mark_column, self.last_mark(spec, live))
@@ -304,8 +368,7 @@ class BulkTransformEngine:
             document = self.document(spec["dq_config_path"], "data_quality")
             rules = document.get("checks") or []
             threshold = float(document.get("failure_threshold_pct", threshold))
-            quarantine = document.get("quarantine_table") or f"{target}_quarantine"
-            dq_results = document.get("dq_results_table") or f"{target}_dq_results"
+            quarantine, dq_results = self._quality_tables(spec, document)
 
         references = {
             r.arguments["ref_table"]: self.tables.read(r.arguments["ref_table"])
@@ -314,17 +377,17 @@ class BulkTransformEngine:
         }
 
         def settle(keys: DataFrame) -> DataFrame:
-            path = self.warehouse.data_path(target, f"{run_id}-{uuid.uuid4().hex[:8]}", "keys")
+            path = self.warehouse.data_path(target, f"{load}-{uuid.uuid4().hex[:8]}", "keys")
             return self.spark.read.schema(keys.schema).parquet(self.warehouse.stage(keys, path))
 
         checked = quality.RuleSet(transformed, rules, references, settle)
-        marks = [next_mark(mark_column).cast("string").alias("mark")] if mark_column in transformed.columns else []
+        marks = [next_mark(mark_column).cast("string").alias("mark")] if mark_column and _has(transformed, mark_column) else []
         run_ts = F.lit(utc_now()).cast("timestamp")
 
         # The only evaluation of the transform: counts, mark and rule outcome are observed in
         # the pass that stages the rows.
         seen = Observation(f"load-{uuid.uuid4().hex}")
-        staged = self.warehouse.data_path(target, run_id)
+        staged = self.warehouse.data_path(target, load)
         observed = checked.frame.observe(seen, *checked.metrics(), *marks)
         if rules:
             accepted = ~checked.violated(quality.ERROR)
@@ -344,18 +407,18 @@ class BulkTransformEngine:
         total, failed = counts["total_rows"], counts["fail_rows"]
         mark = counts.get("mark")
 
-        if mark is not None and isinstance(transformed.schema[mark_column].dataType, _TIME_TYPES):
+        if mark is not None and isinstance(type_of(transformed, mark_column), _TIME_TYPES):
             # The control table can only show marks that are times; the manifest keeps any mark.
             result.mark = mark
         if rules and total:
             result.dq_fail, result.dq_pass = failed, total - failed
-            pct = self._record_quality(run_id, total, failed, threshold, dq_results)
+            pct = self._record_quality(run_id, load, total, failed, threshold, dq_results)
             full = StructType([f for f in rows.schema if f.name != _OK])
             if failed:
-                self.warehouse.publish(quarantine, run_id, (rejected_path,), full, failed, "append")
+                self.warehouse.publish(quarantine, load, (rejected_path,), full, failed, "append")
             if counts["warn_rows"]:
                 flagged = self.spark.read.schema(full).parquet(staged).filter(F.size(quality.WARNINGS) > 0)
-                self.warehouse.save(f"{dq_results}_warnings", flagged.select(full.names), run_id, "append")
+                self.warehouse.save(f"{dq_results}_warnings", flagged.select(full.names), load, "append")
             if pct > threshold:
                 result.mark = None
                 raise quality.DQPipelineException(
@@ -364,24 +427,28 @@ class BulkTransformEngine:
         if total - failed == 0:
             result.message = "no rows after the transform" if not total else "all rows failed the rules"
             if live is not None and mark is not None:
-                self.warehouse.set_mark(target, run_id, mark)
+                self.warehouse.set_mark(target, load, spec["id"], mark)
             return
-        self._publish(spec, run_id, live, accepted_path, transformed.schema, total - failed, mark)
+        self._publish(spec, load, live, accepted_path, transformed.schema, total - failed, mark)
         result.rows_loaded = total - failed
 
-    def _publish(self, spec: dict[str, Any], run_id: str, live: Snapshot | None, path: str, schema: StructType,
+    def _publish(self, spec: dict[str, Any], load: str, live: Snapshot | None, path: str, schema: StructType,
                  rows: int, mark: str | None) -> None:
         target, strategy = spec["target_name"], spec["load_strategy"]
         layout, dirs = None, (path,)
         if strategy in schemas.KEYED_STRATEGIES:
             layout = self.layouts.get(target)
+            writes.key_names(spec["pk"], self.spark.createDataFrame([], schema), "source")
             if live is not None or layout or strategy == "scd2":
                 staged = self.spark.read.schema(schema).parquet(path)
-                dirs, schema, rows = self._merge(spec, run_id, staged, live, layout)
-        mode = "append" if strategy == "append" else "overwrite"
-        self.warehouse.publish(target, run_id, dirs, schema, rows, mode, mark, layout)
+                dirs, schema, rows = self._merge(spec, load, staged, live, layout)
+        marks = {} if mark is None else {spec["id"]: mark}
+        if strategy == "append":
+            self.warehouse.publish(target, load, dirs, schema, rows, "append", marks, layout)
+        else:
+            self.warehouse.publish(target, load, dirs, schema, rows, "overwrite", marks, layout, based_on=live)
 
-    def _merge(self, spec: dict[str, Any], run_id: str, source: DataFrame, live: Snapshot | None,
+    def _merge(self, spec: dict[str, Any], load: str, source: DataFrame, live: Snapshot | None,
                layout: str | None) -> tuple[tuple[str, ...], StructType, int]:
         """Directories, schema and row count of the table after a keyed load.
 
@@ -401,7 +468,7 @@ class BulkTransformEngine:
             merged = writes.merge_upsert(stored, source, keys)
         else:
             merged = writes.scd2_history(stored, source, keys, F.lit(utc_now()))
-        path = self.warehouse.data_path(spec["target_name"], run_id, "merged")
+        path = self.warehouse.data_path(spec["target_name"], load, "merged")
         if layout:
             # An observation below the rebalance could count a repeated stage twice: read the footers instead.
             dirs = self.warehouse.stage_parts(merged, path, layout)
@@ -410,7 +477,7 @@ class BulkTransformEngine:
         counted = merged.observe(seen, F.count(F.lit(1)).alias("rows"))
         return (self.warehouse.stage(counted, path),), merged.schema, seen.get["rows"]
 
-    def _record_quality(self, run_id: str, total: int, failed: int, threshold: float, table: str) -> float:
+    def _record_quality(self, run_id: str, load: str, total: int, failed: int, threshold: float, table: str) -> float:
         counts = self.spark.sql(
             "SELECT :run AS run_id, CAST(:total AS LONG) AS total_rows, CAST(:failed AS LONG) AS fail_rows",
             args={"run": run_id, "total": total, "failed": failed},
@@ -419,14 +486,17 @@ class BulkTransformEngine:
             "run_id", "total_rows", "pass_rows", "fail_rows", "fail_pct", "status",
             F.lit(utc_now()).cast("timestamp").alias("created_at"),
         )
-        self.warehouse.save(table, summary, run_id, "append")
+        self.warehouse.save(table, summary, load, "append")
         return summary.first()["fail_pct"]
 
     def last_mark(self, spec: dict[str, Any], live: Snapshot | None = None) -> str | None:
-        """The mark published with the target, else the one in the control table (or its seed)."""
+        """The mark of this spec: one published with the data that the control table does not have, else the control row's.
+
+        So a mark set back in the control table makes the next run read from there.
+        """
         live = live or self.warehouse.current(spec["target_name"])
-        if live is not None and live.mark is not None:
-            return live.mark
+        if live is not None and spec["id"] in live.marks:
+            return live.marks[spec["id"]]
         row = self._control().filter(F.col("id") == spec["id"]).select(F.col("last_load_time").cast("string")).first()
         return row[0] if row else None
 
@@ -474,6 +544,12 @@ class BulkTransformEngine:
                 marks = ran.select("id", F.col("mark").try_cast("timestamp").alias("last_load_time"))
                 control = state.mark_update(control, marks)
             self.warehouse.save(self.system.control, control, f"{run_id}-{stage}-state")
+            moved: dict[str, set[str]] = {}
+            for r in results:
+                if r.mark is not None:
+                    moved.setdefault(r.target_table, set()).add(r.id)
+            for target, ids in moved.items():
+                self.warehouse.settle_marks(target, ids)
 
     def _results_frame(self, results: list[BulkTransformResult]) -> DataFrame:
         fields = [f for f in BulkTransformResult.__dataclass_fields__ if f != "error"]

@@ -1,14 +1,19 @@
 """Publishing results: staged parquet directories and a small manifest that lists the live ones.
 
 Nothing is ever overwritten in place. Data goes to a new directory named after the run, and a
-one-row manifest, committed last, makes it visible together with the row count and the mark.
-There is one writer per table at a time. Manifests go round a few slots, so that finding the
+one-row manifest, committed last, makes it visible together with the row count and the marks.
+What is published is a load: one spec in one run. Several specs may share a table, each with its own
+folders and its own mark. Within a process, commits to a table queue up; a result that was computed
+from a version which is no longer the live one is refused. Across processes there is one writer per
+table at a time. Manifests go round a few slots, so that finding the
 latest one stays one short listing however many versions a table has had.
 """
 
 from __future__ import annotations
 
 import json
+import threading
+from collections import defaultdict
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -19,7 +24,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from loamflow.operators.writes import compact, merged_schema
 
 MANIFEST_SCHEMA = (
-    "version LONG, run_id STRING, dirs ARRAY<STRING>, schema_json STRING, rows LONG, mark STRING, runs ARRAY<STRING>, layout STRING"
+    "version LONG, run_id STRING, dirs ARRAY<STRING>, schema_json STRING, rows LONG, marks MAP<STRING, STRING>, "
+    "runs ARRAY<STRING>, layout STRING"
 )
 
 
@@ -35,8 +41,9 @@ class Snapshot:
     dirs: tuple[str, ...]
     schema: StructType
     rows: int
-    mark: str | None
-    # Runs that are part of this snapshot, so that a repeated append is recognised.
+    # By spec id: marks that were published with the data and are not in the control table yet, or cannot be.
+    marks: dict[str, str]
+    # Loads that are part of this snapshot, so that a repeated append is recognised.
     runs: tuple[str, ...]
     # SQL expression that assigns each row to a part; every directory then holds one part.
     layout: str | None = None
@@ -47,12 +54,17 @@ class Snapshot:
         return inside, tuple(d for d in self.dirs if d not in set(inside))
 
 
+class StaleResult(RuntimeError):
+    """Another load was published to the table while this one was computed from the version before."""
+
+
 class Warehouse:
     """Published tables below one root folder that all executors can reach."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
     def table_path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -65,13 +77,15 @@ class Warehouse:
             # A slot that is being rewritten holds an outdated version: ignore it if it vanishes.
             manifests = self.spark.read.schema(MANIFEST_SCHEMA).option("ignoreMissingFiles", "true")
             row = manifests.json(f"{self.table_path(name)}/manifest").orderBy(F.desc("version")).first()
-        except AnalysisException:  # the path does not exist yet
-            return None
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
         if row is None:
             return None
         schema = StructType.fromJson(json.loads(row["schema_json"]))
-        return Snapshot(row["version"], row["run_id"], tuple(row["dirs"]), schema, row["rows"], row["mark"],
-                        tuple(row["runs"]), row["layout"])
+        return Snapshot(row["version"], row["run_id"], tuple(row["dirs"]), schema, row["rows"],
+                        dict(row["marks"] or {}), tuple(row["runs"]), row["layout"])
 
     def exists(self, name: str) -> bool:
         return self.current(name) is not None
@@ -100,7 +114,7 @@ class Warehouse:
     def _commit(self, name: str, snapshot: Snapshot) -> Snapshot:
         manifest = {
             "version": snapshot.version, "run_id": snapshot.run_id, "dirs": snapshot.dirs,
-            "schema_json": snapshot.schema.json(), "rows": snapshot.rows, "mark": snapshot.mark,
+            "schema_json": snapshot.schema.json(), "rows": snapshot.rows, "marks": snapshot.marks,
             "runs": snapshot.runs, "layout": snapshot.layout,
         }
         path = f"{self.table_path(name)}/manifest/slot={snapshot.version % MANIFEST_SLOTS}"
@@ -121,30 +135,45 @@ class Warehouse:
         return tuple(f"{path}/{PART}={p}" for p in sorted(self.part_names(written, PART)))
 
     def publish(self, name: str, run_id: str, dirs: tuple[str, ...], schema: StructType, rows: int,
-                mode: str = "overwrite", mark: str | None = None, layout: str | None = None) -> Snapshot:
+                mode: str = "overwrite", marks: dict[str, str] | None = None, layout: str | None = None,
+                based_on: Snapshot | None | bool = False) -> Snapshot:
         """Make staged directories the table (``overwrite``) or part of it (``append``).
 
-        Publishing the same run twice changes nothing.
+        ``run_id`` names the load. Publishing the same load twice changes nothing. ``based_on``, if given, is the
+        snapshot (None: no table yet) that the result was computed from; another live one is an error.
         """
-        live = self.current(name)
-        if live is None:
-            return self._commit(name, Snapshot(1, run_id, dirs, schema, rows, mark, (run_id,), layout))
-        if run_id in live.runs:
-            return live
-        version, mark = live.version + 1, mark if mark is not None else live.mark
-        if mode == "append":
-            return self._commit(name, Snapshot(
-                version, run_id, live.dirs + dirs, merged_schema(live.schema, schema), live.rows + rows, mark,
-                live.runs + (run_id,),
+        with self._locks[name]:
+            live = self.current(name)
+            if live is not None and run_id in live.runs:
+                return live
+            if based_on is not False and (live and live.version) != (based_on and based_on.version):
+                raise StaleResult(f"{name}: another load was published in the meantime")
+            if live is None:
+                return self._commit(name, Snapshot(1, run_id, dirs, schema, rows, marks or {}, (run_id,), layout))
+            version, marks = live.version + 1, {**live.marks, **(marks or {})}
+            if mode == "append":
+                return self._commit(name, Snapshot(
+                    version, run_id, live.dirs + dirs, merged_schema(live.schema, schema), live.rows + rows, marks,
+                    live.runs + (run_id,),
+                ))
+            return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, marks, (run_id,), layout))
+
+    def set_mark(self, name: str, run_id: str, spec_id: str, mark: str) -> Snapshot:
+        """A new mark for unchanged data: the load read rows, but none of them was good enough."""
+        with self._locks[name]:
+            live = self.current(name)
+            return self._commit(name, replace(
+                live, version=live.version + 1, run_id=run_id, marks={**live.marks, spec_id: mark},
+                runs=live.runs + (run_id,),
             ))
-        return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, mark, (run_id,), layout))
 
-    def set_mark(self, name: str, run_id: str, mark: str) -> Snapshot:
-        """A new mark for unchanged data: the run read rows, but none of them was good enough."""
-        live = self.current(name)
-        return self._commit(name, replace(
-            live, version=live.version + 1, run_id=run_id, mark=mark, runs=live.runs + (run_id,)
-        ))
+    def settle_marks(self, name: str, spec_ids: set[str]) -> None:
+        """The control table has the marks of these specs now, and is where they are looked up from here on."""
+        with self._locks[name]:
+            live = self.current(name)
+            if live is not None and spec_ids & set(live.marks):
+                marks = {k: v for k, v in live.marks.items() if k not in spec_ids}
+                self._commit(name, replace(live, version=live.version + 1, marks=marks))
 
     def save(self, name: str, df: DataFrame, run_id: str, mode: str = "overwrite") -> Snapshot:
         """Stage and publish a frame in one go; for the small system tables."""
@@ -160,6 +189,10 @@ class Warehouse:
 
     def compact(self, name: str, run_id: str, file_bytes: int = 512 << 20, cluster_by: tuple[str, ...] = ()) -> Snapshot:
         """The live snapshot rewritten into files of about ``file_bytes``."""
+        with self._locks[name]:
+            return self._compact(name, run_id, file_bytes, cluster_by)
+
+    def _compact(self, name: str, run_id: str, file_bytes: int, cluster_by: tuple[str, ...]) -> Snapshot:
         live = self.current(name)
         if live is None:
             raise LookupError(f"table {name!r} has not been published")

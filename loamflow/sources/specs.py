@@ -19,10 +19,11 @@ def read_spec_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def conform_spec_columns(raw: DataFrame) -> DataFrame:
-    """Trimmed text in the 21 spec columns; what the input lacks is blank."""
+    """Trimmed text in the 21 spec columns, then in any others; spec columns the input lacks are blank."""
+    more = [c for c in raw.columns if c not in SPEC_COLUMNS]
     return raw.select(*[
-        (F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) if c in raw.columns else F.lit("")).alias(c)
-        for c in SPEC_COLUMNS
+        (F.coalesce(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")) if c in raw.columns else F.lit("")).alias(c)
+        for c in [*SPEC_COLUMNS, *more]
     ])
 
 

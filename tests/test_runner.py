@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag
-from loamflow import BulkTransformEngine, sql_transform
+from loamflow import BulkTransformEngine, Warehouse, sql_transform
+from loamflow.sources.snapshots import StaleResult
 from loamflow.schemas import AUDIT_SCHEMA, CONTROL_SCHEMA, DQ_RESULTS_SCHEMA
 from test_specs import write_csv
 from test_state import same_fields
@@ -304,7 +305,7 @@ def test_numeric_marks(spark, tmp_path):
     eng.tables.bind("raw.s.t", rows(spark, (2, "late", 1), (10, "c", 1)))
     eng.transform_all()
     assert kv(eng.warehouse.read("lake.trusted.a")) == [(1, "a"), (10, "c"), (2, "b")]
-    assert eng.warehouse.current("lake.trusted.a").mark == "10"
+    assert eng.warehouse.current("lake.trusted.a").marks == {"a": "10"}
 
 
 def test_documents_from_files(spark, tmp_path):
@@ -327,3 +328,92 @@ def test_read_governed(spark, tmp_path):
     assert kv(eng.read_governed("lake.trusted.m", policy, "eve", ["team"])) == [(1, "A***")]
     assert kv(eng.read_governed("lake.trusted.m", policy, "root", ["admin"], ["root"])) == [(1, "Ann"), (2, "Bob")]
     assert sql_transform(spark, "SELECT max(v) AS v FROM source", {"source": eng.read_governed("lake.trusted.m", policy, "eve", [])}).first()["v"] is None
+
+
+def shared_specs(**changes):
+    """Two specs with rules that share target, quarantine and results tables, from two sources."""
+    common = {"load_strategy": "append", "target_table": "both", **changes}
+    return [quality_spec("one", **common), quality_spec("two", source_table="late", **common)]
+
+
+@pytest.mark.parametrize("parallel", [1, 3])
+def test_specs_that_share_every_table_keep_all_rows(spark, tmp_path, parallel):
+    first = rows(spark, *[(i, None if i == 0 else "x", 40 + i) for i in range(60)])
+    late = rows(spark, *[(100 + i, None if i == 0 else "y", i) for i in range(30)])  # older than the first one's mark
+    eng = engine(spark, tmp_path, shared_specs(), first, parallel=parallel)
+    eng.tables.bind("raw.s.late", late)
+    assert statuses(eng.run_dq_all(run_id="r1")) == {"one": ("SUCCESS", 59), "two": ("SUCCESS", 29)}
+    assert statuses(eng.run_dq_all(run_id="r1")) == {"one": ("SUCCESS", 0), "two": ("SUCCESS", 0)}  # the same run again
+    assert eng.warehouse.read("lake.trusted.both").count() == 88
+    assert sorted(r["k"] for r in eng.warehouse.read("quality.rejects").collect()) == [0, 100]
+    assert bag(eng.warehouse.read("quality.results").select("total_rows", "fail_rows")) == [(30, 1), (60, 1)]
+
+    # The next run reads above each spec's own mark.
+    eng.tables.bind("raw.s.t", rows(spark, (200, "x", 120), (201, "old", 40)))
+    eng.tables.bind("raw.s.late", rows(spark, (300, "y", 31), (301, "old", 5)))
+    eng.run_dq_all(run_id="r2")
+    assert eng.warehouse.read("lake.trusted.both").filter("k >= 200").count() == 2
+    assert kv(eng.warehouse.read("lake.trusted.both").filter("k >= 200")) == [(200, "x"), (300, "y")]
+
+
+def test_merging_specs_share_a_target_side_by_side(spark, tmp_path):
+    specs = [spec(i, target_table="m", source_table=i, load_type="full_refresh") for i in ("a", "b", "c")]
+    eng = engine(spark, tmp_path, specs, rows(spark, (0, "unused", 1)), parallel=3)
+    for k, i in enumerate(("a", "b", "c")):
+        eng.tables.bind(f"raw.s.{i}", rows(spark, (k, i, 1), (9, i, 1)))
+    assert all(r.status == "SUCCESS" for r in eng.transform_all(run_id="r1"))
+    assert sorted(r["k"] for r in eng.warehouse.read("lake.trusted.m").collect()) == [0, 1, 2, 9]
+
+
+def test_a_result_based_on_an_old_version_is_refused(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    df = rows(spark, (1, "a", 1))
+    warehouse.save("t", df, "r1")
+    old = warehouse.current("t")
+    warehouse.save("t", df, "r2")
+    path = warehouse.stage(df, warehouse.data_path("t", "r3"))
+    with pytest.raises(StaleResult):
+        warehouse.publish("t", "r3", (path,), df.schema, 1, based_on=old)
+    assert warehouse.current("t").run_id == "r2"
+
+
+def test_a_mark_set_back_in_the_control_table_counts(spark, tmp_path):
+    eng = engine(spark, tmp_path, [spec("m")], rows(spark, (1, "a", 1), (2, "b", 2)))
+    eng.transform_all(run_id="r1")
+    assert statuses(eng.transform_all(run_id="r2")) == {"m": ("SUCCESS", 0)}
+    control = eng.warehouse.read("logging.watermark_state").withColumn("last_load_time", F.lit(None).cast("timestamp"))
+    eng.warehouse.save("logging.watermark_state", control, "reset")
+    assert statuses(eng.transform_all(run_id="r3")) == {"m": ("SUCCESS", 2)}
+
+
+def test_names_in_another_letter_case(spark, tmp_path):
+    changes = {"pk": "K", "watermark_column": "TS"}
+    eng = engine(spark, tmp_path, [spec("m", **changes)], rows(spark, (1, "a", 1)))
+    assert statuses(eng.transform_all()) == {"m": ("SUCCESS", 1)}
+    eng.tables.bind("raw.s.t", rows(spark, (1, "b", 2), (2, "old", 1)))
+    assert statuses(eng.transform_all()) == {"m": ("SUCCESS", 1)}
+    assert kv(eng.warehouse.read("lake.trusted.m")) == [(1, "b")]
+
+
+def test_a_bad_policy_is_its_tables_failure_only(spark, tmp_path):
+    policy = {"governance": {"pii_columns": [{"column": "v", "masking_function": "name"}]}}
+    governed = {"run_governance": "true", "load_type": "full_refresh"}
+    specs = [
+        spec("a", governance_config_path="missing.json", **governed), spec("b", governance_config_path="p.json", **governed),
+    ]
+    eng = engine(spark, tmp_path, specs, rows(spark, (1, "a", 1)), documents={"p.json": policy})
+    results = eng.run_all(run_id="r1")
+    assert statuses(results) == {"a": ("SUCCESS", 1), "b": ("SUCCESS", 1)}
+    audit = eng.warehouse.read("logging.policy_audit").collect()
+    assert {r["table_name"]: r["status"] for r in audit} == {"lake.trusted.a": "FAILED", "lake.trusted.b": "SUCCESS"}
+    assert {r["table_name"] for r in eng.warehouse.read("logging.policy_tags").collect()} == {"lake.trusted.b"}
+    assert eng.warehouse.read("logging.pipeline_run_log").count() == 2
+
+
+def test_other_config_columns_are_kept(spark, tmp_path):
+    path = tmp_path / "specs.csv"
+    eng = engine(spark, tmp_path, [spec("m")], rows(spark, (1, "a", 1)))
+    header, line = path.read_text().splitlines()[:2]
+    path.write_text(f"{header},owner\n{line},ann\n")
+    eng.validate_all(run_id="r1")
+    assert eng.warehouse.read("config.load_specs").first()["owner"] == "ann"

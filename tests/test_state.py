@@ -48,7 +48,7 @@ def test_bootstrap_and_update(spark):
                   {"id": "unknown", "status": "SUCCESS"})
     updated = {r["id"]: r for r in state.control_update(seeded, run).collect()}
     assert set(updated) == {"a", "b", "c"}
-    assert updated["a"]["last_run_status"] == "FAILED" and len(updated["a"]["error_message"]) == 2000
+    assert updated["a"]["last_run_status"] == "FAILED" and len(updated["a"]["error_message"]) == 3000
     assert updated["a"]["last_load_time"] is not None and updated["b"]["last_run_status"] == "BOOTSTRAPPED"
 
 
@@ -57,7 +57,7 @@ def test_log_and_audit_schemas(spark):
                   {"run_id": "r", "id": "b", "status": "SKIPPED"})
     log = state.migration_log(run)
     assert same_fields(log, MIGRATION_LOG_SCHEMA, spark)
-    assert {r["table_id"]: (r["level"], len(r["message"])) for r in log.collect()} == {"a": ("ERROR", 2000), "b": ("INFO", 0)}
+    assert {r["table_id"]: (r["level"], len(r["message"])) for r in log.collect()} == {"a": ("ERROR", 3000), "b": ("INFO", 0)}
     specs = spark.createDataFrame(
         [("a", "", "s", "t", "merge"), ("b", "B", "", "u", "append")],
         "id STRING, description STRING, target_schema STRING, target_table STRING, load_strategy STRING",

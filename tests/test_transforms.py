@@ -74,3 +74,12 @@ def test_qualified_names_in_the_text(spark):
     assert bag(sql_transform(spark, sql, inputs)) == [(3, 5, 5, 7)]
     assert mentions("FROM raw.s.a)", "raw.s.a") and not mentions("FROM raw.s.ab", "raw.s.a")
     assert not mentions("FROM x.raw.s.a", "raw.s.a") and not mentions("FROM banner", "ann")
+
+
+def test_names_in_quoted_text_and_comments_stay(spark):
+    source = spark.createDataFrame([(1,)], "k INT")
+    sql = """SELECT k, 'raw.s.t' AS src, "it's raw.s.t" AS quoted, r'raw.s.t\\' AS raw_text -- raw.s.t
+             /* raw.s.t */ FROM `raw`.s.T t WHERE t.k = 1 AND 'a\\'raw.s.t' <> ''"""
+    row = sql_transform(spark, sql, {"raw.s.t": source}).first()
+    assert tuple(row) == (1, "raw.s.t", "it's raw.s.t", "raw.s.t\\")
+    assert sql_transform(spark, "SELECT raw.s.t.k FROM raw.s.t", {"raw.s.t": source}).first()[0] == 1
