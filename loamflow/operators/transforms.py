@@ -7,6 +7,7 @@ import os
 import re
 import uuid
 from collections import Counter
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,8 +46,17 @@ def _mention(name: str) -> re.Pattern:
     return re.compile(rf"{_QUOTED}|(?P<name>(?<![\w.`])`?{parts}`?(?![\w`]))", re.IGNORECASE | re.DOTALL)
 
 
-def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run any Spark SQL over named inputs.
+_NOW = re.compile(rf"{_QUOTED}|(?P<name>(?<![\w.`])(?:current_timestamp(?:\s*\(\s*\))?|now\s*\(\s*\))(?![\w`]))", re.IGNORECASE | re.DOTALL)
+
+
+def pin_time(sql: str, as_of: datetime) -> str:
+    """The query with the current time replaced by ``as_of`` (UTC), so that every evaluation of a run gives the same."""
+    return _NOW.sub(lambda m: f"TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S.%f}Z'" if m["name"] else m[0], sql)
+
+
+def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] | None = None,
+                  as_of: datetime | None = None) -> DataFrame:
+    """Run any Spark SQL over named inputs; ``as_of``, if given, is the current time inside ``sql``.
 
     Every input is visible under its name inside ``sql`` only: it is bound as a common table
     expression over a view with a unique name, so runs in parallel never see each other's
@@ -54,6 +64,7 @@ def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] |
     way; where the text mentions one outside of quoted text and comments, the view's name takes its place.
     """
     body = sql.strip().rstrip(";").rstrip()
+    body = body if as_of is None else pin_time(body, as_of)
     inputs = inputs or {}
     if not inputs:
         return spark.sql(body)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -630,7 +631,7 @@ SELECT 'r1' AS run_id, cast(event_id AS string) AS id, event_type AS stage,
        'raw.events' AS source_table, concat('trusted.u', cast(user_id AS string)) AS target_table,
        'append' AS load_strategy,
        CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' ELSE 'SKIPPED' END AS status,
-       event_id AS rows_loaded, user_id AS source_count, props AS message,
+       event_id AS rows_loaded, user_id AS source_count, props || repeat('x', 3000) AS message,
        date_trunc('HOUR', ts) AS started_at, ts AS finished_at
 FROM events
 """
@@ -639,7 +640,7 @@ _RESULTS_ORACLE = """
 select 'r1' as run_id, cast(event_id as varchar) as id, event_type as stage, 'raw.events' as source_table,
        'trusted.u' || user_id as target_table, 'append' as load_strategy,
        case event_type when 'purchase' then 'SUCCESS' when 'error' then 'FAILED' else 'SKIPPED' end as status,
-       event_id as rows_loaded, user_id as source_count, props as message,
+       event_id as rows_loaded, user_id as source_count, props || repeat('x', 3000) as message,
        date_trunc('hour', ts) as started_at, ts as finished_at
 from events
 """
@@ -974,16 +975,56 @@ def passthrough_json(spark, sf_dir):
     return run_sql(spark, sf_dir, sql, "events")
 
 
+# End to end: two specs append to one target in one run, each above its own mark, and a second run brings
+# nothing twice. The events are older than the newest order and must not be held up by its mark.
+@query(
+    "load_two_sources",
+    """select o_orderkey as k, 'order' as kind, o_orderdate as ts from orders
+    union all select event_id, 'event', ts from events""",
+)
+def load_two_sources(spark, sf_dir):
+    sources = {
+        "orders": run_sql(spark, sf_dir, "SELECT o_orderkey AS k, 'order' AS kind, o_orderdate AS ts FROM orders", "orders"),
+        "events": run_sql(spark, sf_dir, "SELECT event_id AS k, 'event' AS kind, ts FROM events", "events"),
+    }
+    engine = BulkTransformEngine(
+        spark, f"{engine_folder(spark)}/warehouse", bindings={f"raw.facts.{name}": df for name, df in sources.items()}
+    )
+    for run in ("run1", "run1", "run2"):
+        for name in sources:
+            result = engine.run_spec({
+                "id": name, "description": "", "source_name": f"raw.facts.{name}", "target_name": "trusted.facts",
+                "target_table": "facts", "pk": [], "load_strategy": "append", "load_type": "incremental",
+                "watermark_column": "ts", "query": "SELECT * FROM source", "sql_file": "", "run_data_quality": False,
+                "dq_config_path": "", "route": "transform",
+            }, run)
+            if result.error is not None:
+                raise result.error
+    return engine.warehouse.read("trusted.facts")
+
+
+@query(
+    "load_timestamp",
+    f"select o_orderkey, timestamp '{RUN_TS}' as loaded_at, 'current_timestamp()' as said from orders",
+)
+def load_timestamp(spark, sf_dir):
+    sql = "SELECT o_orderkey, current_timestamp() AS loaded_at, 'current_timestamp()' AS said FROM source"
+    inputs = {"source": table(spark, sf_dir, "orders")}
+    return zone_less(transforms.sql_transform(spark, sql, inputs, as_of=datetime.fromisoformat(RUN_TS)))
+
+
+@query("sql_quoted_names", "select o_orderkey, 'raw.sales.orders' as src from orders where o_orderstatus <> 'raw.sales.orders'")
+def sql_quoted_names(spark, sf_dir):
+    sql = """SELECT o_orderkey, 'raw.sales.orders' AS src -- of raw.sales.orders
+             FROM raw.sales.orders WHERE o_orderstatus <> 'raw.sales.orders'"""
+    return transforms.sql_transform(spark, sql, {"raw.sales.orders": table(spark, sf_dir, "orders")})
+
+
 # End to end: a spec with a keyed merge, driven by a stream over the events. The result does not
 # depend on how the stream is cut into batches.
 @query("incremental_stream", "select event_id, user_id, upper(event_type) as kind, ts from events")
 def incremental_stream_query(spark, sf_dir):
-    local = spark.sparkContext.master.startswith("local")
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not local:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors reach")
-    # A folder per call, so that every call starts from an empty table.
-    folder = f"{shared_folder(spark, tempfile.gettempdir())}/loamflow-{spark.sparkContext.applicationId}-{_next_call()}"
+    folder = engine_folder(spark)
     engine = BulkTransformEngine(spark, f"{folder}/warehouse")
     spec = {
         "id": "events", "description": "", "source_name": "", "target_name": "trusted.events",
@@ -1001,5 +1042,13 @@ def incremental_stream_query(spark, sf_dir):
 _calls = iter(range(1 << 62))
 
 
-def _next_call() -> int:
-    return next(_calls)
+def engine_folder(spark: SparkSession) -> str:
+    """A new folder for an engine, so that every call starts from an empty warehouse.
+
+    It lies in the folder all executors share; only where that is unset, as in tests, in a temporary one.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors reach")
+    folder = shared_folder(spark, tempfile.gettempdir())
+    return f"{folder}/loamflow-{spark.sparkContext.applicationId}-{next(_calls)}"

@@ -361,7 +361,7 @@ class BulkTransformEngine:
                 source = incremental_filter(source, mark_column, self.last_mark(spec, live))
         sql = resolve_sql(spec, self.config_base_path)
         inputs = self.tables.inputs(sql, self._known_tables) if source is None else {"source": source}
-        transformed = sql_transform(self.spark, sql, inputs)
+        transformed = sql_transform(self.spark, sql, inputs, as_of=result.started_at)
 
         rules, threshold, quarantine, dq_results = [], quality.DEFAULT_THRESHOLD_PCT, "", ""
         if spec["route"] == "quality":
