@@ -13,7 +13,7 @@ columns or to a range of shards; blocks decode on their own. Files are written b
 committed writer, so lost tasks are repeated.
 
 Defined results: a null or empty text is the end id alone; rows that share a ``doc_id`` are stored
-one after the other, by text; columns other than ``doc_id`` and ``text`` are ignored; an empty
+one after the other, by the hash of their text; columns other than ``doc_id`` and ``text`` are ignored; an empty
 table gives an empty store.
 """
 
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import ship, token_ids, whole_columns, with_offsets
+from loamflow.llm.base import ship, text_key, token_ids, whole_columns, with_offsets
 
 PLANES = 4
 STORE = (
@@ -97,9 +97,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, blo
             yield flush()
 
     own = whole_columns(docs, "doc_id", "text")
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    by_range = own.repartitionByRange(shards, order[0]) if shards else own.repartitionByRange(order[0])
-    sorted_docs = by_range.sortWithinPartitions(*order)
+    # The hash of the text lets a range end among rows that share an id, or have none.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text_key")]
+    keyed = own.withColumn("text_key", text_key())
+    by_range = keyed.repartitionByRange(shards, *order) if shards else keyed.repartitionByRange(*order)
+    sorted_docs = by_range.sortWithinPartitions(*order).drop("text_key")
     sorted_docs.mapInArrow(encode, STORE).write.option("compression", "none").parquet(path)
 
 

@@ -152,9 +152,9 @@ def test_token_store_of_awkward_rows(spark, awkward, plain, tmp_path, block_ids)
     docs = awkward.filter("doc_id IS NULL OR doc_id < 6")
     token_store.write_store(docs, path, PATH, block_ids=block_ids, shards=3)
     rows = sorted(tuple(r) for r in token_store.read_store(spark, path).select("start", "n_tokens", "ids_crc32").collect())
-    order = sorted(((r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or "") for r in docs.collect()))
+    keyed = docs.select("doc_id", "text", base.text_key().alias("text_key")).collect()
     at, expected = 0, []
-    for *_, text in order:
+    for _, text, _ in sorted(keyed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text_key)):
         ids = plain(text, 1)
         expected.append((at, len(ids) // 4, zlib.crc32(ids)))
         at += len(ids) // 4
