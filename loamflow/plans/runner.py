@@ -24,7 +24,7 @@ from loamflow.session import configure
 from loamflow.sources import specs as spec_source
 from loamflow.sources.documents import read_document
 from loamflow.sources.snapshots import Snapshot, Warehouse
-from loamflow.sources.tables import Tables, reachable, source_profile
+from loamflow.sources.tables import Tables, profile_rows, reachable
 
 logger = logging.getLogger(__name__)
 
@@ -153,7 +153,7 @@ class BulkTransformEngine:
         issues += unreachable
         if issues:
             raise AssertionError(f"{len(issues)} problem(s) before the run:\n" + "\n".join(issues))
-        profile = [row.asDict() for row in source_profile(self.spark, sources).collect()] if sources else []
+        profile = profile_rows(self.spark, sources) if sources else []
         self._source_counts = {p["id"]: p["source_count"] for p in profile}
         return {
             "table_results": profile,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from collections.abc import Iterable
 
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from loamflow.operators.transforms import mentions
 from loamflow.sources.snapshots import Warehouse
 
+logger = logging.getLogger(__name__)
+
+
 class Tables:
     """Resolves ``catalog.schema.table``: bindings first, then snapshots, then ``spark.table``."""
 
@@ -75,6 +79,21 @@ def source_profile(spark: SparkSession, sources: dict[str, DataFrame | None]) ->
     return profile
 
 
+def profile_rows(spark: SparkSession, sources: dict[str, DataFrame | None]) -> list[dict]:
+    """``source_profile`` as dicts. Where the common job fails, each source is counted alone: -1 and not ok for those that fail."""
+    try:
+        return [row.asDict() for row in source_profile(spark, sources).collect()]
+    except Exception:
+        rows = []
+        for id_, df in sources.items():
+            try:
+                rows.append({"id": id_, "source_ok": True, "source_count": -1 if df is None else df.count()})
+            except Exception as exc:
+                logger.warning("[%s] source not readable: %s", id_, exc)
+                rows.append({"id": id_, "source_ok": False, "source_count": -1})
+        return rows
+
+
 def reachable(tables: Tables, names: Iterable[tuple[str, str]]) -> tuple[dict[str, DataFrame | None], list[str]]:
     """Sources by spec id, and one line per source that cannot be resolved."""
     found: dict[str, DataFrame | None] = {}

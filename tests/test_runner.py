@@ -417,3 +417,13 @@ def test_other_config_columns_are_kept(spark, tmp_path):
     path.write_text(f"{header},owner\n{line},ann\n")
     eng.validate_all(run_id="r1")
     assert eng.warehouse.read("config.load_specs").first()["owner"] == "ann"
+
+
+def test_a_source_that_fails_on_read_is_not_ok(spark, tmp_path):
+    good = rows(spark, (1, "a", 1))
+    bad = good.withColumn("v", F.raise_error(F.lit("unreadable")).cast("string"))
+    eng = engine(spark, tmp_path, [spec("good"), spec("bad", source_table="bad")], good)
+    eng.tables.bind("raw.s.bad", bad.filter("v <> 'x'"))
+    profile = {r["id"]: (r["source_ok"], r["source_count"]) for r in eng.validate_all(run_id="r1")["table_results"]}
+    assert profile == {"good": (True, 1), "bad": (False, -1)}
+    assert statuses(eng.transform_all(run_id="r1")) == {"good": ("SUCCESS", 1), "bad": ("FAILED", 0)}
