@@ -1,16 +1,16 @@
-"""Substring deduplication by hashing lines and the clauses in them.
+"""Substring deduplication by hashing lines and the sentences in them.
 
 Lines are normalised (lower case, single blanks) and hashed to 128 bits. As passages may be pasted into
-the middle of a line, its clauses are hashed as well: a line is cut behind punctuation and before
-capitalised words inside a clause with few of them. The digests are grouped over the whole
-corpus, and the occurrence ranked first (by ``doc_id``, then text, then place) is kept. A later
-occurrence is removed if it lies in a run of adjacent later occurrences with at least ``min_words``
-words together, so chance repeats of short lines stay. Clauses under ``unit_words`` words mean
-little alone: they are hashed together with the clause before and with the one behind, count for
-nothing, and go only with a run they border on.
+the middle of a line, its sentences are hashed as well: a line is cut behind sentence signs, before
+capitalised words inside a sentence with few of them, and long sentences at commas. The digests are
+grouped over the whole corpus, and the occurrence ranked first (by ``doc_id``, then text, then place) is
+kept. A later occurrence is removed if it lies in a run of adjacent later occurrences with at least
+``min_words`` words together, so chance repeats of short lines stay. Sentences under ``unit_words`` words
+mean little alone: those next to each other in a line are hashed together with the sentence before, count
+for nothing, and go only with a run they border on.
 
 Only digests travel, with offsets in the original text; a digest that fills a third of the corpus is
-combined before it is shuffled, and its occurrences are joined to one row. Spans are gathered for
+combined before it is shuffled, and its occurrences are looked up in one row, which lets Spark split them. Spans are gathered for
 one document at a time. Offsets count code points of the original text, from 0, and are returned.
 
 Defined results: a null text stays null, an empty one empty; rows equal in ``doc_id`` and text are
@@ -29,12 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamflow.llm.base import fresh, settle, ship, text_key, whole_columns
+from loamflow.operators.joins import lookup_join
 
 _LINE = re.compile(r"[^\n]*\n+|[^\n]+")
-_CLAUSE = re.compile(r"[^.!?,;:]*[.!?,;:]+\s*|[^.!?,;:]+")
+_SENTENCE = re.compile(r"[^.!?]*[.!?]+\s*|[^.!?]+")
 _CAPITAL = re.compile(r"(?<=[a-zß-öø-ÿ] )(?=[A-ZÀ-ÖØ-Þ])")
-#: A clause with more capitalised words inside is not cut there.
+_COMMA = re.compile(r"(?<=[,;:])(?=\s)")
+#: A sentence with more capitalised words inside is not cut there.
 FEW_CAPITALS = 3
+#: A sentence with more words than this is cut at commas.
+LONG = 20
 _UNITS = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("unit", pa.int64()), ("last_unit", pa.int64()),
     ("start", pa.int64()), ("length", pa.int64()), ("words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
@@ -46,46 +50,54 @@ _SPANS = pa.schema([
 SPANS = "doc_id long, text_key long, removed array<struct<start: long, length: long, kept_doc_id: long>>"
 
 
-def clauses(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
-    """Start and end of each clause of a line; together they cover it, blanks behind a clause included."""
-    for match in _CLAUSE.finditer(text, start, end):
+def sentences(text: str, start: int, end: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each sentence of a line; together they cover it, blanks behind one included."""
+    for match in _SENTENCE.finditer(text, start, end):
         start, end = match.span()
         cuts = [m.start() for m in _CAPITAL.finditer(text, start, end)]
-        if 0 < len(cuts) <= FEW_CAPITALS:
-            for cut in cuts:
-                yield start, cut
-                start = cut
-        yield start, end
+        for stop in [*(cuts if len(cuts) <= FEW_CAPITALS else ()), end]:
+            words = text[start:stop].lower().split()
+            if len(words) > LONG:
+                for comma in _COMMA.finditer(text, start, stop):
+                    yield start, comma.start(), text[start:comma.start()].lower().split()
+                    start = comma.start()
+                words = text[start:stop].lower().split()
+            yield start, stop, words
+            start = stop
 
 
 def unit_rows(text: str, unit_words: int) -> Iterator[tuple]:
-    """First and last clause, start, length, words (0 for a short clause) and the two halves of the digest."""
+    """First and last unit, start, length, words (0: short sentences) and the two halves of the digest.
+
+    A unit is a sentence, or all the short sentences next to each other in a line.
+    """
     from xxhash import xxh3_128_intdigest
 
     def digest(key: str) -> tuple[int, int]:
         value = xxh3_128_intdigest(key.encode())
         return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
 
-    unit, before, short = -1, "", None  # the clause before; a short clause that waits for the one behind
+    unit, before = -1, ""
     for line in _LINE.finditer(text):
         at, end_of_line = line.span()
-        first, in_line = unit + 1, 0
-        for start, end in clauses(text, at, end_of_line):
-            unit += 1
-            words = text[start:end].lower().split()
-            in_line += len(words)
-            key = " ".join(words)
-            if short is not None:
-                yield *short[:5], *digest(f"{short[5]}\n>{key}")
-                short = None
-            if len(words) >= unit_words:
-                yield unit, unit, start, end - start, len(words), *digest(key)
-            elif words:
-                short = (unit, unit, start, end - start, 0, key)
-                if before:
-                    yield *short[:5], *digest(f"{before}\n<{key}")
-            before = key
-        if unit > first and in_line >= unit_words:
+        first, in_line, short = unit + 1, 0, None
+        for start, end, words in [*sentences(text, at, end_of_line), (end_of_line, end_of_line, None)]:
+            if words is not None and len(words) < unit_words:
+                if short is None:
+                    unit, short = unit + 1, [start, []]
+                short[1] += words
+                in_line += len(words)
+                continue
+            if short is not None and before and short[1]:
+                key = " ".join(short[1])
+                yield unit, unit, short[0], start - short[0], 0, *digest(f"{before}\n<{key}")
+            short = None
+            if words is not None:
+                unit, before = unit + 1, " ".join(words)
+                in_line += len(words)
+                yield unit, unit, start, end - start, len(words), *digest(before)
+        whole = unit == first and end_of_line > at and before == " ".join(text[at:end_of_line].lower().split())
+        if in_line >= unit_words and not whole:
             yield first, unit, at, end_of_line - at, in_line, *digest(" ".join(text[at:end_of_line].lower().split()))
 
 
@@ -104,10 +116,10 @@ def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
                     spans.append({k: r[k] for k in ("start", "length", "kept_doc_id")})
         run.clear()
 
-    for row in sorted(rows, key=lambda r: (r["unit"], -r["last_unit"])):
+    for row in sorted(rows, key=lambda r: (r["unit"], -r["last_unit"], -r["words"])):
         reached = run[-1]["last_unit"] if run else None
         if run and row["unit"] <= reached:
-            continue  # in a line that repeats, or a short clause that repeats with both its neighbours
+            continue  # inside a line that repeats
         if run and row["unit"] != reached + 1:
             close()
         run.append(row)
@@ -144,10 +156,12 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     own = whole_columns(docs, "doc_id", "text").select("doc_id", text_key().alias("text_key"), "text")
     fields = ", ".join(f"{f.name} long" for f in _UNITS)
     hashed = settle(own.mapInArrow(cut, fields), "units")
+    # Half of the digest tells which units can repeat at all; only these take part in the wide steps.
+    often = hashed.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d1")
+    shared = settle(lookup_join(hashed, often, ["d1"], "left_semi"), "shared-units")
     place = F.struct("doc_id", "text_key", "start", "length")
-    firsts = hashed.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.filter(F.col("first") < F.col("last")).select("d1", "d2", "first")
-    later = hashed.join(firsts, ["d1", "d2"]).filter(place > F.col("first"))
+    firsts = shared.groupBy("d1", "d2").agg(F.min(place).alias("first"))
+    later = lookup_join(shared, firsts, ["d1", "d2"], "left").filter(place > F.col("first"))
     unit = F.struct("unit", "last_unit", "start", "length", "words", F.col("first.doc_id").alias("kept_doc_id"))
     gathered = later.groupBy("doc_id", "text_key").agg(F.collect_set(unit).alias("units"))
     # A document without a run long enough needs no look at its order.

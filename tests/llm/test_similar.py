@@ -211,11 +211,11 @@ def test_whole_lines_of_short_clauses_go(documents):
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab AÉ.,!\n\té\U0001f600", max_size=80))
-def test_clauses_cover_lines(text):
+def test_sentences_cover_lines(text):
     at = 0
     for line in unit_dedup._LINE.finditer(text):
-        for start, end in unit_dedup.clauses(text, *line.span()):
-            assert start == at and end > start
+        for start, end, words in unit_dedup.sentences(text, *line.span()):
+            assert start == at and end > start and words == text[start:end].lower().split()
             at = end
     assert at == len(text)
 
