@@ -19,5 +19,6 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys() and QUERIES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
     assert contract.entry(spark).columns[0] == "customer_id"
