@@ -4,8 +4,8 @@ Lines are normalised (lower case, single blanks) and hashed to 128 bits. As pass
 the middle of a line, its sentences are hashed as well: a line is cut behind sentence signs, before
 capitalised words inside a sentence with few of them, and long sentences at commas. The digests are
 grouped over the whole corpus, and the occurrence ranked first (by ``doc_id``, then text, then place) is
-kept. A later occurrence is removed if it lies in a run of adjacent later occurrences with at least
-``min_words`` words together, so chance repeats of short lines stay. Sentences under ``unit_words`` words
+kept. A later occurrence is removed if it lies in a run of adjacent later occurrences of which at least
+``min_words`` words are kept by one document, so chance repeats of short lines stay. Sentences under ``unit_words`` words
 mean little alone: those next to each other in a line are hashed together with the sentence before, count
 for nothing, and go only with a run they border on.
 
@@ -107,7 +107,10 @@ def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
     run: list[dict] = []
 
     def close() -> None:
-        if sum(r["words"] for r in run) >= min_words:
+        by_source: dict[int | None, int] = {}
+        for r in run:
+            by_source[r["kept_doc_id"]] = by_source.get(r["kept_doc_id"], 0) + r["words"]
+        if max(by_source.values(), default=0) >= min_words:
             for r in run:
                 last = spans[-1] if spans else None
                 if last and last["kept_doc_id"] == r["kept_doc_id"] and last["start"] + last["length"] == r["start"]:

@@ -202,6 +202,14 @@ def test_pasted_passages_go_and_clean_texts_stay(documents):
             assert {s.kept_doc_id for s in out[i].removed} == {1}
 
 
+def test_neighbouring_lines_of_different_documents_stay(documents):
+    rng = random.Random(13)
+    notices = [sentence(rng, 15) for _ in range(3)]
+    docs = documents(*[(i, f"{n}\n{sentence(rng, 9)}") for i, n in enumerate(notices)], (9, "\n".join(notices)))
+    assert unit_dedup.remove_repeats(docs).filter("removed IS NOT NULL").count() == 0
+    assert unit_dedup.remove_repeats(docs, min_words=15).filter("removed IS NOT NULL").count() == 1
+
+
 def test_whole_lines_of_short_clauses_go(documents):
     line = "! ".join(f"SHOUT{k}" for k in range(40))
     docs = documents((1, f"first\n{line}\n"), (2, f"second\n{line}\nrest"), (3, "short line.\nanother"), (4, "short line.\nanother"))
