@@ -111,11 +111,11 @@ class TokenIds:
 
     The tokenizer drops white space and never merges across it, so the ids of a text are those
     of its chunks between blanks and line ends. A distinct chunk is encoded once by the tokenizers
-    library; at most ``limit`` chunks and as many words are remembered. Chunks of plain letters and
+    library; at most ``chunk_limit`` chunks and ``limit`` words are remembered. Chunks of plain letters and
     signs go to the library's model word by word, all others through its whole chain.
     """
 
-    def __init__(self, path: str, limit: int = 450_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 300_000, chunk_limit: int = 100_000, longest: int = 48):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -123,7 +123,7 @@ class TokenIds:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.bytes_as_text = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.limit, self.longest = limit, longest
+        self.limit, self.chunk_limit, self.longest = limit, chunk_limit, longest
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
 
@@ -136,15 +136,15 @@ class TokenIds:
         new = set(chunks).difference(known)
         if not new:
             return b"".join([known[c] for c in chunks])
-        if len(known) > self.limit:
+        if len(known) > self.chunk_limit:
             known.clear()
             known[""] = b""
             new = set(chunks).difference(known)
         here = {c: self._chunk(c) for c in new}
-        if len(here) == len(new) and len(known) + len(here) <= 2 * self.limit and max(map(len, here)) <= self.longest:
+        if len(here) == len(new) and len(known) + len(here) <= 2 * self.chunk_limit and max(map(len, here)) <= self.longest:
             known.update(here)
             return b"".join([known[c] for c in chunks])
-        known.update((c, ids) for c, ids in here.items() if len(c) <= self.longest and len(known) < self.limit)
+        known.update((c, ids) for c, ids in here.items() if len(c) <= self.longest and len(known) < self.chunk_limit)
         return b"".join([here[c] if c in here else known[c] for c in chunks])
 
     def _chunk(self, chunk: str) -> bytes:

@@ -35,7 +35,7 @@ _PLAIN = []
 )).map(" ".join))
 def test_encoder_equals_the_library_on_whole_texts(text):
     if not _ENCODER:
-        _ENCODER.append(base.TokenIds(PATH, limit=50))
+        _ENCODER.append(base.TokenIds(PATH, limit=50, chunk_limit=20))
         _PLAIN.append(Tokenizer.from_file(PATH))
         _PLAIN[0].encode_special_tokens = True
     expected = np.array(_PLAIN[0].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
