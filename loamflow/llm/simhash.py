@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamflow.llm import near_copies
 from loamflow.llm.base import fresh, pieces, settle, ship, text_key, whole_columns
 
 SEED, SHINGLE = 42, 3
@@ -139,13 +140,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
 
-def rooted(prints: DataFrame) -> DataFrame:
-    """fp and root of every distinct fingerprint."""
+def rooted(prints: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """fp and root of every distinct fingerprint, linked at two bits or by ``edges`` (u, v)."""
     # In as many files as there are shuffle partitions: each row is about to become many.
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = prints.select(F.col("fingerprint").alias("fp")).distinct().repartition(parts, "fp")
     distinct = settle(distinct, "distinct-fingerprints")
-    roots = components(links(distinct))
+    roots = components(links(distinct) if edges is None else edges)
     return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -160,14 +161,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, without all but one of each component: the one with the smallest id."""
-    prints = fingerprints(docs)
+def drop_near_duplicates(docs: DataFrame, similarity: float | None = None) -> DataFrame:
+    """The documents, all columns, without all but one of each component: the one with the smallest id.
+
+    With ``similarity``, documents link by the Jaccard similarity of their 5-word shingles, not by fingerprint.
+    """
+    prints = fingerprints(docs) if similarity is None else near_copies.prints(docs)
+    edges = None if similarity is None else near_copies.links(docs, prints, similarity)
     name = F.struct("doc_id", "text_key")
     firsts = prints.filter(F.col("doc_id").isNotNull()).groupBy("fingerprint").agg(F.min(name).alias("first"))
     lone = prints.groupBy("fingerprint").agg(F.min(name).alias("any"))
     firsts = lone.join(firsts, "fingerprint", "left").select("fingerprint", F.coalesce("first", "any").alias("first"))
-    members = settle(rooted(prints).join(firsts, F.col("fp") == F.col("fingerprint")).select("fp", "root", "first"), "members")
+    members = rooted(prints, edges).join(firsts, F.col("fp") == F.col("fingerprint"))
+    members = settle(members.select("fp", "root", "first"), "members")
     # Named documents go before those without an id.
     by_rank = F.min_by("first", F.struct(F.col("first.doc_id").isNull(), "first"))
     kept = members.groupBy("root").agg(by_rank.alias("kept"))
