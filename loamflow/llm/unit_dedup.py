@@ -1,13 +1,17 @@
-"""Substring deduplication by hashing lines and the sentences in them.
+"""Substring deduplication by hashing runs of units whose borders come from the text around them.
 
-Lines are normalised (lower case, single blanks) and hashed to 128 bits. As passages may be pasted into
-the middle of a line, its sentences are hashed as well: a line is cut behind sentence signs, before
-capitalised words inside a sentence with few of them, and long sentences at commas. The digests are
-grouped over the whole corpus, and the occurrence ranked first (by ``doc_id``, then text, then place) is
-kept. A later occurrence is removed if it lies in a run of adjacent later occurrences of which at least
-``min_words`` words are kept by one document, so chance repeats of short lines stay. Sentences under ``unit_words`` words
-mean little alone: those next to each other in a line are hashed together with the sentence before, count
-for nothing, and go only with a run they border on.
+A text is cut into units: behind sentence signs and line ends, before a capitalised word with no other close behind, and
+before each word whose hash (with the word behind it) is the smallest among ``unit_words`` - 1 neighbours on
+both sides. As a border depends on the few words next to it only, a passage pasted into the middle of a line is
+cut alike wherever it stands, with or without signs, in any script. From each unit on, and up to each unit, as many
+units as make up ``min_words`` words are hashed together to 128 bits (normalised: lower case, single blanks),
+across line ends. The digests are grouped over the whole corpus; the occurrence ranked first (by
+``doc_id``, then text, then place) is kept, every later one is removed. So a run counts by its own repetition,
+whichever documents hold parts of it, and lines that repeat each by itself stay. Of a shared passage, what is left is
+less than a unit at each end.
+
+Where words are not set apart by blanks (Chinese, Japanese, Thai and others) each character is cut and hashed like a word and
+counts for half a word (Thai, Lao, Burmese, Khmer: a quarter); a longer string without blanks counts a word for 8 characters.
 
 Only digests travel, with offsets in the original text; a digest that fills a third of the corpus is
 combined before it is shuffled, and its occurrences are looked up in one row, which lets Spark split them. Spans are gathered for
@@ -15,33 +19,40 @@ one document at a time. Offsets count code points of the original text, from 0,
 
 Defined results: a null text stays null, an empty one empty; rows equal in ``doc_id`` and text are
 the same document and lose the same spans; documents without an id rank first; repeats
-within a document count like any other; columns besides those two are kept by
+within a document count like any other; one word repeated over and over is a single unit; columns besides those two are kept by
 ``remove_repeats`` and ``drop_repeated``; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import fresh, settle, ship, text_key, whole_columns
+from loamflow.llm.base import fresh, pieces, settle, ship, text_key, whole_columns
 from loamflow.operators.joins import lookup_join
 
 _LINE = re.compile(r"[^\n]*\n+|[^\n]+")
-_SENTENCE = re.compile(r"[^.!?]*[.!?]+\s*|[^.!?]+")
-_CAPITAL = re.compile(r"(?<=[a-zß-öø-ÿ] )(?=[A-ZÀ-ÖØ-Þ])")
-_COMMA = re.compile(r"(?<=[,;:])(?=\s)")
-#: A sentence with more capitalised words inside is not cut there.
-FEW_CAPITALS = 3
-#: A sentence with more words than this is cut at commas.
-LONG = 20
+#: Characters that are words of their own: scripts written without blanks, by how many make up a word, and their signs.
+_QUARTER, _HALF = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff", "\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_QUARTER}{_HALF}]")
+_WORD, _WORD_OR_CHARACTER = re.compile(r"\S+"), re.compile(rf"[{_QUARTER}{_HALF}]|[^\s{_QUARTER}{_HALF}]+")
+_FOURTH = re.compile(f"[{_QUARTER}]")
+_SIGNS = frozenset(".!?\u2026\u3002\uff01\uff1f\uff0e\uff61\u061f\u06d4\u0964\u0965\u104b\u17d4")
+#: A capitalised word begins a unit if none of so many words behind it is capitalised.
+ALONE = 3
+#: A word of more characters counts as one for each 8.
+LONG = 32
 _UNITS = pa.schema([
-    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("unit", pa.int64()), ("last_unit", pa.int64()),
-    ("start", pa.int64()), ("length", pa.int64()), ("words", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("words", pa.int64()),
+    ("d1", pa.int64()), ("d2", pa.int64()),
 ])
 _SPANS = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()),
@@ -50,83 +61,120 @@ _SPANS = pa.schema([
 SPANS = "doc_id long, text_key long, removed array<struct<start: long, length: long, kept_doc_id: long>>"
 
 
-def sentences(text: str, start: int, end: int) -> Iterator[tuple[int, int, list[str]]]:
-    """Start, end and words of each sentence of a line; together they cover it, blanks behind one included."""
-    for match in _SENTENCE.finditer(text, start, end):
-        start, end = match.span()
-        cuts = [m.start() for m in _CAPITAL.finditer(text, start, end)]
-        for stop in [*(cuts if len(cuts) <= FEW_CAPITALS else ()), end]:
-            words = text[start:stop].lower().split()
-            if len(words) > LONG:
-                for comma in _COMMA.finditer(text, start, stop):
-                    yield start, comma.start(), text[start:comma.start()].lower().split()
-                    start = comma.start()
-                words = text[start:stop].lower().split()
-            yield start, stop, words
-            start = stop
-
-
-def unit_rows(text: str, unit_words: int) -> Iterator[tuple]:
-    """First and last unit, start, length, words (0: short sentences) and the two halves of the digest.
-
-    A unit is a sentence, or all the short sentences next to each other in a line.
+def sentences(text: str, start: int, end: int, unit_words: int = 4) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each unit of a stretch of text; together they cover it, blanks behind one included."""
+    pattern = _WORD_OR_CHARACTER if _UNSPACED.search(text, start, end) else _WORD
+    starts = [m.start() for m in pattern.finditer(text, start, end)]
+    words = pattern.findall(text[start:end].lower())
+    if not words:
+        if end > start:
+            yield start, end, []
+        return
+    n = len(words)
+    border = np.array(starts, np.int64)
+    capital = np.fromiter([text[a].isupper() for a in starts], bool, n)
+    last = [w[-1] for w in words]
+    signed = np.fromiter([c in _SIGNS for c in last], bool, n)
+    lettered = np.fromiter(map(str.isalpha, last), bool, n)
+    sure = np.zeros(n, bool)
+    sure[1:] = signed[:-1] | (capital[1:] & lettered[:-1])
+    for k in range(1, min(ALONE, n - 2) + 1):
+        sure[1:n - k] &= signed[:n - k - 1] | ~capital[1 + k:]
+    at = text.find("\n", start, end)
+    while at >= 0:
+        i = bisect_left(starts, at)
+        if 0 < i < n:
+            sure[i], border[i] = True, at + 1
+        at = text.find("\n", at + 1, end)
+    codes = np.fromiter(map(crc32, "\n".join(words).encode().split(b"\n")), np.uint64, n)
+    mixed = (codes * np.uint64(0x9E3779B97F4A7C15)) ^ (np.append(codes[1:], np.uint64(0)) * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(2)).astype(np.int64)
+    sure[0], border[0] = True, start
+    mixed[sure] = -1
+    least = ~sure
+    for k in range(1, unit_words):
+        least[k:] &= mixed[k:] < mixed[:-k]
+        least[:-k] &= mixed[:-k] <= mixed[k:]
+    cuts = np.flatnonzero(sure | least).tolist()
+    for i, j in zip(cuts, [*cuts[1:], n]):
+        yield int(border[i]), int(border[j]) if j < n else end, words[i:j]
+
+
+def _quarters(words: list[str]) -> int:
+    """Words of a unit, in quarters."""
+    count = 0
+    for word in words:
+        if len(word) > LONG:
+            count += len(word) // 2
+        elif len(word) == 1 and _UNSPACED.match(word):
+            count += 1 if _FOURTH.match(word) else 2
+        else:
+            count += 4
+    return count
+
+
+def unit_rows(text: str, unit_words: int, min_words: int = 25) -> Iterator[tuple]:
+    """First and last unit, start, length, words and the two halves of the digest of each run.
+
+    A run begins with a unit and is as short as ``min_words`` words let it be, or ends with one and is.
     """
     from xxhash import xxh3_128_intdigest
 
-    def digest(key: str) -> tuple[int, int]:
-        value = xxh3_128_intdigest(key.encode())
-        return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
-
-    unit, before = -1, ""
-    for line in _LINE.finditer(text):
-        at, end_of_line = line.span()
-        first, in_line, short = unit + 1, 0, None
-        for start, end, words in [*sentences(text, at, end_of_line), (end_of_line, end_of_line, None)]:
-            if words is not None and len(words) < unit_words:
-                if short is None:
-                    unit, short = unit + 1, [start, []]
-                short[1] += words
-                in_line += len(words)
-                continue
-            if short is not None and before and short[1]:
-                key = " ".join(short[1])
-                yield unit, unit, short[0], start - short[0], 0, *digest(f"{before}\n<{key}")
-            short = None
-            if words is not None:
-                unit, before = unit + 1, " ".join(words)
-                in_line += len(words)
-                yield unit, unit, start, end - start, len(words), *digest(before)
-        whole = unit == first and end_of_line > at and before == " ".join(text[at:end_of_line].lower().split())
-        if in_line >= unit_words and not whole:
-            yield first, unit, at, end_of_line - at, in_line, *digest(" ".join(text[at:end_of_line].lower().split()))
+    run: deque[tuple[int, int, str, int]] = deque()  # begins with the last unit that began a run
+    began, total, unit, held = False, 0, 0, None
+
+    def row(end: int) -> tuple:
+        value = xxh3_128_intdigest(" ".join([u[2] for u in run]).encode())
+        return (run[0][0], run[-1][0], run[0][1], end - run[0][1], total // 4,
+                (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63))
+
+    def units() -> Iterator[tuple[int, str, int]]:
+        at = 0
+        for piece in pieces(text):
+            for start, _, words in sentences(text, at, at + len(piece), unit_words):
+                if words:
+                    key = " ".join(words)
+                    plain = key.isascii() and (len(key) <= LONG or max(map(len, words)) <= LONG)
+                    yield start, key, 4 * len(words) if plain else _quarters(words)
+            at += len(piece)
+        yield len(text), "", 0
+
+    for following in units():
+        if held is not None:
+            end = following[0]
+            run.append((unit, *held))
+            total += held[2]
+            unit += 1
+            ahead = total - run[0][3] if began else total
+            if ahead < 4 * min_words:
+                if began:
+                    yield row(end)
+            else:
+                if began:
+                    total -= run.popleft()[3]
+                while True:
+                    yield row(end)
+                    if total - run[0][3] < 4 * min_words:
+                        break
+                    total -= run.popleft()[3]
+                began = True
+        held = following
 
 
 def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
-    """Spans to remove from the repeated units of one document."""
+    """Spans to remove: what the repeated runs of one document cover."""
     spans: list[dict] = []
-    run: list[dict] = []
-
-    def close() -> None:
-        by_source: dict[int | None, int] = {}
-        for r in run:
-            by_source[r["kept_doc_id"]] = by_source.get(r["kept_doc_id"], 0) + r["words"]
-        if max(by_source.values(), default=0) >= min_words:
-            for r in run:
-                last = spans[-1] if spans else None
-                if last and last["kept_doc_id"] == r["kept_doc_id"] and last["start"] + last["length"] == r["start"]:
-                    last["length"] += r["length"]
-                else:
-                    spans.append({k: r[k] for k in ("start", "length", "kept_doc_id")})
-        run.clear()
-
-    for row in sorted(rows, key=lambda r: (r["unit"], -r["last_unit"], -r["words"])):
-        reached = run[-1]["last_unit"] if run else None
-        if run and row["unit"] <= reached:
-            continue  # inside a line that repeats
-        if run and row["unit"] != reached + 1:
-            close()
-        run.append(row)
-    close()
+    reached = 0
+    for r in sorted(rows, key=lambda r: (r["start"], r["length"])):
+        end, start = r["start"] + r["length"], max(r["start"], reached)
+        if r["words"] < min_words or end <= start:
+            continue
+        last = spans[-1] if spans else None
+        if last and last["kept_doc_id"] == r["kept_doc_id"] and reached == start:
+            last["length"] += end - start
+        else:
+            spans.append({"start": start, "length": end - start, "kept_doc_id": r["kept_doc_id"]})
+        reached = end
     return spans
 
 
@@ -143,8 +191,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
 
         for batch in batches:
             for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                for row in unit_rows(text.as_py() or "", unit_words):
-                    rows.append((doc_id, key, *row))
+                for row in unit_rows(text.as_py() or "", unit_words, min_words):
+                    rows.append((doc_id, key, *row[2:]))
                     if len(rows) == 50_000:
                         yield out()
         if rows:
@@ -165,11 +213,9 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     place = F.struct("doc_id", "text_key", "start", "length")
     firsts = shared.groupBy("d1", "d2").agg(F.min(place).alias("first"))
     later = lookup_join(shared, firsts, ["d1", "d2"], "left").filter(place > F.col("first"))
-    unit = F.struct("unit", "last_unit", "start", "length", "words", F.col("first.doc_id").alias("kept_doc_id"))
+    unit = F.struct("start", "length", "words", F.col("first.doc_id").alias("kept_doc_id"))
     gathered = later.groupBy("doc_id", "text_key").agg(F.collect_set(unit).alias("units"))
-    # A document without a run long enough needs no look at its order.
-    enough = F.aggregate("units", F.lit(0).cast("long"), lambda a, u: a + u["words"]) >= min_words
-    return gathered.filter(enough).mapInArrow(join_up, SPANS).filter(F.size("removed") > 0)
+    return gathered.mapInArrow(join_up, SPANS).filter(F.size("removed") > 0)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 25, unit_words: int = 4, out: str = "removed") -> DataFrame:
