@@ -41,6 +41,18 @@ def removed(rows):
     return sum(s.length for s in rows or [])
 
 
+@pytest.mark.parametrize("kind", ["plain", "names", "arabic", "hindi", "han", "thai"])
+def test_passages_without_signs_go_from_any_line(documents, kind):
+    rng = random.Random(23)
+    texts = [passage(rng, kind) for _ in range(40)]
+    rows = [(i + 100 * k, pasted(rng, kind, t)) for k in (0, 1) for i, t in enumerate(texts)]
+    out = {r.doc_id: r for r in unit_dedup.remove_repeats(documents(*rows)).collect()}
+    assert all(out[i].removed is None for i in range(40))
+    shares = [removed(out[100 + i].removed) / len(t) for i, t in enumerate(texts)]
+    assert sum(s > 0 for s in shares) >= 39 and sum(shares) / 40 > 0.6 and max(shares) <= 1.02
+    assert all(s.kept_doc_id == i for i in range(40) for s in out[100 + i].removed or [])
+
+
 def test_a_run_counts_whole_though_its_sentences_first_stand_apart(documents):
     rng = random.Random(29)
     sentences = [" ".join(words(rng, 18)).capitalize() + "." for _ in range(3)]
