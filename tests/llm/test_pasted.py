@@ -65,3 +65,19 @@ def test_a_run_counts_whole_though_its_sentences_first_stand_apart(documents):
         assert all(out[i].removed is None for i in (1, 2, 3, 10))
         assert out[11].text.split() == [*host[2].split(), *host[3].split()]
         assert {s.kept_doc_id for s in out[11].removed} == {10}
+
+
+def test_short_lines_and_texts_without_blanks_add_up(documents):
+    rng = random.Random(31)
+    menu = "\n".join(" ".join(words(rng, 3)) for _ in range(20))
+    tags = "\n".join(words(rng, 50))
+    han = "".join(rng.choices(HAN, k=100))
+    code = "".join(rng.choices("abcdef0123456789", k=400))
+    rows = [(k + 10 * i, t) for i, t in enumerate((menu, tags, han, code)) for k in (0, 1)]
+    rows += [(90, f"one other line of words\n{menu}\nand one behind it")]
+    rows += [(91, "\n".join(menu.split("\n")[:8])), (92, han[:40])]  # 24 words and 20: too few
+    out = {r.doc_id: r.text for r in unit_dedup.remove_repeats(documents(*rows)).collect()}
+    assert {i: out[i] for i in (1, 11, 21, 31)} == {1: "", 11: "", 21: "", 31: ""}
+    assert [out[10 * i] for i in range(4)] == [menu, tags, han, code]
+    assert out[90] == "one other line of words\nand one behind it"
+    assert out[91] == rows[-2][1] and out[92] == rows[-1][1]
