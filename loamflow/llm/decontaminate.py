@@ -190,16 +190,17 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"start": int(a), "length": int(b - a)} for a, b in zip(edges[::2], edges[1::2])]
 
 
-def blocks(bench: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark as lists of item and text, each of about ``block_bytes`` at most."""
+def blocks(bench: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple[str, str]], bool]]:
+    """The benchmark, repeated rows dropped, as lists of item and text of about ``block_bytes`` at most; whether it is the last."""
     own = whole_columns(bench, "item_id", "text").select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
     )
+    own = settle(own.distinct(), "benchmark")
     total = own.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for block in range(n):
-        yield [tuple(r) for r in (own.filter(place == block) if n > 1 else own).collect()]
+        yield [tuple(r) for r in (own.filter(place == block) if n > 1 else own).collect()], block == n - 1
 
 
 def match(docs: DataFrame, bench: DataFrame, block_bytes: int = 32 << 20) -> DataFrame:
@@ -217,10 +218,8 @@ def match(docs: DataFrame, bench: DataFrame, block_bytes: int = 32 << 20) -> Dat
         ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("hits", pa.list_(span)),
         ("items", pa.list_(pa.string())),
     ])
-    all_blocks = list(blocks(bench, block_bytes))
-    for number, items in enumerate(all_blocks):
+    for items, last in blocks(bench, block_bytes):
         shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
-        last = number == len(all_blocks) - 1
 
         def run(batches: Iterator[pa.RecordBatch], name=name, shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             index = _index(name, shared)
@@ -242,6 +241,7 @@ def match(docs: DataFrame, bench: DataFrame, block_bytes: int = 32 << 20) -> Dat
         state = state.mapInArrow(run, fields)
         if not last:
             state = settle(state, "decontaminated")
+            shared.destroy()
     return state.drop("text")
 
 
@@ -250,8 +250,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, block_bytes: int = 32 <
     spark = docs.sparkSession
     ship(spark)
     at = [c.lower() for c in docs.columns].index("text")
-    all_blocks = list(blocks(bench, block_bytes))
-    for number, items in enumerate(all_blocks):
+    for items, last in blocks(bench, block_bytes):
         shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], name=name, shared=shared) -> Iterator[pa.RecordBatch]:
@@ -260,6 +259,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, block_bytes: int = 32 <
                 yield batch.filter(pa.array([not find(index, t.as_py())[1].any() for t in batch.column(at)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
-        if number < len(all_blocks) - 1:
+        if not last:
             docs = settle(docs, "decontaminated")
+            shared.destroy()
     return docs
