@@ -39,8 +39,3 @@ def conf(spark):
     yield change
     for key, value in saved.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def bag(df):
-    """Rows as a sorted list, for comparing frames without caring about order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import bag
+from compare import bag
 from loamflow.operators.writes import append, compact, merge_upsert, overwrite, scd2_history, update_matched
 
 SCHEMA = "k INT, j STRING, v STRING, n LONG"

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import bag
+from compare import bag
 from loamflow import GovernanceEngine
 from loamflow.operators import policies
 

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import bag
+from compare import bag
 from loamflow import DQEngine, DQPipelineException, Warehouse
 from loamflow.operators.quality import RuleSet, dq_summary, summarize
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import bag
+from compare import bag
 from loamflow import BulkTransformEngine, Warehouse, sql_transform
 from loamflow.sources.snapshots import StaleResult
 from loamflow.schemas import AUDIT_SCHEMA, CONTROL_SCHEMA, DQ_RESULTS_SCHEMA

@@ -1,4 +1,4 @@
-from conftest import bag
+from compare import bag
 from loamflow import BulkTransformEngine, incremental_stream
 from test_runner import quality_spec, rows, spec
 from test_specs import write_csv

@@ -2,7 +2,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
-from conftest import bag
+from compare import bag
 from loamflow import apply_drop_columns, apply_rename_columns, apply_snake_case, sql_transform
 from loamflow.operators.transforms import mentions, resolve_sql
 
