@@ -1,0 +1,278 @@
+"""SentencePiece codec against the library, Merkle proofs and periodic runs against plain Python."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+
+from loamflow.llm import merge_pieces, merkle, runs
+from loamflow.llm.queries import QUERIES, with_planted_run
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# Pieces
+
+_CODEC = []
+
+
+def codec():
+    if not _CODEC:
+        _CODEC.append(merge_pieces.PieceCodec(PATH, limit=40, longest=10))
+    return _CODEC[0]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=12), st.sampled_from([
+    "", " ", "   ", "\n", "\r\n\t", "▁", "▁▁x", "the", "The,", "don't", "…", "<s>", "</s>", "<0x0A>", "<unk>", "\u0000", "漢字", "é", "\U0001f600", "ÀÉ",
+    "internationalization", "=" * 30, "aaaaaaaaaaaaa", "﻿", "​", "x y", "123456789",
+]))).map(" ".join))
+def test_whole_texts_are_encoded_and_decoded_like_the_library(text):
+    assert codec().whole_agree(text)
+    assert codec().batch([text])[0][2]
+    assert codec().decode(codec().encode(text)) == codec().library.decode(codec().encode(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abcdehilnorst▁ .", min_size=1, max_size=60))
+def test_both_forms_of_the_agenda_merge_alike(text):
+    order = codec().order
+    assert merge_pieces.merge_symbols(list(text), order, short=0) == merge_pieces.merge_symbols(list(text), order, short=99)
+
+
+def test_long_stretches_without_blanks():
+    for text in ("a" * 50_000, "漢字かな" * 5_000, "xyz" * 9_000 + " tail", " " * 3_000 + "x"):
+        assert codec().whole_agree(text)
+
+
+def test_a_disagreement_is_told(monkeypatch):
+    own = merge_pieces.PieceCodec(PATH)
+    monkeypatch.delitem(own.order, "▁the")
+    told = [agrees for _, _, agrees in own.batch(["one the two", "plain words"])]
+    assert told == [False, True]
+
+
+@pytest.mark.parametrize("change", ["type", "bytes", "unused"])
+def test_other_models_are_refused(tmp_path, change):
+    from sentencepiece import sentencepiece_model_pb2 as model_file
+
+    model = model_file.ModelProto()
+    model.ParseFromString(SentencePieceProcessor(model_file=PATH).serialized_model_proto())
+    if change == "type":
+        model.trainer_spec.model_type = 1
+    elif change == "bytes":
+        model.trainer_spec.byte_fallback = False
+        for p in model.pieces:
+            if p.type == 6:
+                p.type = 1
+    else:
+        model.pieces[5000].type = 5
+    (tmp_path / "m.model").write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError):
+        merge_pieces.PieceCodec(str(tmp_path / "m.model"))
+
+
+def test_documents_as_pieces(awkward):
+    library = SentencePieceProcessor(model_file=PATH)
+    got = sorted((repr(r.doc_id), r.ids, r.decoded, r.agrees) for r in merge_pieces.encode_documents(awkward, PATH).collect())
+    expected = []
+    for r in awkward.collect():
+        ids = library.encode(r.text or "", add_eos=True)
+        expected.append((repr(r.doc_id), ids, library.decode(ids), True))
+    assert got == sorted(expected)
+    assert merge_pieces.encode_documents(awkward.limit(0), PATH).count() == 0
+
+
+def test_op11_on_the_given_table(spark, sf_dir):
+    library = SentencePieceProcessor(model_file=PATH)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = QUERIES["op11_merge_pieces"](spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = library.encode(docs[r.doc_id] or "", add_eos=True)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)))
+
+
+# Proofs
+
+
+def slow_tree(nodes):
+    """Levels from the leaves up."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([sha("".join(levels[-1][i:i + 8])) for i in range(0, len(levels[-1]), 8)])
+    return levels
+
+
+def slow_proof(levels, at):
+    """Siblings before and behind, level by level."""
+    path = []
+    for level in levels[:-1]:
+        first = at // 8 * 8
+        path.append((level[first:at], level[at + 1:first + 8]))
+        at //= 8
+    return path
+
+
+def slow_manifest(rows):
+    """(doc_id, leaf, subroot, root, proof, folded, verified) of (doc_id, source, lang, n_chars, text) rows."""
+
+    def leaf(values):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    def key(v):
+        return (v is not None, v if not isinstance(v, str) else v.encode())
+
+    groups = defaultdict(list)
+    for row in rows:
+        low = None if row[4] is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in row[4])
+        tampered = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0
+        own = leaf(row)
+        groups[row[2]].append((key(row[0] if row[0] is not None else 0), row[0], own, leaf((*row[:4], low)) if tampered else own))
+    langs = sorted(groups, key=key)
+    trees = {}
+    for lang in langs:
+        groups[lang].sort(key=lambda g: ((g[1] is not None), g[1] or 0, g[2]))
+        trees[lang] = slow_tree([g[2] for g in groups[lang]])
+    top = slow_tree([trees[lang][-1][0] for lang in langs])
+    out = []
+    for rank, lang in enumerate(langs):
+        for at, (_, doc_id, own, folded) in enumerate(groups[lang]):
+            path = slow_proof(trees[lang], at) + slow_proof(top, rank)
+            proof = "".join("".join(before + after) for before, after in path)
+            for before, after in path:
+                folded = sha("".join(before) + folded + "".join(after))
+            out.append((doc_id, own, trees[lang][-1][0], top[-1][0], proof, folded, folded == top[-1][0]))
+    return sorted(out, key=repr)
+
+
+def proved(docs):
+    columns = ("doc_id", "leaf", "subroot", "root", "proof", "folded_root", "verified")
+    return sorted((tuple(r[c] for c in columns) for r in merkle.prove(docs).collect()), key=repr)
+
+
+def given_rows(docs):
+    return [(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in docs.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+
+
+def test_proofs_equal_plain_ones(spark, documents, awkward):
+    rng = random.Random(8)
+    many = documents(*[(rng.randrange(900), rng.choice(["Ab Cd", "x", "Ünï Zé", ""]), rng.choice(["en", None, "de"])) for _ in range(700)])
+    langs = documents(*[(i, f"Text {i}", f"l{i % 75}é") for i in range(300)])
+    for docs in (awkward, many, langs, documents((3, "Only ONE")), documents((1, "A", "x"), (2, "b", "y"))):
+        assert proved(docs) == slow_manifest(given_rows(docs))
+    assert proved(awkward.limit(0)) == []
+
+
+def test_a_hot_group_of_equal_rows_is_spread(spark, documents, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    docs = documents(*[(5, "Same", "en")] * 2000)
+    placed = merkle.numbered(docs, ["lang", "doc_id"], "at")
+    assert sorted(r["at"] for r in placed.collect()) == list(range(2000))
+    assert placed.select("_part" if "_part" in placed.columns else F.spark_partition_id()).distinct().count() > 1
+    assert proved(docs.limit(100)) == slow_manifest(given_rows(docs.limit(100)))
+
+
+def test_recursion_limit_is_put_back(spark, documents):
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    merkle.prove(documents((1, "x"), (2, "y")))
+    assert spark.conf.get("spark.sql.cteRecursionRowLimit") == before
+
+
+# Runs
+
+
+def slow_runs(words):
+    found = {}
+    for q in range(1, len(words) // 3 + 1):
+        i = 0
+        while i < len(words) - q:
+            j = i
+            while j < len(words) - q and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(24, 3 * q):
+                found.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def slow_collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def split(text):
+    return [w.decode() for w in (text or "").encode().split()]
+
+
+_pattern = st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(1, 70)).map(lambda p: (p[0] * 70)[:p[1]])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(_pattern, max_size=6).map(lambda parts: [w for p in parts for w in p]))
+def test_runs_equal_those_of_trying_every_period(words):
+    numbers = np.array(words, np.int64)
+    assert runs.runs_of(numbers, runs._suspects([numbers])[0]) == slow_runs(words)
+
+
+def test_long_runs_and_many_places(monkeypatch):
+    monkeypatch.setattr(runs, "_BLOCK", 16)
+    for words in ([0] * 3000, [i % 7 for i in range(3000)], [i % 5 for i in range(900)] + [9] + [i % 5 for i in range(900)],
+                  [w for i in range(200) for w in [100 + i, *range(20)]]):
+        numbers = np.array(words)
+        assert runs.runs_of(numbers, runs._suspects([numbers])[0]) == slow_runs(words)
+
+
+def test_runs_of_documents(documents, awkward):
+    cases = [(r.doc_id, r.text) for r in awkward.filter("doc_id <> 6 or doc_id is null").select("doc_id", "text").collect()]
+    (hot,) = runs.find_runs(awkward.filter("doc_id = 6")).collect()
+    assert [tuple(r) for r in hot.runs] == [(0, 30_000, 1)] and hot.collapsed == "word"
+    cases += [(20, "a b " * 12), (21, "a b " * 11 + "a"), (22, "x y z\n" * 8 + "x y q"), (23, "a b " * 24), (24, "Same SAME " * 30)]
+    got = {}
+    for r in runs.find_runs(documents(*cases)).collect():
+        got.setdefault((r.doc_id, r.collapsed), []).append((r.n_words, [tuple(x) for x in r.runs]))
+    expected = {}
+    for doc_id, text in cases:
+        words = split(text)
+        found = slow_runs(words)
+        expected.setdefault((doc_id, slow_collapsed(words, found)), []).append((len(words), found))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
+    assert runs.find_runs(awkward).count() == awkward.count() and runs.find_runs(awkward.limit(0)).count() == 0
+
+
+def test_op13_on_the_given_table(spark, sf_dir):
+    expected = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        words = split(r.text)
+        h = zlib.crc32(str(r.doc_id).encode())
+        g, n = h // 10, len(words)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+        found = slow_runs(words)
+        best = min(found, key=lambda f: (-f[1] / f[2], f[0], f[2])) if found else (None,) * 3
+        expected[r.doc_id] = (
+            len(found), *best, best[1] and 1000 * best[1] // best[2],
+            sha("".join(f"{s},{n},{q}\n" for s, n, q in found)), sha(slow_collapsed(words, found)),
+        )
+    rows = QUERIES["op13_runs"](spark, sf_dir).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected and len(rows) == len(expected)
+    assert sum(e[0] > 0 for e in expected.values()) > 5
+
+
+def test_planting_on_awkward_rows(awkward):
+    for r in with_planted_run(awkward).join(awkward.select("doc_id", F.col("text").alias("was")).distinct(), "doc_id").collect():
+        assert (r.text is None) == (r.was is None) or r.doc_id in (1,)
