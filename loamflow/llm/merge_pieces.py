@@ -4,7 +4,8 @@ A text is normalised by the model's own rule and cut into symbols of one charact
 piece are put on an agenda ordered by the piece's score (equal scores: from left to right); the best pair is
 merged, the pairs it makes with its neighbours join the agenda, and pairs that a merge has made void leave it or are
 passed over when they come up. What no piece covers in the end is written as bytes. Decoding puts pieces and bytes
-back together. The agenda of a long stretch is a heap; that of a short one a list with a place for each pair.
+back together. The agenda of a long stretch is a heap; those of short ones lie side by side in an array with a place for
+each pair, and the best of each stretch is merged in the same step.
 
 A merge never joins two neighbouring characters that no piece has side by side, and the order of merges on one side of
 such a place does not bear on the other. So if no piece has a blank sign behind another character (checked when the
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -44,29 +45,8 @@ _ENCODED = pa.schema([
 ])
 
 
-def merge_symbols(symbols: list[str], order: dict[str, int], short: int = 24) -> list[str]:
-    """The symbols after all merges; ``order`` ranks the pieces, the best first."""
-    return _merge_few(symbols, order.get) if len(symbols) <= short else _merge_many(symbols, order.get)
-
-
-def _merge_few(parts: list[str], rank: Callable[[str, int], int]) -> list[str]:
-    agenda = [rank(pair, _NEVER) for pair in map(str.__add__, parts, parts[1:])]
-    while agenda:
-        best = min(agenda)
-        if best == _NEVER:
-            break
-        i = agenda.index(best)
-        pair = parts[i] + parts.pop(i + 1)
-        parts[i] = pair
-        del agenda[i]
-        if i:
-            agenda[i - 1] = rank(parts[i - 1] + pair, _NEVER)
-        if i < len(agenda):
-            agenda[i] = rank(pair + parts[i + 1], _NEVER)
-    return parts
-
-
-def _merge_many(symbols: list[str], rank: Callable[[str, int], int]) -> list[str]:
+def merge_symbols(symbols: list[str], rank: Callable[[str, int], int]) -> list[str]:
+    """The symbols of a stretch after all merges, by a heap; ``rank`` orders the pieces, the best first."""
     parts: list[str | None] = list(symbols)
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -94,6 +74,79 @@ def _merge_many(symbols: list[str], rank: Callable[[str, int], int]) -> list[str
     return [p for p in parts if p is not None]
 
 
+class MergeTable:
+    """The same merges for many stretches at a time, over numbered symbols: pieces have their ids, other characters follow."""
+
+    def __init__(self, pieces: dict[str, int], order: dict[str, int]):
+        self.numbers = dict(pieces)
+        self.first_character = max(pieces.values()) + 1
+        self.characters: list[str] = []
+        pairs = []
+        for piece, at in order.items():
+            for k in range(1, len(piece)):
+                left, right = piece[:k], piece[k:]
+                if (k == 1 or left in pieces) and (k == len(piece) - 1 or right in pieces):
+                    pairs.append((self.number(left) << 32 | self.number(right), at, pieces[piece]))
+        pairs.sort()
+        self.keys, self.ranks, self.merged = (np.array(c, np.int64) for c in zip(*pairs))
+        self.fixed = len(self.characters)
+
+    def number(self, symbol: str) -> int:
+        known = self.numbers.get(symbol)
+        if known is None:
+            known = self.numbers[symbol] = self.first_character + len(self.characters)
+            self.characters.append(symbol)
+        return known
+
+    def forget(self) -> None:
+        """Characters that are in no piece, beyond a bounded number of them."""
+        if len(self.characters) > self.fixed + 100_000:
+            for symbol in self.characters[self.fixed:]:
+                del self.numbers[symbol]
+            del self.characters[self.fixed:]
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        return np.where(known, self.ranks[at], _NEVER), self.merged[at]
+
+    def merge(self, stretches: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places in ``stretches``, how many symbols are left of each, and these symbols in a row; the first done come first."""
+        sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        number = self.numbers
+        symbols = np.fromiter([number.get(c) or self.number(c) for c in "".join(stretches)], np.int64, int(sizes.sum()))
+        which = np.arange(len(stretches))
+        rank, to = np.full(len(symbols), _NEVER), np.zeros(len(symbols), np.int64)
+        rank[:-1], to[:-1] = self._pairs(symbols[:-1], symbols[1:])
+        rank[np.cumsum(sizes) - 1] = _NEVER
+        while len(which):
+            best = np.minimum.reduceat(rank, np.cumsum(sizes) - sizes)
+            going = best < _NEVER
+            if not going.all():
+                on = np.repeat(going, sizes)
+                yield which[~going], sizes[~going], symbols[~on]
+                which, sizes, best = which[going], sizes[going], best[going]
+                symbols, rank, to = symbols[on], rank[on], to[on]
+                if not len(which):
+                    return
+            of = np.repeat(np.arange(len(which)), sizes)
+            at = np.flatnonzero(rank == best[of])
+            at = at[np.append(True, of[at[1:]] != of[at[:-1]])]  # the leftmost of each
+            symbols[at] = to[at]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            symbols, rank, to = symbols[keep], rank[keep], to[keep]
+            sizes = sizes - 1
+            at -= np.arange(len(at))
+            ends = np.cumsum(sizes) - 1
+            inner = at[at < ends]
+            rank[at] = _NEVER
+            rank[inner], to[inner] = self._pairs(symbols[inner], symbols[inner + 1])
+            behind = at[at > ends - sizes + 1]
+            rank[behind - 1], to[behind - 1] = self._pairs(symbols[behind - 1], symbols[behind])
+
+
 class PieceCodec:
     """Encodes and decodes with the model file at ``path``; remembers at most ``limit`` stretches and those of a batch."""
 
@@ -132,7 +185,8 @@ class PieceCodec:
         self.joined = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
         alone = re.escape("".join(sorted(set(map(chr, range(128))).difference(*self.joined))))
         self.parts = re.compile(f"[{alone}]|[^{alone}]+" if alone else r"(?s:.+)").findall
-        self.cores: dict[str, list[int]] = {}
+        self.table = MergeTable(self.ids, self.order)
+        self.cores: dict[str, bytes] = {}
         self.differing: set[str] = set()
 
     def encode(self, text: str | None) -> list[int]:
@@ -152,8 +206,8 @@ class PieceCodec:
             self.differing.clear()
         new = list(set().union(*cut).difference(known))
         if new:
-            known.update((s, self._stretch(s)) for s in new)
-            done = [known[s] for s in new]
+            done = self._stretches(new)
+            known.update(zip(new, done))
             self.differing.update(s for s, same in zip(new, self._agreeing(new, done)) if not same)
         end, out = array("i", [self.end]).tobytes(), []
         for stretches in cut:
@@ -164,36 +218,58 @@ class PieceCodec:
             if len(s) > self.longest:
                 del known[s]
                 self.differing.discard(s)
+        self.table.forget()
         return out
 
     def _start(self, text: str) -> str:
         return text[1:] if self.leading and text.startswith(" ") else text
 
-    def _stretch(self, stretch: str) -> tuple[bytes, str]:
-        ids: list[int] = []
+    def _cut_off(self, stretch: str) -> list[str]:
+        """Parts that never merge with each other."""
+        parts = []
         for part in self.parts(stretch):
             n = len(part)
             while n > 1 and part[n - 2:n] not in self.joined:
                 n -= 1
-            ids += self._core(part[:n])
-            for sign in part[n:]:
-                ids += self._core(sign)
-        return array("i", ids).tobytes(), self._decode(ids)
-
-    def _core(self, part: str) -> list[int]:
-        ids = self.cores.get(part)
-        if ids is None:
-            ids = []
-            for piece in merge_symbols(list(part), self.order):
-                known = self.ids.get(piece)
-                ids += [self.byte_ids[b] for b in piece.encode()] if known is None else [known]
-            if len(part) <= self.longest:
-                if len(self.cores) >= self.limit:
-                    self.cores.clear()
-                self.cores[part] = ids
-        return ids
-
-    def _decode(self, ids: list[int]) -> str:
+            parts.append(part[:n])
+            parts += part[n:]
+        return parts
+
+    def _stretches(self, stretches: list[str]) -> list[tuple[bytes, str]]:
+        """Ids of each stretch, and the text that they stand for."""
+        cut = [self._cut_off(s) for s in stretches]
+        cores = self.cores
+        if len(cores) > self.limit:
+            cores.clear()
+        new = set().union(*cut).difference(cores)
+        short = [c for c in new if len(c) <= self.longest]
+        for which, sizes, symbols in self.table.merge(short):
+            ids, at = symbols.astype(np.int32).tobytes(), 0
+            unknown = bool((symbols >= self.table.first_character).any())
+            for w, size in zip(which.tolist(), sizes.tolist()):
+                own = ids[4 * at:4 * (at + size)]
+                cores[short[w]] = self._with_bytes(own) if unknown else own
+                at += size
+        long = [c for c in new if len(c) > self.longest]
+        for c in long:
+            pieces = merge_symbols(list(c), self.order.get)
+            cores[c] = self._with_bytes(array("i", map(self.table.number, pieces)).tobytes())
+        ids = [b"".join([cores[c] for c in parts]) for parts in cut]
+        for c in long:
+            del cores[c]
+        return [(own, self._decode(array("i", own))) for own in ids]
+
+    def _with_bytes(self, numbers: bytes) -> bytes:
+        """Ids, with bytes in place of the characters that are no pieces."""
+        first, ids = self.table.first_character, array("i")
+        for number in array("i", numbers):
+            if number < first:
+                ids.append(number)
+            else:
+                ids.extend([self.byte_ids[b] for b in self.table.characters[number - first].encode()])
+        return ids.tobytes()
+
+    def _decode(self, ids: Iterable[int]) -> str:
         surface = self.surface
         return b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
 
