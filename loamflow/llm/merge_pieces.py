@@ -13,8 +13,8 @@ model is read), each run of blank signs is worked on with the characters behind
 stretch. Within it, characters that are in no longer piece and signs at the end that never join what stands before
 them are set apart in the same way. A stretch is worked out once by a worker and remembered within bounds.
 
-What is new in a batch of texts is also encoded and decoded by the sentencepiece library, all in one call; ``agrees``
-tells whether all stretches of a text came to the same ids and the same text there. (``PieceCodec.whole_agree``
+What is new in a batch of texts is also encoded and decoded by the sentencepiece library, as one text; ``agrees``
+tells whether all stretches of a text came to the same ids and the same characters there. (``PieceCodec.whole_agree``
 compares whole texts; the tests do that.)
 
 Defined results: a null text is like an empty one, which has the end id alone and decodes to nothing; rows are
@@ -150,7 +150,7 @@ class MergeTable:
 class PieceCodec:
     """Encodes and decodes with the model file at ``path``; remembers at most ``limit`` stretches and those of a batch."""
 
-    def __init__(self, path: str, limit: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 600_000, longest: int = 48):
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as model_file
 
@@ -274,12 +274,17 @@ class PieceCodec:
         return b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
 
     def _agreeing(self, stretches: list[str], done: list[tuple[bytes, str]]) -> list[bool]:
+        """Stretches that start with a blank sign make up one text; only if that differs they are tried one by one."""
+        if self.leading and all(s[0] == BLANK for s in stretches):
+            ids = self.library.encode("".join(stretches)[1:], out_type=int)
+            same = array("i", ids).tobytes() == b"".join([own for own, _ in done])
+            if same and self.library.decode(ids) == self._start("".join([text for _, text in done])):
+                return [True] * len(done)
         # The library puts a blank sign before a text, as the stretches have one already.
         texts = [s[1:] if self.leading and s[0] == BLANK else s for s in stretches]
-        ids = self.library.encode(texts, out_type=int, num_threads=1)
         # A lone blank sign would be the start of an empty text, which the library gives no ids.
-        ids = [i if t else [self.library.piece_to_id(BLANK)] for i, t in zip(ids, texts)]
-        decoded = self.library.decode(ids, num_threads=1)
+        ids = [self.library.encode(t) if t else [self.library.piece_to_id(BLANK)] for t in texts]
+        decoded = map(self.library.decode, ids)
         return [array("i", i).tobytes() == own and d == self._start(text) for i, d, (own, text) in zip(ids, decoded, done)]
 
     def whole_agree(self, text: str) -> bool:
