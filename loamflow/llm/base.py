@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 import zipfile
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,9 @@ from loamflow.session import shared_folder
 #: very long text does not need a list of all its words at once.
 PIECE_CHARS = 1 << 20
 
+#: Folders that ``scratch`` has named and nobody has released.
+SCRATCH: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,9 +44,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    SCRATCH.append(path)
     return path
 
 
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders of ``scratch`` that nothing reads any more, and let Spark drop what finished jobs shuffled."""
+    for path in set(paths):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        SCRATCH.remove(path)
+    gc.collect()
+    spark._jvm.System.gc()  # Spark's cleaner removes shuffle files once their plans are collected
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: evaluated once, lineage cut."""
     path = scratch(df.sparkSession, name)

@@ -1,11 +1,12 @@
 """The corpus pipeline over the given tables: each stage held against brute force on its own input."""
 
 import pytest
-from test_similar import as_spans, cut, slow_components, slow_fingerprint, slow_match, slow_spans
+from test_near_copies import sets
+from test_similar import as_spans, cut, slow_match, slow_spans
 from test_tokens import check_pieces, plain  # noqa: F401
 
 import corpus_pipeline
-from loamflow.llm import toxicity
+from loamflow.llm import base, toxicity
 from loamflow.llm.base import scratch, table
 from loamflow.llm.queries import toxicity_model
 
@@ -32,13 +33,48 @@ def test_toxicity_stage(spark, sf_dir, stages):
     assert sorted(after) == sorted(r for r in before if r.doc_id not in rejected)
 
 
+def slow_roots(rows):
+    """Smallest (id, text) of the group of each of ``rows`` that share four fifths of their 5-word shingles."""
+    own = [shingles for _, shingles in sorted(sets([(i, t or "") for i, t in enumerate(t for _, t in rows)]).items())]
+    own = [s if t and t.split() else set() for s, (_, t) in zip(own, rows)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(own):
+        for j in range(i):
+            if 5 * min(len(a), len(own[j])) >= 4 * max(len(a), len(own[j])) and 5 * len(a & own[j]) >= 4 * len(a | own[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(rows))]
+
+
 def test_near_dedup_stage(stages):
     before, after = stages["near_dedup"]
     docs = sorted(before)
-    roots = slow_components([slow_fingerprint(r.text) for r in docs])
+    roots = slow_roots([(r.doc_id, r.text) for r in docs])
     assert sorted(after) == [docs[i] for i in sorted(set(roots))]
 
 
+def test_intermediate_tables_go_once_the_next_stage_starts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(50)
+    first = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    used = set(corpus_pipeline._USED["drop_near_duplicates"])
+    assert used and used <= set(base.SCRATCH)
+    # Not written yet: what it reads has to stay.
+    lazily = corpus_pipeline.cut_repeats(spark, first, sf_dir)
+    kept = used & set(base.SCRATCH)
+    assert kept and lazily.count() > 0
+    path = scratch(spark, "test-written")
+    corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).write.parquet(path)
+    used = set(corpus_pipeline._USED["drop_near_duplicates"])
+    after = corpus_pipeline.cut_repeats(spark, spark.read.parquet(path), sf_dir)
+    assert not used & set(base.SCRATCH) and after.count() == lazily.count()
+
+
 def test_substring_stage(stages):
     before, after = stages["substring_dedup"]
     spans = slow_spans([(r.doc_id, r.text) for r in before])
