@@ -1003,6 +1003,35 @@ def load_two_sources(spark, sf_dir):
     return engine.warehouse.read("trusted.facts")
 
 
+# End to end: loads of one run that come again, after another spec has merged into or replaced their table.
+@query(
+    "load_retried",
+    """select 'merged' as name, o_orderkey as k, o_totalprice + 1 as price from orders where o_orderstatus in ('F', 'O')
+    union all select 'replaced', o_orderkey, o_totalprice from orders where o_orderstatus = 'P'""",
+)
+def load_retried(spark, sf_dir):
+    engine = BulkTransformEngine(
+        spark, f"{engine_folder(spark)}/warehouse", bindings={"raw.sales.orders": table(spark, sf_dir, "orders")}
+    )
+    some = "SELECT o_orderkey AS k, o_totalprice{} AS price FROM source WHERE o_orderstatus IN ({})"
+    loads = {
+        "first": ("merged", "append", some.format("", "'F'")), "change": ("merged", "merge", some.format(" + 1", "'F', 'O'")),
+        "old": ("replaced", "append", some.format("", "'F', 'O'")), "new": ("replaced", "overwrite", some.format("", "'P'")),
+    }
+    for name in ("first", "change", "first", "old", "new", "old", "change", "first", "new", "old"):
+        target, strategy, sql = loads[name]
+        result = engine.run_spec({
+            "id": name, "description": "", "source_name": "raw.sales.orders", "target_name": f"trusted.{target}",
+            "target_table": target, "pk": ["k"], "load_strategy": strategy, "load_type": "full_refresh",
+            "watermark_column": "", "query": sql, "sql_file": "", "run_data_quality": False, "dq_config_path": "",
+            "route": "transform",
+        }, "run1")
+        if result.error is not None:
+            raise result.error
+    both = [engine.warehouse.read(f"trusted.{t}").select(F.lit(t).alias("name"), "k", "price") for t in ("merged", "replaced")]
+    return both[0].unionByName(both[1])
+
+
 @query(
     "load_timestamp",
     f"select o_orderkey, timestamp '{RUN_TS}' as loaded_at, 'current_timestamp()' as said from orders",

@@ -7,6 +7,9 @@ folders and its own mark. Within a process, commits to a table queue up; a resul
 from a version which is no longer the live one is refused. Across processes there is one writer per
 table at a time. Manifests go round a few slots, so that finding the
 latest one stays one short listing however many versions a table has had.
+
+The manifest carries the table's load ledger. It outlives overwrites and merges: a load that is repeated after another spec
+has replaced or merged the table publishes nothing. A load is remembered until ``ledger_loads`` others have followed it.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ MANIFEST_SCHEMA = (
 
 
 MANIFEST_SLOTS = 8
+LEDGER_LOADS = 1000
 PART = "__part"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the name Spark gives a NULL partition
 
@@ -43,7 +47,7 @@ class Snapshot:
     rows: int
     # By spec id: marks that were published with the data and are not in the control table yet, or cannot be.
     marks: dict[str, str]
-    # Loads that are part of this snapshot, so that a repeated append is recognised.
+    # The load ledger: what has been published to the table, the oldest first, whatever became of its rows since.
     runs: tuple[str, ...]
     # SQL expression that assigns each row to a part; every directory then holds one part.
     layout: str | None = None
@@ -61,8 +65,9 @@ class StaleResult(RuntimeError):
 class Warehouse:
     """Published tables below one root folder that all executors can reach."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, ledger_loads: int = LEDGER_LOADS):
         self.spark = spark
+        self.ledger_loads = ledger_loads
         self.root = root.rstrip("/")
         self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
@@ -112,6 +117,7 @@ class Warehouse:
         return path
 
     def _commit(self, name: str, snapshot: Snapshot) -> Snapshot:
+        snapshot = replace(snapshot, runs=snapshot.runs[-self.ledger_loads:])
         manifest = {
             "version": snapshot.version, "run_id": snapshot.run_id, "dirs": snapshot.dirs,
             "schema_json": snapshot.schema.json(), "rows": snapshot.rows, "marks": snapshot.marks,
@@ -150,13 +156,12 @@ class Warehouse:
                 raise StaleResult(f"{name}: another load was published in the meantime")
             if live is None:
                 return self._commit(name, Snapshot(1, run_id, dirs, schema, rows, marks or {}, (run_id,), layout))
-            version, marks = live.version + 1, {**live.marks, **(marks or {})}
+            version, marks, ledger = live.version + 1, {**live.marks, **(marks or {})}, live.runs + (run_id,)
             if mode == "append":
                 return self._commit(name, Snapshot(
-                    version, run_id, live.dirs + dirs, merged_schema(live.schema, schema), live.rows + rows, marks,
-                    live.runs + (run_id,),
+                    version, run_id, live.dirs + dirs, merged_schema(live.schema, schema), live.rows + rows, marks, ledger,
                 ))
-            return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, marks, (run_id,), layout))
+            return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, marks, ledger, layout))
 
     def set_mark(self, name: str, run_id: str, spec_id: str, mark: str) -> Snapshot:
         """A new mark for unchanged data: the load read rows, but none of them was good enough."""

@@ -427,3 +427,46 @@ def test_a_source_that_fails_on_read_is_not_ok(spark, tmp_path):
     profile = {r["id"]: (r["source_ok"], r["source_count"]) for r in eng.validate_all(run_id="r1")["table_results"]}
     assert profile == {"good": (True, 1), "bad": (False, -1)}
     assert statuses(eng.transform_all(run_id="r1")) == {"good": ("SUCCESS", 1), "bad": ("FAILED", 0)}
+
+
+@pytest.mark.parametrize("first, other", [
+    ("append", "merge"), ("append", "overwrite"), ("merge", "overwrite"), ("overwrite", "append"), ("scd2", "merge"),
+])
+def test_a_load_repeated_after_another_spec_adds_nothing(spark, tmp_path, first, other):
+    changes = {"target_table": "t", "load_type": "full_refresh", "pk": "k"}
+    eng = engine(spark, tmp_path, [spec("a", load_strategy=first, **changes), spec("b", load_strategy=other, **changes)],
+                 rows(spark, (1, "a", 1), (2, "b", 2)))
+    if first == "scd2":  # a table of versions has columns that other strategies do not bring
+        eng.transform_all(["a"], run_id="r1")
+        before = eng.warehouse.current("lake.trusted.t")
+        eng.warehouse.compact("lake.trusted.t", "r1")
+    else:
+        eng.transform_all(["a"], run_id="r1")
+        eng.transform_all(["b"], run_id="r1")
+        before = eng.warehouse.current("lake.trusted.t")
+    data = bag(eng.warehouse.read("lake.trusted.t"))
+    for _ in range(2):
+        for result in eng.transform_all(run_id="r1") if first != "scd2" else eng.transform_all(["a"], run_id="r1"):
+            assert (result.status, result.rows_loaded, result.message) == ("SUCCESS", 0, "already published by this run")
+    after = eng.warehouse.current("lake.trusted.t")
+    assert bag(eng.warehouse.read("lake.trusted.t")) == data and after.rows == before.rows
+    assert set(before.runs) <= set(after.runs)
+
+
+def test_loads_repeated_side_by_side(spark, tmp_path):
+    changes = {"load_type": "full_refresh", "pk": "k"}
+    specs = [spec(f"{n}{t}", target_table=t, load_strategy=s, **changes) for t in ("t", "u", "w")
+             for n, s in (("a", "append"), ("b", "merge"))]
+    eng = engine(spark, tmp_path, specs, rows(spark, (1, "a", 1), (2, "b", 2)))
+    eng.parallel = 3
+    assert all(r.status == "SUCCESS" for r in eng.transform_all(run_id="r1"))
+    assert all(r.message == "already published by this run" for r in eng.transform_all(run_id="r1"))
+    assert all(kv(eng.warehouse.read(f"lake.trusted.{t}")) == [(1, "a"), (2, "b")] for t in ("t", "u", "w"))
+
+
+def test_the_ledger_is_bounded(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), ledger_loads=3)
+    for run in ("r1", "r2", "r3", "r4"):
+        warehouse.save("t", spark.range(1), run, "append")
+    assert warehouse.current("t").runs == ("r2", "r3", "r4")
+    assert warehouse.save("t", spark.range(1), "r2", "append").rows == 4
