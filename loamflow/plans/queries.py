@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from loamflow.operators import incremental, policies, quality, state, transforms, writes
+from loamflow.operators import incremental, policies, quality, range_joins, state, transforms, writes
 from loamflow.plans.runner import BulkTransformEngine
 from loamflow.schemas import CONTROL_SCHEMA
 from loamflow.session import shared_folder
@@ -975,6 +975,78 @@ def passthrough_json(spark, sf_dir):
     return run_sql(spark, sf_dir, sql, "events")
 
 
+# Events, in seconds of the orders' own years, and the stretch of days for which an order is open; a few are open for long.
+_EVENT_SECONDS = "SELECT event_id, user_id, 788918400 + (unix_seconds(cast(ts AS timestamp)) - 1704067200) * 80 AS at FROM events"
+_EVENT_SECONDS_ORACLE = """select event_id, user_id,
+       788918400 + (cast(floor(epoch(ts)) as bigint) - 1704067200) * 80 as at from events"""
+_OPEN_ORDERS = """
+SELECT o_orderkey, o_custkey % 150 AS customer, unix_seconds(cast(o_orderdate AS timestamp)) AS opened,
+       unix_seconds(cast(o_orderdate AS timestamp)) + 86400 * IF(o_orderkey % 97 = 0, 400, 1 + o_orderkey % 30) AS closed
+FROM orders
+"""
+_OPEN_ORDERS_ORACLE = """select o_orderkey, o_custkey % 150 as customer, cast(epoch(o_orderdate) as bigint) as opened,
+       cast(epoch(o_orderdate) as bigint) + 86400 * case when o_orderkey % 97 = 0 then 400 else 1 + o_orderkey % 30 end as closed
+    from orders"""
+
+
+@query(
+    "join_interval",
+    f"""select * from ({_EVENT_SECONDS_ORACLE}) e left join ({_OPEN_ORDERS_ORACLE}) o
+    on e.user_id = o.customer and e.at >= o.opened and e.at < o.closed""",
+)
+def join_interval(spark, sf_dir):
+    events = run_sql(spark, sf_dir, _EVENT_SECONDS, "events")
+    orders = run_sql(spark, sf_dir, _OPEN_ORDERS, "orders")
+    return range_joins.interval_join(events, orders, "at", "opened", "closed", [("user_id", "customer")], "left")
+
+
+@query(
+    "join_as_of",
+    f"""select e.*, o.o_orderkey, o.o_orderdate, o.o_totalprice
+    from (select event_id, user_id, make_timestamp(s.at * 1000000) as at from ({_EVENT_SECONDS_ORACLE}) s) e
+    asof left join (select * from orders qualify row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc) = 1) o
+    on e.user_id = o.o_custkey and e.at >= o.o_orderdate""",
+)
+def join_as_of(spark, sf_dir):
+    events = run_sql(spark, sf_dir, f"SELECT event_id, user_id, cast(timestamp_seconds(at) AS timestamp_ntz) AS at FROM ({_EVENT_SECONDS})", "events")
+    orders = run_sql(spark, sf_dir, "SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders", "orders")
+    last = range_joins.as_of_join(
+        events, orders, "at", "o_orderdate", [("user_id", "o_custkey")], width=30 * 86_400_000_000, latest=["o_orderkey"]
+    )
+    return last.drop("o_custkey")
+
+
+@query(
+    "passthrough_cube",
+    """select l_returnflag, l_linestatus, l_linenumber, cast(grouping(l_returnflag, l_linestatus, l_linenumber) as bigint) as grp,
+       count(*) as lines, count(distinct l_partkey) as parts, count(distinct l_suppkey) as suppliers,
+       sum(cast(l_quantity as bigint))::bigint as quantity
+    from lineitem group by cube (l_returnflag, l_linestatus, l_linenumber)""",
+)
+def passthrough_cube(spark, sf_dir):
+    sql = """
+    SELECT l_returnflag, l_linestatus, l_linenumber, grouping_id() AS grp, count(*) AS lines,
+           count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers, sum(cast(l_quantity AS bigint)) AS quantity
+    FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)
+    """
+    return run_sql(spark, sf_dir, sql, "lineitem")
+
+
+@query(
+    "passthrough_grouping_sets",
+    """select event_type, user_id, cast(grouping(event_type, user_id) as bigint) as grp, count(*) as n, max(event_id) as last_event,
+       count(distinct cast(ts as date)) as days from events
+    group by grouping sets ((event_type, user_id), (event_type), (user_id), ())""",
+)
+def passthrough_grouping_sets(spark, sf_dir):
+    sql = """
+    SELECT event_type, user_id, grouping_id() AS grp, count(*) AS n, max(event_id) AS last_event,
+           count(DISTINCT cast(ts AS date)) AS days
+    FROM events GROUP BY GROUPING SETS ((event_type, user_id), (event_type), (user_id), ())
+    """
+    return run_sql(spark, sf_dir, sql, "events")
+
+
 # End to end: two specs append to one target in one run, each above its own mark, and a second run brings
 # nothing twice. The events are older than the newest order and must not be held up by its mark.
 @query(

@@ -1,0 +1,101 @@
+"""Interval and as-of joins against every pair, hot keys, NULLs, and the shape of their plans."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import bag
+from loamflow.operators.range_joins import as_of_join, interval_join
+
+POINTS, INTERVALS = "i INT, k STRING, p LONG", "j INT, ik STRING, a LONG, b LONG"
+
+
+def some(rng, n, top, far=0):
+    return None if rng.random() < 0.05 else rng.randrange(-top, top) * (1 if rng.random() > far else 1000)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_intervals_equal_trying_every_pair(spark, how):
+    rng = random.Random(11)
+    points = [(i, rng.choice(["x", "x", "y", None]), some(rng, i, 60, 0.1)) for i in range(150)]
+    intervals = []
+    for j in range(120):
+        a = some(rng, j, 60, 0.1)
+        b = None if a is None or rng.random() < 0.05 else a + rng.choice([-3, 0, 1, 2, 7, 40, 5000, 100_000])
+        intervals.append((j, rng.choice(["x", "y", None]), a, b))
+    intervals += [(200, "x", -(1 << 62), 1 << 62)]
+    expected = []
+    for p in points:
+        met = [v for v in intervals if None not in (p[1], p[2], v[1], v[2], v[3]) and p[1] == v[1] and v[2] <= p[2] < v[3]]
+        expected += [p + v for v in met] or ([p + (None,) * 4] if how == "left" else [])
+    got = interval_join(spark.createDataFrame(points, POINTS), spark.createDataFrame(intervals, INTERVALS), "p", "a", "b", [("k", "ik")], how)
+    assert got.columns == ["i", "k", "p", "j", "ik", "a", "b"]
+    assert bag(got) == sorted(expected, key=repr)
+
+
+def test_intervals_of_times_fractions_and_nothing(spark):
+    points = spark.sql("SELECT id AS i, TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id / 2) AS p FROM range(20)")
+    intervals = spark.sql("SELECT id AS j, TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id) AS a, "
+                          "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id + 0.75) AS b FROM range(9)")
+    met = sorted((r.i, r.j) for r in interval_join(points, intervals, "p", "a", "b").collect())
+    assert met == [(i, j) for i in range(20) for j in range(9) if j <= i / 2 < j + 0.75]
+    halves = interval_join(spark.sql("SELECT id / 4 AS p FROM range(9)"), spark.sql("SELECT 0.5D AS a, 1.25D AS b"), "p", "a", "b")
+    assert sorted(r.p for r in halves.collect()) == [0.5, 0.75, 1.0]
+    assert interval_join(points, intervals.limit(0), "p", "a", "b").count() == 0
+    assert interval_join(points, intervals.limit(0), "p", "a", "b", how="left").count() == 20
+    assert interval_join(points.limit(0), intervals, "p", "a", "b", how="left").count() == 0
+
+
+def test_long_intervals_are_two_rows_each(spark):
+    intervals = spark.sql("SELECT id AS j, id * 10 AS a, id * 10 + 1000000000 AS b FROM range(50)")
+    plan = interval_join(spark.range(10).withColumnRenamed("id", "p"), intervals, "p", "a", "b")
+    assert plan.count() == 1 * 10
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def brute_as_of(lefts, rights, within=None):
+    out = []
+    for i, k, p in lefts:
+        best = [r for r in rights if None not in (k, p, r[1], r[2]) and r[1] == k and r[2] <= p]
+        row = max(best, key=lambda r: (r[2], r[0])) if best else (None,) * 4
+        if best and within is not None and p - row[2] > within:
+            row = (None,) * 4
+        out.append((i, k, p, *row))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000])
+@pytest.mark.parametrize("within", [None, 5])
+def test_last_rows_equal_trying_every_pair(spark, width, within):
+    rng = random.Random(width)
+    lefts = [(i, rng.choice(["x", "x", "x", "y", "z", None]), some(rng, i, 80)) for i in range(160)]
+    rights = [(j, rng.choice(["x", "x", "y", None]), some(rng, j, 80), rng.choice(["v", None])) for j in range(90)]
+    left = spark.createDataFrame(lefts + lefts[:3], "i INT, k STRING, p LONG")
+    right = spark.createDataFrame(rights, "j INT, rk STRING, q LONG, v STRING")
+    got = as_of_join(left, right, "p", "q", [("k", "rk")], width, ["j"], within)
+    assert bag(got) == brute_as_of(lefts + lefts[:3], rights, within)
+    assert as_of_join(left, right.limit(0), "p", "q", [("k", "rk")], width).filter("j IS NOT NULL").count() == 0
+
+
+def test_a_hot_key_is_ordered_in_many_tasks(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    left = spark.sql("SELECT id AS i, 'hot' AS k, id % 5000 AS p FROM range(20000)")
+    right = spark.sql("SELECT id AS j, 'hot' AS rk, id * 2 AS q FROM range(2500)")
+    got = as_of_join(left, right, "p", "q", [("k", "rk")], 100, ["j"])
+    assert got.filter("q <> p - p % 2 OR q IS NULL").count() == 0 and got.count() == 20000
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refusals(spark):
+    df = spark.range(2)
+    with pytest.raises(ValueError, match="both sides"):
+        interval_join(df, df, "id", "id", "id")
+    words = spark.sql("SELECT 'a' AS w")
+    with pytest.raises(ValueError, match="range of string"):
+        interval_join(words, spark.sql("SELECT 'a' AS s, 'b' AS e"), "w", "s", "e")
+    with pytest.raises(ValueError, match="inner or left"):
+        interval_join(df, spark.sql("SELECT 1 AS s, 2 AS e"), "id", "s", "e", how="full")
+    with pytest.raises(ValueError, match="width"):
+        as_of_join(df, spark.sql("SELECT 1 AS s"), "id", "s", [], 0)
