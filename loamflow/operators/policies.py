@@ -6,6 +6,8 @@ values through.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,10 +48,83 @@ def mask_columns(df: DataFrame, masks: dict[str, Mask], privileged: bool | Colum
     return df.withColumns(hidden)
 
 
-def define_mask_functions(spark: SparkSession, statements: Iterable[str]) -> None:
-    """Create the SQL functions a policy brings along; Catalyst inlines them into the plan."""
-    for statement in statements:
-        spark.sql(statement)
+_DEFINES = re.compile(
+    r"\s*CREATE\s+(?:OR\s+REPLACE\s+)?(?:TEMPORARY\s+|TEMP\s+)?FUNCTION\s+(?:IF\s+NOT\s+EXISTS\s+)?"
+    r"(?P<name>(?:`[^`]+`|\w+)(?:\s*\.\s*(?:`[^`]+`|\w+))*)\s*(?=\()",
+    re.IGNORECASE,
+)
+
+_MEMBER = re.compile(r"\bis_(?:account_group_)?member\s*\(\s*'([^']*)'\s*\)", re.IGNORECASE)
+_USER = re.compile(r"\b(?:current|session)_user\s*\(\s*\)", re.IGNORECASE)
+
+
+def _name_parts(name: str) -> tuple[str, ...]:
+    return tuple((quoted or plain).lower() for quoted, plain in re.findall(r"`([^`]+)`|([^`.\s]+)", name))
+
+
+class SqlFunctions:
+    """The SQL functions that a policy brings along, usable while the ``with`` block lasts.
+
+    Each ``CREATE FUNCTION`` statement becomes a temporary function under a name of its own, so it needs neither the
+    catalog nor the schema that its name mentions, changes nothing in them, and two policies never get in each
+    other's way. Catalyst inlines the body when the frame is built. A name is looked up in full, as ``catalog.schema.name``,
+    then from the right (``schema.name``, ``name``) as long as just one of the statements fits; one that no statement
+    defines is a function of the session or the catalog. Inside a body, membership tests stand for the caller's ``groups``, and
+    ``current_user()`` for the ``principal`` if one is given.
+    """
+
+    def __init__(self, spark: SparkSession, statements: Iterable[str], groups: Iterable[str] = (), principal: str | None = None):
+        self.spark = spark
+        member_of = set(groups)
+        self.names: dict[tuple[str, ...], str] = {}
+        self.statements = []
+        for statement in statements:
+            head = _DEFINES.match(statement)
+            if head is None:
+                raise ValueError(f"not a CREATE FUNCTION statement: {statement.strip()[:80]!r}")
+            name = f"__policy_{uuid.uuid4().hex}"
+            self.names[_name_parts(head["name"])] = name  # the last definition of a name counts
+            body = statement[head.end():].rstrip().rstrip(";")
+            body = _MEMBER.sub(lambda m: "true" if m[1] in member_of else "false", body)
+            if principal is not None:
+                literal = "'" + principal.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                body = _USER.sub(lambda m, literal=literal: literal, body)
+            self.statements.append(f"CREATE TEMPORARY FUNCTION {name}{body}")
+        self.defined: list[str] = []
+
+    def __enter__(self) -> SqlFunctions:
+        try:
+            for statement in self.statements:
+                self.spark.sql(statement)
+                self.defined.append(statement.split()[3].split("(")[0])
+        except BaseException:
+            self.__exit__()
+            raise
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for name in self.defined:
+            self.spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+        self.defined.clear()
+
+    def resolve(self, name: str) -> str:
+        """The temporary function for a name, or the name itself."""
+        parts = _name_parts(name)
+        if parts in self.names:
+            return self.names[parts]
+        fits = [own for known, own in self.names.items() if known[-len(parts):] == parts or parts[-len(known):] == known]
+        if len(fits) > 1:
+            raise ValueError(f"function name {name!r} fits several statements of the policy")
+        return fits[0] if fits else name
+
+
+def function_filter(df: DataFrame, function: str, columns: list[str]) -> DataFrame:
+    """Rows for which a boolean SQL function of the columns is true; NULL hides the row."""
+    seen = F.call_function(function, *[F.col(c) for c in columns])
+    kind = df.select(seen.alias("seen")).schema[0].dataType.typeName()
+    if kind != "boolean":
+        raise ValueError(f"row filter {function!r} is {kind}, not boolean")
+    return df.filter(F.coalesce(seen, F.lit(False)))
 
 
 def row_filter(df: DataFrame, code_column: str, mapping: DataFrame | None, caller_groups: Iterable[str],
@@ -75,14 +150,25 @@ def row_filter(df: DataFrame, code_column: str, mapping: DataFrame | None, calle
 
 
 def govern(df: DataFrame, policy: dict, privileged: bool, groups: Iterable[str] = (),
-           mapping: DataFrame | None = None) -> DataFrame:
-    """A table as a policy document lets the caller see it: row filter first, then masks."""
+           mapping: DataFrame | None = None, principal: str | None = None) -> DataFrame:
+    """A table as a policy document lets the caller see it: row filter first, then masks.
+
+    Masks may be SQL functions that the policy defines (``masking_sql``). A row filter is the mapping of groups to codes, or, with
+    ``function_sql``, the boolean SQL function ``rls_function_name`` of the filter column(s); members of the admin group see all rows.
+    """
     security = policy.get("row_level_security") or {}
-    if security.get("enabled"):
-        df = row_filter(df, security["filter_column"], mapping, groups, security.get("admin_group", "admin"))
     masked = [p for p in policy.get("pii_columns") or [] if p.get("column") and p.get("masking_function")]
-    define_mask_functions(df.sparkSession, [p["masking_sql"] for p in masked if p.get("masking_sql")])
-    return mask_columns(df, {p["column"]: p["masking_function"] for p in masked}, privileged)
+    statements = [p["masking_sql"] for p in masked if p.get("masking_sql")]
+    statements += [security["function_sql"]] if security.get("enabled") and security.get("function_sql") else []
+    with SqlFunctions(df.sparkSession, statements, groups, principal) as functions:
+        if security.get("enabled"):
+            admin = security.get("admin_group", "admin")
+            if not security.get("function_sql"):
+                df = row_filter(df, security["filter_column"], mapping, groups, admin)
+            elif admin not in set(groups):
+                columns = security.get("filter_columns") or [security["filter_column"]]
+                df = function_filter(df, functions.resolve(security["rls_function_name"]), columns)
+        return mask_columns(df, {p["column"]: functions.resolve(p["masking_function"]) for p in masked}, privileged)
 
 
 POLICY_ENTRY_SCHEMA = "table_name STRING, column_name STRING, tags MAP<STRING,STRING>"

@@ -840,6 +840,33 @@ def row_filter(spark, sf_dir):
     return policies.row_filter(table(spark, sf_dir, "customer"), "c_nationkey", mapping, ["ASIA", "EUROPE"])
 
 
+# A policy whose functions have names of a catalog and schemas that are not there.
+SQL_POLICY = {
+    "pii_columns": [
+        {"column": "c_name", "masking_function": "hide_name", "masking_sql":
+            "CREATE OR REPLACE FUNCTION main.gov.hide_name(v STRING) RETURNS STRING RETURN "
+            "CASE WHEN is_account_group_member('auditors') THEN v ELSE concat(left(v, 4), '***') END"},
+        {"column": "c_mktsegment", "masking_function": "main.gov.hide_segment", "masking_sql":
+            "CREATE FUNCTION main.gov.hide_segment(s STRING) RETURN "
+            "CASE WHEN is_account_group_member('sales') THEN lower(s) ELSE '-' END"},
+    ],
+    "row_level_security": {
+        "enabled": True, "rls_function_name": "gov.own_customers", "filter_columns": ["c_nationkey", "c_acctbal"],
+        "function_sql": "CREATE FUNCTION main.gov.own_customers(k INT, balance DOUBLE) RETURNS BOOLEAN "
+                        "RETURN k % 5 <> 2 AND nullif(balance, 0) > 0",
+    },
+}
+
+
+@query(
+    "mask_sql_functions",
+    """select c_custkey, left(c_name, 4) || '***' as c_name, c_nationkey, c_acctbal, lower(c_mktsegment) as c_mktsegment
+    from customer where c_nationkey % 5 <> 2 and c_acctbal > 0""",
+)
+def mask_sql_functions(spark, sf_dir):
+    return policies.govern(table(spark, sf_dir, "customer"), SQL_POLICY, False, ["sales"])
+
+
 @query(
     "tag_inventory",
     """with e as (select p_brand as table_name, nullif(p_name, 'small ring') as column_name, p_type,

@@ -507,7 +507,7 @@ class BulkTransformEngine:
         mapping = security.get("group_mapping_table") if security.get("enabled") else None
         return policies.govern(
             self.warehouse.read(name), policy, principal in set(privileged_principals), groups,
-            self.tables.read(mapping) if mapping else None,
+            self.tables.read(mapping) if mapping else None, principal,
         )
 
     # State

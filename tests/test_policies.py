@@ -102,3 +102,54 @@ def test_tags_survive_parquet_and_drive_masks(spark, tmp_path):
     assert bag(policies.mask_by_tag(stored)) == bag(policies.mask_columns(df, KINDS))
     with pytest.raises(ValueError, match="no mask"):
         policies.mask_by_tag(policies.with_column_tags(df, {"email": {"pii": "iris_scan"}}))
+
+
+def statement(name, body="concat(left(v, 1), '!')", args="(v STRING)"):
+    return f"CREATE OR REPLACE FUNCTION {name}{args} RETURN {body}"
+
+
+@pytest.mark.parametrize("called", ["main.gov.hide", "gov.hide", "hide", "`MAIN`.gov.`Hide`", "other.main.gov.hide"])
+def test_functions_are_found_under_every_form_of_their_name(spark, called):
+    with policies.SqlFunctions(spark, [statement("main.gov.hide"), statement("main.gov.hide_more", "'?'")]) as functions:
+        shown = policies.mask_columns(spark.createDataFrame(PEOPLE, COLUMNS), {"email": functions.resolve(called)})
+    assert [r["email"] for r in shown.orderBy("id").collect()] == ["a!", None]
+    assert not [f.name for f in spark.catalog.listFunctions() if f.name.startswith("__policy_")]
+
+
+def test_names_that_fit_several_statements_or_none(spark):
+    with policies.SqlFunctions(spark, [statement("a.x.hide"), statement("b.y.hide", "'?'")]) as functions:
+        with pytest.raises(ValueError, match="several"):
+            functions.resolve("hide")
+        assert functions.resolve("y.hide") != functions.resolve("x.hide")
+        assert functions.resolve("elsewhere") == "elsewhere"
+    with pytest.raises(ValueError, match="CREATE FUNCTION"):
+        policies.SqlFunctions(spark, ["DROP TABLE x"])
+    with pytest.raises(Exception, match="nope"):
+        with policies.SqlFunctions(spark, [statement("a.b.ok"), statement("a.b.bad", "nope(v)")]):
+            pass
+    assert not [f.name for f in spark.catalog.listFunctions() if f.name.startswith("__policy_")]
+
+
+@pytest.mark.parametrize("groups, principal, shown", [
+    (["hr"], "x", "Ann"), ([], "it's me", "Ann"), ([], "x", "A!"), (["hr2"], None, "A!"),
+])
+def test_membership_and_user_inside_a_function(spark, groups, principal, shown):
+    body = """CASE WHEN IS_ACCOUNT_GROUP_MEMBER('hr') OR current_user() = "it's me" THEN v ELSE concat(left(v, 1), '!') END"""
+    policy = {"pii_columns": [{"column": "first_name", "masking_function": "hide", "masking_sql": statement("m.g.hide", body)}]}
+    seen = policies.govern(spark.createDataFrame(PEOPLE[:1], COLUMNS), policy, False, groups, None, principal)
+    assert seen.first()["first_name"] == shown
+
+
+def test_a_boolean_function_filters_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (None, "a")], "id INT, kind STRING")
+    security = {"enabled": True, "rls_function_name": "g.own", "filter_columns": ["id", "kind"], "admin_group": "boss",
+                "function_sql": statement("m.g.own", "i < 3 AND k = 'a'", "(i INT, k STRING)")}
+    policy = {"row_level_security": security}
+    assert [r.id for r in policies.govern(df, policy, False, ["team"]).collect()] == [1]
+    assert policies.govern(df, policy, False, ["boss"]).count() == 4
+    with pytest.raises(ValueError, match="not boolean"):
+        security["function_sql"] = statement("m.g.own", "i", "(i INT, k STRING)")
+        policies.govern(df, policy, False, ["team"])
+    with pytest.raises(Exception, match="unknown"):
+        security["rls_function_name"] = "unknown"
+        policies.govern(df, policy, False, ["team"])
