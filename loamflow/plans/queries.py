@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from loamflow.operators import incremental, policies, quality, range_joins, state, transforms, writes
+from loamflow.operators import dataset_rules, incremental, policies, quality, range_joins, state, transforms, writes
 from loamflow.plans.runner import BulkTransformEngine
 from loamflow.schemas import CONTROL_SCHEMA
 from loamflow.session import shared_folder
@@ -803,6 +803,46 @@ _HIDDEN = {
 PERSON_MASKS = {"last_name": "name", "full_name": "full_name", "email": "email", "phone": "phone", "address": "address"}
 
 
+# Row rules and dataset rules in one pass over each day of events; the days' measures combine to those of all events.
+EVENT_RULES = [
+    {"name": "enough", "check": {"function": "row_count", "arguments": {"min": 100}}},
+    {"name": "few", "criticality": "warn", "check": {"function": "row_count", "arguments": {"max": 150}}},
+    {"name": "typed", "check": {"function": "completeness", "arguments": {"column": "kind", "min": 0.7}}},
+    {"name": "complete", "check": {"function": "completeness", "arguments": {"column": "kind", "min": 0.99}}},
+    {"name": "fresh", "check": {"function": "freshness", "arguments": {"column": "ts", "max": 15 * 86400}}},
+    {"name": "usual", "check": {"function": "mean", "arguments": {"column": "event_id", "min": 0, "max": 5000}}},
+    {"name": "own_ids", "check": {"function": "distinct_share", "arguments": {"column": "event_id", "min": 0.9}}},
+    {"name": "shared", "check": {"function": "distinct_share", "arguments": {"column": "kind", "min": 0.9}}},
+]
+
+
+@query(
+    "dq_dataset_rules",
+    f"""with e as (select coalesce(cast(cast(ts as date) as varchar), '-') as day, *, nullif(event_type, 'error') as kind from events),
+    m as (select case when grouping(day) = 1 then 'all' else day end as part, count(*) as n,
+        cast(sum(case when value < 1 then 1 else 0 end) as bigint) as fail_rows, count(kind) / count(*) as typed,
+        epoch(timestamp '2024-02-01 00:00:00') - epoch(max(ts)) as age, avg(event_id) as mean,
+        count(distinct event_id) / count(event_id) as ids, count(distinct kind) / count(kind) as kinds
+        from e group by rollup (day))
+    select part, n as total_rows, fail_rows, unnest(['enough', 'few', 'typed', 'complete', 'fresh', 'usual', 'own_ids', 'shared']) as name,
+        unnest([n >= 100, n <= 150, typed >= 0.7, typed >= 0.99, age <= {15 * 86400}, mean <= 5000, ids >= 0.9, kinds >= 0.9]) as passed
+    from m""",
+)
+def dq_dataset_rules(spark, sf_dir):
+    sql = "SELECT coalesce(cast(cast(ts AS date) AS string), '-') AS day, *, nullif(event_type, 'error') AS kind FROM events"
+    events = run_sql(spark, sf_dir, sql, "events")
+    rows = quality.RuleSet(events, [
+        {"name": "price", "check": {"function": "is_not_less_than", "arguments": {"column": "value", "value": 1}}},
+    ])
+    whole = dataset_rules.DatasetRules(events, EVENT_RULES)
+    days = rows.frame.groupBy("day").agg(*rows.metrics(), *whole.metrics())
+    counts = [F.sum(c).alias(c) for c in ("total_rows", "fail_rows")]
+    total = whole.merged(days, also=counts).withColumn("part", F.lit("all"))
+    parts = days.withColumnRenamed("day", "part").drop("warn_rows").unionByName(total)
+    told = whole.verdicts(parts, datetime(2024, 2, 1), "part", "total_rows", "fail_rows")
+    return told.select("part", "total_rows", "fail_rows", "name", "passed")
+
+
 @query(
     "mask_columns",
     "select c_custkey, c_mktsegment, "

@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampT
 
 from loamflow import schemas
 from loamflow.operators import policies, quality, state, writes
+from loamflow.operators.dataset_rules import DatasetRules
 from loamflow.operators.incremental import incremental_filter, next_mark, type_of
 from loamflow.operators.transforms import resolve_sql, sql_transform
 from loamflow.session import configure
@@ -363,12 +364,13 @@ class BulkTransformEngine:
         inputs = self.tables.inputs(sql, self._known_tables) if source is None else {"source": source}
         transformed = sql_transform(self.spark, sql, inputs, as_of=result.started_at)
 
-        rules, threshold, quarantine, dq_results = [], quality.DEFAULT_THRESHOLD_PCT, "", ""
+        rules, threshold, quarantine, dq_results, whole = [], quality.DEFAULT_THRESHOLD_PCT, "", "", DatasetRules(transformed, [])
         if spec["route"] == "quality":
             document = self.document(spec["dq_config_path"], "data_quality")
             rules = document.get("checks") or []
             threshold = float(document.get("failure_threshold_pct", threshold))
             quarantine, dq_results = self._quality_tables(spec, document)
+            whole = DatasetRules(transformed, document.get("dataset_checks") or [])
 
         references = {
             r.arguments["ref_table"]: self.tables.read(r.arguments["ref_table"])
@@ -388,7 +390,7 @@ class BulkTransformEngine:
         # the pass that stages the rows.
         seen = Observation(f"load-{uuid.uuid4().hex}")
         staged = self.warehouse.data_path(target, load)
-        observed = checked.frame.observe(seen, *checked.metrics(), *marks)
+        observed = checked.frame.observe(seen, *checked.metrics(), *marks, *whole.metrics("dataset_"))
         if rules:
             accepted = ~checked.violated(quality.ERROR)
             rows = observed.select(
@@ -424,6 +426,10 @@ class BulkTransformEngine:
                 raise quality.DQPipelineException(
                     f"{pct:.2f}% of the rows failed the rules (threshold {threshold}%), see {quarantine}"
                 )
+        broken = self._record_dataset(whole, counts, run_id, load, result.started_at, dq_results)
+        if broken:
+            result.mark = None
+            raise quality.DQPipelineException(f"dataset rules failed: {', '.join(broken)}, see {dq_results}_dataset")
         if total - failed == 0:
             result.message = "no rows after the transform" if not total else "all rows failed the rules"
             if live is not None and mark is not None:
@@ -489,6 +495,16 @@ class BulkTransformEngine:
         self.warehouse.save(table, summary, load, "append")
         return summary.first()["fail_pct"]
 
+    def _record_dataset(self, rules: DatasetRules, counts: dict[str, Any], run_id: str, load: str, as_of: datetime,
+                        table: str) -> list[str]:
+        """Stores the verdicts of the dataset rules; names of the error rules that do not hold."""
+        if not rules.rules:
+            return []
+        measures = self.spark.createDataFrame([tuple(counts[f"dataset_{m.name}"] for m in rules.measures)], rules.schema)
+        told = rules.verdicts(measures, as_of).withColumn("run_id", F.lit(run_id))
+        self.warehouse.save(f"{table}_dataset", told, load, "append")
+        return [r["name"] for r in told.collect() if not r["passed"] and r["criticality"] == quality.ERROR]
+
     def last_mark(self, spec: dict[str, Any], live: Snapshot | None = None) -> str | None:
         """The mark of this spec: one published with the data that the control table does not have, else the control row's.
 
