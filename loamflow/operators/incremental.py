@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from loamflow.operators.joins import lookup_join
+
+
+@dataclass(frozen=True)
+class LateRows:
+    """What a spec does about rows that arrive at or below its mark.
+
+    ``tie``: a column that grows among the rows of one mark value; the mark is then the greatest (value, tie), and rows of the
+    same value with a greater tie are read. ``overlap``: an interval such as ``"2 days"`` below the mark that is read
+    again each time: keyed strategies merge it, ``append`` adds the rows whose key and mark the table does not have.
+    """
+
+    tie: str = ""
+    overlap: str = ""
+
 
 def mark_literal(mark: Any, dtype: DataType) -> Column:
     """The stored mark as a constant of the column's own type, so the filter reaches the scan."""
@@ -34,6 +50,26 @@ def incremental_filter(df: DataFrame, mark_column: str, last: Any | None, overla
     return df.filter(F.col(mark_column) > bound)
 
 
+def above_tie(df: DataFrame, mark_column: str, last: Any, tie_column: str, tie: Any) -> DataFrame:
+    """Rows above the two-part mark (``last``, ``tie``). The bound on the mark column alone reaches the scan."""
+    mark, bound = F.col(mark_column), mark_literal(last, type_of(df, mark_column))
+    greater = F.col(tie_column) > mark_literal(tie, type_of(df, tie_column))
+    return df.filter((mark >= bound) & ((mark > bound) | greater))
+
+
+def not_yet_stored(df: DataFrame, target: DataFrame, keys: list[str], mark_column: str, last: Any, overlap: str) -> DataFrame:
+    """Rows of a stretch read again that the target lacks: none there has the same keys and mark, NULL keys included.
+
+    Of the target only that stretch is read, and of it only the keys and the mark.
+    """
+    name = "_identity"
+    while name in {c.lower() for c in [*df.columns, *target.columns]}:
+        name += "_"
+    identity = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([*keys, mark_column])])
+    there = incremental_filter(target, mark_column, last, overlap).select(identity.alias(name)).distinct()
+    return lookup_join(df.withColumn(name, identity), there, [name], "left_anti").drop(name)
+
+
 def next_mark(mark_column: str) -> Column:
     """Aggregate for the next mark; NULL when no row carries one."""
     return F.max(mark_column)

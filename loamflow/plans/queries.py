@@ -1171,6 +1171,36 @@ def load_retried(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+# End to end: three deliveries of events by day. "again" re-reads some days and gets late rows below its mark; "tied" gets the rest of a day
+# whose first rows it has. Both end with every event, once.
+@query(
+    "late_rows",
+    """select 'again' as name, event_id, cast(ts as date) as day from events
+    union all select 'tied', event_id, cast(ts as date) from events""",
+)
+def late_rows(spark, sf_dir):
+    engine = BulkTransformEngine(spark, f"{engine_folder(spark)}/warehouse", late={
+        "again": incremental.LateRows(overlap="40 days"), "tied": incremental.LateRows(tie="event_id"),
+    })
+    events = run_sql(spark, sf_dir, "SELECT event_id, cast(ts AS date) AS day FROM events", "events")
+    n = events.count()
+    for run in (1, 2, 3):
+        there = F.col("event_id") < n * run / 3
+        engine.tables.bind("raw.facts.again", events.filter(there & ((F.col("event_id") % 5 != 0) | F.lit(run == 3))))
+        engine.tables.bind("raw.facts.tied", events.filter(there))
+        for name in ("again", "tied"):
+            result = engine.run_spec({
+                "id": name, "description": "", "source_name": f"raw.facts.{name}", "target_name": f"trusted.{name}",
+                "target_table": name, "pk": ["event_id"], "load_strategy": "append", "load_type": "incremental",
+                "watermark_column": "day", "query": "", "sql_file": "", "run_data_quality": False, "dq_config_path": "",
+                "route": "transform",
+            }, f"run{run}")
+            if result.error is not None:
+                raise result.error
+    both = [engine.warehouse.read(f"trusted.{t}").select(F.lit(t).alias("name"), "event_id", "day") for t in ("again", "tied")]
+    return both[0].unionByName(both[1])
+
+
 @query(
     "load_timestamp",
     f"select o_orderkey, timestamp '{RUN_TS}' as loaded_at, 'current_timestamp()' as said from orders",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import logging
 import os
 import re
@@ -19,7 +20,15 @@ from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampT
 from loamflow import schemas
 from loamflow.operators import policies, quality, state, writes
 from loamflow.operators.dataset_rules import DatasetRules
-from loamflow.operators.incremental import incremental_filter, next_mark, type_of
+from loamflow.operators.incremental import (
+    LateRows,
+    above_tie,
+    incremental_filter,
+    mark_literal,
+    next_mark,
+    not_yet_stored,
+    type_of,
+)
 from loamflow.operators.transforms import resolve_sql, sql_transform
 from loamflow.session import configure
 from loamflow.sources import specs as spec_source
@@ -92,7 +101,8 @@ class BulkTransformEngine:
     keyed targets an integer SQL expression over their key columns, such as
     ``o_orderkey div 1000000`` or ``pmod(xxhash64(k), 256)``: the table is stored in one part per
     value, and a merge reads and rewrites the parts it touches instead of the whole table.
-    ``parallel`` specs run at a time.
+    ``parallel`` specs run at a time. ``late`` says, by spec id, what an incremental spec does about rows that arrive
+    at or below its mark.
     """
 
     def __init__(
@@ -106,6 +116,7 @@ class BulkTransformEngine:
         system: SystemTables = SystemTables(),
         layouts: dict[str, str] | None = None,
         parallel: int = 1,
+        late: dict[str, LateRows] | None = None,
     ):
         self.spark = configure(spark)
         self.warehouse = Warehouse(spark, warehouse_root)
@@ -116,6 +127,7 @@ class BulkTransformEngine:
         self.system = system
         self.layouts = dict(layouts or {})
         self.parallel = parallel
+        self.late = dict(late or {})
         self._source_counts: dict[str, int] = {}
         self._known_tables: set[str] = set()
 
@@ -350,6 +362,7 @@ class BulkTransformEngine:
         target, mark_column = spec["target_name"], spec["watermark_column"]
         live = self.warehouse.current(target)
         load = load_id(run_id, spec["id"])
+        last, late = None, LateRows()
         if live is not None and load in live.runs:
             result.message = "already published by this run"
             return
@@ -359,10 +372,16 @@ class BulkTransformEngine:
             counted = self._source_counts.pop(spec["id"], -1)  # it holds for the run it was counted in
             result.source_count = counted if counted >= 0 else source.count()
             if mark_column and spec["load_type"] == "incremental":
-                source = incremental_filter(source, mark_column, self.last_mark(spec, live))
+                last, late = self.last_mark(spec, live), self.late.get(spec["id"], late)
+                source = self._unread(source, spec, live, last, late)
         sql = resolve_sql(spec, self.config_base_path)
         inputs = self.tables.inputs(sql, self._known_tables) if source is None else {"source": source}
         transformed = sql_transform(self.spark, sql, inputs, as_of=result.started_at)
+        if late.overlap and last is not None and live is not None and spec["load_strategy"] == "append":
+            if not spec["pk"] or not _has(transformed, mark_column):
+                raise ValueError(f"[{spec['id']}] an append that reads a stretch again needs keys and its mark column in the result")
+            stored = self.warehouse.read_snapshot(live)
+            transformed = not_yet_stored(transformed, stored, spec["pk"], mark_column, last, late.overlap)
 
         rules, threshold, quarantine, dq_results, whole = [], quality.DEFAULT_THRESHOLD_PCT, "", "", DatasetRules(transformed, [])
         if spec["route"] == "quality":
@@ -383,7 +402,16 @@ class BulkTransformEngine:
             return self.spark.read.schema(keys.schema).parquet(self.warehouse.stage(keys, path))
 
         checked = quality.RuleSet(transformed, rules, references, settle)
-        marks = [next_mark(mark_column).cast("string").alias("mark")] if mark_column and _has(transformed, mark_column) else []
+        marks = []
+        if mark_column and _has(transformed, mark_column):
+            reached = next_mark(mark_column)
+            if late.overlap and last is not None:  # late rows alone do not set the mark back
+                bound = mark_literal(last, type_of(transformed, mark_column))
+                reached = F.when(reached.isNotNull(), F.greatest(reached, bound))
+            marks.append(reached.cast("string").alias("mark"))
+            if late.tie and _has(transformed, late.tie):
+                pair = F.max(F.struct(F.col(mark_column).alias("value"), F.col(late.tie).alias("tie")))
+                marks += [pair["value"].cast("string").alias("tie_of"), pair["tie"].cast("string").alias("tie")]
         run_ts = F.lit(utc_now()).cast("timestamp")
 
         # The only evaluation of the transform: counts, mark and rule outcome are observed in
@@ -408,6 +436,7 @@ class BulkTransformEngine:
         counts = seen.get
         total, failed = counts["total_rows"], counts["fail_rows"]
         mark = counts.get("mark")
+        ties = {} if counts.get("tie") is None else {f"{spec['id']}#tie": json.dumps([counts["tie_of"], counts["tie"]])}
 
         if mark is not None and isinstance(type_of(transformed, mark_column), _TIME_TYPES):
             # The control table can only show marks that are times; the manifest keeps any mark.
@@ -433,13 +462,29 @@ class BulkTransformEngine:
         if total - failed == 0:
             result.message = "no rows after the transform" if not total else "all rows failed the rules"
             if live is not None and mark is not None:
-                self.warehouse.set_mark(target, load, spec["id"], mark)
+                self.warehouse.set_marks(target, load, {spec["id"]: mark, **ties})
             return
-        self._publish(spec, load, live, accepted_path, transformed.schema, total - failed, mark)
+        self._publish(spec, load, live, accepted_path, transformed.schema, total - failed, {
+            **({} if mark is None else {spec["id"]: mark}), **ties,
+        })
         result.rows_loaded = total - failed
 
+    @staticmethod
+    def _unread(source: DataFrame, spec: dict[str, Any], live: Snapshot | None, last: str | None, late: LateRows) -> DataFrame:
+        """Rows above the mark, with the ties and the stretch below it that the spec asks for."""
+        column = spec["watermark_column"]
+        tied = live.marks.get(f"{spec['id']}#tie") if live is not None and late.tie and not late.overlap else None
+        if tied is not None and last is not None:
+            value, tie = json.loads(tied)
+            kind = type_of(source, column)
+            # The tie belongs to one mark; a mark that was set back is read as such.
+            same = source.sparkSession.range(1).select(mark_literal(value, kind) == mark_literal(last, kind)).first()[0]
+            if same:
+                return above_tie(source, column, last, late.tie, tie)
+        return incremental_filter(source, column, last, late.overlap or None)
+
     def _publish(self, spec: dict[str, Any], load: str, live: Snapshot | None, path: str, schema: StructType,
-                 rows: int, mark: str | None) -> None:
+                 rows: int, marks: dict[str, str]) -> None:
         target, strategy = spec["target_name"], spec["load_strategy"]
         layout, dirs = None, (path,)
         if strategy in schemas.KEYED_STRATEGIES:
@@ -448,7 +493,6 @@ class BulkTransformEngine:
             if live is not None or layout or strategy == "scd2":
                 staged = self.spark.read.schema(schema).parquet(path)
                 dirs, schema, rows = self._merge(spec, load, staged, live, layout)
-        marks = {} if mark is None else {spec["id"]: mark}
         if strategy == "append":
             self.warehouse.publish(target, load, dirs, schema, rows, "append", marks, layout)
         else:

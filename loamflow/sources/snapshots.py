@@ -45,7 +45,8 @@ class Snapshot:
     dirs: tuple[str, ...]
     schema: StructType
     rows: int
-    # By spec id: marks that were published with the data and are not in the control table yet, or cannot be.
+    # By spec id: marks that were published with the data and are not in the control table yet, or cannot be; ``<id>#tie``: the second
+    # part of a two-part mark with the value it belongs to.
     marks: dict[str, str]
     # The load ledger: what has been published to the table, the oldest first, whatever became of its rows since.
     runs: tuple[str, ...]
@@ -163,13 +164,12 @@ class Warehouse:
                 ))
             return self._commit(name, Snapshot(version, run_id, dirs, schema, rows, marks, ledger, layout))
 
-    def set_mark(self, name: str, run_id: str, spec_id: str, mark: str) -> Snapshot:
-        """A new mark for unchanged data: the load read rows, but none of them was good enough."""
+    def set_marks(self, name: str, run_id: str, marks: dict[str, str]) -> Snapshot:
+        """New marks for unchanged data: the load read rows, but none of them was good enough."""
         with self._locks[name]:
             live = self.current(name)
             return self._commit(name, replace(
-                live, version=live.version + 1, run_id=run_id, marks={**live.marks, spec_id: mark},
-                runs=live.runs + (run_id,),
+                live, version=live.version + 1, run_id=run_id, marks={**live.marks, **marks}, runs=live.runs + (run_id,),
             ))
 
     def settle_marks(self, name: str, spec_ids: set[str]) -> None:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from compare import bag
 from loamflow import BulkTransformEngine, Warehouse, sql_transform
+from loamflow.operators.incremental import LateRows
 from loamflow.sources.snapshots import StaleResult
 from loamflow.schemas import AUDIT_SCHEMA, CONTROL_SCHEMA, DQ_RESULTS_SCHEMA
 from test_specs import write_csv
@@ -470,3 +471,43 @@ def test_the_ledger_is_bounded(spark, tmp_path):
         warehouse.save("t", spark.range(1), run, "append")
     assert warehouse.current("t").runs == ("r2", "r3", "r4")
     assert warehouse.save("t", spark.range(1), "r2", "append").rows == 4
+
+
+def test_ties_at_the_mark_are_read_when_they_come(spark, tmp_path):
+    eng = engine(spark, tmp_path, [spec("m", load_strategy="append")], rows(spark, (1, "a", 1), (2, "b", 2)), late={"m": LateRows(tie="k")})
+    assert statuses(eng.transform_all(run_id="r1")) == {"m": ("SUCCESS", 2)}
+    assert statuses(eng.transform_all(run_id="r2")) == {"m": ("SUCCESS", 0)}
+    eng.tables.bind("raw.s.t", rows(spark, (1, "a", 1), (2, "b", 2), (3, "c", 2), (5, "e", 3), (0, "late", 1)))
+    assert statuses(eng.transform_all(run_id="r3")) == {"m": ("SUCCESS", 2)}
+    assert kv(eng.warehouse.read("lake.trusted.m")) == [(1, "a"), (2, "b"), (3, "c"), (5, "e")]
+    # A mark that was set back in the control table counts without the tie.
+    control = eng.warehouse.read("logging.watermark_state").withColumn("last_load_time", F.lit("2024-01-02").cast("timestamp"))
+    eng.warehouse.save("logging.watermark_state", control, "reset")
+    assert statuses(eng.transform_all(run_id="r4")) == {"m": ("SUCCESS", 3)}
+
+
+@pytest.mark.parametrize("strategy", ["append", "merge"])
+def test_rows_below_the_mark_are_added_once(spark, tmp_path, strategy):
+    eng = engine(spark, tmp_path, [spec("m", load_strategy=strategy)], rows(spark, (1, "a", 1), (9, "z", 9), (None, "n", 8)),
+                 late={"m": LateRows(overlap="3 days")})
+    eng.transform_all(run_id="r1")
+    everything = rows(spark, (1, "a", 1), (9, "z", 9), (None, "n", 8), (2, "too late", 2), (7, "late", 7), (None, "late", 7), (8, "tie", 9))
+    eng.tables.bind("raw.s.t", everything)
+    expected = [(1, "a"), (7, "late"), (8, "tie"), (9, "z"), (None, "late"), (None, "n")]
+    for run in ("r2", "r3"):
+        assert eng.transform_all(run_id=run)[0].status == "SUCCESS"
+        if strategy == "append":  # a merge adds rows without a key each time, as SQL does
+            assert kv(eng.warehouse.read("lake.trusted.m")) == expected
+        else:
+            assert [r for r in kv(eng.warehouse.read("lake.trusted.m")) if r[0]] == expected[:4]
+    assert eng.last_mark(eng.load_transforms()[0]) == "2024-01-10 00:00:00"
+
+
+def test_late_rows_alone_do_not_set_the_mark_back(spark, tmp_path):
+    eng = engine(spark, tmp_path, [spec("m", load_strategy="append")], rows(spark, (9, "z", 9)), late={"m": LateRows(overlap="3 days")})
+    eng.transform_all(run_id="r1")
+    eng.tables.bind("raw.s.t", rows(spark, (7, "late", 7)))
+    assert statuses(eng.transform_all(run_id="r2")) == {"m": ("SUCCESS", 1)}
+    assert eng.last_mark(eng.load_transforms()[0]) == "2024-01-10 00:00:00"
+    without_keys = {**eng.load_transforms()[0], "pk": []}
+    assert "needs keys" in eng.run_spec(without_keys, "r3").message
