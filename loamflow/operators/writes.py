@@ -157,11 +157,24 @@ def start_history(source: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def _unopened(opened: DataFrame, source: DataFrame, keys: Sequence[str], data: Sequence[str]) -> DataFrame:
+    """Source rows that have to open a version: of a key without one, or with a NULL key and not open as they are."""
+    keyed = all_of([F.col(k).isNotNull() for k in keys])
+    same = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(data)])  # structs are equal if their NULLs are
+    name = "_same"
+    while name in {c.lower() for c in data}:
+        name += "_"
+    without = opened.filter(~keyed).select(same.alias(name)).distinct()
+    nameless = lookup_join(source.filter(~keyed).withColumn(name, same), without, [name], "left_anti")
+    return unmatched(opened, source.filter(keyed), keys).select(*data).unionByName(nameless.select(*data))
+
+
 def scd2_history(history: DataFrame | None, source: DataFrame, keys: Sequence[str], as_of: Column) -> DataFrame:
     """Versioned history: a changed row closes its open version and opens a new one.
 
     Unchanged rows, closed versions and keys the source does not mention stay as they are. The
-    source must hold at most one row per key that is already open.
+    source must hold at most one row per key that is already open. A row with a NULL key has no predecessor to
+    close; it opens a version unless the same row, NULLs included, is open already.
     """
     if not keys:
         raise ValueError("scd2 requires at least one key column")
@@ -192,7 +205,7 @@ def scd2_history(history: DataFrame | None, source: DataFrame, keys: Sequence[st
     # A closed version and its successor come out of the same looked-up row.
     versions = looked_up.select(F.inline(F.when(differs, F.array(before, after)).otherwise(F.array(before))))
     closed = history.filter("NOT is_current OR is_current IS NULL")
-    fresh = start_history(unmatched(opened, source, keys).select(*data), as_of)
+    fresh = start_history(_unopened(opened, source, keys, data), as_of)
     order = history.columns
     return closed.unionByName(versions.select(order)).unionByName(fresh.select(order))
 

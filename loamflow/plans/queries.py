@@ -495,6 +495,29 @@ def scd2_history(spark, sf_dir):
     return writes.scd2_history(closed.unionByName(opened), source, ["o_orderkey"], F.lit(RUN_TS))
 
 
+# Three loads into one history, the last one a repetition; every tenth row has no key.
+_LOADED = "select nullif(o_orderkey, o_orderkey // 10 * 10) as k, o_orderkey as n, {} as status from orders"
+
+
+@query(
+    "scd2_incremental",
+    f"""with a as ({_LOADED.format("o_orderstatus")}), b as ({_LOADED.format("case when o_orderkey % 3 = 0 then 'X' else o_orderstatus end")})
+    select a.k, a.n, a.status, timestamp '2024-01-01 00:00:00' as valid_from,
+           case when a.k is not null and a.status <> b.status then timestamp '2024-02-01 00:00:00' end as valid_to,
+           a.k is null or a.status = b.status as is_current
+    from a join b using (n)
+    union all select b.k, b.n, b.status, timestamp '2024-02-01 00:00:00', null, true from a join b using (n) where a.status <> b.status""",
+)
+def scd2_incremental(spark, sf_dir):
+    sql = "SELECT nullif(o_orderkey, o_orderkey DIV 10 * 10) AS k, o_orderkey AS n, {} AS status FROM orders"
+    first = run_sql(spark, sf_dir, sql.format("o_orderstatus"), "orders")
+    second = run_sql(spark, sf_dir, sql.format("IF(o_orderkey % 3 = 0, 'X', o_orderstatus)"), "orders")
+    history = None
+    for load, day in ((first, "2024-01-01"), (second, "2024-02-01"), (second, "2024-03-01")):
+        history = writes.scd2_history(history, load, ["k"], F.lit(day))
+    return history
+
+
 def file_count(spark: SparkSession, sf_dir: str, name: str, file_bytes: int = 512 << 20) -> int:
     """How many files of ``file_bytes`` a table fills."""
     size = Warehouse(spark, sf_dir).size_in_bytes((f"{sf_dir}/{name}.parquet",))

@@ -39,6 +39,7 @@ from loamflow.sources.tables import Tables, profile_rows, reachable
 logger = logging.getLogger(__name__)
 
 _OK = "_dq_ok"
+_OPEN = "__open"
 _TIME_TYPES = (TimestampType, TimestampNTZType, DateType)
 
 
@@ -513,12 +514,18 @@ class BulkTransformEngine:
             stored = self.warehouse.read_snapshot(part)
             kept_rows = live.rows - (stored.count() if touched else 0)
         elif live is not None:
+            if spec["load_strategy"] == "scd2":
+                # Versions that were closed by an earlier load lie in folders of their own and stay there.
+                kept = tuple(d for d in live.dirs if d.endswith(f"/{_OPEN}=false"))
+                live = replace(live, dirs=tuple(d for d in live.dirs if d not in kept))
             stored = self.warehouse.read_snapshot(live)
+        path = self.warehouse.data_path(spec["target_name"], load, "merged")
         if spec["load_strategy"] == "merge":
             merged = writes.merge_upsert(stored, source, keys)
         else:
             merged = writes.scd2_history(stored, source, keys, F.lit(utc_now()))
-        path = self.warehouse.data_path(spec["target_name"], load, "merged")
+            if not layout:
+                return self._stage_history(merged, kept, path)
         if layout:
             # An observation below the rebalance could count a repeated stage twice: read the footers instead.
             dirs = self.warehouse.stage_parts(merged, path, layout)
@@ -527,6 +534,19 @@ class BulkTransformEngine:
         counted = merged.observe(seen, F.count(F.lit(1)).alias("rows"))
         return (self.warehouse.stage(counted, path),), merged.schema, seen.get["rows"]
 
+    def _stage_history(self, merged: DataFrame, kept: tuple[str, ...], path: str) -> tuple[tuple[str, ...], StructType, int]:
+        """Open and closed versions written apart, next to the folders of closed ones that stay."""
+        seen = Observation(f"history-{uuid.uuid4().hex}")
+        is_open = F.coalesce(F.col("is_current"), F.lit(False))
+        counted = merged.observe(seen, F.count_if(is_open).alias("opened"), F.count_if(~is_open).alias("closed"))
+        self.warehouse.stage(counted.withColumn(_OPEN, is_open), path, partition_by=_OPEN)
+        counts = seen.get
+        dirs = kept + tuple(f"{path}/{_OPEN}={v}" for v, n in (("true", counts["opened"]), ("false", counts["closed"])) if n)
+        rows = counts["opened"] + counts["closed"]
+        if kept:
+            rows += self.spark.read.schema(merged.schema).parquet(*kept).count()  # from the footers
+        return dirs, merged.schema, rows
+
     def _record_quality(self, run_id: str, load: str, total: int, failed: int, threshold: float, table: str) -> float:
         counts = self.spark.sql(
             "SELECT :run AS run_id, CAST(:total AS LONG) AS total_rows, CAST(:failed AS LONG) AS fail_rows",

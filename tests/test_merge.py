@@ -167,3 +167,13 @@ def test_compact_keeps_rows(spark):
     assert packed.rdd.getNumPartitions() == 3 and packed.count() == 1000
     assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
     assert bag(compact(df, 4, ["id"])) == bag(df)
+
+
+def test_scd2_rows_without_a_key_open_once(spark):
+    load = frame(spark, [(None, "a"), (None, None), (1, "x")], "k INT, v STRING")
+    history = scd2_history(None, load, ["k"], F.lit("2024-01-01"))
+    again = scd2_history(history, load, ["k"], F.lit("2024-02-01"))
+    assert bag(again) == bag(history)
+    other = scd2_history(again, frame(spark, [(None, "b"), (None, "a")], "k INT, v STRING"), ["k"], F.lit("2024-03-01"))
+    assert bag(other.select("k", "v", "is_current")) == sorted(
+        [(None, "a", True), (None, None, True), (1, "x", True), (None, "b", True)], key=repr)

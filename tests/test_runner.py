@@ -511,3 +511,27 @@ def test_late_rows_alone_do_not_set_the_mark_back(spark, tmp_path):
     assert eng.last_mark(eng.load_transforms()[0]) == "2024-01-10 00:00:00"
     without_keys = {**eng.load_transforms()[0], "pk": []}
     assert "needs keys" in eng.run_spec(without_keys, "r3").message
+
+
+def test_closed_versions_are_not_written_again(spark, tmp_path):
+    history = spec("h", load_strategy="scd2", load_type="full_refresh", query="SELECT k, v FROM source")
+    eng = engine(spark, tmp_path, [history], rows(spark, (1, "a", 1), (2, "b", 1), (None, "n", 1)))
+    name, closed = "lake.trusted.h", []
+    for run, values in (("r1", "ab"), ("r2", "ac"), ("r3", "dc"), ("r4", "dc")):
+        eng.tables.bind("raw.s.t", rows(spark, (1, values[0], 1), (2, values[1], 1), (None, "n", 1)))
+        assert eng.transform_all(run_id=run)[0].status == "SUCCESS"
+        live = eng.warehouse.current(name)
+        kept = [d for d in live.dirs if d.endswith("=false")]
+        assert set(closed) <= set(kept) and live.rows == eng.warehouse.read(name).count()
+        closed = kept
+    assert len(closed) == 2
+    shown = eng.warehouse.read(name).select("k", "v", "is_current")
+    expected = sorted([(1, "a", False), (1, "d", True), (2, "b", False), (2, "c", True), (None, "n", True)], key=repr)
+    assert bag(shown) == expected
+    # Compacted into one folder, and apart again with the next load.
+    eng.warehouse.compact(name, "c1")
+    eng.tables.bind("raw.s.t", rows(spark, (1, "e", 1)))
+    eng.transform_all(run_id="r5")
+    assert bag(eng.warehouse.read(name).select("k", "v", "is_current").filter("k = 1")) == sorted(
+        [(1, "a", False), (1, "d", False), (1, "e", True)], key=repr)
+    assert eng.warehouse.current(name).rows == eng.warehouse.read(name).count() == 6
