@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from loamflow.operators import dataset_rules, incremental, policies, quality, range_joins, state, transforms, writes
+from loamflow.operators.sessions import sessions
 from loamflow.plans.runner import BulkTransformEngine
 from loamflow.schemas import CONTROL_SCHEMA
 from loamflow.session import shared_folder
@@ -1065,6 +1066,69 @@ def passthrough_json(spark, sf_dir):
     return run_sql(spark, sf_dir, sql, "events")
 
 
+@query(
+    "passthrough_sessions",
+    """select event_type, user_id % 3 as kind, min(ts) as session_start, max(ts) as session_end, count(*) as n_rows,
+       cast(sum(event_id) as bigint) as event_id
+    from (select *, sum(starts) over (partition by event_type, user_id % 3 order by ts, event_id) as session
+          from (select *, case when epoch_us(ts) - lag(epoch_us(ts)) over (partition by event_type, user_id % 3 order by ts, event_id)
+                               < 900000000 then 0 else 1 end as starts from events))
+    group by event_type, user_id % 3, session""",
+)
+def passthrough_sessions(spark, sf_dir):
+    events = run_sql(spark, sf_dir, "SELECT *, user_id % 3 AS kind FROM events", "events")
+    return sessions(events, ["event_type", "kind"], "ts", 900, ["event_id"], width_seconds=86_400)
+
+
+@query(
+    "passthrough_range_frame",
+    """select event_id, count(*) over w as n, cast(sum(event_id) over w as bigint) as ids from events
+    window w as (partition by user_id order by ts range between interval 6 hours preceding and current row)""",
+)
+def passthrough_range_frame(spark, sf_dir):
+    sql = """
+    SELECT event_id, count(*) OVER w AS n, sum(event_id) OVER w AS ids FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)
+    """
+    return run_sql(spark, sf_dir, sql, "events")
+
+
+@query(
+    "passthrough_maps",
+    """select event_id, cast(json_extract_string(props, '$.k') as integer) as k, 2 * cast(json_extract_string(props, '$.k') as integer) as doubled,
+       case when cast(json_extract_string(props, '$.k') as integer) > 50 then 'k' else '' end as large,
+       case event_type when 'click' then user_id when 'k' then -1 end as clicks, 2 as keys
+    from events""",
+)
+def passthrough_maps(spark, sf_dir):
+    sql = """
+    SELECT event_id, from_json(props, 'k INT').k AS k, transform_values(m, (key, v) -> 2 * v)['k'] AS doubled,
+           array_join(map_keys(map_filter(m, (key, v) -> v > 50)), ',') AS large, try_element_at(by_type, 'click') AS clicks,
+           cardinality(map_concat(m, by_type)) AS keys
+    FROM (SELECT *, from_json(props, 'MAP<STRING, BIGINT>') AS m, map_from_arrays(array(event_type), array(user_id)) AS by_type FROM events)
+    """
+    return run_sql(spark, sf_dir, sql, "events")
+
+
+@query(
+    "passthrough_math",
+    """select l_orderkey, l_linenumber, round(sqrt(l_extendedprice), 4) as root, round(ln(1 + l_quantity), 4) as logarithm,
+       round(pow(1 + l_discount, 2), 6) as squared, cast(floor(l_extendedprice / 7) as bigint) as sevenths,
+       cast(ceil(l_tax * 100) as bigint) as tax, l_partkey % 11 as rest, abs(l_suppkey - l_partkey) as apart,
+       cast(sign(l_suppkey - l_partkey) as integer) as side, greatest(l_suppkey, l_partkey) as top, xor(l_suppkey, l_partkey) as bits
+    from lineitem""",
+)
+def passthrough_math(spark, sf_dir):
+    sql = """
+    SELECT l_orderkey, l_linenumber, round(sqrt(l_extendedprice), 4) AS root, round(ln(1 + l_quantity), 4) AS logarithm,
+           round(power(1 + l_discount, 2), 6) AS squared, floor(l_extendedprice / 7) AS sevenths, ceil(l_tax * 100) AS tax,
+           l_partkey % 11 AS rest, abs(l_suppkey - l_partkey) AS apart, cast(sign(l_suppkey - l_partkey) AS int) AS side,
+           greatest(l_suppkey, l_partkey) AS top, l_suppkey ^ l_partkey AS bits
+    FROM lineitem
+    """
+    return run_sql(spark, sf_dir, sql, "lineitem")
+
+
 # Events, in seconds of the orders' own years, and the stretch of days for which an order is open; a few are open for long.
 _EVENT_SECONDS = "SELECT event_id, user_id, 788918400 + (unix_seconds(cast(ts AS timestamp)) - 1704067200) * 80 AS at FROM events"
 _EVENT_SECONDS_ORACLE = """select event_id, user_id,
