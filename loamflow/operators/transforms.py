@@ -46,12 +46,22 @@ def _mention(name: str) -> re.Pattern:
     return re.compile(rf"{_QUOTED}|(?P<name>(?<![\w.`])`?{parts}`?(?![\w`]))", re.IGNORECASE | re.DOTALL)
 
 
-_NOW = re.compile(rf"{_QUOTED}|(?P<name>(?<![\w.`])(?:current_timestamp(?:\s*\(\s*\))?|now\s*\(\s*\))(?![\w`]))", re.IGNORECASE | re.DOTALL)
+# Names given with AS stay, as do columns of a table: only calls, with or without brackets, are the current time.
+_NOW = re.compile(
+    rf"{_QUOTED}|\bAS\s+\w+|(?<![\w.`])(?P<name>current_timestamp|current_date|localtimestamp|now(?=\s*\()|curdate(?=\s*\())"
+    r"(?:\s*\(\s*\))?(?![\w`(])",
+    re.IGNORECASE | re.DOTALL,
+)
 
 
 def pin_time(sql: str, as_of: datetime) -> str:
-    """The query with the current time replaced by ``as_of`` (UTC), so that every evaluation of a run gives the same."""
-    return _NOW.sub(lambda m: f"TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S.%f}Z'" if m["name"] else m[0], sql)
+    """The query with the current time and date replaced by ``as_of`` (UTC), so that every evaluation of a run gives the same."""
+    literals = {
+        "localtimestamp": f"TIMESTAMP_NTZ '{as_of:%Y-%m-%d %H:%M:%S.%f}'",
+        "current_date": f"DATE '{as_of:%Y-%m-%d}'", "curdate": f"DATE '{as_of:%Y-%m-%d}'",
+    }
+    moment = f"TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S.%f}Z'"
+    return _NOW.sub(lambda m: literals.get(m["name"].lower(), moment) if m["name"] else m[0], sql)
 
 
 def sql_transform(spark: SparkSession, sql: str, inputs: dict[str, DataFrame] | None = None,

@@ -20,7 +20,7 @@ from loamflow.schemas import CONTROL_SCHEMA
 from loamflow.session import shared_folder
 from loamflow.sources import specs
 from loamflow.sources.snapshots import Warehouse
-from loamflow.sources.tables import source_profile
+from loamflow.sources.tables import Tables, checked_profile, source_profile
 from loamflow.streaming.incremental import incremental_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -615,6 +615,22 @@ def source_profile_query(spark, sf_dir):
     return source_profile(spark, {**tables(spark, sf_dir, *TABLES), "sql_only": None})
 
 
+# One source fails when it is read, one is not there, one has no table at all.
+@query(
+    "source_profile_failed",
+    """select 'good' as id, true as source_ok, count(*) as source_count from lineitem
+    union all select 'broken', false, -1 union all select 'missing', false, -1 union all select 'sql_only', true, -1""",
+)
+def source_profile_failed(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    known = Tables(spark, bindings={
+        "raw.sales.lines": lines, "raw.sales.none": f"{sf_dir}/no_such_table.parquet",
+        "raw.sales.broken": lines.filter(F.when(F.col("l_linenumber") > 0, F.raise_error(F.lit("unreadable")).cast("boolean"))),
+    })
+    names = [("good", "raw.sales.lines"), ("broken", "raw.sales.broken"), ("missing", "raw.sales.none"), ("sql_only", "")]
+    return checked_profile(known, names).drop("message")
+
+
 # Run state. Stored and incoming rows are derived from orders, customer and events.
 
 _STORED_CONFIG = """

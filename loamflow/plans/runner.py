@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
@@ -34,7 +35,7 @@ from loamflow.session import configure
 from loamflow.sources import specs as spec_source
 from loamflow.sources.documents import read_document
 from loamflow.sources.snapshots import Snapshot, Warehouse
-from loamflow.sources.tables import Tables, profile_rows, reachable
+from loamflow.sources.tables import Tables, checked_profile
 
 logger = logging.getLogger(__name__)
 
@@ -91,6 +92,7 @@ class SystemTables:
     audit: str = "logging.pipeline_run_log"
     policy_audit: str = "logging.policy_audit"
     policy_tags: str = "logging.policy_tags"
+    source_profile: str = "logging.source_profile"
 
 
 class BulkTransformEngine:
@@ -156,18 +158,30 @@ class BulkTransformEngine:
     # Stages
 
     def validate_all(self, filter_ids: list[str] | None = None, run_id: str | None = None) -> dict[str, Any]:
-        """Sync the config table, check every spec still to run, and count its source."""
+        """Sync the config table, check every spec still to run, and count its source.
+
+        Without a specs file the config table stands as it is. The profile of the sources is stored, also if the run ends here.
+        """
         run_id = run_id or str(uuid.uuid4())
-        incoming = spec_source.conform_spec_columns(spec_source.read_spec_csv(self.spark, self.csv_path))
-        self.warehouse.save(self.system.config, state.config_sync(self._config(), incoming), f"{run_id}-config")
+        config = self._config()
+        try:
+            incoming = spec_source.conform_spec_columns(spec_source.read_spec_csv(self.spark, self.csv_path))
+        except AnalysisException as exc:
+            if config is None or exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            logger.info("no specs file at %s: the config table counts", self.csv_path)
+        else:
+            self.warehouse.save(self.system.config, state.config_sync(config, incoming), f"{run_id}-config")
         transforms = self.load_transforms(filter_ids)
         pending = [t for t in transforms if t["route"] != "skip"]
         issues = [f"[{t['id']}] {p}" for t in pending for p in spec_source.spec_problems(t)]
-        sources, unreachable = reachable(self.tables, [(t["id"], t["source_name"]) for t in pending])
-        issues += unreachable
+        told = checked_profile(self.tables, [(t["id"], t["source_name"]) for t in pending])
+        profile = [row.asDict() for row in told.collect()]
+        issues += [f"[{p['id']}] {p['message']}" for p in profile if p["message"].startswith("cannot access")]
+        if profile:
+            self.warehouse.save(self.system.source_profile, told.withColumn("run_id", F.lit(run_id)), f"{run_id}-profile", "append")
         if issues:
             raise AssertionError(f"{len(issues)} problem(s) before the run:\n" + "\n".join(issues))
-        profile = profile_rows(self.spark, sources) if sources else []
         self._source_counts = {p["id"]: p["source_count"] for p in profile}
         return {
             "table_results": profile,

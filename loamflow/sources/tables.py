@@ -90,14 +90,30 @@ def profile_rows(spark: SparkSession, sources: dict[str, DataFrame | None]) -> l
                 rows.append({"id": id_, "source_ok": True, "source_count": -1 if df is None else df.count()})
             except Exception as exc:
                 logger.warning("[%s] source not readable: %s", id_, exc)
-                rows.append({"id": id_, "source_ok": False, "source_count": -1})
+                message = (str(exc).splitlines() or [""])[0]
+                rows.append({"id": id_, "source_ok": False, "source_count": -1, "message": message})
         return rows
 
 
-def reachable(tables: Tables, names: Iterable[tuple[str, str]]) -> tuple[dict[str, DataFrame | None], list[str]]:
-    """Sources by spec id, and one line per source that cannot be resolved."""
+PROFILE_SCHEMA = "id STRING, source_ok BOOLEAN, source_count LONG, message STRING"
+
+
+def checked_profile(tables: Tables, names: Iterable[tuple[str, str]]) -> DataFrame:
+    """``PROFILE_SCHEMA`` for each (spec id, source name): a source that cannot be resolved or read is a row, not an exception.
+
+    Rows are counted from file footers where the source is a plain file table: no column is read.
+    """
+    spark, names = tables.spark, list(names)
+    sources, issues = reachable(tables, names)
+    told = {r["id"]: (r["id"], r["source_ok"], r["source_count"], r.get("message", "")) for r in profile_rows(spark, sources)}
+    told.update({id_: (id_, False, -1, issue) for id_, issue in issues.items()})
+    return spark.createDataFrame([told[id_] for id_ in dict(names)], PROFILE_SCHEMA)
+
+
+def reachable(tables: Tables, names: Iterable[tuple[str, str]]) -> tuple[dict[str, DataFrame | None], dict[str, str]]:
+    """Sources by spec id, and by spec id what is wrong with one that cannot be resolved."""
     found: dict[str, DataFrame | None] = {}
-    issues: list[str] = []
+    issues: dict[str, str] = {}
     for id_, name in names:
         if not name:
             found[id_] = None
@@ -105,5 +121,5 @@ def reachable(tables: Tables, names: Iterable[tuple[str, str]]) -> tuple[dict[st
         try:
             found[id_] = tables.read(name)
         except Exception as exc:  # whatever the catalog or file system raises
-            issues.append(f"[{id_}] cannot access {name!r}: {str(exc).splitlines()[0]}")
+            issues[id_] = f"cannot access {name!r}: {str(exc).splitlines()[0]}"
     return found, issues

@@ -535,3 +535,15 @@ def test_closed_versions_are_not_written_again(spark, tmp_path):
     assert bag(eng.warehouse.read(name).select("k", "v", "is_current").filter("k = 1")) == sorted(
         [(1, "a", False), (1, "d", False), (1, "e", True)], key=repr)
     assert eng.warehouse.current(name).rows == eng.warehouse.read(name).count() == 6
+
+
+def test_a_run_without_its_specs_file_and_sources_that_are_missing(spark, tmp_path):
+    eng = engine(spark, tmp_path, [spec("m"), spec("x", source_table="gone")], rows(spark, (1, "a", 1)))
+    with pytest.raises(AssertionError, match="cannot access 'raw.s.gone'"):
+        eng.validate_all(run_id="r1")
+    stored = eng.warehouse.read("logging.source_profile").select("run_id", "id", "source_ok", "source_count")
+    assert bag(stored) == [("r1", "m", True, 1), ("r1", "x", False, -1)]
+    (tmp_path / "specs.csv").unlink()
+    assert eng.validate_all(["m"], run_id="r2")["table_results"][0]["source_ok"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        BulkTransformEngine(spark, str(tmp_path / "other"), csv_path=str(tmp_path / "specs.csv")).validate_all()

@@ -1,4 +1,5 @@
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 import pytest
 
@@ -83,3 +84,12 @@ def test_names_in_quoted_text_and_comments_stay(spark):
     row = sql_transform(spark, sql, {"raw.s.t": source}).first()
     assert tuple(row) == (1, "raw.s.t", "it's raw.s.t", "raw.s.t\\")
     assert sql_transform(spark, "SELECT raw.s.t.k FROM raw.s.t", {"raw.s.t": source}).first()[0] == 1
+
+
+def test_every_form_of_the_current_time_is_pinned(spark):
+    sql = ("SELECT current_timestamp AS a, NOW( ) AS b, current_date() AS c, Current_Date AS d, localtimestamp() AS e, curdate() AS f, "
+           "k AS current_timestamp, k AS current_date, source.k, 'now()' AS now FROM source -- now()")
+    row = sql_transform(spark, sql, {"source": spark.range(1).withColumnRenamed("id", "k")}, as_of=datetime(2024, 5, 6, 7, 8, 9)).first()
+    assert row["a"] == row["b"] == row["e"] == datetime(2024, 5, 6, 7, 8, 9)
+    assert row["c"] == row["d"] == row["f"] == datetime(2024, 5, 6).date()
+    assert (row["current_timestamp"], row["current_date"], row["now"]) == (0, 0, "now()")
