@@ -280,6 +280,9 @@ class BulkTransformEngine:
                     entries = policies.policy_entries(self.spark, t["target_name"], policy)
                     tags = policies.tag_inventory(entries)
                     tags.collect()  # a policy has a few dozen tags; they are checked before they count as applied
+                    published = self.warehouse.find(t["target_name"])
+                    if published is not None:  # masks and row filter have to fit the table, or reading it would fail
+                        policies.govern(published, policy, False)
                     inventory = tags if inventory is None else inventory.unionByName(tags)
                     status, message = state.SUCCESS, ""
                 except Exception as exc:

@@ -547,3 +547,17 @@ def test_a_run_without_its_specs_file_and_sources_that_are_missing(spark, tmp_pa
     assert eng.validate_all(["m"], run_id="r2")["table_results"][0]["source_ok"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         BulkTransformEngine(spark, str(tmp_path / "other"), csv_path=str(tmp_path / "specs.csv")).validate_all()
+
+
+@pytest.mark.parametrize("policy, status", [
+    ({"pii_columns": [{"column": "v", "masking_function": "name"}]}, "SUCCESS"),
+    ({"pii_columns": [{"column": "gone", "masking_function": "name"}]}, "FAILED"),
+    ({"pii_columns": [{"column": "v", "masking_function": "no.such.mask"}]}, "FAILED"),
+    ({"row_level_security": {"enabled": True, "filter_column": "k", "rls_function_name": "f", "function_sql": "CREATE FUNCTION f(x INT) RETURN x"}}, "FAILED"),
+])
+def test_a_policy_is_built_before_it_counts_as_applied(spark, tmp_path, policy, status):
+    governed = {"run_governance": "true", "governance_config_path": "p.json", "load_type": "full_refresh"}
+    eng = engine(spark, tmp_path, [spec("a", **governed)], rows(spark, (1, "a", 1)), documents={"p.json": {"governance": policy}})
+    eng.transform_all(run_id="r1")
+    eng.run_governance_all(run_id="r1")
+    assert [r["status"] for r in eng.warehouse.read("logging.policy_audit").collect()] == [status]
