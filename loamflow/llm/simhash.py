@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from loamflow.llm import near_copies
 from loamflow.llm.base import fresh, pieces, settle, ship, text_key, whole_columns
+from loamflow.llm.links import components
 
 SEED, SHINGLE = 42, 3
 SEGMENTS, SEGMENT_BITS = 32, 2
@@ -113,39 +114,24 @@ def _meeting(spread: DataFrame, key: str) -> DataFrame:
     return spread.join(shared, key).select("fp", "least")
 
 
+def _spread_out(rows: DataFrame) -> DataFrame:
+    """Rows that are about to become many, in as many tasks as there are shuffle partitions, whatever files they lie in."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """Edges (u, v), v < u, that connect all ``fp`` within two bits of each other."""
     at = distinct.withColumn("cell", grid_cell(F.col("fp")))
-    gridded = at.select("fp", F.explode(cells_around(F.col("cell"))).alias("cell"))
+    gridded = _spread_out(at).select("fp", F.explode(cells_around(F.col("cell"))).alias("cell"))
     candidates = settle(_meeting(gridded, "cell").select("fp").distinct(), "candidates")
-    worded = candidates.select("fp", F.explode(words_around(F.col("fp"))).alias("word"))
+    worded = _spread_out(candidates).select("fp", F.explode(words_around(F.col("fp"))).alias("word"))
     met = _meeting(worded, "word").filter(F.col("fp") > F.col("least"))
     return met.select(F.col("fp").alias("u"), F.col("least").alias("v")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node reachable) for every node of ``edges`` that isn't its own root."""
-    edges, seen = settle(edges, "edges"), None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-
-
 def rooted(prints: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """fp and root of every distinct fingerprint, linked at two bits or by ``edges`` (u, v)."""
-    # In as many files as there are shuffle partitions: each row is about to become many.
-    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select(F.col("fingerprint").alias("fp")).distinct().repartition(parts, "fp")
-    distinct = settle(distinct, "distinct-fingerprints")
+    distinct = settle(prints.select(F.col("fingerprint").alias("fp")).distinct(), "distinct-fingerprints")
     roots = components(links(distinct) if edges is None else edges)
     return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
 

@@ -71,3 +71,36 @@ def test_stage_on_the_given_table(spark, sf_dir):
                 root[max(x, y)] = min(x, y)
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()}
     assert kept == {find(i) for i in own}
+
+
+def template_family(n, seed=23):
+    """(doc_id, text): texts of one template, alike at about 0.6; every tenth has a near copy of over 0.8."""
+    rng, rows = random.Random(seed), []
+    template = [f"t{k}" for k in range(400)]
+    for i in range(n):
+        words = list(template)
+        for at in rng.sample(range(0, 400, 5), 22):
+            words[at] = f"own{i}x{at}"
+        rows.append((len(rows), " ".join(words)))
+        if i % 10 == 0:
+            for at in rng.sample(range(0, 400, 5), 6):
+                words[at] = f"copy{i}x{at}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+def test_no_link_is_lost_in_a_template_family(documents):
+    rows = template_family(600)
+    own = sets(rows)
+    near = [(i, j) for i in own for j in own if j < i and len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])]
+    assert 50 < len(near) < 70 and {i - j for i, j in near} == {1}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(documents(*rows), similarity=0.8).collect()}
+    assert set(own) - kept == {i for i, _ in near}
+
+
+def test_awkward_rows_and_empty_tables(documents, awkward):
+    prints = near_copies.prints(awkward)
+    assert {r.size for r in prints.collect()} >= {0, 1}
+    assert near_copies.links(awkward, prints, 0.8).count() == 0
+    empty = documents((1, "a")).limit(0)
+    assert near_copies.links(empty, near_copies.prints(empty), 0.8).count() == 0
