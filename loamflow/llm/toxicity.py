@@ -2,8 +2,8 @@
 
 A logistic model over the frequencies of hashed character n-grams (3 to 6, within words, word edges
 included; damped by a logarithm). It is trained on a bounded sample of labelled documents, at most ``sample_rows`` of each
-class. Sentences of these that name a group of people are copied with the group swapped for
-others of its kind and for a neutral word, and the squared change of the score is penalised: naming
+class. Sentences of these that name a group of people (a parameter; by default in four languages) are copied with the group swapped
+for others of its kind and for a neutral word, and the squared change of the score is penalised: naming
 a group then tells the model nothing, so neutral mentions are not taken for abuse. Document
 frequencies over the sample select the ``features`` n-grams kept; the bias is set to the
 label rate of all labels, so scores are probabilities at that rate.
@@ -12,7 +12,7 @@ Scoring reads whole texts where they lie and shuffles nothing. The model sent to
 fixed size (2**18 places and ``features`` weights).
 
 Defined results: a null or empty text has the score of the bias; rows that share a ``doc_id`` are
-scored one by one; of conflicting labels of an id the highest counts; labels without an id or a
+scored one by one, and learnt from once if their texts agree too; of conflicting labels of an id the highest counts; labels without an id or a
 value are ignored; without any labels all scores are 0.25; columns besides ``doc_id`` and ``text``
 are kept by ``drop_toxic`` and ignored otherwise; empty tables give no rows.
 """
@@ -22,33 +22,66 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import pieces, settle, ship, whole_columns
+from loamflow.llm.base import pieces, settle, ship, text_key, whole_columns
 from loamflow.llm.letters import code_points, ngrams, squeezed
+from loamflow.operators.joins import lookup_join
 
 BITS, ORDERS = 18, (3, 4, 5, 6)
-#: Names of groups by kind, and the word that stands for no group. Fixed values.
-GROUPS = [
-    ["women", "men", "girls", "boys"],
-    ["woman", "man", "girl", "boy"],
-    ["christians", "muslims", "jews", "hindus", "buddhists", "atheists"],
-    ["christian", "muslim", "jewish", "hindu", "buddhist", "atheist"],
-    ["gay", "lesbian", "bisexual", "straight", "transgender"],
-    ["black", "white", "asian", "african", "european", "latino", "arab", "indigenous"],
-    ["immigrants", "refugees", "citizens", "foreigners"],
-    ["disabled", "blind", "deaf", "elderly", "young"],
-]
-NEUTRAL = "people"
-_KIND = {term: group for group in GROUPS for term in group}
-_TERM = re.compile(r"\b(" + "|".join(sorted(_KIND, key=len, reverse=True)) + r")\b", re.IGNORECASE)
+#: Names of groups by kind, in English, French, German and Spanish; the first of a kind stands for no group. Fixed values.
+GROUPS = (
+    ("people", "women", "men", "girls", "boys"),
+    ("person", "woman", "man", "girl", "boy"),
+    ("people", "christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
+    ("religious", "christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
+    ("single", "gay", "lesbian", "bisexual", "straight", "transgender"),
+    ("local", "black", "white", "asian", "african", "european", "latino", "arab", "indigenous"),
+    ("people", "immigrants", "refugees", "citizens", "foreigners"),
+    ("other", "disabled", "blind", "deaf", "elderly", "young"),
+    ("personnes", "femmes", "hommes", "filles", "garçons"),
+    ("personne", "femme", "homme", "fille", "garçon"),
+    ("gens", "chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("gens", "homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    ("gens", "noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+    ("gens", "immigrés", "réfugiés", "citoyens", "étrangers"),
+    ("gens", "handicapés", "aveugles", "sourds", "âgés", "jeunes"),
+    ("menschen", "frauen", "männer", "mädchen", "jungen"),
+    ("person", "frau", "mann"),
+    ("menschen", "christen", "muslime", "juden", "buddhisten", "atheisten"),
+    ("menschen", "schwule", "lesben", "bisexuelle", "heterosexuelle"),
+    ("menschen", "schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+    ("menschen", "einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    ("menschen", "behinderte", "blinde", "gehörlose", "alte", "junge"),
+    ("personas", "mujeres", "hombres", "chicas", "chicos"),
+    ("persona", "mujer", "hombre", "chica", "chico"),
+    ("personas", "cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("personas", "homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    ("personas", "negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+    ("personas", "inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
+    ("personas", "discapacitados", "ciegos", "sordos", "ancianos", "jóvenes"),
+)
+Groups = tuple[tuple[str, ...], ...]
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
+@lru_cache(maxsize=8)
+def _terms(groups: Groups) -> tuple[re.Pattern, dict[str, tuple[str, ...]]]:
+    """A pattern that finds the terms, and the kind of each; a term of several kinds is of the first."""
+    kinds: dict[str, tuple[str, ...]] = {}
+    for kind in groups:
+        for term in kind[1:]:
+            kinds.setdefault(term.lower(), kind)
+    ordered = sorted(kinds, key=lambda term: (-len(term), term))
+    return re.compile(r"\b(" + "|".join(map(re.escape, ordered)) + r")\b" if ordered else r"(?!)", re.IGNORECASE), kinds
+
+
 def gram_bins(text: str | None) -> Iterator[tuple[int, list[np.ndarray]]]:
     """For each piece of a whole text: its words and its n-gram bins, repeats included."""
     for piece in pieces(text or ""):
@@ -72,31 +105,38 @@ def damped(counts: np.ndarray, words: int) -> np.ndarray:
     return np.log1p(200.0 * counts / (words + 50))
 
 
-def swaps(text: str | None) -> list[tuple[list[int], list[int]]]:
-    """For each swapped copy of a sentence that names a group: the n-grams it gains and those it loses."""
+def swaps(text: str | None, groups: Groups = GROUPS, sentences: int = 32) -> list[tuple[int, list[int], list[int]]]:
+    """For each swapped copy of a sentence that names a group: a hash of it, the n-grams it gains and those it loses.
+
+    Of more than ``sentences`` such sentences, those with the smallest hashes count.
+    """
+    from xxhash import xxh64_intdigest
+
+    pattern, kinds = _terms(groups)
+    naming = (s for s in _SENTENCE.findall(text or "") if pattern.search(s))
     changes = []
-    for sentence in _SENTENCE.findall(text or ""):
-        if not _TERM.search(sentence):
-            continue
+    for nth, sentence in nsmallest(sentences, ((xxh64_intdigest(s), s) for s in naming)):
         own = counted(sentence)[1]
         for shift in (1, 2, 0):
 
             def swap(m: re.Match, shift: int = shift) -> str:
-                kind = _KIND[m[0].lower()]
-                return kind[(kind.index(m[0].lower()) + shift) % len(kind)] if shift else NEUTRAL
+                neutral, *kind = kinds[m[0].lower()]
+                at = [k.lower() for k in kind].index(m[0].lower())
+                return kind[(at + shift) % len(kind)] if shift else neutral
 
-            other = counted(_TERM.sub(swap, sentence))[1]
-            changes.append((np.setdiff1d(other, own).tolist(), np.setdiff1d(own, other).tolist()))
+            other = counted(pattern.sub(swap, sentence))[1]
+            changes.append((nth >> 1, np.setdiff1d(other, own).tolist(), np.setdiff1d(own, other).tolist()))
     return changes
 
 
 @dataclass
 class Model:
-    """Column of each n-gram bin (-1: none), the weights of the columns, and the bias."""
+    """Column of each n-gram bin (-1: none), the weights of the columns, the bias, and how many swapped copies the fit used."""
 
     column: np.ndarray
     weights: np.ndarray
     bias: float
+    pairs: int = 0
 
     def score(self, text: str | None) -> float:
         words, counts = 0, np.zeros(len(self.weights))
@@ -132,8 +172,12 @@ def _fit(labels: np.ndarray, rows: tuple, changes: tuple, n_columns: int, ridge:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: int = 4000, ridge: float = 1.0,
-        fairness: float = 10.0, seed: int = 7) -> Model:
-    """Train on at most ``sample_rows`` labelled documents of each class, chosen by a hash of the id."""
+        fairness: float = 10.0, seed: int = 7, groups: Groups = GROUPS, sentences: int = 32, pairs: int = 20_000) -> Model:
+    """Train on at most ``sample_rows`` labelled documents of each class, chosen by a hash of the id.
+
+    ``groups`` lists the terms of each kind, its neutral word first. Of a document at most ``sentences`` that name a group are
+    swapped, and of all swapped copies at most ``pairs`` are used, chosen by a hash of the sentence.
+    """
     spark = docs.sparkSession
     ship(spark)
     known = whole_columns(labels, "doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -143,14 +187,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
     prior = float(np.log((n1 + 0.5) / (n0 + 1.5)))
     if not (n0 and n1):
         return Model(np.full(1 << BITS, -1, np.int32), np.zeros(1), prior)
+    # Documents are drawn, not ids: rows that share an id and a text are one document, an id with many texts is many.
+    keyed = whole_columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL").withColumn("key", text_key())
+    named = lookup_join(keyed.select("doc_id", "key"), known, ["doc_id"], "inner").distinct()
     order = F.xxhash64("doc_id", F.lit(seed))
-    drawn = [known.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample_rows) for c in (0, 1)]
-    sample = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 2 * sample_rows pairs of numbers
+    drawn = [named.filter(F.col("toxic") == c).orderBy(order, "doc_id", "key").limit(sample_rows) for c in (0, 1)]
+    sample = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 2 * sample_rows rows of three numbers
 
     numbers = pa.list_(pa.int32())
     described = pa.schema([
         ("toxic", pa.int32()), ("words", pa.int64()), ("bins", numbers), ("counts", numbers),
-        ("swaps", pa.list_(pa.struct([("gained", numbers), ("lost", numbers)]))),
+        ("swaps", pa.list_(pa.struct([("nth", pa.int64()), ("gained", numbers), ("lost", numbers)]))),
     ])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,16 +205,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 words, bins, counts = counted(text)
-                changed = [{"gained": a, "lost": b} for a, b in swaps(text)]
+                changed = [{"nth": n, "gained": a, "lost": b} for n, a, b in swaps(text, groups, sentences)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], t) for v, t in zip((label, words, bins, counts, changed), described.types)],
                     schema=described,
                 )
 
-    texts = whole_columns(docs, "doc_id", "text").join(sample, "doc_id").select("toxic", "text")
-    told = settle(texts.mapInArrow(describe, (
-        "toxic int, words long, bins array<int>, counts array<int>, swaps array<struct<gained: array<int>, lost: array<int>>>"
-    )), "toxicity-sample")
+    texts = keyed.join(sample, ["doc_id", "key"]).groupBy("doc_id", "key", "toxic").agg(F.first("text").alias("text"))
+    swapped = "array<struct<nth: bigint, gained: array<int>, lost: array<int>>>"
+    told = settle(texts.select("toxic", "text").mapInArrow(
+        describe, f"toxic int, words long, bins array<int>, counts array<int>, swaps {swapped}"
+    ), "toxicity-sample")
 
     # Document frequencies: at most 2**BITS rows, whatever the sample.
     seen = told.select("toxic", F.explode("bins").alias("bin")).groupBy("bin").agg(
@@ -185,37 +233,180 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
     column[chosen] = np.arange(len(chosen))
 
     shared = spark.sparkContext.broadcast(column)
-    picked = pa.schema([
-        ("toxic", pa.int32()), ("columns", numbers), ("values", pa.list_(pa.float32())), ("swaps", described.types[4]),
-    ])
+    picked = pa.schema([("toxic", pa.int32()), ("columns", numbers), ("values", pa.list_(pa.float32()))])
+    changed = pa.schema([("columns", numbers), ("signs", pa.list_(pa.float32()))])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def own(values: list[int]) -> np.ndarray:
-            found = shared.value[np.array(values, np.int64)]
-            return found[found >= 0]
+        for batch in batches:
+            for r in batch.to_pylist():
+                at = shared.value[np.array(r["bins"], np.int64)]
+                values = damped(np.array(r["counts"], np.int64)[at >= 0], r["words"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip((r["toxic"], at[at >= 0], values), picked.types)], schema=picked
+                )
+
+    def pick_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, signs = [], []
+            for r in batch.to_pylist():
+                at = shared.value[np.array(r["gained"] + r["lost"], np.int64)]
+                columns.append(at[at >= 0])
+                signs.append(np.repeat((1.0, -1.0), (len(r["gained"]), len(r["lost"])))[at >= 0])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((columns, signs), changed.types)], schema=changed)
+
+    # At most 2 * sample_rows rows and ``pairs`` rows, of at most ``features`` numbers.
+    table = told.select("toxic", "words", "bins", "counts").mapInArrow(
+        pick, "toxic int, columns array<int>, values array<float>"
+    ).toArrow().combine_chunks()
+    row = np.repeat(np.arange(len(table)), _flat(table["columns"])[0])
+    rows = row, _flat(table["columns"])[1], _flat(table["values"])[1].astype(float)
+    copies = told.select(F.inline("swaps")).orderBy("nth", "gained", "lost").limit(pairs)
+    moved = copies.mapInArrow(pick_changes, "columns array<int>, signs array<float>").toArrow().combine_chunks()
+    n_pairs, changes = len(moved), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    if n_pairs:
+        lengths, places = _flat(moved["columns"])
+        changes = np.repeat(np.arange(n_pairs), lengths), places, _flat(moved["signs"])[1].astype(float)
+    w, bias = _fit(table["toxic"].to_numpy().astype(float), rows, changes, len(chosen), ridge, fairness)
+    return Model(column, w, bias + prior - float(np.log(m1 / m0)), n_pairs)
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Length of each list of a column, and all their values."""
+    lengths = [len(v) for chunk in column.chunks for v in chunk]
+    values = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in column.chunks]
+    return np.array(lengths, np.int64), np.concatenate(values)
+
+
+def score(self, text: str | None) -> float:
+        words, counts = 0, np.zeros(len(self.weights))
+        for n, found in gram_bins(text):
+            words += n
+            for bins in found:
+                columns = self.column[bins]
+                counts += np.bincount(columns[columns >= 0], minlength=len(counts))
+        logit = self.bias + float(damped(counts, words) @ self.weights)
+        return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
+
+
+def _fit(labels: np.ndarray, rows: tuple, changes: tuple, n_columns: int, ridge: float, fairness: float,
+         steps: int = 300) -> tuple[np.ndarray, float]:
+    """Weights and bias: logistic loss + ridge * |w|^2 / 2 + fairness * sum of squared score changes / 2."""
+    row, column, value = rows
+    change, change_column, sign = changes
+    n, n_changes = len(labels), int(change.max()) + 1 if len(change) else 0
+    w, bias = np.zeros(n_columns), 0.0
+    squares, bias_squares = np.full(n_columns, 1e-8), 1e-8
+    for _ in range(steps):
+        logit = np.bincount(row, value * w[column], n) + bias
+        wrong = 1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels
+        slope = np.bincount(column, value * wrong[row], n_columns) + ridge * w
+        if n_changes:
+            moved = np.bincount(change, sign * w[change_column], n_changes)
+            slope += fairness * np.bincount(change_column, sign * moved[change], n_columns)
+        squares += slope * slope
+        w -= 0.5 * slope / np.sqrt(squares)
+        bias_squares += wrong.sum() ** 2
+        bias -= 0.5 * wrong.sum() / np.sqrt(bias_squares)
+    return w, bias
+
 
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: int = 4000, ridge: float = 1.0,
+        fairness: float = 10.0, seed: int = 7, groups: Groups = GROUPS, sentences: int = 32, pairs: int = 20_000) -> Model:
+    """Train on at most ``sample_rows`` labelled documents of each class, chosen by a hash of the id.
+
+    ``groups`` lists the terms of each kind, its neutral word first. Of a document at most ``sentences`` that name a group are
+    swapped, and of all swapped copies at most ``pairs`` are used, chosen by a hash of the sentence.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    known = whole_columns(labels, "doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    counts = dict(known.groupBy("toxic").count().collect())
+    n0, n1 = counts.get(0, 0), counts.get(1, 0)
+    prior = float(np.log((n1 + 0.5) / (n0 + 1.5)))
+    if not (n0 and n1):
+        return Model(np.full(1 << BITS, -1, np.int32), np.zeros(1), prior)
+    # Documents are drawn, not ids: rows that share an id and a text are one document, an id with many texts is many.
+    keyed = whole_columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL").withColumn("key", text_key())
+    named = lookup_join(keyed.select("doc_id", "key"), known, ["doc_id"], "inner").distinct()
+    order = F.xxhash64("doc_id", F.lit(seed))
+    drawn = [named.filter(F.col("toxic") == c).orderBy(order, "doc_id", "key").limit(sample_rows) for c in (0, 1)]
+    sample = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 2 * sample_rows rows of three numbers
+
+    numbers = pa.list_(pa.int32())
+    described = pa.schema([
+        ("toxic", pa.int32()), ("words", pa.int64()), ("bins", numbers), ("counts", numbers),
+        ("swaps", pa.list_(pa.struct([("nth", pa.int64()), ("gained", numbers), ("lost", numbers)]))),
+    ])
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
+                words, bins, counts = counted(text)
+                changed = [{"nth": n, "gained": a, "lost": b} for n, a, b in swaps(text, groups, sentences)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip((label, words, bins, counts, changed), described.types)],
+                    schema=described,
+                )
+
+    texts = keyed.join(sample, ["doc_id", "key"]).groupBy("doc_id", "key", "toxic").agg(F.first("text").alias("text"))
+    swapped = "array<struct<nth: bigint, gained: array<int>, lost: array<int>>>"
+    told = settle(texts.select("toxic", "text").mapInArrow(
+        describe, f"toxic int, words long, bins array<int>, counts array<int>, swaps {swapped}"
+    ), "toxicity-sample")
+
+    # Document frequencies: at most 2**BITS rows, whatever the sample.
+    seen = told.select("toxic", F.explode("bins").alias("bin")).groupBy("bin").agg(
+        F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")
+    ).toArrow()
+    sizes = dict(told.groupBy("toxic").count().collect())
+    m0, m1 = sizes.get(0, 0), sizes.get(1, 0)
+    if not (m0 and m1):
+        return Model(np.full(1 << BITS, -1, np.int32), np.zeros(1), prior)
+    bins = seen["bin"].to_numpy()
+    p, q = (seen["n1"].to_numpy() + 0.5) / (m1 + 1), (seen["n0"].to_numpy() + 0.5) / (m0 + 1)
+    apart = np.abs(p - q) / np.sqrt(p * (1 - p) / m1 + q * (1 - q) / m0)
+    chosen = np.sort(bins[np.lexsort((bins, -apart))[:features]])
+    column = np.full(1 << BITS, -1, np.int32)
+    column[chosen] = np.arange(len(chosen))
+
+    shared = spark.sparkContext.broadcast(column)
+    picked = pa.schema([("toxic", pa.int32()), ("columns", numbers), ("values", pa.list_(pa.float32()))])
+    changed = pa.schema([("columns", numbers), ("signs", pa.list_(pa.float32()))])
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 at = shared.value[np.array(r["bins"], np.int64)]
                 values = damped(np.array(r["counts"], np.int64)[at >= 0], r["words"])
-                changed = [{k: own(s[k]) for k in ("gained", "lost")} for s in r["swaps"]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip((r["toxic"], at[at >= 0], values, changed), picked.types)],
-                    schema=picked,
+                    [pa.array([v], t) for v, t in zip((r["toxic"], at[at >= 0], values), picked.types)], schema=picked
                 )
 
-    # At most 2 * sample_rows rows of at most ``features`` numbers.
-    table = told.mapInArrow(pick, (
-        "toxic int, columns array<int>, values array<float>, swaps array<struct<gained: array<int>, lost: array<int>>>"
-    )).toArrow().combine_chunks()
+    def pick_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, signs = [], []
+            for r in batch.to_pylist():
+                at = shared.value[np.array(r["gained"] + r["lost"], np.int64)]
+                columns.append(at[at >= 0])
+                signs.append(np.repeat((1.0, -1.0), (len(r["gained"]), len(r["lost"])))[at >= 0])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((columns, signs), changed.types)], schema=changed)
+
+    # At most 2 * sample_rows rows and ``pairs`` rows, of at most ``features`` numbers.
+    table = told.select("toxic", "words", "bins", "counts").mapInArrow(
+        pick, "toxic int, columns array<int>, values array<float>"
+    ).toArrow().combine_chunks()
     row = np.repeat(np.arange(len(table)), _flat(table["columns"])[0])
     rows = row, _flat(table["columns"])[1], _flat(table["values"])[1].astype(float)
-    pairs = [s for swapped in table["swaps"].to_pylist() for s in swapped or []]
-    changes = [(i, c, v) for i, s in enumerate(pairs) for k, v in (("gained", 1.0), ("lost", -1.0)) for c in s[k]]
-    w, bias = _fit(
-        table["toxic"].to_numpy().astype(float), rows, _changes(changes), len(chosen), ridge, fairness
-    )
-    return Model(column, w, bias + prior - float(np.log(m1 / m0)))
+    copies = told.select(F.inline("swaps")).orderBy("nth", "gained", "lost").limit(pairs)
+    moved = copies.mapInArrow(pick_changes, "columns array<int>, signs array<float>").toArrow().combine_chunks()
+    n_pairs, changes = len(moved), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    if n_pairs:
+        lengths, places = _flat(moved["columns"])
+        changes = np.repeat(np.arange(n_pairs), lengths), places, _flat(moved["signs"])[1].astype(float)
+    w, bias = _fit(table["toxic"].to_numpy().astype(float), rows, changes, len(chosen), ridge, fairness)
+    return Model(column, w, bias + prior - float(np.log(m1 / m0)), n_pairs)
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -148,10 +148,66 @@ def test_counterfactuals_spare_neutral_mentions(biased):
     assert abs(fair.score(neutral) - fair.score(neutral_other)) < 0.3 * abs(plain.score(neutral) - plain.score(neutral_other))
 
 
+LANGUAGES = {
+    "en": ("christians", "muslims", "the {}", "those {} are", ("vermin", "filth")),
+    "fr": ("chrétiens", "musulmans", "les {}", "ces {} sont", ("vermine", "ordures")),
+    "de": ("Christen", "Muslime", "die {}", "diese {} sind", ("Ungeziefer", "Dreck")),
+    "es": ("cristianos", "musulmanes", "los {}", "esos {} son", ("plaga", "basura")),
+}
+
+
+@pytest.mark.parametrize("lang", sorted(LANGUAGES))
+def test_neutral_mentions_in_each_language(spark, lang):
+    """One group is named in insults only; 50 unseen neutral mentions of it, with and without the penalty."""
+    usual, hit, neutral, insult, slurs = LANGUAGES[lang]
+    rng = random.Random(8)
+    filler = [f"{a}{b}" for a in ("tal", "mor", "sen", "vig", "rup") for b in ("ona", "ide", "ule", "ast", "erk")]
+
+    def text(core, n=14):
+        words = rng.choices(filler, k=n)
+        words[4:4] = [core]
+        return " ".join(words) + "."
+
+    def abuse(group):
+        return f"{insult.format(group)} {rng.choice(slurs)}"
+
+    rows = [(i, text(abuse(hit)) if i % 2 else text(neutral.format(usual) if i % 4 else ""), i % 2) for i in range(160)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = frame.select("doc_id", "text"), frame.select("doc_id", "toxic")
+    plain, fair = toxicity.fit(docs, labels, groups=()), toxicity.fit(docs, labels, fairness=30.0)
+    assert plain.pairs == 0 and fair.pairs >= 3 * 80
+    unseen = [text(neutral.format(hit), 6) for _ in range(50)]
+    accused = [sum(m.score(t) >= 0.5 for t in unseen) for m in (plain, fair)]
+    caught = [sum(m.score(text(abuse(g), 6)) >= 0.5 for g in (usual, hit) for _ in range(25)) for m in (plain, fair)]
+    print(lang, "neutral mentions accused, insults caught, of 50, without and with the penalty:", accused, caught)
+    assert accused[1] < 0.2 * accused[0] and caught[1] >= 45
+
+
 def test_swaps_change_the_named_group_only():
     assert toxicity.swaps("Nobody is named here. Nor here.") == []
     changes = toxicity.swaps("One sentence. The MUSLIMS sang. Another one.")
-    assert len(changes) == 3 and all(gained and lost for gained, lost in changes)
+    assert len(changes) == 3 and all(gained and lost for _, gained, lost in changes)
+    assert toxicity.swaps("The MUSLIMS sang.", groups=()) == []
+    many = ". ".join(f"the muslims sang {i}" for i in range(90))
+    assert len(toxicity.swaps(many, sentences=5)) == 15
+    assert sorted(toxicity.swaps(many, sentences=90))[:15] == sorted(toxicity.swaps(many, sentences=5))
+
+
+def test_the_bounds_of_the_fit_hold_for_rows(spark, biased, monkeypatch):
+    """An id that holds most rows, with many texts and many copies: documents are drawn, not ids."""
+    docs, labels = biased
+    hot = spark.range(300).selectExpr("1L AS doc_id", "concat('those muslims are filth ', cast(id % 100 AS string), '.') AS text")
+    seen, fit = [], toxicity._fit
+
+    def spy(toxic, rows, changes, *rest):
+        seen.append((len(toxic), int(toxic.sum()), len(set(changes[0].tolist()))))
+        return fit(toxic, rows, changes, *rest)
+
+    monkeypatch.setattr(toxicity, "_fit", spy)
+    toxicity.fit(docs.unionByName(hot), labels, sample_rows=50, pairs=40)
+    toxicity.fit(docs.unionByName(hot), labels, sample_rows=1000)
+    assert seen[0][:2] == (100, 50) and 0 < seen[0][2] <= 40
+    assert seen[1][:2] == (340, 220)
 
 
 def test_toxicity_of_awkward_rows(spark, biased, awkward):
