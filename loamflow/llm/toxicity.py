@@ -238,20 +238,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                at = shared.value[np.array(r["bins"], np.int64)]
-                values = damped(np.array(r["counts"], np.int64)[at >= 0], r["words"])
+            for toxic, words, own, counts in zip(*batch.columns):
+                at = shared.value[own.values.to_numpy()]
+                values = damped(counts.values.to_numpy()[at >= 0], words.as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip((r["toxic"], at[at >= 0], values), picked.types)], schema=picked
+                    [pa.array([v], t) for v, t in zip((toxic.as_py(), at[at >= 0], values), picked.types)], schema=picked
                 )
 
     def pick_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns, signs = [], []
-            for r in batch.to_pylist():
-                at = shared.value[np.array(r["gained"] + r["lost"], np.int64)]
+            for gained, lost in zip(batch.column(1), batch.column(2)):
+                at = shared.value[np.concatenate((gained.values.to_numpy(), lost.values.to_numpy()))]
                 columns.append(at[at >= 0])
-                signs.append(np.repeat((1.0, -1.0), (len(r["gained"]), len(r["lost"])))[at >= 0])
+                signs.append(np.repeat((1.0, -1.0), (len(gained), len(lost)))[at >= 0])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((columns, signs), changed.types)], schema=changed)
 
     # At most 2 * sample_rows rows and ``pairs`` rows, of at most ``features`` numbers.
@@ -377,20 +377,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                at = shared.value[np.array(r["bins"], np.int64)]
-                values = damped(np.array(r["counts"], np.int64)[at >= 0], r["words"])
+            for toxic, words, own, counts in zip(*batch.columns):
+                at = shared.value[own.values.to_numpy()]
+                values = damped(counts.values.to_numpy()[at >= 0], words.as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip((r["toxic"], at[at >= 0], values), picked.types)], schema=picked
+                    [pa.array([v], t) for v, t in zip((toxic.as_py(), at[at >= 0], values), picked.types)], schema=picked
                 )
 
     def pick_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns, signs = [], []
-            for r in batch.to_pylist():
-                at = shared.value[np.array(r["gained"] + r["lost"], np.int64)]
+            for gained, lost in zip(batch.column(1), batch.column(2)):
+                at = shared.value[np.concatenate((gained.values.to_numpy(), lost.values.to_numpy()))]
                 columns.append(at[at >= 0])
-                signs.append(np.repeat((1.0, -1.0), (len(r["gained"]), len(r["lost"])))[at >= 0])
+                signs.append(np.repeat((1.0, -1.0), (len(gained), len(lost)))[at >= 0])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((columns, signs), changed.types)], schema=changed)
 
     # At most 2 * sample_rows rows and ``pairs`` rows, of at most ``features`` numbers.
