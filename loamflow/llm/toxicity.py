@@ -277,150 +277,6 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(lengths, np.int64), np.concatenate(values)
 
 
-def score(self, text: str | None) -> float:
-        words, counts = 0, np.zeros(len(self.weights))
-        for n, found in gram_bins(text):
-            words += n
-            for bins in found:
-                columns = self.column[bins]
-                counts += np.bincount(columns[columns >= 0], minlength=len(counts))
-        logit = self.bias + float(damped(counts, words) @ self.weights)
-        return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
-
-
-def _fit(labels: np.ndarray, rows: tuple, changes: tuple, n_columns: int, ridge: float, fairness: float,
-         steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias: logistic loss + ridge * |w|^2 / 2 + fairness * sum of squared score changes / 2."""
-    row, column, value = rows
-    change, change_column, sign = changes
-    n, n_changes = len(labels), int(change.max()) + 1 if len(change) else 0
-    w, bias = np.zeros(n_columns), 0.0
-    squares, bias_squares = np.full(n_columns, 1e-8), 1e-8
-    for _ in range(steps):
-        logit = np.bincount(row, value * w[column], n) + bias
-        wrong = 1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels
-        slope = np.bincount(column, value * wrong[row], n_columns) + ridge * w
-        if n_changes:
-            moved = np.bincount(change, sign * w[change_column], n_changes)
-            slope += fairness * np.bincount(change_column, sign * moved[change], n_columns)
-        squares += slope * slope
-        w -= 0.5 * slope / np.sqrt(squares)
-        bias_squares += wrong.sum() ** 2
-        bias -= 0.5 * wrong.sum() / np.sqrt(bias_squares)
-    return w, bias
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: int = 4000, ridge: float = 1.0,
-        fairness: float = 10.0, seed: int = 7, groups: Groups = GROUPS, sentences: int = 32, pairs: int = 20_000) -> Model:
-    """Train on at most ``sample_rows`` labelled documents of each class, chosen by a hash of the id.
-
-    ``groups`` lists the terms of each kind, its neutral word first. Of a document at most ``sentences`` that name a group are
-    swapped, and of all swapped copies at most ``pairs`` are used, chosen by a hash of the sentence.
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    known = whole_columns(labels, "doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
-    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    counts = dict(known.groupBy("toxic").count().collect())
-    n0, n1 = counts.get(0, 0), counts.get(1, 0)
-    prior = float(np.log((n1 + 0.5) / (n0 + 1.5)))
-    if not (n0 and n1):
-        return Model(np.full(1 << BITS, -1, np.int32), np.zeros(1), prior)
-    # Documents are drawn, not ids: rows that share an id and a text are one document, an id with many texts is many.
-    keyed = whole_columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL").withColumn("key", text_key())
-    named = lookup_join(keyed.select("doc_id", "key"), known, ["doc_id"], "inner").distinct()
-    order = F.xxhash64("doc_id", F.lit(seed))
-    drawn = [named.filter(F.col("toxic") == c).orderBy(order, "doc_id", "key").limit(sample_rows) for c in (0, 1)]
-    sample = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 2 * sample_rows rows of three numbers
-
-    numbers = pa.list_(pa.int32())
-    described = pa.schema([
-        ("toxic", pa.int32()), ("words", pa.int64()), ("bins", numbers), ("counts", numbers),
-        ("swaps", pa.list_(pa.struct([("nth", pa.int64()), ("gained", numbers), ("lost", numbers)]))),
-    ])
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                words, bins, counts = counted(text)
-                changed = [{"nth": n, "gained": a, "lost": b} for n, a, b in swaps(text, groups, sentences)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip((label, words, bins, counts, changed), described.types)],
-                    schema=described,
-                )
-
-    texts = keyed.join(sample, ["doc_id", "key"]).groupBy("doc_id", "key", "toxic").agg(F.first("text").alias("text"))
-    swapped = "array<struct<nth: bigint, gained: array<int>, lost: array<int>>>"
-    told = settle(texts.select("toxic", "text").mapInArrow(
-        describe, f"toxic int, words long, bins array<int>, counts array<int>, swaps {swapped}"
-    ), "toxicity-sample")
-
-    # Document frequencies: at most 2**BITS rows, whatever the sample.
-    seen = told.select("toxic", F.explode("bins").alias("bin")).groupBy("bin").agg(
-        F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")
-    ).toArrow()
-    sizes = dict(told.groupBy("toxic").count().collect())
-    m0, m1 = sizes.get(0, 0), sizes.get(1, 0)
-    if not (m0 and m1):
-        return Model(np.full(1 << BITS, -1, np.int32), np.zeros(1), prior)
-    bins = seen["bin"].to_numpy()
-    p, q = (seen["n1"].to_numpy() + 0.5) / (m1 + 1), (seen["n0"].to_numpy() + 0.5) / (m0 + 1)
-    apart = np.abs(p - q) / np.sqrt(p * (1 - p) / m1 + q * (1 - q) / m0)
-    chosen = np.sort(bins[np.lexsort((bins, -apart))[:features]])
-    column = np.full(1 << BITS, -1, np.int32)
-    column[chosen] = np.arange(len(chosen))
-
-    shared = spark.sparkContext.broadcast(column)
-    picked = pa.schema([("toxic", pa.int32()), ("columns", numbers), ("values", pa.list_(pa.float32()))])
-    changed = pa.schema([("columns", numbers), ("signs", pa.list_(pa.float32()))])
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for toxic, words, own, counts in zip(*batch.columns):
-                at = shared.value[own.values.to_numpy()]
-                values = damped(counts.values.to_numpy()[at >= 0], words.as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip((toxic.as_py(), at[at >= 0], values), picked.types)], schema=picked
-                )
-
-    def pick_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns, signs = [], []
-            for gained, lost in zip(batch.column(1), batch.column(2)):
-                at = shared.value[np.concatenate((gained.values.to_numpy(), lost.values.to_numpy()))]
-                columns.append(at[at >= 0])
-                signs.append(np.repeat((1.0, -1.0), (len(gained), len(lost)))[at >= 0])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((columns, signs), changed.types)], schema=changed)
-
-    # At most 2 * sample_rows rows and ``pairs`` rows, of at most ``features`` numbers.
-    table = told.select("toxic", "words", "bins", "counts").mapInArrow(
-        pick, "toxic int, columns array<int>, values array<float>"
-    ).toArrow().combine_chunks()
-    row = np.repeat(np.arange(len(table)), _flat(table["columns"])[0])
-    rows = row, _flat(table["columns"])[1], _flat(table["values"])[1].astype(float)
-    copies = told.select(F.inline("swaps")).orderBy("nth", "gained", "lost").limit(pairs)
-    moved = copies.mapInArrow(pick_changes, "columns array<int>, signs array<float>").toArrow().combine_chunks()
-    n_pairs, changes = len(moved), (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    if n_pairs:
-        lengths, places = _flat(moved["columns"])
-        changes = np.repeat(np.arange(n_pairs), lengths), places, _flat(moved["signs"])[1].astype(float)
-    w, bias = _fit(table["toxic"].to_numpy().astype(float), rows, changes, len(chosen), ridge, fairness)
-    return Model(column, w, bias + prior - float(np.log(m1 / m0)), n_pairs)
-
-
-def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Length of each list of a column, and all their values."""
-    lengths = [len(v) for chunk in column.chunks for v in chunk]
-    values = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in column.chunks]
-    return np.array(lengths, np.int64), np.concatenate(values)
-
-
-def _changes(changes: list[tuple[int, int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    table = np.array(changes, float).reshape(-1, 3)
-    return table[:, 0].astype(np.int64), table[:, 1].astype(np.int64), table[:, 2]
-
-
 def score(docs: DataFrame, model: Model, *keep: Column) -> DataFrame:
     """doc_id, ``keep`` columns (computed from doc_id or text), score and predicted of every document."""
     spark = docs.sparkSession
