@@ -198,6 +198,17 @@ def token_ids(path: str) -> TokenIds:
     return _ENCODERS[path]
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Hand texts to Python in Arrow batches of about ``size`` bytes (a longer text is a batch of its own).
+
+    Spark's own 64 MB, held by Java and Python on the way in and out in each task, are much for an executor
+    whose memory is mostly heap. A limit that the session has set already stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.conf._jconf.contains(key):
+        spark.conf.set(key, str(size))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once for each Spark context."""
     context = spark.sparkContext

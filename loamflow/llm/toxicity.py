@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import pieces, settle, ship, text_key, whole_columns
+from loamflow.llm.base import pieces, settle, ship, small_batches, text_key, whole_columns
 from loamflow.llm.letters import code_points, ngrams, squeezed
 from loamflow.operators.joins import lookup_join
 
@@ -180,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
     """
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     known = whole_columns(labels, "doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     counts = dict(known.groupBy("toxic").count().collect())
@@ -281,6 +282,7 @@ def score(docs: DataFrame, model: Model, *keep: Column) -> DataFrame:
     """doc_id, ``keep`` columns (computed from doc_id or text), score and predicted of every document."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     own = whole_columns(docs, "doc_id", "text").select("doc_id", *keep, "text")
 
@@ -300,6 +302,7 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, all columns, whose score is under 0.5. Rows are filtered where they lie."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     at = [c.lower() for c in docs.columns].index("text")
 

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamflow.llm import langid, quality_rules, toxicity
+from loamflow.llm.base import small_batches
 from loamflow.llm.queries import QUERIES
 
 BIG = "/root/testdata/sf0.01"
@@ -324,3 +325,19 @@ def test_quality_of_awkward_rows(spark, awkward):
 def test_hot_repeat_words(documents):
     rows = quality_rules.figures(documents((1, "a b c d " * 5000)), "doc_id").collect()
     assert rows[0].n_repeat_words == 20_000
+
+
+def test_texts_travel_in_small_batches_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key) if spark.conf._jconf.contains(key) else None
+    try:
+        spark.conf.unset(key)
+        small_batches(spark, 1 << 16)
+        docs = spark.createDataFrame([(i, "word " * 2000) for i in range(64)], "doc_id long, text string").coalesce(1)
+        sizes = docs.mapInArrow(lambda batches: (b.select([0]) for b in batches if b.nbytes < 1 << 18), "doc_id long")
+        assert sizes.count() == 64
+        spark.conf.set(key, "9m")
+        small_batches(spark)
+        assert spark.conf.get(key) == "9m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
