@@ -16,6 +16,14 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores behind it as make it new to the columns of all ``frames``."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _spread(columns: list[Column]) -> Column:
     # Always 0, but not foldable. See lookup_join.
     return F.pmod(F.xxhash64(*columns), F.lit(1))
@@ -32,7 +40,7 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     per key) aggregate and keeps the rule applicable. Broadcasting is left to Spark's own
     size checks.
     """
-    names = {k: f"__right_{i}" for i, k in enumerate(keys)}
+    names = {k: unused(f"__right_{i}", left, right) for i, k in enumerate(keys)}
     right = right.withColumnsRenamed(names)
     pairs = [left[k] == right[r] for k, r in names.items()]
     spread = _spread([left[k] for k in keys]) == _spread([right[r] for r in names.values()])

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loamflow.operators.joins import all_of, any_of, lookup_join
-
-_NEW, _COUNT = "__new", "__matches"
+from loamflow.operators.joins import all_of, any_of, lookup_join, unused
 
 
 def overwrite(target: DataFrame | None, incoming: DataFrame) -> DataFrame:
@@ -62,23 +60,23 @@ def _conform(source: DataFrame, target: DataFrame) -> DataFrame:
     ])
 
 
-def _per_key(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per key: how many source rows there are and one of them."""
+def _per_key(source: DataFrame, keys: Sequence[str], columns: Sequence[str], new: str, count: str) -> DataFrame:
+    """One row per key: in ``count`` how many source rows there are, and in ``new`` one of them."""
     return source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(_COUNT),
-        F.first(F.struct(*columns)).alias(_NEW),
+        F.count(F.lit(1)).alias(count),
+        F.first(F.struct(*columns)).alias(new),
     )
 
 
-def _single_match(keys: Sequence[str]) -> Column:
+def _single_match(keys: Sequence[str], count: str) -> Column:
     # Used as a filter: in a projected column the check would be pruned away by count().
     message = f"several source rows match one target row on ({', '.join(keys)})"
-    ambiguous = F.col(_COUNT).isNotNull() & (F.col(_COUNT) > 1)
+    ambiguous = F.col(count).isNotNull() & (F.col(count) > 1)
     return F.when(ambiguous, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 
-def _look_up(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Target rows with the ``columns`` of their source row as a struct, NULL where there is none.
+def _look_up(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], new: str) -> DataFrame:
+    """Target rows with the ``columns`` of their source row as a struct ``new``, NULL where there is none.
 
     Whether the source repeats a key is found out first, by a count over its key columns alone. If not,
     which is the rule, it is joined as it is: two shuffles, both straight into the join, so that adaptive
@@ -86,12 +84,13 @@ def _look_up(target: DataFrame, source: DataFrame, keys: Sequence[str], columns:
     a repeated key that a target row has is an error. The source is read twice and must not change in between.
     """
     known = all_of([F.col(k).isNotNull() for k in keys])
-    repeated = source.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT)).filter(F.col(_COUNT) > 1)
+    count = unused("__matches", target, source)
+    repeated = source.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
     if not repeated.isEmpty():
-        joined = lookup_join(target, _per_key(source, keys, columns), list(keys), "left")
-        return joined.filter(_single_match(keys)).drop(_COUNT)
-    names = [f"__right_{i}" for i in range(len(keys))]
-    right = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.struct(*columns).alias(_NEW))
+        joined = lookup_join(target, _per_key(source, keys, columns, new, count), list(keys), "left")
+        return joined.filter(_single_match(keys, count)).drop(count)
+    names = [unused(f"__right_{i}", target, source) for i in range(len(keys))]
+    right = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.struct(*columns).alias(new))
     return target.join(right, all_of([target[k] == right[n] for k, n in zip(keys, names)]), "left").drop(*names)
 
 
@@ -111,8 +110,9 @@ def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     values = [c for c in source.columns if c not in keys]
     if not values:
         return target
-    return _look_up(target, source, keys, values).select(*[
-        F.when(F.col(_NEW).isNotNull(), F.col(_NEW)[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+    new = unused("__new", target)
+    return _look_up(target, source, keys, values, new).select(*[
+        F.when(F.col(new).isNotNull(), F.col(new)[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
         for c in target.columns
     ])
 
@@ -187,8 +187,9 @@ def scd2_history(history: DataFrame | None, source: DataFrame, keys: Sequence[st
     values = [c for c in data if c not in keys] or list(keys)
     source = _conform(source, history)
     opened = history.filter("is_current")
-    looked_up = _look_up(opened, source, keys, values)
-    differs = F.col(_NEW).isNotNull() & any_of([~F.col(c).eqNullSafe(F.col(_NEW)[c]) for c in values])
+    new = unused("__new", history)
+    looked_up = _look_up(opened, source, keys, values, new)
+    differs = F.col(new).isNotNull() & any_of([~F.col(c).eqNullSafe(F.col(new)[c]) for c in values])
     start = as_of.cast("timestamp_ntz")
     before = F.struct(
         *data,
@@ -197,7 +198,7 @@ def scd2_history(history: DataFrame | None, source: DataFrame, keys: Sequence[st
         (~differs).alias("is_current"),
     )
     after = F.struct(
-        *[F.col(_NEW)[c].alias(c) if c in values else F.col(c) for c in data],
+        *[F.col(new)[c].alias(c) if c in values else F.col(c) for c in data],
         start.alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         F.lit(True).alias("is_current"),

@@ -177,3 +177,20 @@ def test_scd2_rows_without_a_key_open_once(spark):
     other = scd2_history(again, frame(spark, [(None, "b"), (None, "a")], "k INT, v STRING"), ["k"], F.lit("2024-03-01"))
     assert bag(other.select("k", "v", "is_current")) == sorted(
         [(None, "a", True), (None, None, True), (1, "x", True), (None, "b", True)], key=repr)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_columns_named_like_helper_columns(spark, repeated):
+    schema = "k long, __new string, __matches long, __right_0 string"
+    target = spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 2, "y")], schema)
+    rows = [(2, "c", 5, "z"), (3, "d", 6, "w")] + ([(3, "d", 6, "w")] if repeated else [])
+    merged = merge_upsert(target, spark.createDataFrame(rows, schema), ["k"])
+    assert merged.columns == target.columns
+    assert bag(merged) == sorted([(1, "a", 1, "x"), *rows])
+
+
+def test_history_of_columns_named_like_helper_columns(spark):
+    schema = "k long, __new string, __matches long, __right_0 string"
+    first = scd2_history(None, spark.createDataFrame([(1, "a", 1, "x")], schema), ["k"], F.lit("2024-01-01"))
+    second = scd2_history(first, spark.createDataFrame([(1, "b", 1, "x")], schema), ["k"], F.lit("2024-01-02"))
+    assert bag(second.select("k", "__new", "is_current")) == [(1, "a", False), (1, "b", True)]
