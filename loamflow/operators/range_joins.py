@@ -70,7 +70,8 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
         looks = F.array().cast("array<struct<level: int, stretch: bigint>>")
     probes = looked.withColumn(stretch, F.explode(looks))
     equal = [probes[a] == filed[b] for a, b in on]
-    met = probes.join(filed, all_of([
+    # Spark does not see that either side is a multiple of its input: neither may be broadcast by its static size.
+    met = probes.join(filed.hint("merge"), all_of([
         *equal, probes[stretch]["level"] == filed[level], probes[stretch]["stretch"] == filed[stretch],
     ]), "inner").filter((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end)))
     if how == "inner":

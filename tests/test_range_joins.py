@@ -88,6 +88,17 @@ def test_a_hot_key_is_ordered_in_many_tasks(spark, conf):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_exploded_sides_are_not_broadcast_by_their_static_size(spark, how):
+    points = spark.sql("SELECT id AS i, id % 9 AS k, id AS p FROM range(3000)")
+    intervals = spark.sql("SELECT id AS j, id % 9 AS ik, id AS a, id + 1 + (id % 7) * (id % 11) AS b FROM range(3000)")
+    got = interval_join(points, intervals, "p", "a", "b", [("k", "ik")], how)
+    first = got._jdf.queryExecution().sparkPlan().toString().split("_stretch", 1)[0]
+    assert "SortMergeJoin" in first and "BroadcastHashJoin" not in first
+    assert got.filter("j IS NOT NULL").count() == sum(
+        i % 9 == j % 9 and j <= i < j + 1 + (j % 7) * (j % 11) for i in range(3000) for j in range(max(0, i - 70), i + 1))
+
+
 def test_refusals(spark):
     df = spark.range(2)
     with pytest.raises(ValueError, match="both sides"):
