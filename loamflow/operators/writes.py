@@ -211,6 +211,16 @@ def scd2_history(history: DataFrame | None, source: DataFrame, keys: Sequence[st
     return closed.unionByName(versions.select(order)).unionByName(fresh.select(order))
 
 
+#: A compacted file is the work of one task. Packing streams the rows: a file is a read split of Spark's. Sorting
+#: holds them unpacked, about ten times the size of the file.
+PACKED_BYTES, SORTED_BYTES = 128 << 20, 32 << 20
+
+
+def files_for(size: int, cluster_by: Sequence[str] = (), file_bytes: int | None = None) -> int:
+    """How many files ``size`` bytes are compacted into, so that what a task reads or sorts does not grow with the table."""
+    return max(1, -(-size // (file_bytes or (SORTED_BYTES if cluster_by else PACKED_BYTES))))
+
+
 def compact(df: DataFrame, partitions: int, cluster_by: Sequence[str] = ()) -> DataFrame:
     """Same rows in fewer, larger files.
 

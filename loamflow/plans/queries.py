@@ -6,7 +6,7 @@ A query takes ``(spark, sf_dir)``. The oracle is written for DuckDB over the sam
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -519,10 +519,10 @@ def scd2_incremental(spark, sf_dir):
     return history
 
 
-def file_count(spark: SparkSession, sf_dir: str, name: str, file_bytes: int = 512 << 20) -> int:
-    """How many files of ``file_bytes`` a table fills."""
+def file_count(spark: SparkSession, sf_dir: str, name: str, cluster_by: Sequence[str] = ()) -> int:
+    """How many files a table is compacted into."""
     size = Warehouse(spark, sf_dir).size_in_bytes((f"{sf_dir}/{name}.parquet",))
-    return max(1, -(-size // file_bytes))
+    return writes.files_for(size, cluster_by)
 
 
 @query("compact_rows_preserved", "select * from lineitem")
@@ -532,7 +532,7 @@ def compact_rows_preserved(spark, sf_dir):
 
 @query("compact_clustered", "select * from events")
 def compact_clustered(spark, sf_dir):
-    return writes.compact(table(spark, sf_dir, "events"), file_count(spark, sf_dir, "events"), ["ts"])
+    return writes.compact(table(spark, sf_dir, "events"), file_count(spark, sf_dir, "events", ["ts"]), ["ts"])
 
 
 # Specs. The raw rows are derived from orders: one spec per order, untrimmed and partly blank.

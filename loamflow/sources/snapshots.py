@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from loamflow.operators.writes import compact, merged_schema
+from loamflow.operators.writes import compact, files_for, merged_schema
 
 MANIFEST_SCHEMA = (
     "version LONG, run_id STRING, dirs ARRAY<STRING>, schema_json STRING, rows LONG, marks MAP<STRING, STRING>, "
@@ -192,12 +192,12 @@ class Warehouse:
         total = files.option("recursiveFileLookup", "true").load(list(dirs)).agg(F.sum("length")).first()[0]
         return total or 0
 
-    def compact(self, name: str, run_id: str, file_bytes: int = 512 << 20, cluster_by: tuple[str, ...] = ()) -> Snapshot:
-        """The live snapshot rewritten into files of about ``file_bytes``."""
+    def compact(self, name: str, run_id: str, file_bytes: int | None = None, cluster_by: tuple[str, ...] = ()) -> Snapshot:
+        """The live snapshot rewritten into files of about ``file_bytes``, by default what one task packs or sorts with ease."""
         with self._locks[name]:
             return self._compact(name, run_id, file_bytes, cluster_by)
 
-    def _compact(self, name: str, run_id: str, file_bytes: int, cluster_by: tuple[str, ...]) -> Snapshot:
+    def _compact(self, name: str, run_id: str, file_bytes: int | None, cluster_by: tuple[str, ...]) -> Snapshot:
         live = self.current(name)
         if live is None:
             raise LookupError(f"table {name!r} has not been published")
@@ -208,7 +208,7 @@ class Warehouse:
         if live.layout:
             dirs = self.stage_parts(rows, path, live.layout)
         else:
-            partitions = max(1, -(-self.size_in_bytes(live.dirs) // file_bytes))
+            partitions = files_for(self.size_in_bytes(live.dirs), cluster_by, file_bytes)
             dirs = (self.stage(compact(rows, partitions, cluster_by), path),)
         return self._commit(name, replace(
             live, version=live.version + 1, run_id=tag, dirs=dirs, runs=live.runs + (tag,)

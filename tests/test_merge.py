@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from compare import bag
-from loamflow.operators.writes import append, compact, merge_upsert, overwrite, scd2_history, update_matched
+from loamflow.operators.writes import append, compact, files_for, merge_upsert, overwrite, scd2_history, update_matched
 
 SCHEMA = "k INT, j STRING, v STRING, n LONG"
 
@@ -169,6 +169,12 @@ def test_compact_keeps_rows(spark):
     assert bag(compact(df, 4, ["id"])) == bag(df)
 
 
+def test_a_compacted_file_is_bounded_by_the_work_of_its_task():
+    # 640 MB packed and 120 MB sorted were two files and one: 18 million rows read, six million sorted, by a task.
+    assert files_for(640 << 20) == 5 and files_for(120 << 20, ["ts"]) == 4
+    assert files_for(0) == files_for(1, ["ts"]) == 1 and files_for(10 << 20, ["ts"], 1 << 20) == 10
+
+
 def test_scd2_rows_without_a_key_open_once(spark):
     load = frame(spark, [(None, "a"), (None, None), (1, "x")], "k INT, v STRING")
     history = scd2_history(None, load, ["k"], F.lit("2024-01-01"))
