@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from loamflow.operators import dataset_rules, incremental, policies, quality, range_joins, state, transforms, writes
+from loamflow.operators import cubes, dataset_rules, incremental, policies, quality, range_joins, state, transforms, writes
 from loamflow.operators.sessions import sessions
 from loamflow.plans.runner import BulkTransformEngine
 from loamflow.schemas import CONTROL_SCHEMA
@@ -1194,12 +1194,16 @@ def join_as_of(spark, sf_dir):
     from lineitem group by cube (l_returnflag, l_linestatus, l_linenumber)""",
 )
 def passthrough_cube(spark, sf_dir):
-    sql = """
-    SELECT l_returnflag, l_linestatus, l_linenumber, grouping_id() AS grp, count(*) AS lines,
-           count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers, sum(cast(l_quantity AS bigint)) AS quantity
-    FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)
-    """
-    return run_sql(spark, sf_dir, sql, "lineitem")
+    lines = run_sql(
+        spark, sf_dir,
+        "SELECT l_returnflag, l_linestatus, l_linenumber, l_partkey, l_suppkey, cast(l_quantity AS bigint) AS l_quantity FROM lineitem",
+        "lineitem",
+    )
+    cube = cubes.cube_counts(
+        lines, ["l_returnflag", "l_linestatus", "l_linenumber"], {"parts": "l_partkey", "suppliers": "l_suppkey"},
+        {"lines": F.lit(1).cast("long"), "quantity": F.col("l_quantity")}, "grp",
+    )
+    return cube.select("l_returnflag", "l_linestatus", "l_linenumber", "grp", "lines", "parts", "suppliers", "quantity")
 
 
 @query(

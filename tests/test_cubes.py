@@ -1,0 +1,37 @@
+"""Cubes with distinct counts against Spark's own, and the rows their plan expands."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from compare import bag
+from loamflow.operators.cubes import cube_counts
+
+SQL = """SELECT a, b, grouping_id() AS g, count(DISTINCT x) AS xs, count(DISTINCT y) AS ys, count(*) AS n, sum(q) AS total
+         FROM {df} GROUP BY CUBE (a, b)"""
+
+
+def counts(df):
+    return cube_counts(df, ["a", "b"], {"xs": "x", "ys": "y"}, {"n": F.lit(1).cast("long"), "total": F.col("q")}, "g")
+
+
+def test_cube_equals_sparks_with_nulls_and_a_hot_value(spark):
+    rng = random.Random(3)
+    rows = [
+        (rng.choice(["u", "v", None]), rng.choice([1, 2, None]), rng.choice([0] * 9 + [1, 2, 3, None]), rng.choice(["s", "t", None]), rng.choice([5, 7, None]))
+        for _ in range(400)
+    ] + [("w", 9, None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b int, x long, y string, q long")
+    expected = spark.sql(SQL, df=df)
+    assert counts(df).columns == expected.columns and bag(counts(df)) == bag(expected)
+    assert counts(df).schema.simpleString() == expected.schema.simpleString()
+    assert counts(df.limit(0)).count() == spark.sql(SQL, df=df.limit(0)).count() == 0
+
+
+def test_rows_are_not_expanded_for_each_grouping_before_they_are_combined(spark, sf_dir):
+    from loamflow.plans.queries import QUERIES
+
+    plan = QUERIES["passthrough_cube"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Generate inline") == 2
+    combined = plan.index("HashAggregate", plan.index("Generate inline"))  # of the grouping step, counted from the top
+    assert "HashAggregate" in plan[combined:] and plan.count("Exchange") == 3
