@@ -190,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, features: i
         return Model(np.full(1 << BITS, -1, np.int32), np.zeros(1), prior)
     # Documents are drawn, not ids: rows that share an id and a text are one document, an id with many texts is many.
     keyed = whole_columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL").withColumn("key", text_key())
-    named = lookup_join(keyed.select("doc_id", "key"), known, ["doc_id"], "inner").distinct()
+    # Settled, as both classes are drawn from it: the texts are read once for their keys, once for the sample.
+    named = settle(lookup_join(keyed.select("doc_id", "key"), known, ["doc_id"], "inner").distinct(), "toxicity-named")
     order = F.xxhash64("doc_id", F.lit(seed))
     drawn = [named.filter(F.col("toxic") == c).orderBy(order, "doc_id", "key").limit(sample_rows) for c in (0, 1)]
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 2 * sample_rows rows of three numbers

@@ -341,3 +341,12 @@ def test_texts_travel_in_small_batches_unless_the_session_says_otherwise(spark):
         assert spark.conf.get(key) == "9m"
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_the_sample_of_both_classes_is_drawn_from_one_settled_table(spark, monkeypatch):
+    settled, real = {}, toxicity.settle
+    monkeypatch.setattr(toxicity, "settle", lambda df, name: settled.setdefault(name, real(df, name)))
+    docs = spark.createDataFrame([(i, f"{'vile' if i % 2 else 'kind'} words {i % 5}") for i in range(20)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(16)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, sample_rows=6)
+    assert settled["toxicity-named"].count() == 16 and settled["toxicity-sample"].count() == 12
