@@ -11,6 +11,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -115,6 +116,19 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def count_ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits set."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    # Sums of 255 rows fit in a byte.
+    return np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    """SimHash of ``n`` hashes as an unsigned number: the bits that over half of them have set."""
+    bits = (2 * ones > n).astype(np.uint8)
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
 #: Chunks made of these characters alone need no normalising beyond lower case.
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 #: The tokenizer's own split pattern, as it reads for plain characters.

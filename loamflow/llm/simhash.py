@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamflow.llm import near_copies
-from loamflow.llm.base import fresh, pieces, settle, ship, text_key, whole_columns
+from loamflow.llm.base import count_ones, fresh, majority, pieces, release, settle, ship, text_key, whole_columns
 from loamflow.llm.links import components
 
 SEED, SHINGLE = 42, 3
@@ -51,18 +51,10 @@ def fingerprint(text: str | None) -> int:
             starts = np.concatenate(([0], ends[:-SHINGLE] + 1)).tolist()
             n += len(starts)
             hashes = [xxh64_intdigest(line[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1:].tolist())]
-            ones += _count_ones(np.array(hashes, np.uint64))
+            ones += count_ones(np.array(hashes, np.uint64))
     if not n and tail:
-        n, ones = 1, _count_ones(np.array([xxh64_intdigest(b" ".join(tail), SEED)], np.uint64))
-    bits = (2 * ones > n).astype(np.uint8)
-    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
-
-
-def _count_ones(hashes: np.ndarray) -> np.ndarray:
-    """How many of the hashes have each of the 64 bits set."""
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    # Sums of 255 rows fit in a byte.
-    return np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        n, ones = 1, count_ones(np.array([xxh64_intdigest(b" ".join(tail), SEED)], np.uint64))
+    return majority(ones, n)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -150,10 +142,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, similarity: float | None = None) -> DataFrame:
     """The documents, all columns, without all but one of each component: the one with the smallest id.
 
-    With ``similarity``, documents link by the Jaccard similarity of their 5-word shingles, not by fingerprint.
+    With ``similarity``, documents link by the Jaccard similarity of their 5-word shingles: those that the grid finds within
+    two bits are compared, and those that ``near_copies.py`` finds beyond.
     """
-    prints = fingerprints(docs) if similarity is None else near_copies.prints(docs)
-    edges = None if similarity is None else near_copies.links(docs, prints, similarity)
+    if similarity is None:
+        prints, edges = fingerprints(docs), None
+    else:
+        prints = near_copies.prints(docs)
+        close = settle(links(settle(prints.select(F.col("simhash").alias("fp")).distinct(), "distinct-fingerprints")), "close")
+        release(docs.sparkSession, [])  # the shuffled cells and words, before the bands are shuffled
+        edges = near_copies.links(docs, prints, similarity, close)
     name = F.struct("doc_id", "text_key")
     firsts = prints.filter(F.col("doc_id").isNotNull()).groupBy("fingerprint").agg(F.min(name).alias("first"))
     lone = prints.groupBy("fingerprint").agg(F.min(name).alias("any"))

@@ -104,3 +104,55 @@ def test_awkward_rows_and_empty_tables(documents, awkward):
     assert near_copies.links(awkward, prints, 0.8).count() == 0
     empty = documents((1, "a")).limit(0)
     assert near_copies.links(empty, near_copies.prints(empty), 0.8).count() == 0
+
+
+def test_texts_within_two_simhash_bits_meet_without_a_common_band(documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, " ".join(f"other{k}" for k in range(3000)))]
+    prints = near_copies.prints
+    monkeypatch.setattr(near_copies, "prints", lambda docs: prints(docs).withColumn("bands", F.array("fingerprint")))
+    assert {r.doc_id for r in simhash.drop_near_duplicates(documents(*rows), similarity=0.8).collect()} == {1, 3}
+
+
+def edited_family(n, seed=29):
+    """(doc_id, text): a text of 140 words, each time with other words replaced, a few or many."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        words = [f"t{k}" for k in range(140)]
+        for at in rng.sample(range(140), rng.randrange(1, 12)):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_a_family_of_edited_copies_costs_a_few_rows_for_each_text(documents, monkeypatch):
+    rows = edited_family(500)
+    own = sets(rows)
+    root = list(own)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in own:
+        for j in range(i):
+            if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    compared, settle = [], near_copies.settle
+
+    def counted(df, name):
+        out = settle(df, name)
+        compared.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_copies, "settle", counted)
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(documents(*rows), similarity=0.8).collect()}
+    whole = {find(i) for i in own}
+    # Min-hashing proves no link found: 1 of 500 such texts was lost with this seed.
+    assert whole <= kept and len(kept - whole) <= 2 < 100 < len(rows) - len(whole)
+    assert sum(n for name, n in compared if name == "near-pairs") < 60 * len(rows), compared
+    assert max(n for _, n in compared) < 100 * len(rows), compared
