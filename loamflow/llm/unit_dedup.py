@@ -13,7 +13,7 @@ less than a unit at each end.
 Where words are not set apart by blanks (Chinese, Japanese, Thai and others) each character is cut and hashed like a word and
 counts for half a word (Thai, Lao, Burmese, Khmer: a quarter); a longer string without blanks counts a word for 8 characters.
 
-Only digests travel, with offsets in the original text; a digest that fills a third of the corpus is
+Only digests travel, with offsets in the original text, and only half digests of those that do not repeat; a digest that fills a third of the corpus is
 combined before it is shuffled, and its occurrences are looked up in one row, which lets Spark split them. Spans are gathered for
 one document at a time. Offsets count code points of the original text, from 0, and are returned.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import fresh, pieces, settle, ship, text_key, whole_columns
+from loamflow.llm.base import fresh, pieces, release, settle, ship, text_key, whole_columns
 from loamflow.operators.joins import lookup_join
 
 _LINE = re.compile(r"[^\n]*\n+|[^\n]+")
@@ -50,6 +50,8 @@ _SIGNS = frozenset(".!?\u2026\u3002\uff01\uff1f\uff0e\uff61\u061f\u06d4\u0964\u0
 ALONE = 3
 #: A word of more characters counts as one for each 8.
 LONG = 32
+#: Words of 64 bits in the map of digests that repeat: 8 MB.
+MOST_WORDS = 1 << 20
 _UNITS = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("words", pa.int64()),
     ("d1", pa.int64()), ("d2", pa.int64()),
@@ -178,6 +180,24 @@ def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
     return spans
 
 
+def marked(hashed: DataFrame, often: DataFrame) -> DataFrame:
+    """Rows of ``hashed`` whose ``d1`` is in ``often``, and a few others, found without a shuffle of ``hashed``.
+
+    Each digest of ``often`` (settled) sets one of 16 bits or more for each of them, of 2^26 at most, in one row that goes to
+    all tasks. A fuller map lets more others through; none that is in ``often`` is lost.
+    """
+    spark, n = hashed.sparkSession, often.count()
+    words = min(MOST_WORDS, max(1 << 10, 1 << (n // 4).bit_length()))
+    word, at = F.col("d1").bitwiseAND(F.lit(words - 1)), "CAST(shiftrightunsigned(d1, 32) & 63 AS INT)"
+    bits = often.select(word.alias("word"), F.expr(f"shiftleft(1L, {at})").alias("bits"))
+    bits = bits.unionByName(spark.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits")))
+    bits = bits.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    held, mask = fresh(hashed, "held"), F.sort_array(F.collect_list(F.struct("word", "bits")))
+    row = settle(bits.agg(F.transform(mask, lambda b: b["bits"]).alias(held)), "marks")
+    is_set = F.expr(f"shiftrightunsigned(get({held}, CAST(d1 & {words - 1} AS INT)), {at}) & 1 = 1")
+    return hashed.crossJoin(F.broadcast(row)).filter(is_set).drop(held)
+
+
 def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) -> DataFrame:
     """doc_id, text_key and the spans to remove (with the document that keeps them), where there are any."""
 
@@ -208,8 +228,10 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     fields = ", ".join(f"{f.name} long" for f in _UNITS)
     hashed = settle(own.mapInArrow(cut, fields), "units")
     # Half of the digest tells which units can repeat at all; only these take part in the wide steps.
-    often = hashed.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d1")
-    shared = settle(lookup_join(hashed, often, ["d1"], "left_semi"), "shared-units")
+    often = settle(hashed.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d1"), "often")
+    release(docs.sparkSession, [])  # the shuffled counts
+    # As an inner join (``often`` has each digest once): Spark would move a semi join below the map.
+    shared = settle(lookup_join(marked(hashed, often), often, ["d1"], "inner"), "shared-units")
     place = F.struct("doc_id", "text_key", "start", "length")
     firsts = shared.groupBy("d1", "d2").agg(F.min(place).alias("first"))
     later = lookup_join(shared, firsts, ["d1", "d2"], "left").filter(place > F.col("first"))

@@ -156,3 +156,26 @@ def test_a_family_of_edited_copies_costs_a_few_rows_for_each_text(documents, mon
     assert whole <= kept and len(kept - whole) <= 2 < 100 < len(rows) - len(whole)
     assert sum(n for name, n in compared if name == "near-pairs") < 60 * len(rows), compared
     assert max(n for _, n in compared) < 100 * len(rows), compared
+
+
+def test_a_later_round_only_asks_where_the_other_text_is_new(documents, monkeypatch):
+    rows, rounds, asked = edited_family(500), [], []
+    settle, lookup_join = near_copies.settle, near_copies.lookup_join
+
+    def settled(df, name):
+        out = settle(df, name)
+        if name == "near-apart":
+            rounds.append(out.count())
+        return out
+
+    def joined(left, right, keys, how):
+        out = lookup_join(left, right, keys, how)
+        if how == "inner" and "other" in right.columns and "hub" in left.columns:
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "settle", settled)
+    monkeypatch.setattr(near_copies, "lookup_join", joined)
+    simhash.drop_near_duplicates(documents(*rows), similarity=0.8)
+    assert len(rounds) == len(asked) >= 2 and sum(rounds[1:]) > 0
+    assert sum(asked[1:]) < sum(rounds[1:]), (rounds, asked)

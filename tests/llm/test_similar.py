@@ -319,3 +319,29 @@ def test_kept_hashes_of_equal_windows_agree(n):
     for k in range(n - decontaminate.SPAN + 1):
         window = hashes[k:k + decontaminate.SPAN]
         assert {k + i for i in range(len(window)) if window[i] == window.min()} <= kept
+
+
+def test_units_that_do_not_repeat_are_left_out_before_the_join(spark, documents, monkeypatch):
+    rng = random.Random(11)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(600)) + (f" {passage}" if i % 20 == 0 else "")) for i in range(200)]
+    lookup_join, sent = unit_dedup.lookup_join, []
+
+    def joined(left, right, keys, how):
+        if keys == ["d1"]:
+            sent.append((left.count(), left.join(right, "d1", "left_semi").count()))
+        return lookup_join(left, right, keys, how)
+
+    monkeypatch.setattr(unit_dedup, "lookup_join", joined)
+    out = {r.doc_id: r.removed for r in unit_dedup.remove_repeats(documents(*rows)).collect()}
+    assert {i for i, spans in out.items() if spans} == {i for i, _ in rows if i % 20 == 0 and i}
+    # Two thousand units and more are hashed; the map lets few through that do not repeat.
+    (through, repeated), = sent
+    assert 0 < repeated <= through < repeated + 1000
+
+
+def test_a_full_map_loses_no_repeat(documents, monkeypatch):
+    monkeypatch.setattr(unit_dedup, "MOST_WORDS", 1)
+    passage = " ".join(f"p{k}" for k in range(60))
+    out = unit_dedup.remove_repeats(documents((1, f"one {passage} end"), (2, f"two {passage} too"))).collect()
+    assert [bool(r.removed) for r in sorted(out, key=lambda r: r.doc_id)] == [False, True]
