@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -129,10 +129,15 @@ def majority(ones: np.ndarray, n: int) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
-#: Chunks made of these characters alone need no normalising beyond lower case.
-_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
-#: The tokenizer's own split pattern, as it reads for plain characters.
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: Letters beyond ASCII that need no normalising beyond lower case, which is among these or in the block behind (of three it is not).
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u024f"
+_PLAIN = re.compile(f"[!-~{_LETTERS}]+")
+_PLAIN_LINE = re.compile(f"[ !-~{_LETTERS}]*")
+#: The tokenizer's own split pattern, as it reads for plain characters in lower case.
+_PARTS = re.compile(rf"[a-z{_LETTERS}\u0250-\u02af]+|[0-9]|'(?:[stmd]|re|ve|ll)|[!-/:-@\[-`{{-~]+")
+#: The letters that stand for bytes in a byte-level vocabulary: visible Latin-1 characters as they are, others from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = dict(zip(sorted({*range(256)}.difference(_VISIBLE)), range(256, 512)))
 
 
 class TokenIds:
@@ -145,56 +150,56 @@ class TokenIds:
     """
 
     def __init__(self, path: str, limit: int = 300_000, chunk_limit: int = 100_000, longest: int = 48):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of the special tokens are ordinary text inside a document.
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.bytes_as_text = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.limit, self.chunk_limit, self.longest = limit, chunk_limit, longest
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.limit, self.chunk_limit = limit, chunk_limit
+        self.words = _Remembered(self._word, limit, longest)
+        self.chunks = _Remembered(self._chunk, chunk_limit, longest)
+        self.chunks[""] = b""
 
     def __call__(self, text: str | None) -> bytes:
         return b"".join([self._piece(p) for p in pieces(text or "")])
 
     def _piece(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.chunks
-        new = set(chunks).difference(known)
-        if not new:
-            return b"".join([known[c] for c in chunks])
-        if len(known) > self.chunk_limit:
-            known.clear()
-            known[""] = b""
-            new = set(chunks).difference(known)
-        here = {c: self._chunk(c) for c in new}
-        if len(here) == len(new) and len(known) + len(here) <= 2 * self.chunk_limit and max(map(len, here)) <= self.longest:
-            known.update(here)
-            return b"".join([known[c] for c in chunks])
-        known.update((c, ids) for c, ids in here.items() if len(c) <= self.longest and len(known) < self.chunk_limit)
-        return b"".join([here[c] if c in here else known[c] for c in chunks])
+        text = text.replace("\n", " ")
+        # Cleared between pieces only: within one, what is beyond the limits is encoded without being remembered.
+        if len(self.words) >= self.limit:
+            self.words.clear()
+        if _PLAIN_LINE.fullmatch(text):
+            return b"".join(map(self.words.__getitem__, _PARTS.findall(text.lower())))
+        if len(self.chunks) >= self.chunk_limit:
+            self.chunks.clear()
+            self.chunks[""] = b""
+        return b"".join(map(self.chunks.__getitem__, text.split(" ")))
 
     def _chunk(self, chunk: str) -> bytes:
         if not _PLAIN.fullmatch(chunk):
             return _le(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         chunk = chunk.lower()
         if chunk.isalpha():
-            return self._word(chunk)
-        if chunk[-1] in ".,!?" and chunk[:-1].isalpha():
-            return self._word(chunk[:-1]) + self._word(chunk[-1])
-        return b"".join([self._word(w) for w in _PARTS.findall(chunk)])
+            return self.words[chunk]
+        return b"".join(map(self.words.__getitem__, _PARTS.findall(chunk)))
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            text = word if word.isascii() else "".join(p for p, _ in self.bytes_as_text.pre_tokenize_str(word))
-            ids = _le([t.id for t in self.model.tokenize(text)])
-            if len(word) <= self.longest:
-                if len(self.words) >= self.limit:
-                    self.words.clear()
-                self.words[word] = ids
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return _le([t.id for t in self.model.tokenize(text)])
+
+
+class _Remembered(dict):
+    """What ``encode`` gives for texts of at most ``longest`` characters, up to ``limit`` of them."""
+
+    def __init__(self, encode: Callable[[str], bytes], limit: int, longest: int):
+        super().__init__()
+        self.encode, self.limit, self.longest = encode, limit, longest
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.encode(text)
+        if len(text) <= self.longest and len(self) < self.limit:
+            self[text] = ids
         return ids
 
 
