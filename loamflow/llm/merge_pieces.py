@@ -26,6 +26,7 @@ user-defined or unused pieces is refused.
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
@@ -81,6 +82,11 @@ class MergeTable:
         self.numbers = dict(pieces)
         self.first_character = max(pieces.values()) + 1
         self.characters: list[str] = []
+        #: The numbers of characters by their code points; -1 if they have none.
+        self.by_code = np.full(sys.maxunicode + 1, -1, np.int32)
+        for piece, at in pieces.items():
+            if len(piece) == 1:
+                self.by_code[ord(piece)] = at
         pairs = []
         for piece, at in order.items():
             for k in range(1, len(piece)):
@@ -96,6 +102,7 @@ class MergeTable:
         if known is None:
             known = self.numbers[symbol] = self.first_character + len(self.characters)
             self.characters.append(symbol)
+            self.by_code[ord(symbol)] = known
         return known
 
     def forget(self) -> None:
@@ -103,6 +110,7 @@ class MergeTable:
         if len(self.characters) > self.fixed + 100_000:
             for symbol in self.characters[self.fixed:]:
                 del self.numbers[symbol]
+                self.by_code[ord(symbol)] = -1
             del self.characters[self.fixed:]
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,8 +122,13 @@ class MergeTable:
     def merge(self, stretches: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Places in ``stretches``, how many symbols are left of each, and these symbols in a row; the first done come first."""
         sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
-        number = self.numbers
-        symbols = np.fromiter([number.get(c) or self.number(c) for c in "".join(stretches)], np.int64, int(sizes.sum()))
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
+        symbols = self.by_code[codes]
+        if len(new := codes[symbols < 0]):
+            for code in np.unique(new).tolist():
+                self.number(chr(code))
+            symbols = self.by_code[codes]
+        symbols = symbols.astype(np.int64)
         which = np.arange(len(stretches))
         rank, to = np.full(len(symbols), _NEVER), np.zeros(len(symbols), np.int64)
         rank[:-1], to[:-1] = self._pairs(symbols[:-1], symbols[1:])
@@ -185,7 +198,12 @@ class PieceCodec:
         self.joined = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
         alone = re.escape("".join(sorted(set(map(chr, range(128))).difference(*self.joined))))
         self.parts = re.compile(f"[{alone}]|[^{alone}]+" if alone else r"(?s:.+)").findall
+        self.set_apart = re.compile(f"[{alone}]" if alone else r"(?!)").search
         self.table = MergeTable(self.ids, self.order)
+        #: Ids that stand for a null character, and the number behind all ids, which stands for one between two stretches.
+        self.nulls = [i for i, own in enumerate(self.surface) if b"\0" in own]
+        self.between = len(self.surface)
+        self.surface.append(b"\0")
         self.cores: dict[str, bytes] = {}
         self.differing: set[str] = set()
 
@@ -237,7 +255,8 @@ class PieceCodec:
 
     def _stretches(self, stretches: list[str]) -> list[tuple[bytes, str]]:
         """Ids of each stretch, and the text that they stand for."""
-        cut = [self._cut_off(s) for s in stretches]
+        apart, joined = self.set_apart, self.joined
+        cut = [[s] if s[-2:] in joined and not apart(s) else self._cut_off(s) for s in stretches]
         cores = self.cores
         if len(cores) > self.limit:
             cores.clear()
@@ -254,10 +273,10 @@ class PieceCodec:
         for c in long:
             pieces = merge_symbols(list(c), self.order.get)
             cores[c] = self._with_bytes(array("i", map(self.table.number, pieces)).tobytes())
-        ids = [b"".join([cores[c] for c in parts]) for parts in cut]
+        ids = [cores[parts[0]] if len(parts) == 1 else b"".join([cores[c] for c in parts]) for parts in cut]
         for c in long:
             del cores[c]
-        return [(own, self._decode(array("i", own))) for own in ids]
+        return list(zip(ids, self._decoded(ids)))
 
     def _with_bytes(self, numbers: bytes) -> bytes:
         """Ids, with bytes in place of the characters that are no pieces."""
@@ -273,6 +292,13 @@ class PieceCodec:
         surface = self.surface
         return b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
 
+    def _decoded(self, stretches: list[bytes]) -> list[str]:
+        """What the ids of each stretch decode to. As one text, as no character reaches across the null characters between them."""
+        ids = array("i", array("i", [self.between]).tobytes().join(stretches))
+        if np.isin(np.frombuffer(ids, np.int32), self.nulls).any():
+            return [self._decode(array("i", own)) for own in stretches]
+        return b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").split("\0")
+
     def _agreeing(self, stretches: list[str], done: list[tuple[bytes, str]]) -> list[bool]:
         """Stretches that start with a blank sign make up one text; only if that differs they are tried one by one."""
         if self.leading and all(s[0] == BLANK for s in stretches):
