@@ -144,9 +144,9 @@ class TokenIds:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space and never merges across it, so the ids of a text are those
-    of its chunks between blanks and line ends. A distinct chunk is encoded once by the tokenizers
-    library; at most ``chunk_limit`` chunks and ``limit`` words are remembered. Chunks of plain letters and
-    signs go to the library's model word by word, all others through its whole chain.
+    of its chunks between blanks and line ends. Texts and chunks of plain letters and signs go to the library's model
+    word by word, all other chunks through its whole chain. Each is encoded once by the library while it is remembered;
+    at most ``chunk_limit`` chunks and ``limit`` words are.
     """
 
     def __init__(self, path: str, limit: int = 300_000, chunk_limit: int = 100_000, longest: int = 48):

@@ -159,3 +159,14 @@ def test_token_store_of_awkward_rows(spark, awkward, plain, tmp_path, block_ids)
         expected.append((at, len(ids) // 4, zlib.crc32(ids)))
         at += len(ids) // 4
     assert rows == expected
+
+
+def test_plain_texts_are_looked_up_word_by_word():
+    encoder = base.TokenIds(PATH)
+    plain = "It's a plain text, isn't it? ÉTÉ Ɓa ɃƵ 42 a_b--c 'tis \"'s\n" * 3
+    odd = "İstanbul Ⱥb Ⱦc 文字 plain\twords"
+    for text in (plain, odd, f"{plain} {odd}"):
+        assert encoder(text) == base._le(encoder.tokenizer.encode(text, add_special_tokens=False).ids)
+    encoder = base.TokenIds(PATH)
+    encoder(plain)
+    assert set(encoder.chunks) == {""} and {"plain", "été"} <= set(encoder.words)
