@@ -281,3 +281,14 @@ def test_op13_on_the_given_table(spark, sf_dir):
 def test_planting_on_awkward_rows(awkward):
     for r in with_planted_run(awkward).join(awkward.select("doc_id", F.col("text").alias("was")).distinct(), "doc_id").collect():
         assert (r.text is None) == (r.was is None) or r.doc_id in (1,)
+
+
+def test_stretches_are_decoded_as_one_text():
+    from loamflow.llm.queries import tokenizer
+
+    codec = merge_pieces.PieceCodec(tokenizer("piece_bpe_32k.model"))
+    texts = ["one two\n文字 \U0001f600 x", "a \x00 b\x00", "two words", None]
+    for text in [texts[:1], texts[1:2], texts[2:], texts]:
+        for own, (ids, decoded, agrees) in zip(text, codec.batch(text)):
+            assert decoded == codec.library.decode(codec.library.encode(own or "")) and agrees
+    assert codec._decoded([b"", b""]) == ["", ""]
