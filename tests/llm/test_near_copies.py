@@ -179,3 +179,21 @@ def test_a_later_round_only_asks_where_the_other_text_is_new(documents, monkeypa
     simhash.drop_near_duplicates(documents(*rows), similarity=0.8)
     assert len(rounds) == len(asked) >= 2 and sum(rounds[1:]) > 0
     assert sum(asked[1:]) < sum(rounds[1:]), (rounds, asked)
+
+
+def test_roots_are_looked_up_for_texts_not_for_each_of_their_keys(documents, monkeypatch):
+    rows, placed, asked = template_family(600), [], []
+    lookup_join = near_copies.lookup_join
+
+    def joined(left, right, keys, how):
+        out = lookup_join(left, right, keys, how)
+        if how == "left":
+            placed.append(out.count())
+        if how == "left_anti" and keys == ["u", "v"]:
+            asked.append((left.count(), left.distinct().count()))
+        return out
+
+    monkeypatch.setattr(near_copies, "lookup_join", joined)
+    simhash.drop_near_duplicates(documents(*rows), similarity=0.8)
+    assert placed and sum(placed) < 6 * len(rows), placed
+    assert all(n == distinct for n, distinct in asked)
