@@ -59,6 +59,12 @@ def release(spark: SparkSession, paths: Iterable[str]) -> None:
     spark._jvm.System.gc()  # Spark's cleaner removes shuffle files once their plans are collected
 
 
+def folders(df: DataFrame) -> list[str]:
+    """The folders of ``scratch`` that ``df`` reads."""
+    read = {part for f in df.inputFiles() for part in f.split("/")}
+    return [p for p in SCRATCH if p.rsplit("/", 1)[-1] in read]
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: evaluated once, lineage cut."""
     path = scratch(df.sparkSession, name)

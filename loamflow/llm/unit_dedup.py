@@ -26,8 +26,6 @@ within a document count like any other; one word repeated over and over is a sin
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections import deque
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -36,16 +34,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamflow.llm.base import fresh, pieces, release, settle, ship, text_key, whole_columns
+from loamflow.llm.base import folders, fresh, pieces, release, settle, ship, text_key, whole_columns
 from loamflow.operators.joins import lookup_join
 
 _LINE = re.compile(r"[^\n]*\n+|[^\n]+")
 #: Characters that are words of their own: scripts written without blanks, by how many make up a word, and their signs.
 _QUARTER, _HALF = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff", "\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
 _UNSPACED = re.compile(f"[{_QUARTER}{_HALF}]")
-_WORD, _WORD_OR_CHARACTER = re.compile(r"\S+"), re.compile(rf"[{_QUARTER}{_HALF}]|[^\s{_QUARTER}{_HALF}]+")
+_WORD_OR_CHARACTER = re.compile(rf"[{_QUARTER}{_HALF}]|[^\s{_QUARTER}{_HALF}]+")
 _FOURTH = re.compile(f"[{_QUARTER}]")
 _SIGNS = frozenset(".!?\u2026\u3002\uff01\uff1f\uff0e\uff61\u061f\u06d4\u0964\u0965\u104b\u17d4")
+_BLANK, _UPPER, _ALPHA, _SIGN = 1, 2, 4, 8
+
+
+def _kind(c: str) -> int:
+    """A character's kinds; for a letter, it is the last of its lower case that counts."""
+    return _BLANK * c.isspace() + _UPPER * c.isupper() + _ALPHA * c.lower()[-1].isalpha() + _SIGN * (c in _SIGNS)
+
+
+_KINDS = np.array([_kind(chr(i)) for i in range(1 << 16)], np.uint8)
+
+
+def _kinds(letters: np.ndarray) -> np.ndarray:
+    """Kinds of characters that are given by number."""
+    kinds = _KINDS[np.minimum(letters, 0xFFFF)]
+    if len(letters) and letters.max() > 0xFFFF:
+        for i in np.flatnonzero(letters > 0xFFFF).tolist():
+            kinds[i] = _kind(chr(letters[i]))
+    return kinds
+
+
 #: A capitalised word begins a unit if none of so many words behind it is capitalised.
 ALONE = 3
 #: A word of more characters counts as one for each 8.
@@ -63,32 +81,46 @@ _SPANS = pa.schema([
 SPANS = "doc_id long, text_key long, removed array<struct<start: long, length: long, kept_doc_id: long>>"
 
 
-def sentences(text: str, start: int, end: int, unit_words: int = 4) -> Iterator[tuple[int, int, list[str]]]:
-    """Start, end and words of each unit of a stretch of text; together they cover it, blanks behind one included."""
-    pattern = _WORD_OR_CHARACTER if _UNSPACED.search(text, start, end) else _WORD
-    starts = [m.start() for m in pattern.finditer(text, start, end)]
-    words = pattern.findall(text[start:end].lower())
+def _cut(text: str, start: int, end: int, unit_words: int) -> tuple[list[str], bytes, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Lower-case words of a stretch of text, these as a line, their quarters, and the first word and the start of each unit; None without words."""
+    stretch = text[start:end]
+    letters = np.frombuffer(stretch.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _kinds(letters)
+    lower = stretch.lower()
+    unspaced = bool(len(letters) and letters.max() >= 0xE00 and _UNSPACED.search(stretch))
+    if unspaced:
+        starts = np.array([m.start() for m in _WORD_OR_CHARACTER.finditer(stretch)], np.int64)
+        words = _WORD_OR_CHARACTER.findall(lower)
+        last = _kinds(np.array([ord(w[-1]) for w in words], np.uint32))
+    else:
+        inside = np.concatenate(([False], kinds & _BLANK == 0, [False]))
+        starts, ends = np.flatnonzero(inside[1:] > inside[:-1]), np.flatnonzero(inside[1:] < inside[:-1])
+        words = lower.split()
+        last = kinds[ends - 1]
     if not words:
-        if end > start:
-            yield start, end, []
-        return
+        return None
     n = len(words)
-    border = np.array(starts, np.int64)
-    capital = np.fromiter([text[a].isupper() for a in starts], bool, n)
-    last = [w[-1] for w in words]
-    signed = np.fromiter([c in _SIGNS for c in last], bool, n)
-    lettered = np.fromiter(map(str.isalpha, last), bool, n)
+    border = starts + start
+    if unspaced or len(lower) != len(stretch):
+        sizes = np.fromiter(map(len, words), np.int64, n)
+    else:
+        sizes = ends - starts
+    quarters = np.where(sizes > LONG, sizes // 2, 4)
+    if unspaced:
+        for i in np.flatnonzero(sizes == 1).tolist():
+            if _UNSPACED.match(words[i]):
+                quarters[i] = 1 if _FOURTH.match(words[i]) else 2
+    capital, signed, lettered = kinds[starts] & _UPPER > 0, last & _SIGN > 0, last & _ALPHA > 0
     sure = np.zeros(n, bool)
     sure[1:] = signed[:-1] | (capital[1:] & lettered[:-1])
     for k in range(1, min(ALONE, n - 2) + 1):
         sure[1:n - k] &= signed[:n - k - 1] | ~capital[1 + k:]
-    at = text.find("\n", start, end)
-    while at >= 0:
-        i = bisect_left(starts, at)
-        if 0 < i < n:
-            sure[i], border[i] = True, at + 1
-        at = text.find("\n", at + 1, end)
-    codes = np.fromiter(map(crc32, "\n".join(words).encode().split(b"\n")), np.uint64, n)
+    lines = np.flatnonzero(letters == 10)
+    behind = np.searchsorted(starts, lines)
+    between = (behind > 0) & (behind < n)
+    sure[behind[between]], border[behind[between]] = True, lines[between] + start + 1  # of several, the last counts
+    line = " ".join(words).encode()
+    codes = np.fromiter(map(crc32, line.split(b" ")), np.uint64, n)
     mixed = (codes * np.uint64(0x9E3779B97F4A7C15)) ^ (np.append(codes[1:], np.uint64(0)) * np.uint64(0xC2B2AE3D27D4EB4F))
     mixed = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(2)).astype(np.int64)
     sure[0], border[0] = True, start
@@ -97,22 +129,68 @@ def sentences(text: str, start: int, end: int, unit_words: int = 4) -> Iterator[
     for k in range(1, unit_words):
         least[k:] &= mixed[k:] < mixed[:-k]
         least[:-k] &= mixed[:-k] <= mixed[k:]
-    cuts = np.flatnonzero(sure | least).tolist()
-    for i, j in zip(cuts, [*cuts[1:], n]):
-        yield int(border[i]), int(border[j]) if j < n else end, words[i:j]
-
-
-def _quarters(words: list[str]) -> int:
-    """Words of a unit, in quarters."""
-    count = 0
-    for word in words:
-        if len(word) > LONG:
-            count += len(word) // 2
-        elif len(word) == 1 and _UNSPACED.match(word):
-            count += 1 if _FOURTH.match(word) else 2
-        else:
-            count += 4
-    return count
+    cuts = np.flatnonzero(sure | least)
+    return words, line, quarters, cuts, border[cuts]
+
+
+def sentences(text: str, start: int, end: int, unit_words: int = 4) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each unit of a stretch of text; together they cover it, blanks behind one included."""
+    found = _cut(text, start, end, unit_words)
+    if found is None:
+        if end > start:
+            yield start, end, []
+        return
+    words, _, _, cuts, begins = found
+    cuts, begins = cuts.tolist(), begins.tolist()
+    for i, j, a, b in zip(cuts, [*cuts[1:], len(words)], begins, [*begins[1:], end]):
+        yield a, b, words[i:j]
+
+
+def unit_columns(text: str, unit_words: int, min_words: int = 25) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of ``unit_rows``, for one piece of the text after the other."""
+    from xxhash import xxh3_128_digest
+
+    def runs(held: tuple[bytes, np.ndarray, np.ndarray, np.ndarray], began: bool, done: int, ends: np.ndarray) -> tuple[tuple[np.ndarray, ...], int]:
+        """Columns of the runs that end with a unit from ``done`` on, and the last unit that began one (-1: none did)."""
+        line, at, quarters, starts = held
+        sums = np.concatenate(([0], np.cumsum(quarters)))
+        # By last unit: the last unit that a run of ``min_words`` words up to it can begin with.
+        latest = np.searchsorted(sums, sums[done + 1:len(ends) + 1] - 4 * min_words, "right") - 1
+        before = np.concatenate(([0 if began else -1], latest[:-1]))
+        count = np.where(latest < 0, 0, np.maximum(latest - before, 1))
+        to = np.repeat(np.arange(done, len(ends)), count)
+        since = np.repeat(np.where(latest > before, before + 1, latest) - np.cumsum(count) + count, count) + np.arange(len(to))
+        cut = zip(at[since].tolist(), (at[to + 1] - 1).tolist())
+        digests = np.frombuffer(b"".join([xxh3_128_digest(line[a:b]) for a, b in cut]), ">u8").astype(np.uint64)
+        digests = (digests ^ np.uint64(1 << 63)).view(np.int64).reshape(-1, 2)
+        columns = (since, to, starts[since], ends[to] - starts[since], (sums[to + 1] - sums[since]) // 4, digests[:, 0], digests[:, 1])
+        return columns, int(latest[-1]) if len(latest) else int(before[0])
+
+    # Of the pieces before: units that later runs may begin with (their words, where each begins and the end, quarters, starts).
+    held = (b"", np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    began, done, unit, end = False, 0, 0, 0
+    for piece in pieces(text):
+        found = _cut(text, end, end + len(piece), unit_words)
+        end += len(piece)
+        if found is not None:
+            _, more, quarters, cuts, begins = found
+            line, at, old, starts = held
+            blanks = np.flatnonzero(np.frombuffer(more, np.uint8) == 32)
+            places = len(line) + np.concatenate(([0], blanks[cuts[1:] - 1] + 1, [len(more) + 1]))
+            held = (
+                line + more + b" ", np.concatenate((at[:-1], places)),
+                np.concatenate((old, np.add.reduceat(quarters, cuts))), np.concatenate((starts, begins)),
+            )
+        if end < len(text) and len(held[3]) > done + 1:
+            # The end of the last unit is not known yet.
+            columns, first = runs(held, began, done, held[3][1:])
+            yield (columns[0] + unit, columns[1] + unit, *columns[2:])
+            began, done, first = first >= 0, len(held[3]) - 1 - max(first, 0), max(first, 0)
+            line, at, old, starts = held
+            held, unit = (line[at[first]:], at[first:] - at[first], old[first:], starts[first:]), unit + first
+    if len(held[3]):
+        columns, _ = runs(held, began, done, np.append(held[3][1:], len(text)))
+        yield (columns[0] + unit, columns[1] + unit, *columns[2:])
 
 
 def unit_rows(text: str, unit_words: int, min_words: int = 25) -> Iterator[tuple]:
@@ -120,47 +198,8 @@ def unit_rows(text: str, unit_words: int, min_words: int = 25) -> Iterator[tuple
 
     A run begins with a unit and is as short as ``min_words`` words let it be, or ends with one and is.
     """
-    from xxhash import xxh3_128_intdigest
-
-    run: deque[tuple[int, int, str, int]] = deque()  # begins with the last unit that began a run
-    began, total, unit, held = False, 0, 0, None
-
-    def row(end: int) -> tuple:
-        value = xxh3_128_intdigest(" ".join([u[2] for u in run]).encode())
-        return (run[0][0], run[-1][0], run[0][1], end - run[0][1], total // 4,
-                (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63))
-
-    def units() -> Iterator[tuple[int, str, int]]:
-        at = 0
-        for piece in pieces(text):
-            for start, _, words in sentences(text, at, at + len(piece), unit_words):
-                if words:
-                    key = " ".join(words)
-                    plain = key.isascii() and (len(key) <= LONG or max(map(len, words)) <= LONG)
-                    yield start, key, 4 * len(words) if plain else _quarters(words)
-            at += len(piece)
-        yield len(text), "", 0
-
-    for following in units():
-        if held is not None:
-            end = following[0]
-            run.append((unit, *held))
-            total += held[2]
-            unit += 1
-            ahead = total - run[0][3] if began else total
-            if ahead < 4 * min_words:
-                if began:
-                    yield row(end)
-            else:
-                if began:
-                    total -= run.popleft()[3]
-                while True:
-                    yield row(end)
-                    if total - run[0][3] < 4 * min_words:
-                        break
-                    total -= run.popleft()[3]
-                began = True
-        held = following
+    for columns in unit_columns(text, unit_words, min_words):
+        yield from zip(*[c.tolist() for c in columns])
 
 
 def removed_spans(rows: list[dict], min_words: int) -> list[dict]:
@@ -202,21 +241,27 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     """doc_id, text_key and the spans to remove (with the document that keeps them), where there are any."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-
-        def out() -> pa.RecordBatch:
-            batch = [pa.array(c, pa.int64()) for c in zip(*rows)]
-            rows.clear()
-            return pa.RecordBatch.from_arrays(batch, schema=_UNITS)
-
         for batch in batches:
-            for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                for row in unit_rows(text.as_py() or "", unit_words, min_words):
-                    rows.append((doc_id, key, *row[2:]))
-                    if len(rows) == 50_000:
+            owners, found = [], []
+
+            def out() -> pa.RecordBatch:
+                own = pa.array(np.repeat(owners, [len(c[0]) for c in found]))
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+                rows = [batch.column(0).take(own), batch.column(1).take(own), *columns]
+                owners.clear(), found.clear()
+                return pa.RecordBatch.from_arrays(rows, schema=_UNITS)
+
+            n = 0
+            for nth, text in enumerate(batch.column(2)):
+                for columns in unit_columns(text.as_py() or "", unit_words, min_words):
+                    owners.append(nth)
+                    found.append(columns[2:])
+                    n += len(columns[0])
+                    if n >= 50_000:
                         yield out()
-        if rows:
-            yield out()
+                        n = 0
+            if n:
+                yield out()
 
     def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,6 +277,7 @@ def repeated_spans(docs: DataFrame, min_words: int = 25, unit_words: int = 4) ->
     release(docs.sparkSession, [])  # the shuffled counts
     # As an inner join (``often`` has each digest once): Spark would move a semi join below the map.
     shared = settle(lookup_join(marked(hashed, often), often, ["d1"], "inner"), "shared-units")
+    release(docs.sparkSession, [*folders(hashed), *folders(often)])  # nothing below reads the others
     place = F.struct("doc_id", "text_key", "start", "length")
     firsts = shared.groupBy("d1", "d2").agg(F.min(place).alias("first"))
     later = lookup_join(shared, firsts, ["d1", "d2"], "left").filter(place > F.col("first"))

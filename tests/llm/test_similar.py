@@ -345,3 +345,45 @@ def test_a_full_map_loses_no_repeat(documents, monkeypatch):
     passage = " ".join(f"p{k}" for k in range(60))
     out = unit_dedup.remove_repeats(documents((1, f"one {passage} end"), (2, f"two {passage} too"))).collect()
     assert [bool(r.removed) for r in sorted(out, key=lambda r: r.doc_id)] == [False, True]
+
+
+def slow_runs(text, unit_words, min_words):
+    """start, length, words and digest of the shortest runs from each unit on and up to each unit."""
+    units, at = [], 0
+    for piece in unit_dedup.pieces(text):
+        units += [(a, w) for a, _, w in unit_dedup.sentences(text, at, at + len(piece), unit_words) if w]
+        at += len(piece)
+    ends, found = [*[a for a, _ in units[1:]], len(text)], set()
+
+    def shortest(spans):
+        for i, j in spans:
+            words = [w for _, own in units[i:j + 1] for w in own]
+            if len(words) >= min_words:
+                value = xxhash.xxh3_128_intdigest(" ".join(words).encode())
+                found.add((units[i][0], ends[j] - units[i][0], len(words), (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)))
+                return
+
+    for k in range(len(units)):
+        shortest((k, j) for j in range(k, len(units)))
+        shortest((i, k) for i in range(k, -1, -1))
+    return found
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab AÉİ.,!\n\té\x1c\u0085\U0001f600", max_size=150), st.sampled_from([7, 40, 1 << 20]), st.sampled_from([1, 3, 9]))
+def test_runs_of_pieces_are_those_of_the_whole(text, size, min_words):
+    with pytest.MonkeyPatch.context() as patch:
+        pieces = unit_dedup.pieces
+        patch.setattr(unit_dedup, "pieces", lambda t: pieces(t, size))
+        rows = [r[2:] for r in unit_dedup.unit_rows(text, 4, min_words)]
+        assert len(rows) == len(set(rows)) and set(rows) == slow_runs(text, 4, min_words)
+
+
+def test_units_are_deleted_once_the_shared_ones_are_settled(documents):
+    from loamflow.llm import base
+
+    known, passage = set(base.SCRATCH), " ".join(f"p{k}" for k in range(60))
+    out = unit_dedup.remove_repeats(documents((1, f"one {passage} end"), (2, f"two {passage} too")))
+    left = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in base.SCRATCH if p not in known}
+    assert "shared-units" in left and not left & {"units", "often"}
+    assert [bool(r.removed) for r in sorted(out.collect(), key=lambda r: r.doc_id)] == [False, True]
